@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,7 +62,6 @@ def age_band(age: Column) -> Column:
 
 def age_band_udf():
     """The same bands as a vectorised UDF, for sessions that register it with SQL."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def band(age: pd.Series) -> pd.Series:

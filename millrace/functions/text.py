@@ -48,5 +48,6 @@ def map_value(table: dict[str, str], key: Column, default: str) -> Column:
 
 
 def payload_sample(raw: Column, size: int = 200) -> Column:
-    """A short base64 sample of raw bytes for a report; the bytes themselves are kept elsewhere."""
-    return F.substring(F.base64(raw), 1, size)
+    """The first ``size`` base64 characters of raw bytes, for a report; ``size`` is a multiple of 4.
+    The bytes themselves are kept whole elsewhere."""
+    return F.translate(F.base64(F.substring(raw, 1, size // 4 * 3)), "\r\n", "")

@@ -9,38 +9,53 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.sinks.keyed import KeyedTable
+from millrace.session import settle
+from millrace.sinks.files import path_exists
 from millrace.sources.external import probe
 
+OFFSETS = "source string, last_id bigint"
+
 
 class OffsetTable:
-    """``(source, last_id)``, one row per source. An offset never moves back."""
+    """The last processed id per source. Each commit appends a row and the largest one counts, so
+    an offset never moves back and two writers cannot undo each other."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.table = KeyedTable(spark, path, ["source"], buckets=1)
+        self.path = path
+
+    def all(self) -> DataFrame:
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], OFFSETS)
+        commits = self.spark.read.schema(OFFSETS).parquet(self.path)
+        return commits.groupBy("source").agg(F.max("last_id").alias("last_id"))
 
     def read(self, source: str) -> int:
-        rows = self.table.read()
-        found = rows.filter(F.col("source") == source).first() if rows is not None else None
+        found = self.all().filter(F.col("source") == source).first()
         return found["last_id"] if found else 0
 
-    def advance(self, source: str, last_id: int) -> int:
-        value = max(self.read(source), last_id)
-        self.table.upsert(self.spark.createDataFrame([(source, value)], "source string, last_id bigint"))
-        return value
+    def commit(self, offsets: DataFrame) -> None:
+        """``offsets``: one row per source."""
+        offsets.select("source", "last_id").coalesce(1).write.mode("append").parquet(self.path)
+
+    def advance(self, source: str, last_id: int) -> None:
+        self.commit(self.spark.createDataFrame([(source, last_id)], OFFSETS))
+
+    def compact(self) -> None:
+        """Fold the commits into one row per source; not while a job runs."""
+        settle(self.all(), "offsets").coalesce(1).write.mode("overwrite").parquet(self.path)
 
 
-def retry(action: Callable[[], int], attempts: int = 3, wait_seconds: float = 0.2) -> int:
+def retry(action: Callable[[], None], attempts: int = 3, wait_seconds: float = 0.2) -> None:
     """Run ``action``; after a failure wait ``attempt × wait_seconds`` and try again."""
     for attempt in range(1, attempts + 1):
         try:
-            return action()
+            action()
+            return
         except Exception:
             if attempt == attempts:
                 raise
             time.sleep(wait_seconds * attempt)
-    raise ValueError("attempts must be at least 1")
 
 
 @dataclass

@@ -45,8 +45,8 @@ def counts_by_sql(spark: SparkSession, trips: DataFrame, column: str, ordered: b
     return spark.sql(f"SELECT {column}, COUNT(*) AS trip_count FROM trips GROUP BY {column}{order}")
 
 
-def store_and_report(spark: SparkSession, trips: DataFrame, lake: str, report: str) -> str:
+def store_and_report(spark: SparkSession, trips: DataFrame, lake: str, report: str, tasks: int | None = None) -> str:
     """Write the trips by day, average the fare per vehicle from the stored copy, export that."""
-    write_lake(trips, lake, ["trip_date"])
+    write_lake(trips, lake, ["trip_date"], tasks=tasks)
     fares = mean_by(spark.read.parquet(lake), ["vehicle_type"], "fare_amount", "avg_fare_amount")
     return write_report(fares, report, "avg_fare_by_vehicle.csv", header=False)

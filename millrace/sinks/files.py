@@ -29,16 +29,29 @@ def write_text(df: DataFrame, path: str, separator: str = ",") -> None:
     df.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
-def write_lake(df: DataFrame, path: str, partition: Sequence[str], mode: str = "overwrite") -> None:
-    """Hive-style partitioned Parquet. Rebalancing gives few files per small partition and splits
-    a partition value that holds a large share of the rows over several tasks."""
-    df.hint("rebalance", *partition).write.mode(mode).partitionBy(*partition).parquet(path)
+def laid_out(df: DataFrame, partition: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """``df`` shuffled for a partitioned write, so that each folder gets few files.
+
+    By default a rebalance: small partitions share a task and one that holds a large share of the
+    rows is split over several. ``tasks`` fixes the parallelism instead, for very many small
+    partitions; ranges over the partition and a row hash split a heavy value there too.
+    """
+    if tasks is None:
+        return df.hint("rebalance", *partition)
+    return df.repartitionByRange(tasks, *partition, F.xxhash64(*df.columns))
+
+
+def write_lake(
+    df: DataFrame, path: str, partition: Sequence[str], mode: str = "overwrite", tasks: int | None = None
+) -> None:
+    """Hive-style partitioned Parquet."""
+    laid_out(df, partition, tasks).write.mode(mode).partitionBy(*partition).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition: Sequence[str]) -> None:
+def replace_partitions(df: DataFrame, path: str, partition: Sequence[str], tasks: int | None = None) -> None:
     """Rewrite only the partitions that occur in ``df``; all others stay. Safe to repeat."""
     (
-        df.hint("rebalance", *partition)
+        laid_out(df, partition, tasks)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition)

@@ -51,24 +51,24 @@ def trip_lines(spark: SparkSession, path: str) -> DataFrame:
     keep = F.trim("value") != ""
     if first and "tripid" in first[0]["value"].lower():
         keep = keep & ~F.lower(F.trim("value")).startswith("tripid")
-    fields = F.transform(F.split("value", ","), F.trim)
+    fields = F.transform(F.split("value", ","), lambda f: F.trim(f))
     return lines.filter(keep).select(fields.alias("f")).filter(F.size("f") >= len(TRIP_FIELDS))
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
     """Typed trips; a line with any number that does not parse is dropped as a whole."""
     lines = trip_lines(spark, path)
-    columns = [F.col("f")[i].try_cast(kind).alias(name) for i, (name, kind) in enumerate(TRIP_FIELDS)]
+    columns = [F.get("f", F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(TRIP_FIELDS)]
     numeric = [name for name, kind in TRIP_FIELDS if kind != "string"]
     return lines.select(*columns).dropna(subset=numeric)
 
 
 def read_long_distances(spark: SparkSession, path: str, above: float = 10.0) -> DataFrame:
     """Vehicle type and distance of long trips; only the distance has to parse."""
-    distance = F.col("f")[7].try_cast("double")
+    distance = F.get("f", F.lit(7)).try_cast("double")
     return (
         trip_lines(spark, path)
-        .select(F.col("f")[2].alias("vehicle_type"), distance.alias("distance_km"))
+        .select(F.get("f", F.lit(2)).alias("vehicle_type"), distance.alias("distance_km"))
         .filter(F.col("distance_km") > above)
     )
 
