@@ -1 +1,231 @@
+"""Sinks, output metrics and physical controls: written from the supplied tables and read back."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.catalog.frames import at, table
+from millrace.catalog.registry import big, day, dbl, query, sql_day
+from millrace.functions.numbers import money
+from millrace.operators import control
+from millrace.operators.skew import hot_key_hashes, key_hash, salted_join
+from millrace.plans.formats import compare_formats, read_back
+from millrace.plans.sales import cached
+from millrace.session import scratch_path
+from millrace.sinks import files
+from millrace.sinks.keyed import KeyedTable
+from millrace.streaming.sinks import to_function
+
+
+def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+ORDER_ROWS = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
+ORDER_SCHEMA = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
+
+
+@query(ORDER_ROWS)
+def parquet_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "parquet")
+    for codec in ("gzip", "snappy"):
+        files.write_parquet(order_rows(spark, sf_dir), path, codec)
+    return spark.read.parquet(path)
+
+
+@query(ORDER_ROWS)
+def csv_written_with_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv")
+    files.write_csv(order_rows(spark, sf_dir), path, header=True)
+    return read_back(spark, "csv", path, ORDER_SCHEMA)
+
+
+@query(ORDER_ROWS)
+def csv_written_without_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv")
+    files.write_csv(order_rows(spark, sf_dir), path, header=False)
+    return spark.read.schema(ORDER_SCHEMA).csv(path)
+
+
+@query(ORDER_ROWS)
+def json_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "json")
+    files.write_json(order_rows(spark, sf_dir), path)
+    return read_back(spark, "json", path, ORDER_SCHEMA)
+
+
+@query("SELECT o_orderkey || '|' || o_orderstatus AS value FROM orders")
+def text_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "text")
+    files.write_text(order_rows(spark, sf_dir).drop("o_totalprice"), path, "|")
+    return spark.read.text(path)
+
+
+EVENT_DAYS = f"SELECT {sql_day('ts')} AS day, event_type, count(*) AS n FROM events GROUP BY ALL"
+
+
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", "event_type", "ts", F.to_date("ts").alias("event_date"))
+
+
+def per_day(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(day("event_date").alias("day"), "event_type").agg(F.count("*").alias("n"))
+
+
+@query(EVENT_DAYS)
+def lake_partitioned_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "lake")
+    files.write_lake(event_rows(spark, sf_dir), path, ["event_date"])
+    return per_day(spark.read.parquet(path))
+
+
+@query(f"""
+SELECT {sql_day('ts')} AS day, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 'rewritten' ELSE event_type END AS event_type, count(*) AS n
+FROM events GROUP BY ALL""")
+def only_touched_days_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, rows = scratch_path(spark, "lake"), event_rows(spark, sf_dir)
+    files.replace_partitions(rows, path, ["event_date"])
+    late = rows.filter(F.col("event_date") >= F.lit("2024-01-20").cast("date"))
+    files.replace_partitions(late.withColumn("event_type", F.lit("rewritten")), path, ["event_date"])
+    return per_day(spark.read.parquet(path))
+
+
+@query(EVENT_DAYS)
+def lake_appended_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.catalog.streams import event_stream
+
+    root = scratch_path(spark, "append")
+    rows = event_stream(spark, sf_dir).select("event_id", "event_type", F.to_date("ts").alias("event_date"))
+
+    def append(batch: DataFrame, _batch_id: int) -> None:
+        files.write_lake(batch, f"{root}/lake", ["event_date"], mode="append")
+
+    to_function(rows, append, f"{root}/checkpoint", every=None).awaitTermination()
+    return per_day(spark.read.parquet(f"{root}/lake"))
+
+
+@query("SELECT c_mktsegment AS segment, count(*) AS n FROM customer GROUP BY 1")
+def report_as_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("n"))
+    path = files.write_report(counts, scratch_path(spark, "report"), "segments.csv")
+    return spark.read.schema("segment string, n bigint").option("header", True).csv(path)
+
+
+@query("""
+SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0 ELSE c_acctbal END AS balance FROM customer
+UNION ALL SELECT -1 - s_suppkey, s_name, s_acctbal FROM supplier""")
+def keyed_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers, then changed balances of one segment, then new keys, the latter twice."""
+    stored = KeyedTable(spark, scratch_path(spark, "keyed"), ["c_custkey"], buckets=4)
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_acctbal").alias("balance"), "c_mktsegment")
+    stored.upsert(people.drop("c_mktsegment"))
+    changed = people.filter(F.col("c_mktsegment") == "BUILDING").withColumn("balance", F.lit(0.0)).drop("c_mktsegment")
+    stored.upsert(changed)
+    added = table(spark, sf_dir, "supplier").select(
+        (-1 - F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("balance")
+    )
+    stored.upsert(added)
+    stored.upsert(added)
+    return stored.read()
+
+
+@query("SELECT count(DISTINCT CAST(ts AS DATE)) AS partitions, true AS has_bytes, true AS few_files FROM events")
+def written_output_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "lake")
+    files.write_lake(event_rows(spark, sf_dir), path, ["event_date"])
+    found = files.output_metrics(spark, path)
+    few = F.col("files") <= 2 * F.col("partitions")
+    return found.select("partitions", (F.col("bytes") > 0).alias("has_bytes"), few.alias("few_files"))
+
+
+@query("SELECT DISTINCT 'event_type=' || event_type AS folder, true AS has_files FROM events")
+def files_in_each_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "lake")
+    files.write_lake(event_rows(spark, sf_dir), path, ["event_type"])
+    return files.files_per_partition(spark, path).select("folder", (F.col("files") > 0).alias("has_files"))
+
+
+@query("SELECT false AS before_write, true AS after_write, true AS removed, false AS after_removal, count(*) AS n FROM customer")
+def target_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, rows = scratch_path(spark, "target"), table(spark, sf_dir, "customer")
+    before = files.path_exists(spark, path)
+    files.write_text(rows.select("c_name"), path)
+    after, removed = files.path_exists(spark, path), files.delete_path(spark, path)
+    gone = files.path_exists(spark, path)
+    return rows.agg(F.count("*").alias("n")).select(
+        F.lit(before).alias("before_write"), F.lit(after).alias("after_write"), F.lit(removed).alias("removed"),
+        F.lit(gone).alias("after_removal"), "n",
+    )
+
+
+@query("""
+SELECT format, n FROM (SELECT unnest(['csv', 'json', 'parquet', 'text']) AS format), (SELECT count(*) AS n FROM lineitem)""")
+def storage_format_round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    compared = compare_formats(spark, lines, scratch_path(spark, "formats"))
+    return compared.select("format", F.col("n_rows").alias("n"))
+
+
+@query()
+def storage_format_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_formats(spark, table(spark, sf_dir, "customer"), scratch_path(spark, "formats"))
+
+
+@query("""
+SELECT event_type, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1
+UNION ALL SELECT 'users', count(DISTINCT user_id) FROM events WHERE event_type = 'error'""")
+def cached_filter_used_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    errors = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
+    with cached(errors, materialise=True) as kept:
+        # Both results are taken while the rows are cached; together they are two rows.
+        rows = kept.groupBy("event_type").agg(F.count("*").alias("n")).collect()
+        rows += kept.agg(F.lit("users").alias("event_type"), F.countDistinct("user_id").alias("n")).collect()
+    return spark.createDataFrame(rows, "event_type string, n bigint")
+
+
+@query("SELECT 6 AS partitions, count(*) AS n FROM lineitem")
+def repartition_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spread = control.by_key(table(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey", partitions=6)
+    rows = control.partition_rows(spread)
+    return rows.agg(F.count("*").cast("int").alias("partitions"), F.sum("n_rows").alias("n"))
+
+
+@query("SELECT 2 AS partitions, count(*) AS n FROM lineitem")
+def coalesce_to_fewer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spread = control.by_key(table(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey", partitions=8)
+    rows = control.partition_rows(control.fewer_files(spread, present=8))
+    return rows.agg(F.count("*").cast("int").alias("partitions"), F.sum("n_rows").alias("n"))
+
+
+@query("""
+SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, min(ts)::VARCHAR <> '' AS seen FROM events GROUP BY user_id""")
+def batches_through_python(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial sums per Arrow batch in Python, finished by a grouped sum on the JVM."""
+    import pandas as pd
+
+    def partial(batches):
+        for batch in batches:
+            cents = (batch["value"] * 100).round().astype("int64")
+            sums = cents.groupby(batch["user_id"]).sum()
+            yield pd.DataFrame({"user_id": sums.index.astype("int64"), "cents": sums.to_numpy()})
+
+    sums = table(spark, sf_dir, "events").select("user_id", "value").mapInPandas(partial, "user_id bigint, cents bigint")
+    return sums.groupBy("user_id").agg((F.sum("cents") / 100).alias("total"), F.lit(True).alias("seen"))
+
+
+@query("""
+SELECT flag, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity
+FROM (SELECT CASE WHEN l_returnflag = 'A' THEN 1 ELSE l_partkey + 2 END AS k, l_returnflag AS flag, l_quantity FROM lineitem)
+JOIN (SELECT p_partkey + 2 AS k FROM part UNION ALL SELECT 1) USING (k) GROUP BY flag""")
+def join_with_one_heavy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows share one key; the join finds it and spreads it over salts."""
+    flag = F.col("l_returnflag")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(flag == "A", F.lit(1).cast("bigint")).otherwise(F.col("l_partkey") + 2).alias("k"), flag.alias("flag"), "l_quantity"
+    )
+    keys = table(spark, sf_dir, "part").select((F.col("p_partkey") + 2).alias("k"))
+    keys = keys.unionByName(spark.range(1, 2).withColumnRenamed("id", "k"))
+    hot = hot_key_hashes(lines, ["k"])
+    joined = salted_join(lines, keys, ["k"], hot=hot)
+    return joined.groupBy("flag").agg(F.count("*").alias("n"), big(F.sum("l_quantity")).alias("quantity"))

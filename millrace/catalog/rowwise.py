@@ -41,11 +41,10 @@ def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice * (1 - l_discount) AS net,
        l_extendedprice * (1 - l_discount) * (1 + l_tax) AS gross
-FROM lineitem WHERE l_quantity >= 49""")
+FROM lineitem""")
 def derived_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_quantity") >= 49)
         .withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
         .withColumn("gross", F.col("net") * (1 + F.col("l_tax")))
         .select("l_orderkey", "l_linenumber", "l_partkey", "net", "gross")

@@ -16,9 +16,9 @@ SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS INTEGER) AS as_in
        CAST(l_partkey AS DOUBLE) AS as_double, CAST(l_partkey AS VARCHAR) AS as_text,
        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS as_decimal, strftime(l_shipdate, '%Y-%m-%d') AS as_date,
        octet_length(CAST(l_returnflag AS BLOB)) AS n_bytes
-FROM lineitem WHERE l_quantity = 7""")
+FROM lineitem""")
 def casts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").filter(F.col("l_quantity") == 7).select(
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -90,12 +90,11 @@ def times_in_three_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, datediff('second', o_orderdate, l_shipdate) / 60.0::DOUBLE AS minutes
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity = 3""")
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def minutes_between_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.operators.skew import salted_join
 
-    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_quantity") == 3)
-    lines = lines.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_shipdate")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_shipdate")
     joined = salted_join(lines, table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), ["o_orderkey"])
     minutes = times.minutes_between(F.col("o_orderdate"), F.col("l_shipdate"))
     return joined.select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", "l_partkey", dbl(minutes).alias("minutes"))

@@ -21,9 +21,9 @@ def partition_count(df: DataFrame) -> int:
     return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
-def fewer_files(df: DataFrame, factor: int = 4) -> DataFrame:
-    """A quarter (by default) of the present partitions, without a shuffle."""
-    return df.coalesce(max(1, df.rdd.getNumPartitions() // factor))
+def fewer_files(df: DataFrame, present: int, factor: int = 4) -> DataFrame:
+    """A quarter (by default) of the ``present`` partitions, without a shuffle."""
+    return df.coalesce(max(1, present // factor))
 
 
 def schema_text(df: DataFrame) -> str:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import restrict_to_keys
+from millrace.operators.joins import restrict_adaptive
 from millrace.operators.skew import join_dimension
 from millrace.sinks.files import replace_partitions
 
@@ -50,6 +52,12 @@ def daily_summary(transactions: DataFrame, products: DataFrame) -> DataFrame:
 def refresh_days(delta: DataFrame, transactions: DataFrame, products: DataFrame, path: str) -> None:
     """Recompute every day the new rows touch, late ones included, and rewrite just those days."""
     day = F.to_date("txn_timestamp")
-    days = delta.select(day.alias("day"))
-    touched = restrict_to_keys(transactions.withColumn("day", day), days, ["day"]).drop("day")
+    days = delta.select(day.alias("day")).distinct()
+    ends = days.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+    if ends["first"] is None:
+        return
+    # The range on the plain column reaches the scan; the days within it are picked afterwards.
+    after = F.lit(ends["last"] + timedelta(days=1))
+    near = transactions.filter((F.col("txn_timestamp") >= F.lit(ends["first"])) & (F.col("txn_timestamp") < after))
+    touched = restrict_adaptive(near.withColumn("day", day), days, "day").drop("day")
     replace_partitions(daily_summary(touched, products), path, ["date"])

@@ -61,9 +61,14 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return os.path.join(scratch_root(spark), "millrace", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder; no two calls give the same one."""
-    return os.path.join(scratch_root(spark), "millrace", f"{label}-{uuid.uuid4().hex}")
+    """A new path in the application's folder; no two calls give the same one."""
+    return os.path.join(scratch_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

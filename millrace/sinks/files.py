@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import fits
+from millrace.session import scratch_folder
 
 REPORT_ROWS = 1_000_000
 
@@ -75,6 +76,11 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.exists(target) and fs.delete(target, True)
 
 
+def drop_scratch(spark: SparkSession) -> bool:
+    """Remove what this application left in the shared folder, when all its results are stored."""
+    return delete_path(spark, scratch_folder(spark))
+
+
 def reachable(spark: SparkSession, path: str) -> bool:
     """The path or its parent exists, so the store, its credentials and the bucket are usable."""
     fs, target = _file_system(spark, path)
