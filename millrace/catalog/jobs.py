@@ -57,10 +57,11 @@ def summary_of_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown_summary(read_lake_day(spark, path, "2024-01-17"))
 
 
-@query(f"SELECT * FROM ({SUMMARY}) WHERE day = '1998-10-03' AND customer_id = 899")
+@query(f"SELECT * FROM ({EVENT_SUMMARY}) WHERE day = '2024-01-10' AND customer_id = 7")
 def summary_of_one_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summaries = daily_summary(frames.transactions(spark, sf_dir), frames.products(spark, sf_dir))
-    return shown_summary(summary_of(summaries, "1998-10-03", 899))
+    path = scratch_path(spark, "summary")
+    write_lake(daily_summary(frames.event_transactions(spark, sf_dir), frames.products(spark, sf_dir)), path, ["date"])
+    return shown_summary(summary_of(spark.read.parquet(path), "2024-01-10", 7))
 
 
 @query(EVENT_SUMMARY)
