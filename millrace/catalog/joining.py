@@ -59,7 +59,7 @@ def denormalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT city, product_name, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS quantity, count(DISTINCT customer_id) AS customers,
-       CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount, max({sql_stamp('order_date')}) AS last_order
+       CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount, {sql_stamp('max(order_date)')} AS last_order
 FROM ({DENORMALISED}) GROUP BY ALL""")
 def three_table_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return denormalised(spark, sf_dir).groupBy("city", "product_name").agg(
@@ -67,7 +67,7 @@ def three_table_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("quantity").alias("quantity"),
         F.countDistinct("customer_id").alias("customers"),
         dbl(F.sum(money("amount"))).alias("amount"),
-        F.max(stamp("order_date")).alias("last_order"),
+        stamp(F.max("order_date")).alias("last_order"),
     )
 
 

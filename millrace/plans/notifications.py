@@ -20,6 +20,9 @@ MAX_DELIVERY_ATTEMPTS = 3
 MAX_BACKOFF_ATTEMPTS = 5
 DEFAULT_ADDRESS = "no-reply@example.com"
 
+# Admins that are unrolled with each message; more of them are joined.
+ADMIN_LIST = 200
+
 
 def pending_rows(df: DataFrame, kind: Column, message: Column, at: Column, as_of: Column) -> DataFrame:
     return df.select(
@@ -172,28 +175,49 @@ def expand_recipients(
 ) -> DataFrame:
     """The people each message goes to, in role order: the users in the role columns, then admins.
 
-    ``roles`` lists (role, user column). Admins join through the audience each message names, as
-    a broadcast when they are few and salted when they are not.
+    ``roles`` lists (role, user column). A short admin list travels with the rows and is unrolled
+    together with the roles; a long one is joined through the audience, salted over its copies.
     """
-    people = users.select("user_id", "email")
-    entries = F.array(
-        *(
-            F.struct(F.lit(i).alias("priority"), F.lit(role).alias("role"), F.col(column).alias("user_id"))
-            for i, (role, column) in enumerate(roles)
+    entries = [recipient_entry(i, role, F.col(column)) for i, (role, column) in enumerate(roles)]
+    admins = admins_of(users).select("user_id", "email")
+    listed = admins.limit(ADMIN_LIST + 1).collect() if with_admins else []
+    if len(listed) <= ADMIN_LIST:
+        entries += [
+            recipient_entry(len(roles), "Admin", F.lit(a["user_id"]), F.lit(a["email"]), known=True) for a in listed
+        ]
+    asked = messages.select(*message_keys, F.explode(F.array(*entries)).alias("e")).select(*message_keys, "e.*")
+    known = asked.filter("known").drop("known")
+    people = users.select("user_id", F.col("email").alias("user_email"))
+    unknown = asked.filter(~F.col("known") & F.col("user_id").isNotNull()).drop("known", "email")
+    named = salted_join(unknown, people, ["user_id"]).withColumnRenamed("user_email", "email").select(*known.columns)
+    named = named.unionByName(known)
+    if len(listed) > ADMIN_LIST:
+        audience = F.lit("admin")
+        hot = [messages.sparkSession.range(1).select(F.xxhash64(audience)).first()[0]]
+        copies = salted_join(
+            messages.select(*message_keys, audience.alias("audience")),
+            admins.withColumn("audience", audience),
+            ["audience"],
+            hot=hot,
         )
-    )
-    listed = messages.select(*message_keys, F.explode(entries).alias("e")).select(*message_keys, "e.*")
-    named = salted_join(listed.filter(F.col("user_id").isNotNull()), people, ["user_id"])
-    if with_admins:
-        admins = admins_of(users).select(F.lit("admin").alias("audience"), "user_id", "email")
-        asked = messages.select(*message_keys, F.lit("admin").alias("audience"))
-        sent = join_dimension(asked, admins, ["audience"]).select(
-            *message_keys, F.lit(len(roles)).alias("priority"), F.lit("Admin").alias("role"), "user_id", "email"
+        named = named.unionByName(
+            copies.withColumn("priority", F.lit(len(roles))).withColumn("role", F.lit("Admin")).select(*known.columns)
         )
-        named = named.select(*sent.columns).unionByName(sent)
     return first_per_address(named, message_keys)
 
 
+def recipient_entry(
+    priority: int, role: str, user_id: Column, email: Column | None = None, known: bool = False
+) -> Column:
+    return F.struct(
+        F.lit(priority).alias("priority"),
+        F.lit(role).alias("role"),
+        user_id.cast("bigint").alias("user_id"),
+        (email if email is not None else F.lit(None)).cast("string").alias("email"),
+        F.lit(known).alias("known"),
+    )
+
+
 def recipient_address(notifications: DataFrame, users: DataFrame, teams: DataFrame) -> DataFrame:
     """The address of each notification: the user's, else the team's, else a default.
 

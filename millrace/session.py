@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch folders of local sessions that name none.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC times and adaptive execution; ``conf`` keys use ``__`` for dots."""
@@ -56,9 +59,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_ROOTS[application]
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.plans import equipment, notifications
@@ -49,7 +50,9 @@ def test_damaged_return_opens_a_ticket(spark, rows):
     ]
 
 
-def test_recipient_with_two_roles_gets_one_message(spark, rows):
+@pytest.mark.parametrize("admin_list", [200, 1])
+def test_recipient_with_two_roles_gets_one_message(spark, rows, plan, monkeypatch, admin_list):
+    monkeypatch.setattr(notifications, "ADMIN_LIST", admin_list)
     users = spark.createDataFrame(
         [(1, "a@x.co", ["staff"]), (2, "b@x.co", ["ADMIN"]), (3, "a@x.co", ["admin"]), (4, " ", ["admin"])],
         "user_id bigint, email string, roles array<string>",
@@ -59,6 +62,7 @@ def test_recipient_with_two_roles_gets_one_message(spark, rows):
     assert rows(got, "event_id", "email", "role") == [
         (100, "a@x.co", "Assignee"), (100, "b@x.co", "AllocatedBy"), (101, "a@x.co", "Admin"), (101, "b@x.co", "Assignee"),
     ]
+    assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
 
 
 def tasks(spark, start):
