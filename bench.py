@@ -13,6 +13,7 @@ import time
 
 from millrace.catalog import QUERIES
 from millrace.session import build_session
+from millrace.sinks.files import drop_scratch
 
 HEADLINE = (
     "city_counts",
@@ -62,6 +63,7 @@ def main() -> None:
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
         times[name] = round(min(runs), 3)
+    drop_scratch(spark)
     found = re.search(r"sf([0-9.]+)", folder)
     print(
         json.dumps(

@@ -357,7 +357,7 @@ def recipients_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT r.event_id, r.email, r.role, '[Reminder] Overdue Allocation #' || r.event_id AS subject,
+SELECT r.event_id, r.email, r.role, '[Reminder] Allocation #' || r.event_id AS subject,
        'Equipment: ' || asset_tag || ' / SN:' || serial_number || ' (id=' || l.equipment_id || '); expected return: ' ||
        strftime(l.expected_return_at, '{ISO}') AS body
 FROM ({OVERDUE_PEOPLE}) r JOIN ({LATE}) l ON l.allocation_id = r.event_id JOIN ({frames.ITEMS}) i ON i.equipment_id = l.equipment_id""")
@@ -369,6 +369,118 @@ def overdue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HOLDINGS = f"""
+SELECT allocation_id AS event_id, employee_id, allocated_by_employee_id, equipment_id, status,
+       CASE status WHEN 'ACTIVE' THEN 'CREATE' WHEN 'RETURNED' THEN 'RETURN' ELSE 'DAMAGED' END AS event_type
+FROM ({frames.ALLOCATIONS}) WHERE NOT is_deleted"""
+HOLDERS = first_per_mail(f"""
+SELECT event_id, 0 AS priority, 'Assignee' AS role, user_id, email FROM ({HOLDINGS}) JOIN ({frames.USERS}) ON user_id = employee_id
+UNION ALL SELECT event_id, 1, 'AllocatedBy', user_id, email FROM ({HOLDINGS}) JOIN ({frames.USERS}) ON user_id = allocated_by_employee_id
+UNION ALL SELECT event_id, 2, 'Admin', user_id, email FROM ({HOLDINGS}), ({ADMINS})""")
+
+
+@query(f"""
+SELECT r.event_id, r.email, r.role, CASE
+  WHEN role = 'Assignee' AND event_type = 'CREATE' THEN '[Allocation Assigned] Allocation #' || r.event_id || ' - ' || asset_tag
+  WHEN role = 'AllocatedBy' AND event_type = 'CREATE' THEN '[Allocation Created] Allocation #' || r.event_id
+  WHEN role <> 'Admin' AND event_type = 'RETURN' THEN '[Allocation Returned] Allocation #' || r.event_id
+  WHEN role = 'Admin' AND event_type = 'DAMAGED' THEN '[Maintenance Alert] Allocation #' || r.event_id
+  ELSE '[Allocation Notification] Allocation #' || r.event_id END AS subject
+FROM ({HOLDERS}) r JOIN ({HOLDINGS}) h ON h.event_id = r.event_id JOIN ({frames.ITEMS}) i ON i.equipment_id = h.equipment_id""")
+def allocation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = frames.allocations(spark, sf_dir)
+    status = F.col("status")
+    kind = F.when(status == "ACTIVE", "CREATE").when(status == "RETURNED", "RETURN").otherwise("DAMAGED")
+    payload = F.concat(F.lit('{"allocationId":'), F.col("allocation_id"), F.lit("}"))
+    events = held.filter(~F.col("is_deleted")).select(F.col("allocation_id").alias("event_id"), kind.alias("event_type"), payload.alias("payload"))
+    rows = messages.allocation_messages(
+        events, held, frames.items(spark, sf_dir), frames.employees(spark, sf_dir), frames.users(spark, sf_dir)
+    )
+    return rows.select("event_id", "email", "role", "subject")
+
+
+@query(f"""
+SELECT event_id, unnest(list_distinct(['u' || user_id || '@example.com', 'desk@example.com'])) AS email, '[Reminder] ' || event_type AS subject
+FROM events WHERE event_type = 'click'
+UNION ALL SELECT event_id, 'u' || user_id || '@example.com', '[Reminder] ' || event_type FROM events WHERE event_type = 'view'
+UNION ALL SELECT event_id, email, '[Reminder] ' || event_type FROM events, ({ADMINS}) WHERE event_type IN ('signup', 'error')""")
+def reminder_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, mail = F.col("event_type"), F.concat(F.lit("u"), F.col("user_id"), F.lit("@example.com"))
+    payload = (
+        F.when(kind == "click", F.concat(F.lit('{"emails":[" '), mail, F.lit('","desk@example.com","'), mail, F.lit('",""]}')))
+        .when(kind == "view", F.concat(F.lit('{"email":"'), mail, F.lit('"}')))
+        .when(kind == "purchase", F.concat(F.lit('{"allocationId":'), F.col("event_id"), F.lit("}")))
+        .otherwise("{}")
+    )
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", payload.alias("payload"))
+    return messages.reminder_messages(events, frames.users(spark, sf_dir))
+
+
+PLANNER = "SELECT o_orderkey AS event_id, o_custkey AS created_by, o_orderkey % 1000 AS actor, CASE o_orderstatus WHEN 'F' THEN 'DELETE' WHEN 'O' THEN 'CREATE' ELSE 'MOVE' END AS action FROM orders"
+PLANNER_PEOPLE = first_per_mail(f"""
+SELECT event_id, 0 AS priority, 'Manager' AS role, user_id, email FROM ({PLANNER}) JOIN ({frames.USERS}) ON user_id = created_by
+UNION ALL SELECT event_id, 1, 'Actor', user_id, email FROM ({PLANNER}) JOIN ({frames.USERS}) ON user_id = actor""")
+
+
+@query(f"""
+SELECT r.event_id, email, role, CASE action WHEN 'DELETE' THEN '[Event Deleted] ' WHEN 'CREATE' THEN '[Event Created] ' ELSE '[Event Notification] ' END ||
+       'Order ' || r.event_id AS subject
+FROM ({PLANNER_PEOPLE}) r JOIN ({PLANNER}) p ON p.event_id = r.event_id""")
+def planner_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, status = table(spark, sf_dir, "orders"), F.col("o_orderstatus")
+    key = F.col("o_orderkey")
+    events = orders.select(
+        key.alias("event_id"),
+        key.alias("entry_id"),
+        F.when(status == "F", "DELETE").when(status == "O", "CREATE").otherwise("MOVE").alias("action"),
+        (key % 1000).alias("actor_user_id"),
+    )
+    entries = orders.select(key.alias("entry_id"), F.concat(F.lit("Order "), key).alias("title"), F.col("o_custkey").alias("created_by"))
+    rows = messages.planner_messages(events, entries, frames.users(spark, sf_dir))
+    return rows.select("event_id", "email", "role", "subject")
+
+
+ASSIGNED = f"""
+SELECT task_id AS event_id, title, CASE status WHEN 'Completed' THEN 'DELETE' WHEN 'Pending' THEN 'ASSIGN' ELSE 'OTHER' END AS action,
+       u.email AS user_mail, t.contact_email AS team_mail
+FROM ({frames.TASKS}) k LEFT JOIN ({frames.USERS}) u ON u.user_id = k.assigned_to_user_id
+LEFT JOIN (SELECT * FROM ({frames.TEAMS}) WHERE NOT is_deleted) t ON t.team_id = k.assigned_team_id"""
+TASK_SUBJECT = "CASE action WHEN 'DELETE' THEN '[Task Deleted] ' WHEN 'ASSIGN' THEN '[Task Assigned] ' ELSE '[Task Notification] ' END || title AS subject"
+
+
+@query(f"""
+SELECT event_id, user_mail AS email, 'AssignedUser' AS role, {TASK_SUBJECT} FROM ({ASSIGNED}) WHERE user_mail IS NOT NULL
+UNION ALL SELECT event_id, team_mail, 'AssignedTeam', {TASK_SUBJECT} FROM ({ASSIGNED}) WHERE team_mail IS NOT NULL AND team_mail IS DISTINCT FROM user_mail
+UNION ALL SELECT event_id, 'no-reply@example.com', 'Recipient', {TASK_SUBJECT} FROM ({ASSIGNED}) WHERE user_mail IS NULL AND team_mail IS NULL""")
+def task_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tasks, status = frames.tasks(spark, sf_dir), F.col("status")
+    action = F.when(status == "Completed", "DELETE").when(status == "Pending", "ASSIGN").otherwise("OTHER")
+    events = tasks.select(F.col("task_id").alias("event_id"), "task_id", action.alias("action"))
+    return messages.task_messages(events, tasks, frames.teams(spark, sf_dir), frames.users(spark, sf_dir))
+
+
+@query(f"""
+SELECT e.event_id, CASE WHEN u.email IS NOT NULL THEN u.email WHEN ru IS NULL AND t.contact_email IS NOT NULL THEN t.contact_email
+         WHEN rt IS NOT NULL THEN 'team-' || rt || '@example.com' ELSE 'no-reply@example.com' END AS email,
+       CASE e.kind WHEN 'stored' THEN '[' || n.notification_type || '] Notification ' || n.notification_id WHEN 'lost' THEN '[PING] (no-id)' ELSE '[NOTIFICATION] (ad-hoc)' END AS subject,
+       CASE e.kind WHEN 'stored' THEN 'stored text' WHEN 'lost' THEN 'payload text' ELSE '(no message)' END AS body
+FROM (SELECT event_id, user_id, CASE event_type WHEN 'error' THEN 'lost' WHEN 'signup' THEN 'adhoc' ELSE 'stored' END AS kind FROM events) e
+JOIN ({frames.NOTIFICATIONS}) n ON n.notification_id = e.event_id
+CROSS JOIN LATERAL (SELECT CASE WHEN e.kind = 'stored' THEN n.recipient_user_id WHEN e.kind = 'lost' THEN e.user_id END AS ru,
+                           CASE WHEN e.kind = 'stored' THEN n.recipient_team_id WHEN e.kind = 'adhoc' THEN e.user_id END AS rt) x
+LEFT JOIN ({frames.USERS}) u ON u.user_id = ru LEFT JOIN (SELECT * FROM ({frames.TEAMS}) WHERE NOT is_deleted) t ON t.team_id = rt""")
+def notification_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, event, user = F.col("event_type"), F.col("event_id"), F.col("user_id")
+    payload = (
+        F.when(kind == "error", F.concat(F.lit('{"notificationId":'), -1 - event, F.lit(',"notificationType":"PING","message":"payload text","recipientUserId":'), user, F.lit("}")))
+        .when(kind == "signup", F.concat(F.lit('{"recipientTeamId":'), user, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"notificationId":'), event, F.lit(',"message":"payload text"}')))
+    )
+    events = table(spark, sf_dir, "events").select("event_id", payload.alias("payload"))
+    stored = frames.notifications(spark, sf_dir).withColumn("message", F.lit("stored text"))
+    return messages.notification_messages(events, stored, frames.users(spark, sf_dir), frames.teams(spark, sf_dir))
+
+
 TICKET_EVENTS = f"""
 SELECT ticket_id AS event_id, ticket_id, CASE WHEN is_deleted THEN 'TICKET_DELETED' WHEN status = 'OPEN' THEN 'TICKET_CREATED' ELSE 'OTHER' END AS event_type,
        status, severity, created_by_employee_id, assigned_to_employee_id FROM ({frames.TICKETS})"""

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import fits, hot_key_hashes, join_dimension, salted_join
+from millrace.operators.skew import fits, hot_key_sets, join_dimension, salted_join
 
 IN_LIST_LIMIT = 200
 
@@ -34,9 +34,10 @@ def join_roles(
     """Left-join one table several times; ``roles`` maps an output struct to its fact column."""
     out = facts
     others = [c for c in people.columns if c != person_key]
-    for role, fact_key in roles.items():
+    hot = hot_key_sets(facts, *([fact_key] for fact_key in roles.values()))
+    for (role, fact_key), heavy in zip(roles.items(), hot):
         side = people.select(F.col(person_key).alias(fact_key), F.struct(person_key, *others).alias(role))
-        out = salted_join(out, side, [fact_key], "left", hot=hot_key_hashes(facts, [fact_key]))
+        out = salted_join(out, side, [fact_key], "left", heavy)
     return out
 
 

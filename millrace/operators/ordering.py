@@ -67,8 +67,9 @@ def set_union(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def set_intersection(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.intersect(b.select(*a.columns))
+    """Copies go before the two sides meet, so a heavy value is one row on each."""
+    return a.distinct().intersect(b.select(*a.columns).distinct())
 
 
 def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.subtract(b.select(*a.columns))
+    return a.distinct().subtract(b.select(*a.columns).distinct())

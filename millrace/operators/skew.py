@@ -18,32 +18,39 @@ def key_hash(columns: Sequence[Column | str]) -> Column:
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than it needs to know."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``take`` works through the partitions in growing steps and stops at the bound, so a huge table
+    is neither scanned nor shuffled to find out; only constants reach the driver.
+    """
+    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
 
-def hot_key_hashes(
-    df: DataFrame, keys: Sequence[str], share: float = 0.02, fraction: float = 0.1, seed: int = 17
-) -> list[int]:
-    """Hashes of the key values that hold more than ``share`` of the rows.
+def hot_key_sets(
+    df: DataFrame, *key_sets: Sequence[str], share: float = 0.02, fraction: float = 0.1, seed: int = 17
+) -> list[list[int]]:
+    """Per key set, the hashes of the key values that hold more than ``share`` of the rows.
 
-    One pass over a sample of the key columns with a mergeable frequent-items sketch: at most
-    ``HOT_KEY_LIMIT`` numbers reach the driver. The sample only steers the salting, so a key
-    that is missed or named in error changes the speed of a join, never its result.
+    One pass over a sample of the key columns with mergeable frequent-items sketches: at most
+    ``HOT_KEY_LIMIT`` numbers per key set reach the driver. The sample only steers the salting, so
+    a key that is missed or named in error changes the speed of a join, never its result.
     """
+    hashes = [key_hash(keys).alias(f"h{i}") for i, keys in enumerate(key_sets)]
+    tops = [F.expr(f"approx_top_k(h{i}, {HOT_KEY_LIMIT}, {SKETCH_COUNTERS})") for i in range(len(key_sets))]
     found = (
-        df.select(key_hash(keys).alias("h"))
+        df.select(*hashes)
         .sample(withReplacement=False, fraction=fraction, seed=seed)
-        .agg(
-            F.expr(f"approx_top_k(h, {HOT_KEY_LIMIT}, {SKETCH_COUNTERS})").alias("top"),
-            F.count("*").alias("n"),
-        )
+        .agg(F.count("*").alias("n"), F.array(*tops).alias("tops"))
         .first()
     )
     # Below 200 sampled rows no partition is worth splitting.
     if found["n"] < 200:
-        return []
-    return [item["item"] for item in found["top"] if item["count"] > share * found["n"]]
+        return [[] for _ in key_sets]
+    return [[item["item"] for item in top if item["count"] > share * found["n"]] for top in found["tops"]]
+
+
+def hot_key_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    return hot_key_sets(df, keys)[0]
 
 
 def salted_join(

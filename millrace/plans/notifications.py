@@ -189,7 +189,7 @@ def expand_recipients(
     known = asked.filter("known").drop("known")
     people = users.select("user_id", F.col("email").alias("user_email"))
     unknown = asked.filter(~F.col("known") & F.col("user_id").isNotNull()).drop("known", "email")
-    named = salted_join(unknown, people, ["user_id"]).withColumnRenamed("user_email", "email").select(*known.columns)
+    named = join_dimension(unknown, people, ["user_id"]).withColumnRenamed("user_email", "email").select(*known.columns)
     named = named.unionByName(known)
     if len(listed) > ADMIN_LIST:
         audience = F.lit("admin")
@@ -227,7 +227,7 @@ def recipient_address(notifications: DataFrame, users: DataFrame, teams: DataFra
     contacts = teams.filter(~F.col("is_deleted")).select(
         F.col("team_id").alias("recipient_team_id"), F.col("contact_email").alias("__team_email")
     )
-    out = salted_join(notifications, people, ["recipient_user_id"], "left")
+    out = join_dimension(notifications, people, ["recipient_user_id"], "left")
     out = join_dimension(out, contacts, ["recipient_team_id"], "left", hot_in=notifications)
     team_box = F.concat(F.lit("team-"), F.col("recipient_team_id"), F.lit("@example.com"))
     contact = F.when(F.col("recipient_user_id").isNull(), F.col("__team_email"))

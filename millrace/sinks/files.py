@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.operators.skew import fits
 from millrace.session import scratch_folder
 
-REPORT_ROWS = 1_000_000
+REPORT_ROWS = 100_000
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = "snappy") -> None:

@@ -87,6 +87,9 @@ def main(folder: str, wanted: list[str]) -> int:
             print(f"BAD  {name}: {problem}", flush=True)
         else:
             print(f"ok   {name} {len(got)} rows {took:.2f}s", flush=True)
+    from millrace.sinks.files import drop_scratch
+
+    drop_scratch(spark)
     print(f"{bad} bad of {len(queries)}; without SQL: {[n for n in queries if n not in oracles]}")
     return 1 if bad else 0
 

@@ -21,6 +21,9 @@ def spark():
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    from millrace.sinks.files import drop_scratch
+
+    drop_scratch(session)
     session.stop()
 
 

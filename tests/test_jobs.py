@@ -92,6 +92,8 @@ def test_offset_stays_when_processing_fails(spark):
     with pytest.raises(RuntimeError):
         job.run_once()
     assert offsets.read("t") == 0
+    job.force_commit = True
+    assert job.run_once() == 5 and offsets.read("t") == 5
 
 
 def test_offsets_never_move_back(spark, rows):
