@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from millrace.catalog import frames
 from millrace.catalog.frames import AS_OF, EVENTS_AS_OF, at, table
 from millrace.catalog.registry import big, day, dbl, query, sql_day, sql_stamp, stamp
+from millrace.functions.payloads import JsonCodec
 from millrace.functions.text import is_email, is_phone
+from millrace.functions.times import is_iso_date
 from millrace.operators import rows
 from millrace.operators.joins import restrict_to_keys
 from millrace.plans.trips import clean_trips
-from millrace.streaming.events import normalise, split_events, decode, CUSTOMER_EVENT
-from millrace.functions.payloads import JsonCodec
+from millrace.streaming.events import CUSTOMER_EVENT, decode, normalise, split_events
 
 
 @query("SELECT s_suppkey, s_name FROM supplier")
@@ -280,13 +281,13 @@ SELECT violations, count(*) AS n FROM (
     CASE WHEN NOT regexp_full_match(email, '[A-Za-z0-9+_.-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') THEN 'email' END,
     CASE WHEN NOT regexp_full_match(phone, '[0-9]{10,15}') THEN 'phone' END,
     CASE WHEN name IS NULL THEN 'name' END,
-    CASE WHEN born IS NULL OR try_cast(born AS DATE) IS NULL THEN 'date' END,
+    CASE WHEN length(born) < 10 OR try_cast(born AS DATE) IS NULL THEN 'date' END,
     CASE WHEN NOT (page_limit BETWEEN 1 AND 500) THEN 'limit' END) AS violations
   FROM (
     SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN c_name ELSE lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
            CASE WHEN c_nationkey < 5 THEN c_custkey::VARCHAR ELSE lpad(c_custkey::VARCHAR, 12, '0') END AS phone,
            CASE WHEN c_acctbal >= 0 THEN c_name END AS name,
-           CASE WHEN c_nationkey > 20 THEN '2024-13-40' ELSE '2024-01-15' END AS born,
+           CASE WHEN c_nationkey > 20 THEN '2024-13-40' WHEN c_nationkey > 18 THEN '2024' ELSE '2024-01-15' END AS born,
            c_nationkey * 25 AS page_limit
     FROM customer))
 GROUP BY violations""")
@@ -298,14 +299,14 @@ def field_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_mktsegment") == "BUILDING", name).otherwise(mail).alias("email"),
         F.when(nation < 5, number).otherwise(F.lpad(number, 12, "0")).alias("phone"),
         F.when(F.col("c_acctbal") >= 0, name).alias("name"),
-        F.when(nation > 20, "2024-13-40").otherwise("2024-01-15").alias("born"),
+        F.when(nation > 20, "2024-13-40").when(nation > 18, "2024").otherwise("2024-01-15").alias("born"),
         (nation * 25).alias("page_limit"),
     )
     rules = {
         "email": is_email(F.col("email")),
         "phone": is_phone(F.col("phone")),
         "name": F.col("name").isNotNull(),
-        "date": F.try_to_date("born").isNotNull(),
+        "date": is_iso_date(F.col("born")),
         "limit": F.col("page_limit").between(1, 500),
     }
     return people.groupBy(rows.violations(rules).alias("violations")).agg(F.count("*").alias("n"))

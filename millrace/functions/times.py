@@ -17,6 +17,11 @@ def parse_time(text: Column) -> Column:
     )
 
 
+def is_iso_date(text: Column) -> Column:
+    """A whole calendar date; a bare year or month is none."""
+    return text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(text).isNotNull()
+
+
 def minutes_between(start: Column, end: Column) -> Column:
     """Difference of the whole seconds, in minutes."""
     return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60.0)

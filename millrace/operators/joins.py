@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import fits, hot_key_sets, join_dimension, salted_join
+from millrace.operators.skew import hot_key_sets, join_dimension, salted_join
 
 IN_LIST_LIMIT = 200
 
@@ -71,22 +71,17 @@ def referential_split(
 def length_pairs(left: DataFrame, right: DataFrame, left_text: str, right_text: str) -> DataFrame:
     """All pairs with ``length(left_text) >= length(right_text)``.
 
-    A right side of checked size is broadcast. A larger one is met by an equi-join: each left row
-    is listed under the distinct right lengths it reaches, so no row meets a partner it must drop.
+    An equi-join: each left row is listed under the distinct right lengths it reaches, so no row
+    meets a partner it must drop. The list of lengths is one value, as long as the lengths differ.
     """
-    condition = F.length(left_text) >= F.length(right_text)
-    if fits(right, 1000):
-        return left.join(F.broadcast(right), condition, "inner")
-    lengths = right.select(F.length(right_text).alias("n")).distinct()
-    # At most one row per text length on either side.
-    reach = left.select(F.length(left_text).alias("m")).distinct()
-    ladder = reach.join(lengths, F.col("m") >= F.col("n")).groupBy("m").agg(F.collect_list("n").alias("ns"))
+    lengths = right.agg(F.collect_set(F.length(right_text)))
     listed = (
-        salted_join(left.withColumn("m", F.length(left_text)), ladder, ["m"])
-        .withColumn("__len", F.explode("ns"))
-        .drop("m", "ns")
+        left.withColumn("__lens", lengths.scalar())
+        .withColumn("__max", F.length(left_text))
+        .withColumn("__len", F.explode(F.expr("filter(__lens, n -> n <= __max)")))
+        .drop("__lens", "__max")
     )
-    return listed.join(right.withColumn("__len", F.length(right_text)), "__len").drop("__len")
+    return salted_join(listed, right.withColumn("__len", F.length(right_text)), ["__len"]).drop("__len")
 
 
 def length_match_counts(left: DataFrame, right: DataFrame, left_text: str, right_text: str) -> DataFrame:

@@ -35,11 +35,13 @@ def hot_key_sets(
     ``HOT_KEY_LIMIT`` numbers per key set reach the driver. The sample only steers the salting, so
     a key that is missed or named in error changes the speed of a join, never its result.
     """
+    columns = list(dict.fromkeys(column for keys in key_sets for column in keys))
     hashes = [key_hash(keys).alias(f"h{i}") for i, keys in enumerate(key_sets)]
     tops = [F.expr(f"approx_top_k(h{i}, {HOT_KEY_LIMIT}, {SKETCH_COUNTERS})") for i in range(len(key_sets))]
     found = (
-        df.select(*hashes)
+        df.select(*columns)
         .sample(withReplacement=False, fraction=fraction, seed=seed)
+        .select(*hashes)
         .agg(F.count("*").alias("n"), F.array(*tops).alias("tops"))
         .first()
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.payloads import json_field
+from millrace.functions.times import shown_in_zone
 from millrace.operators.skew import join_dimension, salted_join
 from millrace.plans.notifications import DEFAULT_ADDRESS, expand_recipients, first_per_address, recipient_address
 from millrace.session import settle
@@ -79,7 +80,7 @@ def overdue_messages(
         F.concat(F.lit("[Reminder] Allocation #"), F.col("allocation_id")).alias("subject"),
         F.concat(
             F.lit("Equipment: "), equipment_text(), F.lit("; expected return: "),
-            F.coalesce("stated", F.date_format("expected_return_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("N/A")),
+            F.coalesce("stated", shown_in_zone(F.col("expected_return_at").cast("timestamp"))),
         ).alias("body"),
         "assignee_user_id",
         "allocator_user_id",

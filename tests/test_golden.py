@@ -51,10 +51,7 @@ def test_tolerant_numbers(spark, rows):
     assert rows(df.filter(n.isNotNull()).select(n * n)) == [(100,), (400,), (900,)]
 
 
-@pytest.mark.parametrize("bound", [1000, 0])
-def test_length_pairs(spark, rows, monkeypatch, bound):
-    if not bound:
-        monkeypatch.setattr(joins, "fits", lambda df, n: False)
+def test_length_pairs(spark, rows):
     names = spark.createDataFrame([("Asha",), ("Bala",), ("Chitra",)], "name string")
     subjects = spark.createDataFrame([("Math",), ("Physics",)], "subject string")
     pairs = joins.length_pairs(names, subjects, "name", "subject")

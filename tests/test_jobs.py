@@ -208,3 +208,39 @@ def test_served_limits(spark):
     events = spark.createDataFrame([], "event_id string, customer_id int, event_timestamp timestamp, event_date date")
     with pytest.raises(ValueError):
         serving.customer_events(events, 1, "2024-01-01", "2024-01-02", 501)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(tmp_path):
+    from types import SimpleNamespace
+
+    from millrace.session import scratch_root
+
+    def session(master, folder):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: folder),
+            sparkContext=SimpleNamespace(master=master, applicationId=str(tmp_path)),
+        )
+
+    assert scratch_root(session("spark://host:7077", "hdfs:///shared")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        scratch_root(session("spark://host:7077", None))
+    local = scratch_root(session("local[2]", None))
+    assert local.startswith("/tmp/run-") and local == scratch_root(session("local[2]", None))
+
+
+def test_missing_connectors_say_so(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        external.read_kafka_stream(spark, "host:9092", "t")
+    with pytest.raises(Exception, match="(?i)cassandra"):
+        external.read_wide_column(spark, "k", "t")
+    with pytest.raises(Exception, match="no.such.Driver"):
+        external.read_table(spark, external.jdbc_options("jdbc:none:x", "no.such.Driver"), "t")
+
+
+def test_iso_dates(spark):
+    from millrace.functions.times import is_iso_date, shown_in_zone
+
+    df = spark.createDataFrame([("2024-02-29",), ("2023-02-29",), ("2024",), ("2024-1-1",)], "t string")
+    assert [r[0] for r in df.select(is_iso_date(F.col("t"))).collect()] == [True, False, False, False]
+    shown = spark.range(1).select(shown_in_zone(F.lit("2024-01-01 00:00:00").cast("timestamp")), shown_in_zone(F.lit(None).cast("timestamp")))
+    assert tuple(shown.first()) == ("2024-01-01 05:30:00 IST", "N/A")
