@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import money
 from millrace.operators.skew import salted_join
 
 AS_OF = "1998-06-01 00:00:00"

@@ -9,7 +9,6 @@ from millrace.catalog import frames
 from millrace.catalog.frames import CENTS_MEAN, table
 from millrace.catalog.registry import big, day, dbl, query, sql_day, sql_stamp, stamp
 from millrace.functions.numbers import age_band, money
-from millrace.functions.text import map_value
 from millrace.operators import aggregates as agg
 from millrace.operators.skew import join_dimension
 from millrace.plans.customer_profile import clean_transactions
@@ -152,14 +151,14 @@ def one_row_per_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT max(o_orderkey) AS max_id, min(o_orderkey) AS min_id, {sql_day('max(o_orderdate)')} AS last_day,
-       (SELECT max(o_orderkey) FROM orders WHERE o_totalprice < 0) AS max_of_none
+       (SELECT CAST(max(o_orderkey) AS DOUBLE) FROM orders WHERE o_totalprice < 0) AS max_of_none
 FROM orders""")
 def global_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").agg(
         F.max("o_orderkey").alias("max_id"),
         F.min("o_orderkey").alias("min_id"),
         day(F.max("o_orderdate")).alias("last_day"),
-        F.max(F.when(F.col("o_totalprice") < 0, F.col("o_orderkey"))).alias("max_of_none"),
+        dbl(F.max(F.when(F.col("o_totalprice") < 0, F.col("o_orderkey")))).alias("max_of_none"),
     )
 
 

@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog import frames
-from millrace.catalog.frames import AS_OF, at, table
-from millrace.catalog.registry import big, dbl, query, sql_stamp, stamp
+from millrace.catalog.frames import at, table
+from millrace.catalog.registry import dbl, query, sql_stamp, stamp
 from millrace.functions.numbers import money
 from millrace.operators import joins
 from millrace.operators.rows import active
 from millrace.operators.skew import join_dimension, salted_join
 from millrace.plans.customer_profile import denormalised_sales
 from millrace.plans.sales import convert_currency, spend_by_customer
-from millrace.session import scratch_path
 
 
 @query("""

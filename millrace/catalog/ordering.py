@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import frames
 from millrace.catalog.frames import at, table
-from millrace.catalog.registry import big, day, dbl, query, sql_day, sql_stamp, stamp
+from millrace.catalog.registry import big, day, dbl, query, sql_stamp, stamp
 from millrace.functions.numbers import money
 from millrace.operators import ordering
 from millrace.operators.aggregates import position, sum_by

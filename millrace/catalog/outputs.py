@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.catalog.frames import at, table
-from millrace.catalog.registry import big, day, dbl, query, sql_day
-from millrace.functions.numbers import money
+from millrace.catalog.frames import table
+from millrace.catalog.registry import big, day, query, sql_day
 from millrace.operators import control
-from millrace.operators.skew import hot_key_hashes, key_hash, salted_join
+from millrace.operators.skew import hot_key_hashes, salted_join
 from millrace.plans.formats import compare_formats, read_back
 from millrace.plans.sales import cached
 from millrace.session import scratch_path

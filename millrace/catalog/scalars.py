@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import frames
 from millrace.catalog.frames import EVENTS_AS_OF, at, table
-from millrace.catalog.registry import big, day, dbl, query, sql_day, sql_stamp, stamp
+from millrace.catalog.registry import big, dbl, query, sql_day, sql_stamp, stamp
 from millrace.functions import numbers, payloads, text, times
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import frames
 from millrace.catalog.frames import table
 from millrace.catalog.jobs import EVENT_SUMMARY, shown_summary
-from millrace.catalog.registry import day, dbl, query, sql_day
+from millrace.catalog.registry import day, query, sql_day
 from millrace.catalog.scalars import ROUTE_SQL, keyed_messages
 from millrace.functions.payloads import JsonCodec
 from millrace.plans.daily_summary import refresh_days

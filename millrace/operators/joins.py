@@ -50,11 +50,16 @@ def join_bridge(
 
 
 def without_pending(
-    candidates: DataFrame, existing: DataFrame, on: Sequence[str], pending: str = "pending"
+    candidates: DataFrame,
+    existing: DataFrame,
+    on: Sequence[str],
+    pending: str = "pending",
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Candidates for which no live pending row with the same key exists."""
+    """Candidates for which no live pending row with the same key exists. ``hot=[]`` says that
+    each key occurs once among the candidates."""
     waiting = existing.filter((F.col("status") == pending) & ~F.col("is_deleted")).select(*on).distinct()
-    return salted_join(candidates, waiting, on, "left_anti")
+    return salted_join(candidates, waiting, on, "left_anti", hot)
 
 
 def referential_split(

@@ -62,7 +62,7 @@ def plan_reminders(tasks: DataFrame, existing: DataFrame, as_of: Column) -> Data
     )
     spread = tasks.filter(start.isNotNull()).withColumn("e", F.explode(F.filter(entries, lambda e: e["due"])))
     rows = pending_rows(spread, F.col("e.kind"), F.col("e.message"), F.col("e.at"), as_of)
-    return without_pending(rows, existing, ["task_id", "notification_type"])
+    return without_pending(rows, existing, ["task_id", "notification_type"], hot=[])
 
 
 def plan_simple_reminders(tasks: DataFrame, as_of: Column) -> DataFrame:
@@ -85,7 +85,7 @@ def plan_overdue(tasks: DataFrame, existing: DataFrame, as_of: Column) -> DataFr
         F.date_format("estimated_end", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(")"),
     )
     rows = pending_rows(late, F.lit(OVERDUE), message, as_of, as_of)
-    return without_pending(rows, existing, ["task_id", "notification_type"])
+    return without_pending(rows, existing, ["task_id", "notification_type"], hot=[])
 
 
 def next_due(notifications: DataFrame, as_of: Column, limit: int) -> DataFrame:
