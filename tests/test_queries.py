@@ -4,9 +4,9 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from millrace.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def con():
 
 
 def test_oracles_name_registered_queries():
+    assert set(QUERIES) <= set(entry.queries())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"seeded_sample", "storage_format_costs"}
 
