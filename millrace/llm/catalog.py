@@ -6,7 +6,7 @@ from importlib import import_module
 
 from millrace.llm.registry import ORACLES, QUERIES
 
-for _part in ("chat", "mixing", "packing", "quality", "winnowing"):
+for _part in ("chat", "chunking", "mixing", "packing", "quality", "winnowing"):
     import_module(f"millrace.llm.{_part}")
 
 __all__ = ["ORACLES", "QUERIES"]
