@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import WORD, table, text_check
 from millrace.llm.registry import query
 
 MIN_WORDS = 25
@@ -200,7 +200,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.collect_list(F.struct("index", "first_doc", "first_index")).alias("__repeats")
     )
     keyed = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))))
-    keyed = keyed.withColumn("__check", F.crc32(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    keyed = keyed.withColumn("__check", text_check("text"))
     by_doc = by_doc.select(F.col("doc").alias("__doc"), F.col("check").alias("__check"), "__repeats")
     joined = keyed.join(by_doc, ["__doc", "__check"], "left")
     # Texts without repeats do not go through Python.
@@ -216,7 +216,7 @@ def dedupe(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``n_chars``, where the table has it, follows the text.
     """
     cleaned = without_repeats(docs, min_words)
-    emptied = (F.size("__removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    emptied = (F.size("__removed") > 0) & ~F.col("text").rlike(WORD)
     kept = cleaned.filter(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)

@@ -28,14 +28,7 @@ def words_of(text: str | Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
 
 
-def row_key(df: DataFrame, *columns: str) -> Column:
-    """A hash that tells rows of one id with different texts apart; equal rows share it."""
-    return F.xxhash64(*[c for c in columns if c in df.columns])
-
-
-def same(left: DataFrame, right: DataFrame, *columns: str) -> Column:
-    """Null-safe equality of the named columns of two tables."""
-    out = F.lit(True)
-    for c in columns:
-        out = out & left[c].eqNullSafe(right[c])
-    return out
+def text_check(text: str | Column) -> Column:
+    """crc32 of a text, which tells texts of one doc_id apart; a null text counts as empty."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.crc32(F.coalesce(text.cast("string"), F.lit("")))

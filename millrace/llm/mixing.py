@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, same, table
+from millrace.llm.common import WORD, table
 from millrace.llm.registry import query
 from millrace.operators.aggregates import position
 from millrace.session import settle
