@@ -6,7 +6,7 @@ from importlib import import_module
 
 from millrace.llm.registry import ORACLES, QUERIES
 
-for _part in ("chat", "chunking", "minhash", "mixing", "packing", "quality", "suffixtree", "winnowing"):
+for _part in ("chat", "chunking", "minhash", "mixing", "packing", "quality", "suffixtree", "urlrules", "vafile", "winnowing"):
     import_module(f"millrace.llm.{_part}")
 
 __all__ = ["ORACLES", "QUERIES"]
