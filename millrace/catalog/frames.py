@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import join_on
 
 AS_OF = "1998-06-01 00:00:00"
 EVENTS_AS_OF = "2024-01-15 12:00:00"
@@ -42,7 +42,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("txn_timestamp"),
     )
-    joined = salted_join(lines, orders, ["order_key"])
+    joined = join_on(lines, orders, ["order_key"])
     return joined.select("txn_id", "customer_id", "product_id", "qty", "amount", "txn_timestamp")
 
 

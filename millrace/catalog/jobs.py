@@ -17,7 +17,6 @@ from millrace.plans.sales import amount_by_customer, cached, quantity_by_product
 from millrace.plans.serving import summary_of
 from millrace.session import scratch_path, settle
 from millrace.sinks.files import write_lake
-from millrace.sinks.keyed import KeyedTable
 from millrace.sources.files import read_lake_day
 
 
@@ -113,18 +112,18 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(PROFILE)
 def profiles_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles rebuilt for the customers of two deltas into a keyed table, the last one twice."""
+    """Profiles rebuilt for the customers of two deltas and merged, the last one twice."""
     rows, products = frames.transactions(spark, sf_dir), frames.products(spark, sf_dir)
     people = frames.customers(spark, sf_dir)
-    target = KeyedTable(spark, scratch_path(spark, "profiles"), ["customer_id"], buckets=4)
+    versions = [scratch_path(spark, "profiles") for _ in range(3)]
     middle = at("1999-06-01 00:00:00")
     early = rows.filter(F.col("txn_timestamp") < middle)
     late = rows.filter(F.col("txn_timestamp") >= middle)
-    customer_profile.refresh_profiles(early, early, people, products, target)
-    customer_profile.refresh_profiles(late, rows, people, products, target)
+    customer_profile.refresh_profiles(early, early, people, products, None, versions[0])
+    customer_profile.refresh_profiles(late, rows, people, products, versions[0], versions[1])
     # Customers without late rows keep the profile of the first run, which has all their rows.
-    customer_profile.refresh_profiles(late, rows, people, products, target)
-    return shown_profile(target.read())
+    customer_profile.refresh_profiles(late, rows, people, products, versions[1], versions[2])
+    return shown_profile(spark.read.parquet(versions[2]))
 
 
 CLEAN_TRIPS = f"SELECT * FROM ({TRIPS}) WHERE NOT bad_distance AND NOT bad_rating AND distance_km > 0 AND fare_amount >= 0 AND start_ts < end_ts"

@@ -11,7 +11,7 @@ from millrace.catalog.registry import dbl, query, sql_stamp, stamp
 from millrace.functions.numbers import money
 from millrace.operators import joins
 from millrace.operators.rows import active
-from millrace.operators.skew import join_dimension, salted_join
+from millrace.operators.skew import join_on, salted_join
 from millrace.plans.customer_profile import denormalised_sales
 from millrace.plans.sales import convert_currency, spend_by_customer
 
@@ -20,10 +20,30 @@ from millrace.plans.sales import convert_currency, spend_by_customer
 SELECT o_orderkey, c_custkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey""")
 def inner_join_on_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    joined = salted_join(orders, table(spark, sf_dir, "customer"), ["c_custkey"])
+    joined = join_on(orders, table(spark, sf_dir, "customer"), ["c_custkey"])
     return joined.select("o_orderkey", "c_custkey", "c_name", "o_totalprice")
 
 
+@query("""
+SELECT 'half' AS kind, s_suppkey AS id, CAST(s_nationkey AS DOUBLE) AS k FROM supplier
+JOIN (SELECT n_nationkey / 2.0 AS k FROM nation) ON CAST(s_nationkey AS DOUBLE) = k
+UNION ALL
+SELECT 'large', s_suppkey, CAST(k AS DOUBLE) FROM supplier
+JOIN (SELECT CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey ELSE n_nationkey + 1099511627776 END AS k FROM nation) ON s_nationkey = k""")
+def join_on_mixed_key_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An int key meets halves as doubles, and numbers beyond its own range: both are compared by
+    the wider type."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("int").alias("k"))
+    key = F.col("n_nationkey").cast("bigint")
+    halves = table(spark, sf_dir, "nation").select((key / 2.0).cast("double").alias("k"))
+    large = table(spark, sf_dir, "nation").select(F.when(key % 2 == 0, key).otherwise(key + F.lit(2**40)).alias("k"))
+    shown = [F.col("s_suppkey").alias("id"), F.col("k").cast("double").alias("k")]
+    return (
+        join_on(suppliers, halves, ["k"]).select(F.lit("half").alias("kind"), *shown)
+        .unionByName(salted_join(suppliers, large, ["k"], hot=[0, 2]).select(F.lit("large").alias("kind"), *shown))
+    )
+
+
 DENORMALISED = """
 SELECT customer_id, order_id, item_id, product_name, quantity, city, amount, order_date FROM (
   SELECT c_custkey AS customer_id, o_orderkey AS order_id, l_linenumber AS item_id, p_brand AS product_name,
@@ -47,7 +67,7 @@ def denormalised(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("amount"),
     )
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("product_name"))
-    lines = join_dimension(table(spark, sf_dir, "lineitem"), parts, ["l_partkey"]).select(
+    lines = join_on(table(spark, sf_dir, "lineitem"), parts, ["l_partkey"]).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("item_id"),
         "product_name",
@@ -101,7 +121,7 @@ def dimension_inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Counted per product first, so the lookup sees each product once per flag.
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("product_id"), F.col("l_returnflag").alias("flag"))
     per_product = lines.agg(F.count("*").alias("n"))
-    joined = join_dimension(per_product, frames.products(spark, sf_dir), ["product_id"])
+    joined = join_on(per_product, frames.products(spark, sf_dir), ["product_id"])
     return joined.groupBy("flag", "category").agg(F.sum("n").alias("n"))
 
 
@@ -131,7 +151,7 @@ def winner_joined_to_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.operators.aggregates import sum_by, top_one
 
     per_product = sum_by(frames.transactions(spark, sf_dir), ["customer_id", "product_id"], "qty", "items")
-    known = join_dimension(per_product, frames.products(spark, sf_dir), ["product_id"])
+    known = join_on(per_product, frames.products(spark, sf_dir), ["product_id"])
     winners = top_one(sum_by(known, ["customer_id", "category"], "items", "items"), ["customer_id"], "items", "category", "top_category")
     return sum_by(per_product, ["customer_id"], "items", "total_items").join(winners, ["customer_id"], "left")
 
@@ -163,12 +183,12 @@ LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation b ON b.n_nationkey
 GROUP BY ALL""")
 def one_table_in_two_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    pairs = salted_join(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey"), orders, ["l_orderkey"])
+    pairs = join_on(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey"), orders, ["l_orderkey"])
     per_pair = pairs.groupBy("o_custkey", "l_suppkey").agg(F.count("*").alias("n"))
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("from_nation"))
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("to_nation"))
-    placed = join_dimension(per_pair, suppliers, ["l_suppkey"], "left", hot_in=table(spark, sf_dir, "lineitem"))
-    placed = join_dimension(placed, customers, ["o_custkey"], "left", hot_in=orders)
+    placed = join_on(per_pair, suppliers, ["l_suppkey"], "left")
+    placed = join_on(placed, customers, ["o_custkey"], "left")
     flows = placed.groupBy("from_nation", "to_nation").agg(F.sum("n").alias("n"))
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     both = joins.join_roles(flows, nations, "n_nationkey", {"customer": "from_nation", "supplier": "to_nation"})
@@ -180,7 +200,7 @@ SELECT task_id, created_by, full_name FROM ({frames.TASKS}) t JOIN ({frames.USER
 WHERE NOT u.is_deleted AND NOT t.is_deleted""")
 def join_live_creator(spark: SparkSession, sf_dir: str) -> DataFrame:
     creators = active(frames.users(spark, sf_dir)).select(F.col("user_id").alias("created_by"), "full_name")
-    joined = salted_join(active(frames.tasks(spark, sf_dir)), creators, ["created_by"])
+    joined = join_on(active(frames.tasks(spark, sf_dir)), creators, ["created_by"])
     return joined.select("task_id", "created_by", "full_name")
 
 
@@ -228,7 +248,7 @@ def enrich_with_item_and_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     held = active(frames.allocations(spark, sf_dir)).filter(F.col("status") == "ACTIVE")
     held = with_people(held.select("allocation_id", "equipment_id", "employee_id", "allocated_by_employee_id"), frames.employees(spark, sf_dir))
-    tagged = join_dimension(held, frames.items(spark, sf_dir).select("equipment_id", "asset_tag"), ["equipment_id"], "left")
+    tagged = join_on(held, frames.items(spark, sf_dir).select("equipment_id", "asset_tag"), ["equipment_id"], "left")
     people = frames.users(spark, sf_dir).select("user_id", "full_name")
     out = joins.join_roles(tagged, people, "user_id", {"a": "assignee_user_id", "b": "allocator_user_id"})
     return out.select("allocation_id", "asset_tag", F.col("a.full_name").alias("assignee"), F.col("b.full_name").alias("allocator"))

@@ -86,12 +86,13 @@ def page_with_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT task_id, {sql_stamp('estimated_start')} AS estimated_start, CAST(row_number() OVER (ORDER BY estimated_start NULLS LAST, task_id) AS BIGINT) AS place
-FROM ({frames.TASKS}) QUALIFY place <= 3000 AND place > 2900""")
+FROM ({frames.TASKS}) QUALIFY place > (SELECT count(*) FROM ({frames.TASKS})) - 100""")
 def nulls_last_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks = frames.tasks(spark, sf_dir).select("task_id", "estimated_start")
     # Positions of the rows with a time and then, after them, of those without.
     flagged = tasks.withColumn("unknown", F.col("estimated_start").isNull())
-    placed = position(flagged, ["unknown", "estimated_start", "task_id"], "place").filter(F.col("place").between(2901, 3000))
+    placed = position(flagged, ["unknown", "estimated_start", "task_id"], "place")
+    placed = placed.filter(F.col("place") > tasks.agg(F.count("*")).scalar() - 100)
     return placed.select("task_id", stamp("estimated_start").alias("estimated_start"), big("place").alias("place"))
 
 
@@ -117,9 +118,12 @@ def oldest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("notification_id", stamp("created_at").alias("created_at"))
 
 
-@query()
+@query(f"""
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE CAST('0x' || substr(md5('42:' || l_orderkey || ':' || l_linenumber), 1, 8) AS BIGINT) < {int(0.05 * 2**32)}""")
 def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordering.sample_rows(table(spark, sf_dir, "lineitem"), 0.05, seed=42).select("l_orderkey", "l_linenumber", "l_quantity")
+    sampled = ordering.sample_rows(table(spark, sf_dir, "lineitem"), 0.05, seed=42, keys=["l_orderkey", "l_linenumber"])
+    return sampled.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query(f"""

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.catalog.frames import table
 from millrace.catalog.registry import big, day, query, sql_day
 from millrace.operators import control
-from millrace.operators.skew import hot_key_hashes, salted_join
-from millrace.plans.formats import compare_formats, read_back
+from millrace.operators.skew import salted_join
+from millrace.plans.formats import compare_formats, read_back, round_trips
 from millrace.plans.sales import cached
-from millrace.session import scratch_path
+from millrace.session import scratch_path, settle
 from millrace.sinks import files
-from millrace.sinks.keyed import KeyedTable
+from millrace.sinks.keyed import upsert
 from millrace.streaming.sinks import to_function
 
 
@@ -116,17 +116,17 @@ SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0 ELSE c_ac
 UNION ALL SELECT -1 - s_suppkey, s_name, s_acctbal FROM supplier""")
 def keyed_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers, then changed balances of one segment, then new keys, the latter twice."""
-    stored = KeyedTable(spark, scratch_path(spark, "keyed"), ["c_custkey"], buckets=4)
+    versions = [scratch_path(spark, "keyed") for _ in range(4)]
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_acctbal").alias("balance"), "c_mktsegment")
-    stored.upsert(people.drop("c_mktsegment"))
+    upsert(people.drop("c_mktsegment"), ["c_custkey"], None, versions[0])
     changed = people.filter(F.col("c_mktsegment") == "BUILDING").withColumn("balance", F.lit(0.0)).drop("c_mktsegment")
-    stored.upsert(changed)
+    upsert(changed, ["c_custkey"], versions[0], versions[1])
     added = table(spark, sf_dir, "supplier").select(
         (-1 - F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("balance")
     )
-    stored.upsert(added)
-    stored.upsert(added)
-    return stored.read()
+    upsert(added, ["c_custkey"], versions[1], versions[2])
+    upsert(added.unionByName(added), ["c_custkey"], versions[2], versions[3])
+    return spark.read.parquet(versions[3])
 
 
 @query("SELECT count(DISTINCT CAST(ts AS DATE)) AS partitions, true AS has_bytes, true AS few_files FROM events")
@@ -158,17 +158,37 @@ def target_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
-SELECT format, n FROM (SELECT unnest(['csv', 'json', 'parquet', 'text']) AS format), (SELECT count(*) AS n FROM lineitem)""")
+@query(f"""
+SELECT format, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS orders, CAST(sum(l_partkey) AS BIGINT) AS parts,
+       CAST(sum(l_suppkey) AS BIGINT) AS suppliers, CAST(sum(l_linenumber) AS BIGINT) AS numbers,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price,
+       CAST(sum(CAST(l_discount + l_tax AS DECIMAL(18,2))) AS DOUBLE) AS rates,
+       count(DISTINCT l_returnflag || l_linestatus) AS flags, {sql_day('min(l_shipdate)')} AS first_day, {sql_day('max(l_shipdate)')} AS last_day
+FROM lineitem, (SELECT unnest(['csv', 'json', 'parquet', 'text']) AS format) GROUP BY format""")
 def storage_format_round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
-    compared = compare_formats(spark, lines, scratch_path(spark, "formats"))
-    return compared.select("format", F.col("n_rows").alias("n"))
+    cents = lambda c: F.sum(c.cast("decimal(18,2)")).cast("double")
+    measures = [
+        F.count("*").alias("n"),
+        *(F.sum(f"l_{c}").cast("bigint").alias(name) for c, name in (("orderkey", "orders"), ("partkey", "parts"), ("suppkey", "suppliers"), ("linenumber", "numbers"))),
+        cents(F.col("l_quantity")).alias("quantity"),
+        cents(F.col("l_extendedprice")).alias("price"),
+        cents(F.col("l_discount") + F.col("l_tax")).alias("rates"),
+        F.count_distinct(F.concat("l_returnflag", "l_linestatus")).alias("flags"),
+        day(F.min("l_shipdate")).alias("first_day"),
+        day(F.max("l_shipdate")).alias("last_day"),
+    ]
+    return round_trips(table(spark, sf_dir, "lineitem"), scratch_path(spark, "formats"), measures)
 
 
-@query()
+@query("""
+SELECT format, CAST(place AS BIGINT) AS place, (SELECT count(*) FROM lineitem) AS n
+FROM (VALUES ('parquet', 1), ('csv', 2), ('json', 3)) AS t(format, place)""")
 def storage_format_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_formats(spark, table(spark, sf_dir, "customer"), scratch_path(spark, "formats"))
+    """Formats by the bytes they take, smallest first; the times of the comparison differ by run."""
+    costs = compare_formats(spark, table(spark, sf_dir, "lineitem"), scratch_path(spark, "formats"), ("csv", "json", "parquet"))
+    place = F.row_number().over(Window.orderBy("bytes")).cast("bigint")
+    return costs.select("format", place.alias("place"), F.col("n_rows").alias("n"))
 
 
 @query("""
@@ -177,10 +197,10 @@ UNION ALL SELECT 'users', count(DISTINCT user_id) FROM events WHERE event_type =
 def cached_filter_used_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
     with cached(errors, materialise=True) as kept:
-        # Both results are taken while the rows are cached; together they are two rows.
-        rows = kept.groupBy("event_type").agg(F.count("*").alias("n")).collect()
-        rows += kept.agg(F.lit("users").alias("event_type"), F.countDistinct("user_id").alias("n")).collect()
-    return spark.createDataFrame(rows, "event_type string, n bigint")
+        # Both results are taken and stored while the rows are cached.
+        rows = kept.groupBy("event_type").agg(F.count("*").alias("n"))
+        users = kept.agg(F.lit("users").alias("event_type"), F.countDistinct("user_id").alias("n"))
+        return settle(rows.unionByName(users), "errors")
 
 
 @query("SELECT 6 AS partitions, count(*) AS n FROM lineitem")
@@ -218,13 +238,12 @@ SELECT flag, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity
 FROM (SELECT CASE WHEN l_returnflag = 'A' THEN 1 ELSE l_partkey + 2 END AS k, l_returnflag AS flag, l_quantity FROM lineitem)
 JOIN (SELECT p_partkey + 2 AS k FROM part UNION ALL SELECT 1) USING (k) GROUP BY flag""")
 def join_with_one_heavy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of the rows share one key; the join finds it and spreads it over salts."""
+    """A third of the rows share one key, which the caller names; the join spreads it over salts."""
     flag = F.col("l_returnflag")
     lines = table(spark, sf_dir, "lineitem").select(
         F.when(flag == "A", F.lit(1).cast("bigint")).otherwise(F.col("l_partkey") + 2).alias("k"), flag.alias("flag"), "l_quantity"
     )
     keys = table(spark, sf_dir, "part").select((F.col("p_partkey") + 2).alias("k"))
     keys = keys.unionByName(spark.range(1, 2).withColumnRenamed("id", "k"))
-    hot = hot_key_hashes(lines, ["k"])
-    joined = salted_join(lines, keys, ["k"], hot=hot)
+    joined = salted_join(lines, keys, ["k"], hot=[1])
     return joined.groupBy("flag").agg(F.count("*").alias("n"), big(F.sum("l_quantity")).alias("quantity"))

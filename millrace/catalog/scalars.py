@@ -92,10 +92,10 @@ def times_in_three_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber, l_partkey, datediff('second', o_orderdate, l_shipdate) / 60.0::DOUBLE AS minutes
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def minutes_between_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.operators.skew import salted_join
+    from millrace.operators.skew import join_on
 
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_shipdate")
-    joined = salted_join(lines, table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), ["o_orderkey"])
+    joined = join_on(lines, table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), ["o_orderkey"])
     minutes = times.minutes_between(F.col("o_orderdate"), F.col("l_shipdate"))
     return joined.select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", "l_partkey", dbl(minutes).alias("minutes"))
 

@@ -69,7 +69,7 @@ UNION ALL SELECT 'events_per_type', upper(event_type), count(*)::DOUBLE FROM v G
 UNION ALL (SELECT 'top_customers', customer_id::VARCHAR, count(*)::DOUBLE AS n FROM v GROUP BY customer_id ORDER BY n DESC, customer_id LIMIT 5)
 UNION ALL (SELECT 'top_products', product_raw::VARCHAR, count(*)::DOUBLE AS n FROM v WHERE product_raw >= 0 GROUP BY product_raw ORDER BY n DESC, product_raw LIMIT 5)""")
 def event_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(run_archive(spark, sf_dir).metrics_path).drop("batch_id")
+    return ev.metrics(spark.read.parquet(run_archive(spark, sf_dir).metrics_path))
 
 
 @query("""
@@ -102,14 +102,14 @@ def user_action_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     def handle(batch: DataFrame, batch_id: int) -> None:
         with cached(batch) as rows:
             valid, _ = ev.split_events(rows, ("userId", "action"))
-            metrics = ev.action_metrics(valid.drop("value").withColumnRenamed("amount", "value"))
-            replace_partitions(metrics.withColumn("batch_id", F.lit(batch_id)), f"{root}/metrics", ["batch_id"])
+            counts = ev.action_counts(valid.drop("value").withColumnRenamed("amount", "value"))
+            replace_partitions(counts.withColumn("batch_id", F.lit(batch_id)), f"{root}/counts", ["batch_id"])
 
     decoded = messages.select(codec.decode(F.col("value")).alias("e"), "value", "received_at").select(
         "e.userId", "e.action", F.col("e.value").alias("amount"), "value", "received_at"
     )
     to_function(decoded, handle, f"{root}/checkpoint", every=None).awaitTermination()
-    return spark.read.parquet(f"{root}/metrics").drop("batch_id")
+    return ev.metrics(spark.read.parquet(f"{root}/counts"))
 
 
 @query(f"""

@@ -176,6 +176,34 @@ def ticket_status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+SELECT ticket_id, CASE WHEN hit THEN CASE WHEN severity = 'HIGH' THEN created_by_employee_id END ELSE assigned_to_employee_id END AS assigned_to,
+       CASE WHEN hit THEN '{AS_OF}' ELSE {sql_stamp('updated_at')} END AS updated_at
+FROM (SELECT *, status = 'OPEN' AND NOT is_deleted AS hit FROM ({frames.TICKETS}))""")
+def reassigned_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open tickets of high severity go to whoever reported them, the others back to nobody. Each
+    change comes twice, the older one with somebody else."""
+    tickets = frames.tickets(spark, sf_dir)
+    to = F.when(F.col("severity") == "HIGH", F.col("created_by_employee_id")).alias("assigned_to_employee_id")
+    asked = tickets.filter(F.col("status") == "OPEN")
+    newer = asked.select("ticket_id", to, F.lit(2).alias("asked"))
+    older = asked.select("ticket_id", F.lit(-1).cast("bigint").alias("assigned_to_employee_id"), F.lit(1).alias("asked"))
+    moved = equipment.reassign_tickets(tickets, newer.unionByName(older), at(), latest="asked")
+    return moved.select("ticket_id", F.col("assigned_to_employee_id").alias("assigned_to"), stamp("updated_at").alias("updated_at"))
+
+
+@query(f"""
+SELECT allocation_id, CASE WHEN hit THEN 'RETURNED' ELSE status END AS status,
+       CASE WHEN hit THEN {sql_stamp('expected_return_at')} ELSE {sql_stamp('returned_at')} END AS returned_at,
+       CASE WHEN hit THEN '{AS_OF}' ELSE {sql_stamp('updated_at')} END AS updated_at
+FROM (SELECT *, status = 'ACTIVE' AND NOT is_deleted AS hit FROM ({frames.ALLOCATIONS}))""")
+def allocations_marked_returned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = frames.allocations(spark, sf_dir)
+    done = rows.filter(F.col("status") == "ACTIVE").select("allocation_id", F.col("expected_return_at").alias("returned_at"))
+    marked = equipment.mark_returned(rows, done, at())
+    return marked.select("allocation_id", "status", stamp("returned_at").alias("returned_at"), stamp("updated_at").alias("updated_at"))
+
+
 @query(f"""
 SELECT task_id, title || CASE WHEN hit THEN ' (moved)' ELSE '' END AS title, CASE WHEN hit AND status = 'Pending' THEN 'Blocked' ELSE status END AS status,
        CASE WHEN hit THEN '{AS_OF}' ELSE {sql_stamp('estimated_end')} END AS estimated_end
@@ -315,8 +343,8 @@ def issue_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT notification_id FROM (SELECT * FROM ({frames.NOTIFICATIONS}) WHERE status = 'pending' AND NOT is_deleted
-  ORDER BY created_at, notification_id LIMIT 60) WHERE scheduled_for IS NULL OR scheduled_for <= TIMESTAMP '2024-01-01 12:00:00'""")
+SELECT notification_id FROM ({frames.NOTIFICATIONS}) WHERE status = 'pending' AND NOT is_deleted
+  AND (scheduled_for IS NULL OR scheduled_for <= TIMESTAMP '2024-01-01 12:00:00') ORDER BY created_at, notification_id LIMIT 60""")
 def due_of_oldest_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = notifications.due_of_oldest(frames.notifications(spark, sf_dir), at("2024-01-01 12:00:00"), 60)
     return found.select("notification_id")

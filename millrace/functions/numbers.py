@@ -22,7 +22,7 @@ def to_number(column: str | Column, kind: str = "int") -> Column:
 
 
 def divide(a: Column, b: Column) -> tuple[Column, Column]:
-    """``(quotient, error)``; exactly one of them is null."""
+    """``(quotient, error)``: a quotient or, for a zero divisor, an error; neither if an operand is null."""
     return F.try_divide(a, b), F.when(b == 0, F.lit("Division by zero"))
 
 
@@ -50,13 +50,14 @@ def convert_temperature(value: Column, scale: Column) -> Column:
 
 
 def age_band(age: Column) -> Column:
+    """The band of an age; a null age has none."""
     return (
         F.when(age < 25, "15-24")
         .when(age < 35, "25-34")
         .when(age < 45, "35-44")
         .when(age < 55, "45-54")
         .when(age < 65, "55-64")
-        .otherwise("65+")
+        .when(age >= 65, "65+")
     )
 
 
@@ -67,6 +68,6 @@ def age_band_udf():
     def band(age: pd.Series) -> pd.Series:
         edges = [-float("inf"), 25, 35, 45, 55, 65, float("inf")]
         names = ["15-24", "25-34", "35-44", "45-54", "55-64", "65+"]
-        return pd.cut(age, edges, right=False, labels=names).astype(str)
+        return pd.cut(age, edges, right=False, labels=names).astype(object).where(age.notna(), None)
 
     return band

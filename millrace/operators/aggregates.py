@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import settle
+# Rows whose order columns are looked at for each range of a running total.
+SAMPLED = 50
 
 
 def count_by(df: DataFrame, keys: Sequence[str | Column], name: str = "n") -> DataFrame:
@@ -28,27 +29,41 @@ def count_above(df: DataFrame, value: str | Column, threshold: float, name: str
     return df.agg(F.count_if(value > threshold).alias(name))
 
 
+def _first_in(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key. The rows move once and are sorted once, after the move."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.repartition(*keys).withColumn("__place", place).filter("__place = 1").drop("__place")
+
+
 def top_one(df: DataFrame, group: Sequence[str], weight: str, label: str, out: str) -> DataFrame:
-    """The label with the largest weight per group; equal weights go to the smallest label.
+    """The label with the largest weight per group; equal weights go to the smallest label, null last.
 
-    A minimum over a struct instead of a ranking window: it combines before the shuffle and never
-    sorts a whole group.
+    ``df`` holds one row per group and label, so a group is as long as there are labels.
     """
-    best = F.min(F.struct((-F.col(weight)).alias("w"), F.col(label).alias("label")))
-    return df.groupBy(*group).agg(best.alias("best")).select(*group, F.col("best.label").alias(out))
+    best = _first_in(df, group, [F.col(weight).desc(), F.col(label).asc_nulls_last()])
+    return best.select(*group, F.col(label).alias(out))
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], many_copies: bool = False) -> DataFrame:
     """One row per key, the first by ``order`` and then by all other columns.
 
-    An aggregate, so copies of one key collapse before the shuffle however many there are.
+    Most keys are expected to have one row or few. With ``many_copies`` the rows of a key collapse
+    before the shuffle, however many there are, at the price of sorting the input first.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     ordered = [c for c in order if c not in keys] + rest
+    if not many_copies:
+        return _first_in(df, keys, [F.col(c) for c in ordered])
     winner = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("row"))
     return winner.select(*keys, "row.*").select(*df.columns)
 
 
+def keep_latest(df: DataFrame, keys: Sequence[str], latest: str | None = None) -> DataFrame:
+    """One row per key: the one with the largest ``latest`` (null last), then the first by all other columns."""
+    newest = [F.col(latest).desc_nulls_last()] if latest else []
+    return _first_in(df, keys, newest + [F.col(c) for c in df.columns if c not in keys and c != latest])
+
+
 def collect_children(
     parents: DataFrame, children: DataFrame, key: str, value: str, out: str
 ) -> DataFrame:
@@ -66,6 +81,21 @@ def word_counts(df: DataFrame, text: str, pattern: str = r"[ \t\n\x0B\f\r]+") ->
     return count_by(words.filter(F.col("word") != ""), ["word"])
 
 
+def with_range(df: DataFrame, order: Sequence[str], out: str, ranges: int) -> DataFrame:
+    """``df`` with the number of the range each row falls into, ranges following ``order``.
+
+    The bounds are quantiles of the ``SAMPLED`` rows per range whose order columns have the smallest
+    hashes: the same for every evaluation, and a sub-query, so they never pass through the driver.
+    """
+    key = F.struct(*order)
+    sample = df.select(key.alias("key")).orderBy(F.xxhash64(*order)).limit(SAMPLED * ranges)
+    listed = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    step = F.greatest(F.floor(F.size("keys") / ranges), F.lit(1))
+    cuts = listed.select(F.filter("keys", lambda k, i: (i > 0) & (i % step == 0)).alias("cuts"))
+    below = F.size(F.filter("__cuts", lambda c: c <= key))
+    return df.withColumn("__cuts", cuts.scalar()).withColumn(out, F.coalesce(below, F.lit(0))).drop("__cuts")
+
+
 def running_total(
     df: DataFrame,
     order: Sequence[str],
@@ -76,12 +106,12 @@ def running_total(
 ) -> DataFrame:
     """Running sum over the whole table in ``order`` (which must be unique), from either end.
 
-    The rows are range-partitioned by the order, settled once so that both later steps see the
-    same ranges, summed within each range, and shifted by the total of the ranges before it. Only
-    one row per range meets in a single place.
+    The rows move once, to the ranges of the order; each range is summed by itself and shifted by
+    the totals of the ranges before it. Only one row per range meets in a single place. ``df`` is
+    read three times (bounds, totals, rows), so settle it first if it is costly to compute.
     """
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    ranged = settle(ranged.withColumn("__range", F.spark_partition_id()), "ranges")
+    ranges = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = with_range(df, order, "__range", ranges)
     direction = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
     within = Window.partitionBy("__range").orderBy(*direction).rowsBetween(Window.unboundedPreceding, 0)
     edge = F.col("__range").desc() if reverse else F.col("__range").asc()
@@ -91,6 +121,7 @@ def running_total(
         .agg(F.sum(value).alias("__sum"))
         .select("__range", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
     )
+    # As many rows as there are ranges.
     return (
         ranged.withColumn(out, F.sum(value).over(within))
         .join(F.broadcast(offsets), "__range")

@@ -7,25 +7,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import hot_key_sets, join_dimension, salted_join
+from millrace.operators.skew import join_on
 
 IN_LIST_LIMIT = 200
 
 
 def restrict_to_keys(facts: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``facts`` whose key occurs in ``keys`` (duplicates in ``keys`` do not matter)."""
-    return join_dimension(facts, keys.select(*on).distinct(), on, "left_semi")
+    return join_on(facts, keys.select(*on), on, "left_semi")
 
 
 def restrict_adaptive(
     facts: DataFrame, keys: DataFrame, key: str, max_in_list: int = IN_LIST_LIMIT
 ) -> DataFrame:
     """Few keys become an ``IN`` list that the scan can push down; more become a semi-join."""
-    distinct = keys.select(key).distinct()
-    listed = [row[0] for row in distinct.limit(max_in_list + 1).collect()]
+    listed = [row[0] for row in keys.select(key).distinct().limit(max_in_list + 1).collect()]
     if len(listed) <= max_in_list:
         return facts.filter(F.col(key).isin(listed))
-    return restrict_to_keys(facts, distinct, [key])
+    return restrict_to_keys(facts, keys, [key])
 
 
 def join_roles(
@@ -34,10 +33,9 @@ def join_roles(
     """Left-join one table several times; ``roles`` maps an output struct to its fact column."""
     out = facts
     others = [c for c in people.columns if c != person_key]
-    hot = hot_key_sets(facts, *([fact_key] for fact_key in roles.values()))
-    for (role, fact_key), heavy in zip(roles.items(), hot):
+    for role, fact_key in roles.items():
         side = people.select(F.col(person_key).alias(fact_key), F.struct(person_key, *others).alias(role))
-        out = salted_join(out, side, [fact_key], "left", heavy)
+        out = join_on(out, side, [fact_key], "left")
     return out
 
 
@@ -46,31 +44,25 @@ def join_bridge(
 ) -> DataFrame:
     """Many-to-many: the bridge rows of the given members, with the target columns."""
     kept = restrict_to_keys(bridge, members, [member_key])
-    return join_dimension(kept, targets, [target_key])
+    return join_on(kept, targets, [target_key])
 
 
 def without_pending(
-    candidates: DataFrame,
-    existing: DataFrame,
-    on: Sequence[str],
-    pending: str = "pending",
-    hot: Sequence[int] | None = None,
+    candidates: DataFrame, existing: DataFrame, on: Sequence[str], pending: str = "pending"
 ) -> DataFrame:
-    """Candidates for which no live pending row with the same key exists. ``hot=[]`` says that
-    each key occurs once among the candidates."""
-    waiting = existing.filter((F.col("status") == pending) & ~F.col("is_deleted")).select(*on).distinct()
-    return salted_join(candidates, waiting, on, "left_anti", hot)
+    """Candidates for which no live pending row with the same key exists."""
+    waiting = existing.filter((F.col("status") == pending) & ~F.col("is_deleted")).select(*on)
+    return join_on(candidates, waiting, on, "left_anti")
 
 
 def referential_split(
     children: DataFrame, parents: DataFrame, on: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """``(accepted, rejected)``: children with and without a parent row."""
-    known = parents.select(*on).distinct()
-    return (
-        join_dimension(children, known, on, "left_semi"),
-        join_dimension(children, known, on, "left_anti"),
-    )
+    known = parents.select(*on).distinct().withColumn("__known", F.lit(True))
+    marked = join_on(children, known, on, "left")
+    accepted, rejected = marked.filter("__known"), marked.filter("__known IS NULL")
+    return accepted.select(*children.columns), rejected.select(*children.columns)
 
 
 def length_pairs(left: DataFrame, right: DataFrame, left_text: str, right_text: str) -> DataFrame:
@@ -86,7 +78,7 @@ def length_pairs(left: DataFrame, right: DataFrame, left_text: str, right_text:
         .withColumn("__len", F.explode(F.expr("filter(__lens, n -> n <= __max)")))
         .drop("__lens", "__max")
     )
-    return salted_join(listed, right.withColumn("__len", F.length(right_text)), ["__len"]).drop("__len")
+    return join_on(listed, right.withColumn("__len", F.length(right_text)), ["__len"]).drop("__len")
 
 
 def length_match_counts(left: DataFrame, right: DataFrame, left_text: str, right_text: str) -> DataFrame:
@@ -101,4 +93,4 @@ def length_match_counts(left: DataFrame, right: DataFrame, left_text: str, right
         .withColumn("matches", F.sum("__n").over(Window.orderBy("__len")))
         .drop("__n")
     )
-    return join_dimension(left.withColumn("__len", F.length(left_text)), steps, ["__len"]).drop("__len")
+    return join_on(left.withColumn("__len", F.length(left_text)), steps, ["__len"]).drop("__len")

@@ -31,16 +31,18 @@ def check_page(page: int, size: int) -> None:
         raise ValueError(f"size must be between 1 and {MAX_PAGE_SIZE}")
 
 
-def page_of(df: DataFrame, order: Sequence[Column | str], unique: Sequence[str], page: int, size: int) -> DataFrame:
-    """One page in a fixed order. Deep pages are cut by position instead of a long top-k."""
+def page_of(df: DataFrame, order: Sequence[str], unique: Sequence[str], page: int, size: int) -> DataFrame:
+    """One page in ascending order, nulls last. Deep pages are cut by position instead of a long top-k."""
     check_page(page, size)
     if page * size <= SHALLOW_ROWS:
-        return df.orderBy(*order, *unique).offset((page - 1) * size).limit(size)
-    names = [o for o in order if isinstance(o, str)]
-    if len(names) != len(order):
-        raise ValueError("deep pages need plain ascending order columns")
-    placed = position(df, [*names, *unique], "__pos")
-    return placed.filter(F.col("__pos").between((page - 1) * size + 1, page * size)).drop("__pos")
+        columns = [F.col(c).asc_nulls_last() for c in order]
+        return df.orderBy(*columns, *unique).offset((page - 1) * size).limit(size)
+    # A flag before each column sorts nulls last where places are counted in ascending order.
+    flags = {f"__null_{c}": F.col(c).isNull() for c in order}
+    keys = [name for c in order for name in (f"__null_{c}", c)]
+    placed = position(df.withColumns(flags), [*keys, *unique], "__pos")
+    wanted = placed.filter(F.col("__pos").between((page - 1) * size + 1, page * size))
+    return wanted.drop("__pos", *flags)
 
 
 def with_total(page: DataFrame, population: DataFrame, name: str = "total") -> DataFrame:
@@ -54,8 +56,11 @@ def day_series(spark: SparkSession, first: str, last: str) -> DataFrame:
     return spark.range(1).select(F.explode(days).alias("day"))
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, seed: int, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key hashes into the given fraction: the same rows in any file layout."""
+    key = F.concat_ws(":", F.lit(str(seed)), *keys)
+    drawn = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return df.filter(drawn < int(fraction * 2**32))
 
 
 def append_all(*parts: DataFrame) -> DataFrame:

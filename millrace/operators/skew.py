@@ -1,106 +1,54 @@
-"""Joins and size checks that stay even when one key holds a large share of the rows."""
+"""Joins that stay even when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Most hot keys a salted join tells apart, and the counters the sketch keeps for finding them.
-HOT_KEY_LIMIT = 64
-SKETCH_COUNTERS = 4096
-BROADCAST_ROWS = 100_000
 
+def join_on(facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of the same name, compared by their common type.
 
-def key_hash(columns: Sequence[Column | str]) -> Column:
-    return F.xxhash64(*columns)
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``take`` works through the partitions in growing steps and stops at the bound, so a huge table
-    is neither scanned nor shuffled to find out; only constants reach the driver.
+    Adaptive execution broadcasts a side by its measured bytes and splits the partitions of heavy
+    keys, so neither the plan nor the result hangs on a row count.
     """
-    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
+    return facts.join(other, list(on), how)
 
 
-def hot_key_sets(
-    df: DataFrame, *key_sets: Sequence[str], share: float = 0.02, fraction: float = 0.1, seed: int = 17
-) -> list[list[int]]:
-    """Per key set, the hashes of the key values that hold more than ``share`` of the rows.
+def _named(columns: Sequence[str], keys: Sequence) -> Column:
+    """Whether the row has one of the key values; a single column takes plain values."""
+    def equal(key) -> Column:
+        values = key if isinstance(key, tuple) else (key,)
+        return reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, values)))
 
-    One pass over a sample of the key columns with mergeable frequent-items sketches: at most
-    ``HOT_KEY_LIMIT`` numbers per key set reach the driver. The sample only steers the salting, so
-    a key that is missed or named in error changes the speed of a join, never its result.
-    """
-    columns = list(dict.fromkeys(column for keys in key_sets for column in keys))
-    hashes = [key_hash(keys).alias(f"h{i}") for i, keys in enumerate(key_sets)]
-    tops = [F.expr(f"approx_top_k(h{i}, {HOT_KEY_LIMIT}, {SKETCH_COUNTERS})") for i in range(len(key_sets))]
-    found = (
-        df.select(*columns)
-        .sample(withReplacement=False, fraction=fraction, seed=seed)
-        .select(*hashes)
-        .agg(F.count("*").alias("n"), F.array(*tops).alias("tops"))
-        .first()
-    )
-    # Below 200 sampled rows no partition is worth splitting.
-    if found["n"] < 200:
-        return [[] for _ in key_sets]
-    return [[item["item"] for item in top if item["count"] > share * found["n"]] for top in found["tops"]]
-
-
-def hot_key_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    return hot_key_sets(df, keys)[0]
+    return reduce(Column.__or__, map(equal, keys))
 
 
 def salted_join(
     facts: DataFrame,
     other: DataFrame,
     on: Sequence[str],
+    hot: Sequence,
     how: str = "inner",
-    hot: Sequence[int] | None = None,
     salts: int = 32,
 ) -> DataFrame:
-    """Equi-join whose hot keys are spread over ``salts`` partitions.
+    """Equi-join that spreads the key values in ``hot`` over ``salts`` partitions.
 
-    Rows of ``facts`` with a hot key get a salt from a hash of the whole row; the matching rows
-    of ``other`` (a side with few rows per key) are repeated once per salt. All other rows keep
-    salt 0, so the usual case is a plain join. ``how`` may be inner, left, left_semi or left_anti.
+    For heavy keys the caller knows, where adaptive splitting is off or comes too late. The rows of
+    a hot key are dealt out by their place in the input, so equal rows are spread like any others;
+    the matching rows of ``other`` (a side with few rows per key) are repeated once per salt. A null
+    key is named by None. ``how`` may be inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot do a {how} join")
     on = list(on)
-    for key in on:
-        if facts.schema[key].dataType != other.schema[key].dataType:
-            other = other.withColumn(key, F.col(key).cast(facts.schema[key].dataType))
-    hot = hot_key_hashes(facts, on) if hot is None else list(hot)
     if not hot:
-        return facts.join(other, on, how)
-    spread = F.pmod(F.xxhash64(*facts.columns, F.lit(1)), F.lit(salts)).cast("int")
+        return join_on(facts, other, on, how)
+    spread = F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(salts)).cast("int")
     copies = F.sequence(F.lit(0), F.lit(salts - 1))
-    left = facts.withColumn("__salt", F.when(key_hash(on).isin(hot), spread).otherwise(F.lit(0)))
-    right = other.withColumn(
-        "__salt", F.explode(F.when(key_hash(on).isin(hot), copies).otherwise(F.array(F.lit(0))))
-    )
+    left = facts.withColumn("__salt", F.when(_named(on, hot), spread).otherwise(F.lit(0)))
+    right = other.withColumn("__salt", F.explode(F.when(_named(on, hot), copies).otherwise(F.array(F.lit(0)))))
     return left.join(right, [*on, "__salt"], how).drop("__salt")
-
-
-def join_dimension(
-    facts: DataFrame,
-    dimension: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    hot_in: DataFrame | None = None,
-) -> DataFrame:
-    """Join a dimension: broadcast once its row count is shown to be small, salted otherwise.
-
-    ``hot_in`` is a stored table with the same key column, so that finding the hot keys of a
-    derived ``facts`` does not compute it twice.
-    """
-    if fits(dimension, max_rows):
-        return facts.join(F.broadcast(dimension), list(on), how)
-    hot = hot_key_hashes(hot_in, list(on)) if hot_in is not None else None
-    return salted_join(facts, dimension, on, how, hot)

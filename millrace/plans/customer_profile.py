@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import keep_first
 from millrace.operators.joins import restrict_adaptive
 from millrace.operators.rows import valid_transactions
-from millrace.operators.skew import hot_key_hashes, join_dimension, salted_join
-from millrace.sinks.keyed import KeyedTable
+from millrace.operators.skew import join_on
+from millrace.plans.sales import one_per_product
+from millrace.sinks.keyed import upsert
 
 MONEY = "decimal(18,2)"
 
@@ -33,8 +34,10 @@ def customer_profiles(transactions: DataFrame, customers: DataFrame, products: D
         F.min("txn_timestamp").alias("first_at"),
         F.max("txn_timestamp").alias("last_at"),
     )
+    # Rows of one customer: at most one per product here, one per category after the sum.
     per_category = (
-        join_dimension(per_product, products.select("product_id", "category"), ["product_id"])
+        join_on(per_product, one_per_product(products), ["product_id"])
+        .repartition("customer_id")
         .groupBy("customer_id", "category")
         .agg(
             F.sum("spend").alias("spend"),
@@ -43,13 +46,17 @@ def customer_profiles(transactions: DataFrame, customers: DataFrame, products: D
             F.max("last_at").alias("last_at"),
         )
     )
-    totals = per_category.groupBy("customer_id").agg(
-        F.sum("spend").cast(MONEY).alias("total_spend"),
-        F.sum("n").alias("total_transactions"),
-        F.min("first_at").alias("first_purchase"),
-        F.max("last_at").alias("last_purchase"),
-        F.min(F.struct((-F.col("n")).alias("w"), F.col("category").alias("label"))).alias("lead"),
-    )
+    whole = Window.partitionBy("customer_id")
+    leading = whole.orderBy(F.col("n").desc(), F.col("category").asc_nulls_last())
+    totals = per_category.select(
+        "customer_id",
+        F.sum("spend").over(whole).cast(MONEY).alias("total_spend"),
+        F.sum("n").over(whole).alias("total_transactions"),
+        F.min("first_at").over(whole).alias("first_purchase"),
+        F.max("last_at").over(whole).alias("last_purchase"),
+        F.col("category").alias("favorite_category"),
+        F.row_number().over(leading).alias("place"),
+    ).filter("place = 1")
     average = (F.col("total_spend") / F.col("total_transactions")).cast(MONEY)
     # One row per customer on both sides, so this join has no heavy keys.
     return customers.join(totals, "customer_id").select(
@@ -62,7 +69,7 @@ def customer_profiles(transactions: DataFrame, customers: DataFrame, products: D
         average.alias("avg_order_value"),
         "first_purchase",
         "last_purchase",
-        F.col("lead.label").alias("favorite_category"),
+        "favorite_category",
     )
 
 
@@ -72,11 +79,23 @@ def write_tasks(affected: int, cap: int) -> int:
 
 
 def refresh_profiles(
-    delta: DataFrame, transactions: DataFrame, customers: DataFrame, products: DataFrame, target: KeyedTable
+    delta: DataFrame,
+    transactions: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    current: str | None,
+    target: str,
+    cap: int = 200,
 ) -> None:
-    """Rebuild the profile of each customer with a new transaction from their whole history."""
+    """Rebuild the profile of each customer with a new transaction from their whole history.
+
+    The profiles under ``current`` (None before the first run) with these in their place go to
+    ``target``, by as many tasks as the number of affected customers asks for.
+    """
     history = restrict_adaptive(transactions, delta, "customer_id")
-    target.upsert(customer_profiles(clean_transactions(history), customers, products))
+    profiles = customer_profiles(clean_transactions(history), customers, products)
+    affected = delta.select(F.count_distinct("customer_id")).first()[0]
+    upsert(profiles, ["customer_id"], current, target, tasks=write_tasks(affected, cap))
 
 
 def denormalised_sales(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -86,8 +105,8 @@ def denormalised_sales(customers: DataFrame, orders: DataFrame, items: DataFrame
     joins, while the rows are still narrow.
     """
     single = keep_first(items, ["order_id", "item_id"], ["product_name", "quantity"])
-    lines = salted_join(single, orders, ["order_id"], hot=hot_key_hashes(items, ["order_id"]))
-    wide = salted_join(lines, customers, ["customer_id"], hot=hot_key_hashes(orders, ["customer_id"]))
+    lines = join_on(single, orders, ["order_id"])
+    wide = join_on(lines, customers, ["customer_id"])
     return wide.withColumn("order_date", F.col("order_date").cast("timestamp")).select(
         "customer_id", "name", "email", "city", "order_id", "order_date",
         "amount", "item_id", "product_name", "quantity",

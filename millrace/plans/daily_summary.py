@@ -4,29 +4,32 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import restrict_adaptive
-from millrace.operators.skew import join_dimension
+from millrace.operators.skew import join_on
+from millrace.plans.sales import one_per_product
 from millrace.sinks.files import replace_partitions
 
 
 def daily_summary(transactions: DataFrame, products: DataFrame) -> DataFrame:
     """Amount, items and distinct products per day and customer; the top category by items.
 
-    Totals count every transaction that names a product, the category only known products. One
-    aggregate per (day, customer, product) feeds both, so products are looked up once per group
-    and not once per transaction, and no part of the result has to be joined back.
+    Totals count every transaction that names a product, the category only known products; a
+    product that is listed twice counts once, with its first category. One aggregate per (day,
+    customer, product) feeds both, so products are looked up once per group and not once per
+    transaction. The groups of a day and customer then meet once, and no part is joined back.
     """
     per_product = (
         transactions.filter(F.col("product_id").isNotNull())
         .groupBy(F.to_date("txn_timestamp").alias("date"), "customer_id", "product_id")
         .agg(F.sum("amount").alias("amount"), F.sum("qty").alias("items"))
     )
-    known = products.select("product_id", "category", F.lit(True).alias("known"))
+    known = one_per_product(products).withColumn("known", F.lit(True))
     per_category = (
-        join_dimension(per_product, known, ["product_id"], "left")
+        join_on(per_product, known, ["product_id"], "left")
+        .repartition("date", "customer_id")
         .groupBy("date", "customer_id", "category", "known")
         .agg(
             F.sum("amount").alias("amount"),
@@ -34,18 +37,23 @@ def daily_summary(transactions: DataFrame, products: DataFrame) -> DataFrame:
             F.count("*").alias("products"),
         )
     )
-    # The smallest of (-items, category) is the leading category, ties by name.
-    ranked = F.when(F.col("known"), F.struct((-F.col("items")).alias("w"), F.col("category").alias("label")))
-    return (
-        per_category.groupBy("date", "customer_id")
-        .agg(
-            F.sum("amount").cast("decimal(20,2)").alias("total_amount"),
-            F.sum("items").alias("total_items"),
-            F.sum("products").alias("distinct_products"),
-            F.min(ranked).alias("lead"),
-        )
-        .withColumn("top_category", F.col("lead.label"))
-        .drop("lead")
+    whole = Window.partitionBy("date", "customer_id")
+    leading = whole.orderBy(F.col("known").desc_nulls_last(), F.col("items").desc(), F.col("category").asc_nulls_last())
+    placed = per_category.withColumns(
+        {
+            "total_amount": F.sum("amount").over(whole).cast("decimal(20,2)"),
+            "total_items": F.sum("items").over(whole),
+            "distinct_products": F.sum("products").over(whole),
+            "place": F.row_number().over(leading),
+        }
+    )
+    return placed.filter("place = 1").select(
+        "date",
+        "customer_id",
+        "total_amount",
+        "total_items",
+        "distinct_products",
+        F.when(F.col("known"), F.col("category")).alias("top_category"),
     )
 
 

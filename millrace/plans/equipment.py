@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.aggregates import keep_latest
 from millrace.operators.rows import active, available_items, overdue_allocations
-from millrace.operators.skew import hot_key_hashes, salted_join
+from millrace.operators.skew import join_on
 
 
 def iso(ts: Column) -> Column:
@@ -81,7 +82,7 @@ def allocate(
     first = requests.groupBy("equipment_id").agg(F.min("request_id").alias("first_request"))
     # Items and first requests have one row per item each; the many requests meet them salted.
     facts = first.join(state, "equipment_id", "left")
-    judged = salted_join(requests, facts, ["equipment_id"], "left")
+    judged = join_on(requests, facts, ["equipment_id"], "left")
     reason = (
         F.when(F.col("known").isNull(), F.lit("Equipment not found"))
         .when(~F.col("free"), F.lit("Equipment is not available for allocation"))
@@ -137,7 +138,7 @@ def take_back(
     # One row per allocation on both sides.
     matched = returns.join(known, "allocation_id", "left")
     present = active(items).select("equipment_id", F.lit(True).alias("item_known"))
-    matched = salted_join(matched, present, ["equipment_id"], "left", hot=hot_key_hashes(allocations, ["equipment_id"]))
+    matched = join_on(matched, present, ["equipment_id"], "left")
     reason = (
         F.when(F.col("allocation_status").isNull(), F.lit("Allocation not found"))
         .when(F.col("allocation_status") != "ACTIVE", F.lit("Allocation is not active or already returned"))
@@ -195,10 +196,20 @@ def take_back(
 
 
 def apply_changes(
-    current: DataFrame, changes: DataFrame, key: str, as_of: Column, touched: str = "updated_at"
+    current: DataFrame,
+    changes: DataFrame,
+    key: str,
+    as_of: Column,
+    touched: str = "updated_at",
+    latest: str | None = None,
 ) -> DataFrame:
-    """Partial update: a null in ``changes`` keeps the old value, a changed row gets the audit time."""
-    fields = [c for c in changes.columns if c != key]
+    """Partial update: a null in ``changes`` keeps the old value, a changed row gets the audit time.
+
+    Of several changes of one key the one with the largest ``latest`` counts, then the first by its
+    other columns. This holds for all updates of this module.
+    """
+    changes = keep_latest(changes, [key], latest)
+    fields = [c for c in changes.columns if c not in (key, latest)]
     incoming = changes.select(key, F.lit(True).alias("__hit"), *(F.col(c).alias(f"__{c}") for c in fields))
     joined = current.join(incoming, key, "left")
     for name in fields:
@@ -207,18 +218,35 @@ def apply_changes(
     return joined.select(*current.columns)
 
 
-def update_ticket_status(tickets: DataFrame, changes: DataFrame, as_of: Column) -> DataFrame:
+def _set_on_live_rows(
+    rows: DataFrame, changes: DataFrame, key: str, fields: list[str], as_of: Column, latest: str | None
+) -> DataFrame:
+    """Take the fields over as given, nulls too, on rows that are not deleted, with the audit time."""
+    one = keep_latest(changes, [key], latest)
+    out = rows.join(one.select(key, F.struct(*fields).alias("__new")), key, "left")
+    hit = F.col("__new").isNotNull() & ~F.col("is_deleted")
+    for name in fields:
+        out = out.withColumn(name, F.when(hit, F.col(f"__new.{name}")).otherwise(F.col(name)))
+    return out.withColumn("updated_at", F.when(hit, as_of).otherwise(F.col("updated_at"))).select(*rows.columns)
+
+
+def update_ticket_status(
+    tickets: DataFrame, changes: DataFrame, as_of: Column, latest: str | None = None
+) -> DataFrame:
     """``changes``: ticket_id, status, is_resolved, resolved_at, each taken over as given. Deleted
     tickets stay as they are."""
-    incoming = changes.select(
-        "ticket_id",
-        F.struct("status", "is_resolved", "resolved_at").alias("new"),
-    )
-    hit = F.col("new").isNotNull() & ~F.col("is_deleted")
-    out = tickets.join(incoming, "ticket_id", "left")
-    for name in ("status", "is_resolved", "resolved_at"):
-        out = out.withColumn(name, F.when(hit, F.col(f"new.{name}")).otherwise(F.col(name)))
-    return out.withColumn("updated_at", F.when(hit, as_of).otherwise(F.col("updated_at"))).select(*tickets.columns)
+    return _set_on_live_rows(tickets, changes, "ticket_id", ["status", "is_resolved", "resolved_at"], as_of, latest)
+
+
+def reassign_tickets(tickets: DataFrame, changes: DataFrame, as_of: Column, latest: str | None = None) -> DataFrame:
+    """``changes``: ticket_id, assigned_to_employee_id; a null takes the ticket from its assignee."""
+    return _set_on_live_rows(tickets, changes, "ticket_id", ["assigned_to_employee_id"], as_of, latest)
+
+
+def mark_returned(allocations: DataFrame, changes: DataFrame, as_of: Column, latest: str | None = None) -> DataFrame:
+    """``changes``: allocation_id, returned_at. The listed live allocations become RETURNED at that time."""
+    done = changes.withColumn("status", F.lit("RETURNED"))
+    return _set_on_live_rows(allocations, done, "allocation_id", ["status", "returned_at"], as_of, latest)
 
 
 def set_deleted(df: DataFrame, ids: DataFrame, key: str, as_of: Column, to_deleted: bool = True) -> DataFrame:
@@ -237,13 +265,16 @@ def set_deleted(df: DataFrame, ids: DataFrame, key: str, as_of: Column, to_delet
 
 def replace_children(current: DataFrame, given: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Drop all child rows of the listed parents and put the given ones in their place."""
-    kept = salted_join(current, parents.select(key).distinct(), [key], "left_anti")
+    kept = join_on(current, parents.select(key).distinct(), [key], "left_anti")
     return kept.unionByName(given)
 
 
-def settle_outbox(events: DataFrame, outcomes: DataFrame, as_of: Column) -> DataFrame:
+def settle_outbox(
+    events: DataFrame, outcomes: DataFrame, as_of: Column, latest: str | None = None
+) -> DataFrame:
     """``outcomes``: event_id, error. Without an error an event becomes PUBLISHED, with one FAILED;
     events without an outcome stay as they are."""
+    outcomes = keep_latest(outcomes, ["event_id"], latest)
     joined = events.join(outcomes.select("event_id", F.lit(True).alias("hit"), "error"), "event_id", "left")
     sent = F.col("hit") & F.col("error").isNull()
     lost = F.col("hit") & F.col("error").isNotNull()

@@ -5,7 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.sinks.files import output_metrics, write_csv, write_json, write_parquet, write_text
 
@@ -37,6 +41,27 @@ def read_back(spark: SparkSession, kind: str, path: str, schema: str) -> DataFra
     return spark.read.schema(schema).format(kind).load(path)
 
 
+def read_columns(spark: SparkSession, kind: str, path: str, schema: StructType) -> DataFrame:
+    """The written table with all its columns; text lines are cut at the separator and cast."""
+    back = read_back(spark, kind, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields))
+    if kind != "text":
+        return back
+    fields = F.split("value", ",")
+    return back.select(*(F.get(fields, i).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)))
+
+
+def round_trips(
+    df: DataFrame, path: str, measures: Sequence[Column], kinds: Sequence[str] = tuple(WRITERS)
+) -> DataFrame:
+    """One row per format: the ``measures`` of the table as it is read back from that format."""
+    spark, parts = df.sparkSession, []
+    for kind in kinds:
+        WRITERS[kind](df, f"{path}/{kind}")
+        back = read_columns(spark, kind, f"{path}/{kind}", df.schema)
+        parts.append(back.agg(*measures).select(F.lit(kind).alias("format"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def compare_formats(
     spark: SparkSession, df: DataFrame, path: str, kinds: Sequence[str] = ("csv", "json", "parquet", "text")
 ) -> DataFrame:

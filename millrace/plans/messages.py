@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.payloads import json_field
 from millrace.functions.times import shown_in_zone
-from millrace.operators.skew import join_dimension, salted_join
+from millrace.operators.skew import join_on
 from millrace.plans.notifications import DEFAULT_ADDRESS, expand_recipients, first_per_address, recipient_address
 from millrace.session import settle
 
@@ -36,9 +36,9 @@ def with_people(allocations: DataFrame, employees: DataFrame) -> DataFrame:
     """User ids of the assignee and of the allocator."""
     who = employees.select("employee_id", "user_id")
     assigned = who.select("employee_id", F.col("user_id").alias("assignee_user_id"))
-    out = join_dimension(allocations, assigned, ["employee_id"], "left")
+    out = join_on(allocations, assigned, ["employee_id"], "left")
     by = who.select(F.col("employee_id").alias("allocated_by_employee_id"), F.col("user_id").alias("allocator_user_id"))
-    return join_dimension(out, by, ["allocated_by_employee_id"], "left", hot_in=allocations)
+    return join_on(out, by, ["allocated_by_employee_id"], "left")
 
 
 def equipment_text() -> Column:
@@ -58,9 +58,9 @@ def with_allocation(
     stated = F.get_json_object("payload", "$.expectedReturnAt").alias("stated")
     kept = [c for c in ("event_id", "event_type") if c in events.columns]
     named = events.select(*kept, ids.alias("allocation_id"), stated).filter(F.col("allocation_id").isNotNull())
-    found = salted_join(named, with_people(allocations, employees), ["allocation_id"])
+    found = join_on(named, with_people(allocations, employees), ["allocation_id"])
     tags = items.select("equipment_id", "asset_tag", "serial_number")
-    return join_dimension(found, tags, ["equipment_id"], "left", hot_in=allocations)
+    return join_on(found, tags, ["equipment_id"], "left")
 
 
 ALLOCATION_ROLES = [("Assignee", "assignee_user_id"), ("AllocatedBy", "allocator_user_id")]
@@ -160,9 +160,9 @@ def ticket_messages(events: DataFrame, tickets: DataFrame, employees: DataFrame,
     who = employees.select("employee_id", "user_id")
     made = who.select(F.col("employee_id").alias("created_by_employee_id"), F.col("user_id").alias("creator_user_id"))
     given = who.select(F.col("employee_id").alias("assigned_to_employee_id"), F.col("user_id").alias("assigned_user_id"))
-    staffed = join_dimension(tickets, made, ["created_by_employee_id"], "left")
-    staffed = join_dimension(staffed, given, ["assigned_to_employee_id"], "left", hot_in=tickets)
-    found = salted_join(named, staffed, ["ticket_id"])
+    staffed = join_on(tickets, made, ["created_by_employee_id"], "left")
+    staffed = join_on(staffed, given, ["assigned_to_employee_id"], "left")
+    found = join_on(named, staffed, ["ticket_id"])
     kind = by_type(TICKET_SUBJECTS, F.col("event_type"), F.lit("Ticket Notification"))
     content = found.select(
         "event_id",
@@ -186,7 +186,7 @@ def inventory_messages(
     held = with_people(active_allocations, employees).select(
         "equipment_id", "allocation_id", "employee_id", "status", "assignee_user_id", "allocator_user_id"
     )
-    found = salted_join(named, held, ["equipment_id"], "left")
+    found = join_on(named, held, ["equipment_id"], "left")
     other = F.concat(F.lit("Notification: "), F.col("event_type"), F.lit(" id="))
     details = F.coalesce(
         F.concat(F.lit("allocationId="), F.col("allocation_id"), F.lit(" assignee="), F.col("employee_id"), F.lit(" status="), F.col("status")),
@@ -205,7 +205,7 @@ def inventory_messages(
 def team_messages(events: DataFrame, teams: DataFrame, members: DataFrame, users: DataFrame) -> DataFrame:
     """Team notes for the contact address first and then the active members."""
     labels = {"CREATE": "Team Created", "UPDATE": "Team Updated", "DELETE": "Team Deleted", "RESTORE": "Team Restored"}
-    found = salted_join(events, teams.select("team_id", "team_name", "contact_email"), ["team_id"])
+    found = join_on(events, teams.select("team_id", "team_name", "contact_email"), ["team_id"])
     content = found.select(
         "event_id",
         F.concat(F.lit("["), by_type(labels, F.col("action"), F.lit("Team Notification")), F.lit("] "), F.col("team_name")).alias("subject"),
@@ -213,12 +213,12 @@ def team_messages(events: DataFrame, teams: DataFrame, members: DataFrame, users
     )
     none = F.lit(None).cast("bigint")
     contacts = found.select("event_id", F.lit(0).alias("priority"), F.lit("TeamContact").alias("role"), none.alias("user_id"), F.col("contact_email").alias("email"))
-    staff = salted_join(members, users.select("user_id", "email"), ["user_id"])
-    joined = salted_join(staff.select("team_id", "user_id", "email"), events.select("team_id", "event_id"), ["team_id"])
+    staff = join_on(members, users.select("user_id", "email"), ["user_id"])
+    joined = join_on(staff.select("team_id", "user_id", "email"), events.select("team_id", "event_id"), ["team_id"])
     people = joined.select("event_id", F.lit(1).alias("priority"), F.lit("Member").alias("role"), F.col("user_id").cast("bigint").alias("user_id"), "email")
     chosen = settle(first_per_address(contacts.unionByName(people), ["event_id"]).drop("user_id"), "recipients")
     # An event may have very many recipients: they are the large side of this join.
-    addressed = salted_join(chosen, content, ["event_id"])
+    addressed = join_on(chosen, content, ["event_id"])
     alone = content.join(chosen.select("event_id").distinct(), "event_id", "left_anti")
     fallback = alone.withColumn("email", F.lit(DEFAULT_ADDRESS)).withColumn("role", F.lit("Fallback"))
     return addressed.unionByName(fallback.select(*addressed.columns))
@@ -230,7 +230,7 @@ def planner_messages(events: DataFrame, entries: DataFrame, users: DataFrame) ->
     ``events``: event_id, entry_id, action, actor_user_id; ``entries``: entry_id, title, created_by.
     """
     labels = {"CREATE": "Event Created", "UPDATE": "Event Updated", "DELETE": "Event Deleted", "RESTORED": "Event Restored"}
-    found = salted_join(events, entries.select("entry_id", "title", "created_by"), ["entry_id"])
+    found = join_on(events, entries.select("entry_id", "title", "created_by"), ["entry_id"])
     content = found.select(
         "event_id",
         F.concat(F.lit("["), by_type(labels, F.col("action"), F.lit("Event Notification")), F.lit("] "), F.col("title")).alias("subject"),
@@ -249,9 +249,9 @@ def task_messages(events: DataFrame, tasks: DataFrame, teams: DataFrame, users:
     people = users.select(F.col("user_id").alias("assigned_to_user_id"), F.trim("email").alias("user_email"))
     contacts = teams.filter(~F.col("is_deleted")).select(F.col("team_id").alias("assigned_team_id"), F.trim("contact_email").alias("team_email"))
     # The addresses go onto the tasks, so each event carries at most two and needs no grouping.
-    wanted = join_dimension(wanted, people, ["assigned_to_user_id"], "left")
-    wanted = join_dimension(wanted, contacts, ["assigned_team_id"], "left", hot_in=tasks)
-    found = salted_join(events, wanted, ["task_id"])
+    wanted = join_on(wanted, people, ["assigned_to_user_id"], "left")
+    wanted = join_on(wanted, contacts, ["assigned_team_id"], "left")
+    found = join_on(events, wanted, ["task_id"])
 
     def entry(role: str, email: Column) -> Column:
         return F.struct(F.lit(role).alias("role"), email.alias("email"))
@@ -279,7 +279,7 @@ def notification_messages(events: DataFrame, notifications: DataFrame, users: Da
         F.lit(True).alias("stored"),
     )
     asked = events.select("event_id", "payload", text("notificationId").try_cast("bigint").alias("notification_id"))
-    joined = salted_join(asked, stored, ["notification_id"], "left")
+    joined = join_on(asked, stored, ["notification_id"], "left")
     hit = F.col("stored").isNotNull()
 
     def either(column: str, name: str) -> Column:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import has_ignoring_case
 from millrace.functions.times import backoff_minutes, before, plus_minutes
+from millrace.operators.aggregates import keep_first, keep_latest
 from millrace.operators.joins import without_pending
 from millrace.operators.rows import due_notifications, overdue_tasks
-from millrace.operators.skew import join_dimension, salted_join
+from millrace.operators.skew import join_on, salted_join
 
 # Notification types, attempt limits and fallback addresses.
 ONE_DAY = "REMINDER_1DAY"
@@ -20,8 +21,9 @@ MAX_DELIVERY_ATTEMPTS = 3
 MAX_BACKOFF_ATTEMPTS = 5
 DEFAULT_ADDRESS = "no-reply@example.com"
 
-# Admins that are unrolled with each message; more of them are joined.
-ADMIN_LIST = 200
+# What a message lists for its roles, and the key under which messages and admins meet.
+ENTRIES = "array<struct<priority:int,role:string,user_id:bigint>>"
+AUDIENCE = "admin"
 
 
 def pending_rows(df: DataFrame, kind: Column, message: Column, at: Column, as_of: Column) -> DataFrame:
@@ -62,7 +64,7 @@ def plan_reminders(tasks: DataFrame, existing: DataFrame, as_of: Column) -> Data
     )
     spread = tasks.filter(start.isNotNull()).withColumn("e", F.explode(F.filter(entries, lambda e: e["due"])))
     rows = pending_rows(spread, F.col("e.kind"), F.col("e.message"), F.col("e.at"), as_of)
-    return without_pending(rows, existing, ["task_id", "notification_type"], hot=[])
+    return without_pending(rows, existing, ["task_id", "notification_type"])
 
 
 def plan_simple_reminders(tasks: DataFrame, as_of: Column) -> DataFrame:
@@ -85,7 +87,7 @@ def plan_overdue(tasks: DataFrame, existing: DataFrame, as_of: Column) -> DataFr
         F.date_format("estimated_end", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(")"),
     )
     rows = pending_rows(late, F.lit(OVERDUE), message, as_of, as_of)
-    return without_pending(rows, existing, ["task_id", "notification_type"], hot=[])
+    return without_pending(rows, existing, ["task_id", "notification_type"])
 
 
 def next_due(notifications: DataFrame, as_of: Column, limit: int) -> DataFrame:
@@ -100,16 +102,24 @@ def oldest_pending(notifications: DataFrame, limit: int) -> DataFrame:
 
 
 def due_of_oldest(notifications: DataFrame, as_of: Column, limit: int) -> DataFrame:
-    """Of the oldest pending page, those whose time has come."""
-    page = oldest_pending(notifications, limit)
-    return page.filter(F.col("scheduled_for").isNull() | (F.col("scheduled_for") <= as_of))
+    """The oldest pending page of those whose time has come."""
+    due = F.col("scheduled_for").isNull() | (F.col("scheduled_for") <= as_of)
+    return oldest_pending(notifications.filter(due), limit)
 
 
 def record_delivery(
-    notifications: DataFrame, outcomes: DataFrame, as_of: Column, max_attempts: int = MAX_DELIVERY_ATTEMPTS
+    notifications: DataFrame,
+    outcomes: DataFrame,
+    as_of: Column,
+    max_attempts: int = MAX_DELIVERY_ATTEMPTS,
+    latest: str | None = None,
 ) -> DataFrame:
-    """``outcomes`` (notification_id, delivered): sent with its time, or one more failed attempt."""
-    joined = notifications.join(outcomes, "notification_id", "left")
+    """``outcomes`` (notification_id, delivered): sent with its time, or one more failed attempt.
+
+    Of several outcomes of a notification the one with the largest ``latest`` counts, then a failure.
+    """
+    one = keep_latest(outcomes, ["notification_id"], latest).select("notification_id", "delivered")
+    joined = notifications.join(one, "notification_id", "left")
     sent, lost = F.col("delivered"), ~F.col("delivered")
     attempts = F.col("attempts") + F.when(lost, 1).otherwise(0)
     return (
@@ -157,12 +167,12 @@ def retry_failed(
 def first_per_address(recipients: DataFrame, message_keys: list[str]) -> DataFrame:
     """One recipient per message and address: the first by priority, then by user id.
 
-    ``recipients`` holds the message keys, priority, role, user_id and email. A minimum per
-    address, so no message's recipients are ranked as one group.
+    ``recipients`` holds the message keys, priority, role, user_id and email. Rows meet per message
+    and address, so no message's recipients are ranked as one group.
     """
     named = recipients.withColumn("email", F.trim("email")).filter(F.col("email") != "")
-    best = named.groupBy(*message_keys, "email").agg(F.min(F.struct("priority", "user_id", "role")).alias("r"))
-    return best.select(*message_keys, "email", F.col("r.role").alias("role"), F.col("r.user_id").alias("user_id"))
+    best = keep_first(named.select(*message_keys, "email", "priority", "user_id", "role"), [*message_keys, "email"], ["priority", "user_id", "role"])
+    return best.select(*message_keys, "email", "role", "user_id")
 
 
 def admins_of(users: DataFrame) -> DataFrame:
@@ -175,46 +185,25 @@ def expand_recipients(
 ) -> DataFrame:
     """The people each message goes to, in role order: the users in the role columns, then admins.
 
-    ``roles`` lists (role, user column). A short admin list travels with the rows and is unrolled
-    together with the roles; a long one is joined through the audience, salted over its copies.
+    ``roles`` lists (role, user column). Every message goes to every admin, so both meet under one
+    constant key, dealt over salts; admins are few, and adaptive execution broadcasts them if so.
     """
     entries = [recipient_entry(i, role, F.col(column)) for i, (role, column) in enumerate(roles)]
-    admins = admins_of(users).select("user_id", "email")
-    listed = admins.limit(ADMIN_LIST + 1).collect() if with_admins else []
-    if len(listed) <= ADMIN_LIST:
-        entries += [
-            recipient_entry(len(roles), "Admin", F.lit(a["user_id"]), F.lit(a["email"]), known=True) for a in listed
-        ]
-    asked = messages.select(*message_keys, F.explode(F.array(*entries)).alias("e")).select(*message_keys, "e.*")
-    known = asked.filter("known").drop("known")
-    people = users.select("user_id", F.col("email").alias("user_email"))
-    unknown = asked.filter(~F.col("known") & F.col("user_id").isNotNull()).drop("known", "email")
-    named = join_dimension(unknown, people, ["user_id"]).withColumnRenamed("user_email", "email").select(*known.columns)
-    named = named.unionByName(known)
-    if len(listed) > ADMIN_LIST:
-        audience = F.lit("admin")
-        hot = [messages.sparkSession.range(1).select(F.xxhash64(audience)).first()[0]]
-        copies = salted_join(
-            messages.select(*message_keys, audience.alias("audience")),
-            admins.withColumn("audience", audience),
-            ["audience"],
-            hot=hot,
-        )
-        named = named.unionByName(
-            copies.withColumn("priority", F.lit(len(roles))).withColumn("role", F.lit("Admin")).select(*known.columns)
-        )
+    asked = messages.select(*message_keys, F.explode(F.array(*entries).cast(ENTRIES)).alias("e")).select(*message_keys, "e.*")
+    asked = asked.filter(F.col("user_id").isNotNull())
+    named = join_on(asked, users.select("user_id", "email"), ["user_id"])
+    if with_admins:
+        admins = admins_of(users).select("user_id", "email", F.lit(AUDIENCE).alias("audience"))
+        told = messages.select(*message_keys, F.lit(AUDIENCE).alias("audience"))
+        copies = salted_join(told, admins, ["audience"], hot=[AUDIENCE]).drop("audience")
+        copies = copies.withColumns({"priority": F.lit(len(roles)), "role": F.lit("Admin")})
+        named = named.unionByName(copies)
     return first_per_address(named, message_keys)
 
 
-def recipient_entry(
-    priority: int, role: str, user_id: Column, email: Column | None = None, known: bool = False
-) -> Column:
+def recipient_entry(priority: int, role: str, user_id: Column) -> Column:
     return F.struct(
-        F.lit(priority).alias("priority"),
-        F.lit(role).alias("role"),
-        user_id.cast("bigint").alias("user_id"),
-        (email if email is not None else F.lit(None)).cast("string").alias("email"),
-        F.lit(known).alias("known"),
+        F.lit(priority).alias("priority"), F.lit(role).alias("role"), user_id.cast("bigint").alias("user_id")
     )
 
 
@@ -227,8 +216,8 @@ def recipient_address(notifications: DataFrame, users: DataFrame, teams: DataFra
     contacts = teams.filter(~F.col("is_deleted")).select(
         F.col("team_id").alias("recipient_team_id"), F.col("contact_email").alias("__team_email")
     )
-    out = join_dimension(notifications, people, ["recipient_user_id"], "left")
-    out = join_dimension(out, contacts, ["recipient_team_id"], "left", hot_in=notifications)
+    out = join_on(notifications, people, ["recipient_user_id"], "left")
+    out = join_on(out, contacts, ["recipient_team_id"], "left")
     team_box = F.concat(F.lit("team-"), F.col("recipient_team_id"), F.lit("@example.com"))
     contact = F.when(F.col("recipient_user_id").isNull(), F.col("__team_email"))
     address = F.coalesce(F.col("__user_email"), contact, team_box, F.lit(DEFAULT_ADDRESS))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from millrace.functions.numbers import age_band
-from millrace.operators.aggregates import count_by, sum_by
-from millrace.operators.skew import join_dimension
+from millrace.operators.aggregates import keep_first, count_by, sum_by
+from millrace.operators.skew import join_on
 
 
 @contextmanager
@@ -28,7 +28,7 @@ def cached(df: DataFrame, materialise: bool = False) -> Iterator[DataFrame]:
 
 def convert_currency(transactions: DataFrame, rates: DataFrame) -> DataFrame:
     """Amount in dollars; a currency without a rate keeps its row with a null amount."""
-    joined = join_dimension(transactions, rates, ["currency"], "left")
+    joined = join_on(transactions, rates, ["currency"], "left")
     return joined.withColumn("amount_usd", F.col("amount") * F.col("rate_to_usd"))
 
 
@@ -63,3 +63,8 @@ def posts_per_age_band(posts: DataFrame, users: DataFrame) -> DataFrame:
     per_user = count_by(posts, ["userId"], "posts")
     banded = per_user.join(users.select("userId", age_band(F.col("age")).alias("age_band")), "userId")
     return sum_by(banded, ["age_band"], "posts", "posts")
+
+
+def one_per_product(products: DataFrame) -> DataFrame:
+    """product_id and category, one row per product; of several the first category by name."""
+    return keep_first(products.select("product_id", "category"), ["product_id"], ["category"])

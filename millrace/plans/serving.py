@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.payloads import row_json
-from millrace.operators.ordering import MAX_PAGE_SIZE, page_of, with_total
-from millrace.operators.skew import join_dimension
+from millrace.operators.ordering import MAX_PAGE_SIZE, page_of
+from millrace.operators.skew import join_on
 
 
 def summary_of(summaries: DataFrame, day: str, customer_id: int) -> DataFrame:
@@ -38,6 +38,10 @@ def planned_page(
     """
     in_range = rows.filter(~F.col("is_deleted") & F.col(time_column).between(F.lit(start), F.lit(end)))
     creators = users.filter(~F.col("is_deleted")).select(F.col("user_id").alias("created_by"), "full_name")
-    visible = join_dimension(in_range, creators, ["created_by"])
-    paged = page_of(visible, [F.col(time_column).asc_nulls_last()], [unique], page, size)
-    return with_total(with_total(paged, in_range), visible, "total_visible")
+    visible = join_on(in_range, creators, ["created_by"])
+    paged = page_of(visible, [time_column], [unique], page, size)
+    # One pass over the range gives both totals.
+    marked = join_on(in_range, creators.withColumn("__seen", F.lit(True)), ["created_by"], "left")
+    totals = marked.agg(F.struct(F.count("*").alias("all"), F.count("__seen").alias("visible"))).scalar()
+    counted = paged.withColumn("__totals", totals)
+    return counted.withColumns({"total": F.col("__totals.all"), "total_visible": F.col("__totals.visible")}).drop("__totals")

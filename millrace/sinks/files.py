@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import fits
 from millrace.session import scratch_folder
 
 REPORT_ROWS = 100_000
@@ -88,20 +87,32 @@ def reachable(spark: SparkSession, path: str) -> bool:
 
 
 def write_report(
-    df: DataFrame, path: str, file_name: str, header: bool = True, max_rows: int = REPORT_ROWS
+    df: DataFrame,
+    path: str,
+    file_name: str,
+    header: bool = True,
+    kind: str = "csv",
+    single: bool = True,
+    max_rows: int = REPORT_ROWS,
 ) -> str:
-    """Export a CSV report; returns the path to read.
+    """Export a report as CSV or JSON lines; returns the path to read.
 
-    A result of checked size becomes one file with a fixed name. A larger one stays a folder of
-    part files under that name, written in parallel: it is never pulled through a single task.
+    The caller chooses the form: one file with that name, for which a result of more than
+    ``max_rows`` rows raises, or a folder of part files, written in parallel for any size.
     """
+    if kind not in ("csv", "json"):
+        raise ValueError(f"a report is csv or json, not {kind}")
     spark = df.sparkSession
     target = f"{path}/{file_name}"
-    if not fits(df, max_rows):
-        write_csv(df, target, header)
+    write = (lambda rows, to: write_csv(rows, to, header)) if kind == "csv" else write_json
+    if not single:
+        write(df, target)
         return target
+    # ``take`` stops at the bound, and only constants reach the driver.
+    if len(df.select(F.lit(1)).take(max_rows + 1)) > max_rows:
+        raise ValueError(f"more than {max_rows} rows do not go into one file; write a folder instead")
     staging = f"{path}/_staging_{file_name}"
-    write_csv(df.coalesce(1), staging, header)
+    write(df.coalesce(1), staging)
     fs, folder = _file_system(spark, staging)
     parts = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:

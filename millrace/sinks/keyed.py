@@ -1,72 +1,39 @@
-"""Keyed upsert into plain Parquet, for lakes without a keyed store."""
+"""Keyed upsert over plain Parquet, for lakes without a keyed store."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from millrace.session import settle
-from millrace.sinks.files import path_exists
+from millrace.operators.aggregates import keep_latest
 
 
-class KeyedTable:
-    """One row per key under ``path``: an upsert replaces the rows of equal key and keeps the rest.
-    The changes of one upsert must hold each key once.
+def merged(current: DataFrame | None, changes: DataFrame, keys: Sequence[str], latest: str | None = None) -> DataFrame:
+    """``current`` with the rows of equal key replaced by those of ``changes``, and new keys added.
 
-    Rows lie in hash buckets of the key. An upsert writes a new version of the buckets it touches
-    and then one small commit row per bucket, so a reader sees the old rows until the commit, a
-    repeated upsert changes nothing, and untouched buckets are not rewritten.
+    Of several changes of one key the one with the largest ``latest`` counts, then the first by its
+    other columns.
     """
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16):
-        self.spark = spark
-        self.path = path
-        self.keys = list(keys)
-        self.buckets = buckets
-
-    def _bucket(self):
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def _current(self) -> dict[int, int]:
-        """Newest version per bucket; never more entries than buckets."""
-        if not path_exists(self.spark, f"{self.path}/commits"):
-            return {}
-        commits = self.spark.read.schema("bucket int, version int").parquet(f"{self.path}/commits")
-        newest = commits.groupBy("bucket").agg(F.max("version").alias("version"))
-        return {row["bucket"]: row["version"] for row in newest.collect()}
-
-    def _rows(self, current: dict[int, int]) -> DataFrame | None:
-        if not current:
-            return None
-        paths = [f"{self.path}/rows/version={v}/bucket={b}" for b, v in sorted(current.items())]
-        return self.spark.read.parquet(*paths)
-
-    def read(self) -> DataFrame | None:
-        """All current rows, or None before the first upsert."""
-        return self._rows(self._current())
-
-    def upsert(self, changes: DataFrame) -> None:
-        current = self._current()
-        version = max(current.values(), default=0) + 1
-        # Settled, as the touched buckets and the new rows must come from one evaluation.
-        changes = settle(changes.withColumn("bucket", self._bucket()), "changes")
-        touched = [row[0] for row in changes.select("bucket").distinct().collect()]
-        if not touched:
-            return
-        stored = self._rows({b: current[b] for b in touched if b in current})
-        merged = changes
-        if stored is not None:
-            kept = stored.join(changes.select(*self.keys), self.keys, "left_anti")
-            merged = kept.withColumn("bucket", self._bucket()).unionByName(changes)
-        (
-            merged.withColumn("version", F.lit(version))
-            .hint("rebalance", "bucket")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("version", "bucket")
-            .parquet(f"{self.path}/rows")
-        )
-        commit = self.spark.createDataFrame([(b, version) for b in touched], "bucket int, version int")
-        commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+    newest = keep_latest(changes, keys, latest)
+    if current is None:
+        return newest
+    return current.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest)
+
+
+def upsert(
+    changes: DataFrame,
+    keys: Sequence[str],
+    current: str | None,
+    target: str,
+    latest: str | None = None,
+    tasks: int | None = None,
+) -> None:
+    """Write the table under ``current`` (None for an empty one) with ``changes`` merged in to ``target``.
+
+    A new path each time: readers keep the old table until they are pointed to the new one, and a
+    repeated upsert gives the same rows.
+    """
+    stored = changes.sparkSession.read.parquet(current) if current else None
+    rows = merged(stored, changes, keys, latest)
+    (rows.repartition(tasks, *keys) if tasks else rows).write.mode("overwrite").parquet(target)

@@ -45,13 +45,9 @@ def read_lake_day(spark: SparkSession, path: str, day: str, column: str = "date"
 
 
 def trip_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank data lines as an array of untrimmed fields ``f``; a header, when the first line
-    is one, is dropped."""
+    """Non-blank data lines as an array of untrimmed fields ``f``; header lines are dropped."""
     lines = spark.read.text(path)
-    first = lines.head(1)
-    keep = F.trim("value") != ""
-    if first and "tripid" in first[0]["value"].lower():
-        keep = keep & ~F.lower(F.trim("value")).startswith("tripid")
+    keep = (F.trim("value") != "") & ~F.lower(F.trim("value")).startswith("tripid")
     # Unrolling one value keeps filters above the split, so a line is split once and not per field.
     fields = F.explode(F.array(F.split("value", ",")))
     return lines.filter(keep).select(fields.alias("f")).filter(F.size("f") >= len(TRIP_FIELDS))

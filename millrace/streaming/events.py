@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.text import payload_sample
-from millrace.operators.aggregates import count_by, sum_by
-from millrace.operators.ordering import top_k
 from millrace.operators.rows import split_rows
 from millrace.plans.sales import cached
 from millrace.sinks.files import replace_partitions
@@ -47,34 +45,51 @@ def normalise(valid: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     )
 
 
-def metric_rows(df: DataFrame, metric: str, key: str, value: str) -> DataFrame:
-    return df.select(
-        F.lit(metric).alias("metric"), F.col(key).cast("string").alias("key"), F.col(value).cast("double").alias("value")
+def counted(events: DataFrame, keys: dict[str, Column], value: Column | None = None) -> DataFrame:
+    """(metric, key, value): one sum per metric and key, all from one pass; null keys are left out.
+
+    ``value`` is what a row adds, one by default; a metric's key may be a pair of key and own value.
+    """
+    one = value if value is not None else F.lit(1)
+    pairs = [F.struct(F.lit(m).alias("metric"), k.cast("string").alias("key")) for m, k in keys.items()]
+    rows = events.select(F.explode(F.filter(F.array(*pairs), lambda p: p["key"].isNotNull())).alias("p"), one.alias("one"))
+    return rows.groupBy("p.metric", "p.key").agg(F.sum("one").alias("value"))
+
+
+def event_counts(events: DataFrame) -> DataFrame:
+    """Rows, events per type, per customer and per product, to be added up over batches."""
+    return counted(
+        events,
+        {
+            "rows": F.lit("rows"),
+            "events_per_type": F.col("event_type"),
+            "top_customers": F.col("customer_id"),
+            "top_products": F.col("product_id"),
+        },
     )
 
 
-def event_metrics(events: DataFrame, k: int = 5) -> DataFrame:
-    """Row count, events per type, and the customers and products with most events."""
-    total = events.agg(F.count("*").alias("n")).withColumn("key", F.lit("rows"))
-    kinds = count_by(events, ["event_type"])
-    buyers = top_k(count_by(events, ["customer_id"]), "n", ["customer_id"], k)
-    named = events.filter(F.col("product_id").isNotNull())
-    wanted = top_k(count_by(named, ["product_id"]), "n", ["product_id"], k)
-    return (
-        metric_rows(total, "rows", "key", "n")
-        .unionByName(metric_rows(kinds, "events_per_type", "event_type", "n"))
-        .unionByName(metric_rows(buyers, "top_customers", "customer_id", "n"))
-        .unionByName(metric_rows(wanted, "top_products", "product_id", "n"))
-    )
+def action_counts(events: DataFrame) -> DataFrame:
+    """Events per action and the sum of values per user, to be added up over batches."""
+    actions = counted(events, {"events_per_action": F.col("action")})
+    users = counted(events, {"top_users": F.col("userId")}, F.col("value"))
+    return actions.withColumn("value", F.col("value").cast(users.schema["value"].dataType)).unionByName(users)
 
 
-def action_metrics(events: DataFrame, k: int = 5) -> DataFrame:
-    """Events per action and the users with the largest sum of values."""
-    actions = count_by(events, ["action"])
-    users = top_k(sum_by(events, ["userId"], "value", "total"), "total", ["userId"], k)
-    return metric_rows(actions, "events_per_action", "action", "n").unionByName(
-        metric_rows(users, "top_users", "userId", "total")
-    )
+def metrics(counts: DataFrame, k: int = 5, per_batch: bool = False) -> DataFrame:
+    """The counts of the whole table, or of each batch, with the ``k`` largest of each ``top_`` metric.
+
+    Ties go to the smaller number, or to the smaller text where keys are no numbers. The ranking
+    drops all but ``k`` rows of a metric in each task before they meet.
+    """
+    batch = ["batch_id"] if per_batch else []
+    total = counts.groupBy(*batch, "metric", "key").agg(F.sum("value").alias("value"))
+    listed = F.col("metric").startswith("top_")
+    order = [F.col("value").desc(), F.col("key").try_cast("bigint"), F.col("key")]
+    place = F.row_number().over(Window.partitionBy(*batch, "metric").orderBy(*order))
+    best = total.filter(listed).withColumn("place", place).filter(F.col("place") <= k).drop("place")
+    every = total.filter(~listed).unionByName(best)
+    return every.withColumn("value", F.col("value").cast("double"))
 
 
 def dead_letters(malformed: DataFrame, reason: str = "missing event_id or event_type") -> DataFrame:
@@ -90,7 +105,9 @@ def dead_letter_report(letters: DataFrame, samples: int = 5) -> DataFrame:
 
 @dataclass
 class EventArchive:
-    """One query that writes events, metrics and dead letters of each micro-batch.
+    """One query that writes events, counts and dead letters of each micro-batch.
+
+    ``metrics`` makes the metrics of each batch, or of all of them, from the stored counts.
 
     The source is read once for all outputs. Each output has a partition per batch, which a
     repeated batch overwrites, so a restart neither loses nor doubles rows. The archive is laid
@@ -109,7 +126,7 @@ class EventArchive:
             batch = F.lit(batch_id).cast("bigint")
             events = normalise(valid)
             replace_partitions(events.withColumn("batch_id", batch), self.events_path, ["event_date", "batch_id"])
-            replace_partitions(event_metrics(events).withColumn("batch_id", batch), self.metrics_path, ["batch_id"])
+            replace_partitions(event_counts(events).withColumn("batch_id", batch), self.metrics_path, ["batch_id"])
             replace_partitions(dead_letters(malformed).withColumn("batch_id", batch), self.letters_path, ["batch_id"])
 
     def start(self, messages: DataFrame, codec, checkpoint: str, every: str | None = EVERY) -> StreamingQuery:

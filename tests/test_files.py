@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.formats import compare_formats
 from millrace.sinks import files
-from millrace.sinks.keyed import KeyedTable
+from millrace.sinks.keyed import upsert
 from millrace.sources import files as scans
 from millrace.session import scratch_path
 
@@ -66,14 +66,20 @@ def test_untouched_partitions_survive(spark, rows, tmp_path):
     assert rows(spark.read.parquet(path), "v", "p") == [(1, "a"), (9, "b")]
 
 
-def test_report_is_one_file_or_a_folder(spark, tmp_path):
+def test_report_is_the_form_the_caller_asks_for(spark, tmp_path):
     df = spark.range(0, 50, 1, 5)
     single = files.write_report(df, str(tmp_path / "a"), "r.csv")
-    folder = files.write_report(df, str(tmp_path / "b"), "r.csv", max_rows=10)
-    assert (tmp_path / "a" / "r.csv").is_file() and (tmp_path / "b" / "r.csv").is_dir()
+    folder = files.write_report(df, str(tmp_path / "b"), "r.csv", single=False)
+    lines = files.write_report(df, str(tmp_path / "c"), "r.json", kind="json")
+    assert (tmp_path / "a" / "r.csv").is_file() and (tmp_path / "b" / "r.csv").is_dir() and (tmp_path / "c" / "r.json").is_file()
     assert [p.name for p in (tmp_path / "a").iterdir() if not p.name.startswith(".")] == ["r.csv"]
     for path in (single, folder):
         assert spark.read.option("header", True).csv(path).count() == 50
+    assert spark.read.schema("id bigint").json(lines).distinct().count() == 50
+    with pytest.raises(ValueError):
+        files.write_report(df, str(tmp_path / "d"), "r.csv", max_rows=10)
+    with pytest.raises(ValueError):
+        files.write_report(df, str(tmp_path / "d"), "r.xml", kind="xml")
 
 
 def test_cleanup_and_reachability(spark, tmp_path):
@@ -104,26 +110,15 @@ def test_formats_keep_all_rows(spark, tmp_path):
     assert size["parquet"] < size["csv"] < size["json"]
 
 
-def test_keyed_table(spark, rows):
-    table = KeyedTable(spark, scratch_path(spark, "keyed"), ["k"], buckets=3)
-    assert table.read() is None
-    table.upsert(spark.createDataFrame([(i, "old") for i in range(20)], "k int, v string"))
-    change = spark.createDataFrame([(3, "new"), (99, "new")], "k int, v string")
-    for _ in range(2):
-        table.upsert(change)
+def test_upserts_replace_rows_of_equal_key(spark, rows):
+    paths = [scratch_path(spark, "keyed") for _ in range(4)]
+    upsert(spark.createDataFrame([(i, "old", 0) for i in range(20)], "k int, v string, at int"), ["k"], None, paths[0])
+    change = spark.createDataFrame([(3, "new", 2), (3, "older", 1), (99, "new", 1)], "k int, v string, at int")
+    for before, after in zip(paths, paths[1:3]):
+        upsert(change, ["k"], before, after, latest="at")
     expected = [(i, "new" if i == 3 else "old") for i in range(20)] + [(99, "new")]
-    assert rows(table.read(), "k", "v") == sorted(expected, key=repr)
-    table.upsert(change.limit(0))
-    assert table.read().count() == 21
-
-
-def test_keyed_table_ignores_an_uncommitted_write(spark, rows):
-    path = scratch_path(spark, "keyed")
-    table = KeyedTable(spark, path, ["k"], buckets=1)
-    table.upsert(spark.createDataFrame([(1, "a")], "k int, v string"))
-    # A writer that died after its rows and before its commit.
-    left = spark.createDataFrame([(1, "lost", 2, 0)], "k int, v string, version int, bucket int")
-    left.write.mode("append").partitionBy("version", "bucket").parquet(f"{path}/rows")
-    assert rows(table.read(), "k", "v") == [(1, "a")]
-    table.upsert(spark.createDataFrame([(2, "b")], "k int, v string"))
-    assert rows(table.read(), "k", "v") == [(1, "a"), (2, "b")]
+    assert rows(spark.read.parquet(paths[2]), "k", "v") == sorted(expected, key=repr)
+    upsert(change.limit(0), ["k"], paths[2], paths[3], tasks=3)
+    assert spark.read.parquet(paths[3]).count() == 21
+    # The earlier version is untouched.
+    assert spark.read.parquet(paths[0]).filter("v = 'new'").count() == 0

@@ -135,7 +135,15 @@ def test_paging(spark, rows, monkeypatch):
             ordering.page_of(df, ["k"], ["id"], page, size)
 
 
-def test_seeded_sample_repeats(spark, rows):
+def test_deep_pages_exist_and_keep_nulls_last(spark, rows):
+    df = spark.range(0, 100_600).withColumn("t", F.when(F.col("id") >= 300, F.col("id")))
+    got = rows(ordering.page_of(df, ["t"], ["id"], 201, 500))
+    # After 100,300 rows with a time come those without, by id.
+    assert sorted(r[0] for r in got) == [*range(200), *range(100_300, 100_600)]
+    assert sum(r[1] is None for r in got) == 200
+
+
+def test_seeded_sample_does_not_depend_on_the_layout(spark, rows):
     df = spark.range(0, 1000, 1, 4)
-    first = rows(ordering.sample_rows(df, 0.05, 7))
-    assert first == rows(ordering.sample_rows(df, 0.05, 7)) and 10 < len(first) < 120
+    first = rows(ordering.sample_rows(df, 0.05, 7, ["id"]))
+    assert first == rows(ordering.sample_rows(df.repartition(3), 0.05, 7, ["id"])) and 20 < len(first) < 90

@@ -7,6 +7,8 @@ import __spark_entry__ as entry
 from millrace.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
+# What these look for does not occur in so few rows.
+EMPTY_ON_SMALL_TABLES = {"filtered_global_sort", "price_threshold"}
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +19,7 @@ def con():
 def test_oracles_name_registered_queries():
     assert set(QUERIES) <= set(entry.queries())
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"seeded_sample", "storage_format_costs"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -32,7 +34,7 @@ def test_query(spark, con, plan, name):
     got = df.toPandas()
     if name in ORACLES:
         problem = differences(got, con.execute(ORACLES[name]).df())
-        assert problem in (None, "no rows on either side")
+        assert problem is None or name in EMPTY_ON_SMALL_TABLES and problem == "no rows on either side"
     else:
         assert len(got) > 0
 

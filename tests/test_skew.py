@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import skew
-from millrace.operators.aggregates import keep_first, position, running_total, top_one
+from millrace.operators.aggregates import keep_first, keep_latest, position, running_total, top_one
 from millrace.operators.joins import join_roles, restrict_adaptive, restrict_to_keys
 
 
@@ -19,42 +19,40 @@ def names(spark):
     return spark.range(0, 400).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
 
 
-def test_hot_keys_are_found(spark, facts):
-    hot = skew.hot_key_hashes(facts, ["k"])
-    expected = spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint")), F.xxhash64(F.lit(None).cast("bigint"))).first()
-    assert set(hot) == set(expected)
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(facts, names, rows, how):
-    plain = facts.join(names.withColumn("k", F.col("k").cast("bigint")), ["k"], how)
-    salted = skew.salted_join(facts, names, ["k"], how)
+    plain = skew.join_on(facts, names, ["k"], how)
+    salted = skew.salted_join(facts, names, ["k"], [7, None], how)
     assert rows(salted.select(plain.columns)) == rows(plain)
 
 
 def test_salted_join_refuses_other_joins(facts, names):
     with pytest.raises(ValueError):
-        skew.salted_join(facts, names, ["k"], "full")
+        skew.salted_join(facts, names, ["k"], [7], "full")
+
+
+def test_keys_meet_by_their_common_type(spark, rows):
+    facts = spark.createDataFrame([(1,), (2,)], "k int")
+    halves = spark.createDataFrame([(1.5, "x"), (2.0, "y")], "k double, v string")
+    large = spark.createDataFrame([(2**40, "x"), (1, "y")], "k bigint, v string")
+    for hot in ([], [1], [2], [1, 2]):
+        assert rows(skew.salted_join(facts, halves, ["k"], hot), "k", "v") == [(2, "y")]
+        assert rows(skew.salted_join(facts, large, ["k"], hot), "k", "v") == [(1, "y")]
 
 
-def test_hot_rows_are_spread(spark, facts, names):
+def test_rows_without_anything_but_the_key_are_spread(spark):
+    keys = spark.range(0, 200_000, 1, 4).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).cast("bigint").alias("k"))
+    names = spark.range(0, 200_000).select(F.col("id").alias("k"), F.lit("n").alias("name"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        joined = skew.salted_join(facts, names, ["k"])
+        joined = skew.salted_join(keys, names, ["k"], [7], salts=64)
         per_task = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", True)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert max(per_task) < 0.45 * sum(per_task)
-
-
-def test_dimension_broadcast_only_when_small(facts, names, plan, rows):
-    small = skew.join_dimension(facts, names.withColumn("k", F.col("k").cast("bigint")), ["k"])
-    large = skew.join_dimension(facts, names, ["k"], max_rows=10)
-    assert "BroadcastHashJoin" in plan(small)
-    assert "__salt" in plan(large)
-    assert rows(small.select("k", "id", "name")) == rows(large.select("k", "id", "name"))
+    assert sum(per_task) == 200_000
+    assert max(per_task) < 2 * sum(per_task) / len(per_task)
 
 
 def test_restriction_forms_agree(facts, rows):
@@ -84,6 +82,36 @@ def test_keep_first_ignores_partitioning(facts, rows):
     assert len({k for k, _, _ in one}) == len(one)
 
 
+def test_rows_move_before_they_are_sorted(spark, facts, plan):
+    """No sort below an exchange: the rows of a key are sorted once, where they meet."""
+    for df in (
+        keep_first(facts, ["k"], ["id"]),
+        top_one(facts.withColumn("l", F.col("id").cast("string")), ["k"], "id", "l", "best"),
+        keep_latest(facts, ["k"], "id"),
+    ):
+        lines = [x for x in plan(df).split("\n") if "- " in x or x.startswith("*")]
+        names = [x.strip(" +-*:").split(" (")[0] for x in lines[: next(i for i, x in enumerate(lines) if "Range" in x) + 1]]
+        assert "Exchange" in names and names.count("Sort") == 1
+        assert names.index("Sort") < names.index("Exchange")
+
+
+def test_keep_first_forms_agree(facts, rows):
+    copies = facts.select(F.coalesce("k", F.lit(-1)).alias("k"), (F.col("id") % 50).alias("o"), F.col("id").alias("v"))
+    assert rows(keep_first(copies, ["k"], ["o"])) == rows(keep_first(copies, ["k"], ["o"], many_copies=True))
+
+
+def test_null_labels_come_last(spark, rows):
+    df = spark.createDataFrame([("g", None, 5), ("g", "a", 5), ("h", None, 1)], "g string, l string, w int")
+    assert rows(top_one(df, ["g"], "w", "l", "best")) == [("g", "a"), ("h", None)]
+
+
+def test_running_total_moves_the_rows_once(spark, plan):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_custkey")
+    text = plan(running_total(orders, ["o_orderkey"], "o_custkey", "total"))
+    moved = [x for x in text.split("\n") if "hashpartitioning(__range" in x or "rangepartitioning" in x]
+    assert sum("rangepartitioning" in x for x in moved) == 0
+
+
 def test_winner_ties_go_to_the_first_label(spark, rows):
     df = spark.createDataFrame([("g", "b", 5), ("g", "a", 5), ("g", "c", 1), ("h", "z", 1)], "g string, l string, w int")
     assert rows(top_one(df, ["g"], "w", "l", "best")) == [("g", "a"), ("h", "z")]

@@ -46,9 +46,25 @@ def test_repeated_batch_changes_nothing(spark):
         kept.handle(decoded, batch_id)
     assert spark.read.parquet(kept.events_path).count() == 2 * len(GOOD)
     assert spark.read.parquet(kept.letters_path).count() == 2 * len(BAD)
-    metrics = {(r["batch_id"], r["metric"], r["key"]): r["value"] for r in spark.read.parquet(kept.metrics_path).collect()}
+    counts = spark.read.parquet(kept.metrics_path)
+    metrics = {(r["batch_id"], r["metric"], r["key"]): r["value"] for r in ev.metrics(counts, per_batch=True).collect()}
     assert metrics[1, "rows", "rows"] == 3 and metrics[0, "events_per_type", "LIKE"] == 2
     assert not any(m == "top_products" and k is None for _, m, k in metrics)
+    whole = {(r["metric"], r["key"]): r["value"] for r in ev.metrics(counts).collect()}
+    assert whole["rows", "rows"] == 6 and whole["events_per_type", "LIKE"] == 4
+
+
+def test_metrics_do_not_depend_on_the_number_of_batches(spark, rows):
+    kinds = [(f"e{i}", i % 7, "LIKE" if i % 3 else "VIEW", i % 11) for i in range(60)]
+    events = spark.createDataFrame(kinds, "event_id string, customer_id int, event_type string, product_id int")
+    parts = [events.filter(f"customer_id % 3 = {b}") for b in range(3)]
+    stored = parts[0].sparkSession.createDataFrame([], "metric string, key string, value bigint")
+    for part in parts:
+        stored = stored.unionByName(ev.event_counts(part))
+    assert rows(ev.metrics(stored)) == rows(ev.metrics(ev.event_counts(events)))
+    top = [r for r in rows(ev.metrics(stored)) if r[0] == "top_products"]
+    # Five of eleven: the most frequent, ties by number and not by text.
+    assert [t[1] for t in sorted(top, key=lambda t: int(t[1]))] == ["0", "1", "2", "3", "4"]
 
 
 def test_empty_batch_writes_nothing(spark):
@@ -114,7 +130,7 @@ def test_routes(spark):
 
 def test_action_metrics(spark, rows):
     df = spark.createDataFrame([("u1", "click", 2.0), ("u1", "view", 3.0), ("u2", "click", 1.0)], ev.USER_EVENT)
-    got = rows(ev.action_metrics(df, k=1))
+    got = rows(ev.metrics(ev.action_counts(df), k=1))
     assert got == [("events_per_action", "click", 2.0), ("events_per_action", "view", 1.0), ("top_users", "u1", 5.0)]
 
 

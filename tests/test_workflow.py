@@ -50,9 +50,7 @@ def test_damaged_return_opens_a_ticket(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("admin_list", [200, 1])
-def test_recipient_with_two_roles_gets_one_message(spark, rows, plan, monkeypatch, admin_list):
-    monkeypatch.setattr(notifications, "ADMIN_LIST", admin_list)
+def test_recipient_with_two_roles_gets_one_message(spark, rows, plan):
     users = spark.createDataFrame(
         [(1, "a@x.co", ["staff"]), (2, "b@x.co", ["ADMIN"]), (3, "a@x.co", ["admin"]), (4, " ", ["admin"])],
         "user_id bigint, email string, roles array<string>",
@@ -117,6 +115,29 @@ def test_delivery(spark, rows):
     assert rows(notifications.record_delivery(df, outcomes, now())) == [(1, 0, "sent", NOW), (2, 3, "failed", None), (3, 0, "pending", None)]
 
 
+def test_of_repeated_changes_the_latest_counts(spark, rows):
+    schema = "notification_id bigint, attempts int, status string, sent_at timestamp"
+    df = spark.createDataFrame([(1, 0, "pending", None)], schema)
+    twice = spark.createDataFrame([(1, True, 1), (1, False, 2)], "notification_id bigint, delivered boolean, at int")
+    assert rows(notifications.record_delivery(df, twice, now(), latest="at")) == [(1, 1, "pending", None)]
+    tickets = spark.createDataFrame([(1, 5, False, NOW), (2, 5, True, NOW)],
+        "ticket_id bigint, assigned_to_employee_id bigint, is_deleted boolean, updated_at timestamp")
+    moves = spark.createDataFrame([(1, 8, 1), (1, None, 2), (2, 9, 1)], "ticket_id bigint, assigned_to_employee_id bigint, at int")
+    moved = equipment.reassign_tickets(tickets, moves, now(), latest="at")
+    assert rows(moved, "ticket_id", "assigned_to_employee_id") == [(1, None), (2, 5)]
+    titles = spark.createDataFrame([(1, "old", NOW)], "id bigint, title string, updated_at timestamp")
+    change = spark.createDataFrame([(1, "b", 2), (1, "a", 1)], "id bigint, title string, at int")
+    assert rows(equipment.apply_changes(titles, change, "id", now(), latest="at"), "id", "title") == [(1, "b")]
+
+
+def test_mark_returned(spark, rows):
+    held = spark.createDataFrame([(1, "ACTIVE", None, False, None), (2, "ACTIVE", None, True, None)],
+        "allocation_id bigint, status string, returned_at timestamp, is_deleted boolean, updated_at timestamp")
+    back = spark.createDataFrame([(1, NOW), (1, NOW), (2, NOW), (3, NOW)], "allocation_id bigint, returned_at timestamp")
+    got = rows(equipment.mark_returned(held, back, now()), "allocation_id", "status", "returned_at")
+    assert got == [(1, "RETURNED", NOW), (2, "ACTIVE", None)]
+
+
 def test_outbox(spark, rows):
     schema = "event_id bigint, status string, published_at timestamp, last_error string"
     old = dt.datetime(2024, 1, 1)
