@@ -54,6 +54,13 @@ def json_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark, "json", path, ORDER_SCHEMA)
 
 
+@query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE o_totalprice > 300000) AS n_high FROM orders")
+def counts_of_a_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted while the rows are written, without another pass."""
+    seen = files.write_observed(order_rows(spark, sf_dir), scratch_path(spark, "observed"), n_high=F.col("o_totalprice") > 300_000)
+    return spark.createDataFrame([(seen["n_rows"], seen["n_high"])], "n_rows bigint, n_high bigint")
+
+
 @query("SELECT o_orderkey || '|' || o_orderstatus AS value FROM orders")
 def text_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "text")
@@ -210,6 +217,20 @@ def repartition_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.count("*").cast("int").alias("partitions"), F.sum("n_rows").alias("n"))
 
 
+@query("""
+SELECT table_name AS name, count(*) AS n_columns, string_agg(column_name, ',' ORDER BY ordinal_position) AS columns, 3 AS partitions
+FROM information_schema.columns WHERE table_name IN ('nation', 'orders', 'lineitem') GROUP BY 1""")
+def tables_inspected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a look at the schema text and at the partitions of three tables shows."""
+    keys = {"nation": "n_nationkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+    seen = []
+    for name, key in keys.items():
+        rows = control.by_key(table(spark, sf_dir, name), key, partitions=3)
+        fields = [f.split(":")[0] for f in control.schema_text(rows).removeprefix("struct<").removesuffix(">").split(",")]
+        seen.append((name, len(fields), ",".join(fields), control.partition_count(rows)))
+    return spark.createDataFrame(seen, "name string, n_columns bigint, columns string, partitions int")
+
+
 @query("SELECT 2 AS partitions, count(*) AS n FROM lineitem")
 def coalesce_to_fewer(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread = control.by_key(table(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey", partitions=8)

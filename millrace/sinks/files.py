@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_folder
@@ -16,6 +16,14 @@ def write_parquet(df: DataFrame, path: str, codec: str = "snappy") -> None:
     df.write.mode("overwrite").option("compression", codec).parquet(path)
 
 
+def write_observed(df: DataFrame, path: str, **counts: Column) -> dict[str, int]:
+    """Write Parquet and count the written rows, and those that meet each condition, on the way."""
+    seen = Observation()
+    counted = [F.count(F.lit(1)).alias("n_rows"), *(F.count_if(c).alias(name) for name, c in counts.items())]
+    write_parquet(df.observe(seen, *counted), path)
+    return seen.get
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 

@@ -67,6 +67,21 @@ def test_metrics_do_not_depend_on_the_number_of_batches(spark, rows):
     assert [t[1] for t in sorted(top, key=lambda t: int(t[1]))] == ["0", "1", "2", "3", "4"]
 
 
+def test_timed_trigger_runs_batches_until_stopped(spark):
+    kept, root = archive(spark)
+    messages(spark, GOOD + BAD).write.parquet(f"{root}/in")
+    stream = file_stream(spark, f"{root}/in", "value binary, received_at timestamp")
+    running = kept.start(stream, JsonCodec(ev.CUSTOMER_EVENT), f"{root}/checkpoint", every="200 milliseconds")
+    try:
+        running.processAllAvailable()
+        messages(spark, GOOD).write.mode("append").parquet(f"{root}/in")
+        running.processAllAvailable()
+        assert running.isActive
+    finally:
+        running.stop()
+    assert spark.read.parquet(kept.events_path).count() == 2 * len(GOOD)
+
+
 def test_empty_batch_writes_nothing(spark):
     from millrace.sinks.files import path_exists
 
