@@ -9,7 +9,6 @@ from millrace.functions.payloads import json_field
 from millrace.functions.times import shown_in_zone
 from millrace.operators.skew import join_on
 from millrace.plans.notifications import DEFAULT_ADDRESS, expand_recipients, first_per_address, recipient_address
-from millrace.session import settle
 
 # Subjects per event type.
 TICKET_SUBJECTS = {
@@ -216,12 +215,16 @@ def team_messages(events: DataFrame, teams: DataFrame, members: DataFrame, users
     staff = join_on(members, users.select("user_id", "email"), ["user_id"])
     joined = join_on(staff.select("team_id", "user_id", "email"), events.select("team_id", "event_id"), ["team_id"])
     people = joined.select("event_id", F.lit(1).alias("priority"), F.lit("Member").alias("role"), F.col("user_id").cast("bigint").alias("user_id"), "email")
-    chosen = settle(first_per_address(contacts.unionByName(people), ["event_id"]).drop("user_id"), "recipients")
-    # An event may have very many recipients: they are the large side of this join.
-    addressed = join_on(chosen, content, ["event_id"])
-    alone = content.join(chosen.select("event_id").distinct(), "event_id", "left_anti")
-    fallback = alone.withColumn("email", F.lit(DEFAULT_ADDRESS)).withColumn("role", F.lit("Fallback"))
-    return addressed.unionByName(fallback.select(*addressed.columns))
+    chosen = first_per_address(contacts.unionByName(people), ["event_id"])
+    # An event without recipients keeps its row and goes to the default address.
+    addressed = join_on(content, chosen, ["event_id"], "left")
+    return addressed.select(
+        "event_id",
+        F.coalesce("email", F.lit(DEFAULT_ADDRESS)).alias("email"),
+        F.coalesce("role", F.lit("Fallback")).alias("role"),
+        "subject",
+        "body",
+    )
 
 
 def planner_messages(events: DataFrame, entries: DataFrame, users: DataFrame) -> DataFrame:
@@ -311,7 +314,5 @@ def _addressed(
     texts: list[str] | None = None,
     with_admins: bool = True,
 ) -> DataFrame:
-    # Stored once: the recipients and the final texts both start from it.
-    content = settle(content, "messages")
-    people = expand_recipients(content, roles, users, ["event_id"], with_admins)
-    return people.drop("user_id").join(content.select("event_id", *(texts or ["subject", "body"])), "event_id")
+    people = expand_recipients(content, roles, users, ["event_id"], with_admins, texts or ["subject", "body"])
+    return people.drop("user_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +23,8 @@ MAX_DELIVERY_ATTEMPTS = 3
 MAX_BACKOFF_ATTEMPTS = 5
 DEFAULT_ADDRESS = "no-reply@example.com"
 
-# What a message lists for its roles, and the key under which messages and admins meet.
-ENTRIES = "array<struct<priority:int,role:string,user_id:bigint>>"
-AUDIENCE = "admin"
+# The target that stands for all admins.
+ADMINS = "admins"
 
 
 def pending_rows(df: DataFrame, kind: Column, message: Column, at: Column, as_of: Column) -> DataFrame:
@@ -164,15 +165,18 @@ def retry_failed(
     return rescheduled.drop("reason"), alerts
 
 
-def first_per_address(recipients: DataFrame, message_keys: list[str]) -> DataFrame:
+def first_per_address(
+    recipients: DataFrame, message_keys: Sequence[str], carried: Sequence[str] = ()
+) -> DataFrame:
     """One recipient per message and address: the first by priority, then by user id.
 
-    ``recipients`` holds the message keys, priority, role, user_id and email. Rows meet per message
-    and address, so no message's recipients are ranked as one group.
+    ``recipients`` holds the message keys, priority, role, user_id, email and what is ``carried`` along
+    with a message. Rows meet per message and address, so no message's recipients are ranked as one group.
     """
     named = recipients.withColumn("email", F.trim("email")).filter(F.col("email") != "")
-    best = keep_first(named.select(*message_keys, "email", "priority", "user_id", "role"), [*message_keys, "email"], ["priority", "user_id", "role"])
-    return best.select(*message_keys, "email", "role", "user_id")
+    rows = named.select(*message_keys, "email", "priority", "user_id", "role", *carried)
+    best = keep_first(rows, [*message_keys, "email"], ["priority", "user_id", "role"])
+    return best.select(*message_keys, "email", "role", "user_id", *carried)
 
 
 def admins_of(users: DataFrame) -> DataFrame:
@@ -181,30 +185,37 @@ def admins_of(users: DataFrame) -> DataFrame:
 
 
 def expand_recipients(
-    messages: DataFrame, roles: list[tuple[str, str]], users: DataFrame, message_keys: list[str], with_admins: bool = True
+    messages: DataFrame,
+    roles: list[tuple[str, str]],
+    users: DataFrame,
+    message_keys: Sequence[str],
+    with_admins: bool = True,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """The people each message goes to, in role order: the users in the role columns, then admins.
 
-    ``roles`` lists (role, user column). Every message goes to every admin, so both meet under one
-    constant key, dealt over salts; admins are few, and adaptive execution broadcasts them if so.
+    ``roles`` lists (role, user column); ``carried`` names columns of the messages to keep. A message
+    asks for targets, each a user or all admins, and meets them in one join. Every message meets every
+    admin, so that one target is dealt over salts.
     """
-    entries = [recipient_entry(i, role, F.col(column)) for i, (role, column) in enumerate(roles)]
-    asked = messages.select(*message_keys, F.explode(F.array(*entries).cast(ENTRIES)).alias("e")).select(*message_keys, "e.*")
-    asked = asked.filter(F.col("user_id").isNotNull())
-    named = join_on(asked, users.select("user_id", "email"), ["user_id"])
+    targets = [recipient_target(i, role, user_target(F.col(column))) for i, (role, column) in enumerate(roles)]
+    people = users.select(user_target(F.col("user_id")).alias("target"), F.col("user_id").cast("bigint"), "email")
     if with_admins:
-        admins = admins_of(users).select("user_id", "email", F.lit(AUDIENCE).alias("audience"))
-        told = messages.select(*message_keys, F.lit(AUDIENCE).alias("audience"))
-        copies = salted_join(told, admins, ["audience"], hot=[AUDIENCE]).drop("audience")
-        copies = copies.withColumns({"priority": F.lit(len(roles)), "role": F.lit("Admin")})
-        named = named.unionByName(copies)
-    return first_per_address(named, message_keys)
+        targets.append(recipient_target(len(roles), "Admin", F.lit(ADMINS)))
+        admins = admins_of(users).select(F.lit(ADMINS).alias("target"), F.col("user_id").cast("bigint"), "email")
+        people = people.unionByName(admins)
+    kept = [*message_keys, *carried]
+    asked = messages.select(*kept, F.explode(F.array(*targets)).alias("t")).select(*kept, "t.*")
+    named = salted_join(asked.filter(F.col("target").isNotNull()), people, ["target"], hot=[ADMINS])
+    return first_per_address(named, message_keys, carried)
 
 
-def recipient_entry(priority: int, role: str, user_id: Column) -> Column:
-    return F.struct(
-        F.lit(priority).alias("priority"), F.lit(role).alias("role"), user_id.cast("bigint").alias("user_id")
-    )
+def user_target(user_id: Column) -> Column:
+    return F.concat(F.lit("user "), user_id.cast("bigint").cast("string"))
+
+
+def recipient_target(priority: int, role: str, target: Column) -> Column:
+    return F.struct(F.lit(priority).alias("priority"), F.lit(role).alias("role"), target.alias("target"))
 
 
 def recipient_address(notifications: DataFrame, users: DataFrame, teams: DataFrame) -> DataFrame:
