@@ -299,14 +299,13 @@ SELECT l_orderkey * 10 + l_linenumber AS ticket_id, min(l_partkey) AS equipment_
        min(l_linestatus) = 'F' AS is_resolved,
        CASE WHEN min(l_linestatus) = 'F' THEN max(l_shipdate) END AS resolved_at,
        min(l_shipdate) AS updated_at, max(l_tax) < 0.01 AS is_deleted
-FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_orderkey * 10 + l_linenumber"""
+FROM lineitem GROUP BY l_orderkey * 10 + l_linenumber"""
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     closed = F.min("l_linestatus") == "F"
     return (
         table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_returnflag") != "N")
         .groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ticket_id"))
         .agg(
             F.min("l_partkey").alias("equipment_id"),

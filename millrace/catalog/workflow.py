@@ -574,7 +574,7 @@ def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 TEAM_EVENTS = "SELECT -1 - n_nationkey AS event_id, n_nationkey AS team_id, CASE WHEN n_regionkey = 0 THEN 'CREATE' WHEN n_regionkey = 1 THEN 'RESTORE' ELSE 'MERGE' END AS action FROM nation"
 TEAM_PEOPLE = f"""
 SELECT event_id, 0 AS priority, 'TeamContact' AS role, NULL AS user_id, contact_email AS email FROM ({TEAM_EVENTS}) e JOIN ({frames.TEAMS}) t ON t.team_id = e.team_id WHERE contact_email IS NOT NULL
-UNION ALL SELECT event_id, 1, 'Member', user_id, email FROM ({TEAM_EVENTS}) e JOIN customer ON c_nationkey = e.team_id AND c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey <> 4
+UNION ALL SELECT event_id, 1, 'Member', user_id, email FROM ({TEAM_EVENTS}) e JOIN customer ON (CASE WHEN c_nationkey = 4 THEN -1 ELSE c_nationkey END) = e.team_id
   JOIN ({frames.USERS}) u ON u.user_id = c_custkey"""
 
 
@@ -589,9 +589,9 @@ def team_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").cast("bigint").alias("team_id"),
         F.when(region == 0, "CREATE").when(region == 1, "RESTORE").otherwise("MERGE").alias("action"),
     )
-    nation = F.col("c_nationkey")
-    staff = F.col("c_mktsegment").isin("BUILDING", "MACHINERY") & (nation != 4)
-    members = table(spark, sf_dir, "customer").filter(staff).select(nation.cast("bigint").alias("team_id"), F.col("c_custkey").alias("user_id"))
+    # The people of one nation belong to a team that is not there, which leaves that nation's team empty.
+    team = F.when(F.col("c_nationkey") == 4, -1).otherwise(F.col("c_nationkey")).cast("bigint").alias("team_id")
+    members = table(spark, sf_dir, "customer").select(team, F.col("c_custkey").alias("user_id"))
     rows = messages.team_messages(events, frames.teams(spark, sf_dir), members, frames.users(spark, sf_dir))
     return rows.select("event_id", "email", "role", "subject")
 
