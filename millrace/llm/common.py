@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,17 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Documents a Python function holds in parsed form at a time.
+DOCUMENTS = 256
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = DOCUMENTS) -> Iterator[pa.RecordBatch]:
+    """The batches cut to at most ``rows`` rows, none of them empty; their memory goes back at the end."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+    pa.default_memory_pool().release_unused()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,8 +9,8 @@ leaves goes to the shorter state, scaled so that each distribution sums to one.
 longest state that ends just before it.
 
 Size: a share bounds the number of contexts of each length by 1 / share, whatever the corpus, so these reach
-the driver and every task. Single words are counted in a table of any size; the ``COMMON_WORDS`` most
-frequent are sent to the tasks, and all others are looked up by a join of one row per document and word.
+the driver and every task. Single words are counted in a table of any size; at most ``COMMON_WORDS``, the
+most frequent, are sent to the tasks, and all others are looked up by a join of one row per document and word.
 
 Defined cases: a null text counts as empty and has the end alone; a null doc_id belongs to no fold, so it is
 scored but not learnt from; repeated rows are learnt from and scored as often as they come. Without training
@@ -29,18 +29,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_fold, table
+from millrace.llm.common import id_fold, in_parts, table
 from millrace.llm.registry import query
 from millrace.session import settle
 
-COMMON_WORDS = 2**18
+COMMON_WORDS = 2**17
 GRAM_SHARE = 2.0**-16
 MAX_CONTEXT = 3
 DISCOUNT = 0.5
 END = b""
 FOLDS, HELD_OUT = 7, 2
-# Distinct words or grams a task holds before it sends on what it has.
-HELD = 1_000_000
+# Distinct words (as Python objects) and grams (as numbers) a task holds before it sends on what it has.
+WORDS_HELD, GRAMS_HELD = 2**17, 2**19
 
 
 def words_and_end(text: str | None) -> list[bytes]:
@@ -57,10 +57,10 @@ def symbol_counts(docs: DataFrame) -> DataFrame:
             made = [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())]
             return pa.RecordBatch.from_arrays(made, names=["symbol", "n"])
 
-        for batch in batches:
+        for batch in in_parts(batches):
             for text in batch.column(0):
                 seen.update(words_and_end(text.as_py()))
-            if len(seen) > HELD:
+            if len(seen) > WORDS_HELD:
                 yield rows()
                 seen.clear()
         yield rows()
@@ -195,20 +195,29 @@ def _next_level(docs: DataFrame, tree: SuffixTree) -> None:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        new, waiting = [], 0
+
+        def add_new() -> None:
+            nonlocal codes, counts, new, waiting
+            found, n = np.unique(np.concatenate([np.zeros(0, np.int64), *new]), return_counts=True)
+            both, place = np.unique(np.concatenate([codes, found]), return_inverse=True)
+            codes, counts = both, np.bincount(place, np.concatenate([counts, n]), len(both)).astype(np.int64)
+            new, waiting = [], 0
 
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in in_parts(batches):
             symbols, starts, _ = _batch_symbols(shared.value, batch.column(0))
-            found, n = np.unique(shared.value.next_codes(symbols, starts), return_counts=True)
-            both, place = np.unique(np.concatenate([codes, found]), return_inverse=True)
-            codes, counts = both, np.bincount(place, np.concatenate([counts, n]), len(both)).astype(np.int64)
-            if len(codes) > HELD:
+            new.append(shared.value.next_codes(symbols, starts))
+            waiting += len(new[-1])
+            if waiting < GRAMS_HELD:
+                continue
+            add_new()
+            if len(codes) > GRAMS_HELD:
                 yield rows()
                 codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        add_new()
         yield rows()
 
     parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, "code long, n long")
@@ -217,14 +226,28 @@ def _next_level(docs: DataFrame, tree: SuffixTree) -> None:
     tree.add_level(kept["code"].to_numpy(np.int64), kept["n"].to_numpy(np.int64))
 
 
+def _least_common(counts: DataFrame, most: int) -> int:
+    """A count that at most ``most`` symbols reach: a power of two, then refined in sixteenths."""
+
+    def reached(bounds: list[int]) -> list[int]:
+        return list(counts.agg(*[F.count_if(F.col("n") >= b).alias(f"b{i}") for i, b in enumerate(bounds)]).first())
+
+    powers = [2**i for i in range(63)]
+    high = next(b for b, n in zip(powers, reached(powers)) if n <= most)
+    steps = sorted({max(1, high * k // 16) for k in range(8, 17)})
+    return next(b for b, n in zip(steps, reached(steps)) if n <= most)
+
+
 def grow(docs: DataFrame, max_context: int = MAX_CONTEXT) -> tuple[SuffixTree, DataFrame]:
     """The tree learnt from ``docs``, and the written table of all symbol counts."""
     counts = settle(symbol_counts(docs), "symbols")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
-    common = counts.orderBy(F.col("n").desc(), "symbol").limit(COMMON_WORDS).collect()
-    common.sort(key=lambda r: -r["n"])
+    common = counts.filter(F.col("n") >= _least_common(counts, COMMON_WORDS)).toArrow()
+    common = common.sort_by([("n", "descending"), ("symbol", "ascending")])
     least = max(2, int(np.ceil(sums["total"] * GRAM_SHARE)))
-    tree = SuffixTree([bytes(r["symbol"]) for r in common], [r["n"] for r in common], sums["total"], sums["distinct"], least)
+    tree = SuffixTree(
+        common["symbol"].to_pylist(), common["n"].to_pylist(), sums["total"], sums["distinct"], least
+    )
     for _ in range(max_context):
         if not len(tree.levels[-1].codes):
             break
@@ -244,10 +267,8 @@ def scores(docs: DataFrame, tree: SuffixTree, counts: DataFrame) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         model = shared.value
-        for batch in batches:
+        for batch in in_parts(batches):
             n = batch.num_rows
-            if not n:
-                continue
             symbols, starts, words = _batch_symbols(model, batch.column(1))
             known = symbols >= 0
             base = np.where(known, model.log_root[symbols], 0.0) if len(model.log_root) else np.zeros(len(symbols))
