@@ -39,7 +39,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, ceiling:
     Only the level (target per weight) is found on the driver, from three sums per round; the
     sources themselves stay in a table, however many there are.
     """
-    totals = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
+    # Settled, since numbering the sources reads them several times.
+    totals = settle(sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")), "totals")
     ordered = position(totals.withColumn("__null", F.col("source").isNull()), ["__null", "source"], "__place")
     dealt = F.element_at(F.lit(list(weights)), ((F.col("__place") - 1) % len(weights) + 1).cast("int"))
     sources = settle(ordered.select("source", dealt.cast("long").alias("weight"), "source_size"), "sources")
