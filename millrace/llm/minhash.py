@@ -129,7 +129,8 @@ def table_entries(sets: DataFrame, m: int) -> DataFrame:
 
     sub = sets.select("node", "signature").mapInArrow(sub_keys, "node long, place int, sub long")
     # The sub-key holds its place, so it tells the tables apart by itself.
-    shared = sub.groupBy("sub").agg(F.count("*").alias("n")).filter("n > 1")
+    # Settled, so that both sides of the join are dealt out for it and a heavy sub-key can be split.
+    shared = settle(sub.groupBy("sub").agg(F.count("*").alias("n")).filter("n > 1").select("sub"), "shared")
     kept = sub.join(shared, "sub", "left_semi")
     own = kept.groupBy("node").agg(
         F.collect_list(F.when(F.col("place") < m, F.col("sub"))).alias("first"),
@@ -233,6 +234,7 @@ def alike_edges(members: DataFrame, many: int, agreement: float) -> DataFrame:
                 yield _edges(found)
                 found = []
         yield _edges(found)
+        give_back()
 
     sorted_rows = (
         members.select("bucket", "one", "two", "own_block", "node", "signature")
@@ -266,6 +268,7 @@ def confirmed_edges(sets: DataFrame, percent: int) -> DataFrame:
                 yield _edges(found)
                 found = []
         yield _edges(found)
+        give_back()
 
     sorted_rows = (
         sets.select("cluster", "one", "two", "own_block", "node", "shingles")
@@ -321,6 +324,8 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     by_node = by_node.select(
         "node", F.coalesce("component_id", "least_doc").alias("component_id"), F.coalesce("group", "node").alias("group")
     )
+    # Settled like the sub-keys: a set that very many documents share is a heavy key below.
+    by_node = settle(by_node, "groups")
     blank = rows.filter("n_shingles = 0 OR doc_id IS NULL")
     blank = blank.withColumns({"component_id": F.col("doc_id"), "group": F.lit(None).cast("long")})
     out = known.join(by_node, "node").unionByName(blank).drop("signature")
