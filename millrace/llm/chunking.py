@@ -8,9 +8,9 @@ place, stays; a run of later occurrences is removed when it has at least ``MIN_W
 phrases which documents share by chance are left alone. At both ends of a run, chunks that do not continue
 their neighbour's first occurrence are left in place.
 
-Skew: every task resolves the repeats it sees itself and sends on one occurrence per chunk, so a passage
-that a third of all documents share costs one record per task. Records travel as packed arrays, one row per
-task and bucket of digests, in one shuffle; the texts move once, to meet what is to be removed.
+Skew: every task resolves the repeats among the ``HELD`` records it looks at together and sends on one occurrence
+per chunk, so a passage that a third of all documents share costs one record per so many. Records travel as packed
+arrays by bucket of digests, in one shuffle; the texts move once, to meet what is to be removed.
 
 Defined cases: a null text stays null and an empty text stays empty; a null doc_id comes after all others;
 rows with the same doc_id and text count as one document and are cut alike; rows with the same doc_id and
@@ -24,13 +24,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, table, text_check
+from millrace.llm.common import WORD, give_back, in_parts, table, text_check
 from millrace.llm.registry import query
 
 MIN_WORDS = 25
@@ -38,6 +37,8 @@ MIN_WORDS = 25
 WINDOW = 16
 WORD_END = 2**WINDOW // 4
 WIDE_START = 2**WINDOW // 16
+# Records a task holds before it sends on what it has.
+HELD = 2**18
 NO_ID = np.iinfo(np.int64).max
 GEAR = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=WINDOW) % 2**WINDOW for b in range(256)], np.uint16)
 SPACE = np.zeros(256, bool)
@@ -72,9 +73,10 @@ def digests(raw: bytes) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip([0, *ends], ends)], np.uint64)
 
 
-def _chunk_records(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-    parts = []
-    for batch in batches:
+def _chunk_records(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The records of one document after the other, in blocks of some ``HELD`` records."""
+    parts, held = [], 0
+    for batch in in_parts(batches):
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             raw = (text.as_py() or "").encode()
             found = digests(raw)
@@ -82,7 +84,12 @@ def _chunk_records(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
             part["digest"], part["index"] = found, np.arange(len(found))
             part["doc"], part["check"] = NO_ID if doc_id is None else doc_id, zlib.crc32(raw)
             parts.append(part)
-    return np.concatenate(parts) if parts else np.empty(0, RECORD)
+            held += len(part)
+            if held >= HELD:
+                yield np.concatenate(parts)
+                parts, held = [], 0
+    if parts:
+        yield np.concatenate(parts)
 
 
 def _split_repeats(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,18 +117,19 @@ def repeated_chunks(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     kind = pa.schema([("bucket", pa.int32()), ("records", pa.binary()), ("repeats", pa.binary())])
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, repeats = _split_repeats(_chunk_records(batches))
-        # Sorted by digest, so the records of a bucket of digests lie together.
-        bounds = [(k << 64) // buckets for k in range(buckets)]
-        places = [*np.searchsorted(first["digest"], np.array(bounds, np.uint64)).tolist(), len(first)]
-        share = np.linspace(0, len(repeats), buckets + 1).astype(int)
-        for k in range(buckets):
-            own = np.sort(first[places[k] : places[k + 1]], order=("doc", "index"))
-            done = repeats[share[k] : share[k + 1]]
-            if len(own) or len(done):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([own.tobytes()]), pa.array([done.tobytes()])], schema=kind
-                )
+        bounds = np.array([(k << 64) // buckets for k in range(buckets)], np.uint64)
+        for records in _chunk_records(batches):
+            first, repeats = _split_repeats(records)
+            # Sorted by digest, so the records of a bucket of digests lie together.
+            places = [*np.searchsorted(first["digest"], bounds).tolist(), len(first)]
+            share = np.linspace(0, len(repeats), buckets + 1).astype(int)
+            rows = []
+            for k in range(buckets):
+                own = np.sort(first[places[k] : places[k + 1]], order=("doc", "index"))
+                done = repeats[share[k] : share[k + 1]]
+                if len(own) or len(done):
+                    rows.append((k, own.tobytes(), done.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records, repeats = [np.empty(0, RECORD)], []
@@ -137,6 +145,7 @@ def repeated_chunks(docs: DataFrame, buckets: int | None = None) -> DataFrame:
                     [pa.array(np.ascontiguousarray(c)) for c in columns],
                     names=["doc", "check", "index", "first_doc", "first_index"],
                 )
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sent = rows.mapInArrow(dealt, "bucket int, records binary, repeats binary")
@@ -164,15 +173,16 @@ def removable_spans(raw: bytes, repeats: dict[int, tuple[int, int]], min_words:
     return out
 
 
-def _cut_out(texts: pd.Series, repeats: pd.Series, min_words: int) -> pd.DataFrame:
+def _cut_out(texts: pa.Array, repeats: pa.Array, min_words: int) -> pa.Array:
     cleaned, spans = [], []
     for text, found in zip(texts, repeats):
-        if text is None or found is None:
+        if not text.is_valid or not found.is_valid:
             cleaned.append(None)
             spans.append([])
             continue
-        raw, kept, last, own = text.encode(), [], 0, []
-        places = {x["index"]: (x["first_doc"], x["first_index"]) for x in found}
+        raw, kept, last, own = text.as_py().encode(), [], 0, []
+        of = [found.values.field(name).to_pylist() for name in ("index", "first_doc", "first_index")]
+        places = {i: (doc, index) for i, doc, index in zip(*of)}
         chars = 0
         for start, end, first in removable_spans(raw, places, min_words):
             before, inside = raw[last:start].decode(), raw[start:end].decode()
@@ -183,17 +193,19 @@ def _cut_out(texts: pd.Series, repeats: pd.Series, min_words: int) -> pd.DataFra
             last = end
         cleaned.append("".join(kept) + raw[last:].decode())
         spans.append(own)
-    return pd.DataFrame({"text": pd.Series(cleaned, dtype=object), "spans": pd.Series(spans, dtype=object)})
+    span = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("first_doc_id", pa.int64())])
+    return pa.StructArray.from_arrays([pa.array(cleaned, pa.string()), pa.array(spans, pa.list_(span))], ["text", "spans"])
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the cleaned ``text`` and ``__removed``: spans (start, length, first_doc_id) in characters."""
     spans = "array<struct<start:int,length:int,first_doc_id:long>>"
 
-    @F.pandas_udf(f"text string, spans {spans}")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(f"text string, spans {spans}")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, repeats in batches:
             yield _cut_out(texts, repeats, min_words)
+        give_back()
 
     repeats = repeated_chunks(docs)
     by_doc = repeats.groupBy("doc", "check").agg(

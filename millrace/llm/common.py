@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,7 +23,15 @@ def in_parts(batches: Iterator[pa.RecordBatch], rows: int = DOCUMENTS) -> Iterat
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
         del batch
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks, and would keep what a task needed."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

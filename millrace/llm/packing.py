@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import in_parts, table
 from millrace.llm.registry import query
 from millrace.llm.tokens import END_ID, default_vocabulary, word_ids
 
@@ -138,7 +138,7 @@ def packed_batches(batches: Iterator[pa.RecordBatch], vocabulary: str, tiers=TIE
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ARROW)], schema=ARROW)
 
-    for batch in batches:
+    for batch in in_parts(batches):
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             packer.add(doc_id, ids.of(text.as_py()) + end)
             if packer.full_tokens >= GROUPS_AT_ONCE * GROUP_TOKENS:

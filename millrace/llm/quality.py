@@ -24,12 +24,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_fold, table
+from millrace.llm.common import give_back, id_fold, table
 from millrace.llm.registry import query
 from millrace.session import settle
 
@@ -70,6 +69,10 @@ _SYMBOL = _PRINTED & ~_DIGIT & ~_UPPER & ~_LOWER
 _NO_LETTER = bytes(np.flatnonzero(~(_UPPER | _LOWER | (np.arange(256) > 127))).astype(np.uint8))
 
 
+def _matrix(rows: pa.Array) -> np.ndarray:
+    return rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+
+
 def statistics(text: str | None) -> list[float]:
     """The transformed statistics of one whole text."""
     raw = (text or "").encode()
@@ -110,10 +113,11 @@ def statistics(text: str | None) -> list[float]:
 def with_statistics(docs: DataFrame, text: str = "text", out: str = "statistics") -> DataFrame:
     """``docs`` with the array column ``out``."""
 
-    @F.pandas_udf("array<double>")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in texts:
-            yield series.map(statistics, na_action=None)
+    @F.arrow_udf("array<double>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([statistics(t.as_py()) for t in texts], pa.list_(pa.float64()))
+        give_back()
 
     return docs.withColumn(out, of(F.col(text).cast("string")))
 
@@ -180,10 +184,10 @@ def _calibrated(model: Discriminant, labelled: DataFrame) -> Discriminant:
     """The logistic fit of the label on the pressed difference, from a histogram of it."""
     width = 0.05
 
-    @F.pandas_udf("int")
-    def binned(x: pd.Series) -> pd.Series:
-        d = model.difference(np.stack(x.to_numpy()))
-        return pd.Series(np.clip(np.rint(d / width), -BINS // 2, BINS // 2).astype("int32"))
+    @F.arrow_udf("int")
+    def binned(x: pa.Array) -> pa.Array:
+        d = model.difference(_matrix(x))
+        return pa.array(np.clip(np.rint(d / width), -BINS // 2, BINS // 2).astype("int32"))
 
     counted = labelled.groupBy("label", binned("statistics").alias("bin")).count().collect()
     x = np.array([r["bin"] * width for r in counted])
@@ -226,14 +230,26 @@ def fit(labelled: DataFrame, shrinkage: float = SHRINKAGE, ridge: float = RIDGE)
 def with_scores(rows: DataFrame, model: Discriminant) -> DataFrame:
     """``rows``, which have ``statistics``, with ``score`` and ``predicted`` in its place."""
 
-    @F.pandas_udf("double")
-    def scored(x: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack(x.to_numpy())))
+    @F.arrow_udf("double")
+    def scored(x: pa.Array) -> pa.Array:
+        return pa.array(model.score(_matrix(x)))
 
     out = rows.withColumn("score", scored("statistics")).drop("statistics")
     return out.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def text_score(text: str, model: Discriminant) -> Column:
+    """The score of a text column, statistics and all in one pass through Python."""
+
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(model.score(np.array([statistics(t.as_py()) for t in texts]).reshape(len(texts), -1)))
+        give_back()
+
+    return scored(F.col(text).cast("string"))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Discriminant, DataFrame]:
     """The classifier, and the written statistics (doc_id, statistics) of all documents."""
     measured = settle(with_statistics(docs.select("doc_id", "text")).select("doc_id", "statistics"), "statistics")
@@ -243,9 +259,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Discriminant, DataFrame]:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents the classifier does not reject, all columns as they were."""
     model, _ = train(docs, labels)
-    marked = docs.withColumn("__doc", F.struct(*docs.columns))
-    scored = with_scores(with_statistics(marked.select("__doc", "text")), model)
-    return scored.filter("predicted = 1").select("__doc.*")
+    return docs.withColumn("__score", text_score("text", model)).filter("__score >= 0.5").select(*docs.columns)
 
 
 @query()
