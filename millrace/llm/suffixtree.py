@@ -1,16 +1,21 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Symbols are the words of a text (A-Z lower-cased) and one end. The root of the tree is the smoothed
-distribution of single symbols. A context of up to ``MAX_CONTEXT`` words is looked at if it makes up a share
-of ``GRAM_SHARE`` of all training symbols, and it becomes a state only if what follows it differs from what
+distribution of single symbols. A context of up to ``MAX_CONTEXT`` words is looked at if it occurs ``LEAST``
+times, however large the corpus (in a corpus of fewer than LEAST / GRAM_SHARE symbols it need only make up a
+share of ``GRAM_SHARE``, but occur twice), and it becomes a state only if what follows it differs from what
 follows its longest shorter state: its count times the Kullback-Leibler divergence must exceed the cost of
 describing its symbols. Each state names the symbols that follow it often enough, less a discount; what that
 leaves goes to the shorter state, scaled so that each distribution sums to one. A symbol is scored by the
 longest state that ends just before it.
 
-Size: a share bounds the number of contexts of each length by 1 / share, whatever the corpus, so these reach
-the driver and every task. Single words are counted in a table of any size; at most ``COMMON_WORDS``, the
-most frequent, are sent to the tasks, and all others are looked up by a join of one row per document and word.
+Size: in a small corpus each level has at most 1 / share grams, and the tree is held in memory. In any other
+the levels are tables that grow with the corpus, and a score is a sum of one weight per gram of the text
+(see ``_grown_tables``): the ``COMMON_GRAMS`` most frequent weights are sent to the tasks, all others are met by a
+join of one row per document and gram. A bit map of fixed size keeps most grams without a weight out of the
+join; where the tables outgrow it, it lets more through, but the result stays the same. Grams go by 64-bit hashes.
+Single words are counted in a table of any size; at most ``COMMON_WORDS``, the most frequent, are sent to the
+tasks, and all others are looked up by a join of one row per document and word.
 
 Defined cases: a null text counts as empty and has the end alone; a null doc_id belongs to no fold, so it is
 scored but not learnt from; repeated rows are learnt from and scored as often as they come. Without training
@@ -25,8 +30,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import id_fold, in_parts, table
@@ -34,13 +40,25 @@ from millrace.llm.registry import query
 from millrace.session import settle
 
 COMMON_WORDS = 2**17
+COMMON_GRAMS = 2**17
 GRAM_SHARE = 2.0**-16
+LEAST = 16
 MAX_CONTEXT = 3
 DISCOUNT = 0.5
 END = b""
 FOLDS, HELD_OUT = 7, 2
 # Distinct words (as Python objects) and grams (as numbers) a task holds before it sends on what it has.
 WORDS_HELD, GRAMS_HELD = 2**17, 2**19
+# The bit map of keys has so many words of 64 bits; the hash of a gram turns so far for each word.
+MAP_WORDS, TURN = 2**21, 21
+# Rows of one context are dealt to so many groups where they meet it.
+SALTS = 16
+
+
+def _symbol_hash(symbol: bytes) -> int:
+    """What Spark's ``xxhash64`` gives for binary values."""
+    n = xxhash.xxh64_intdigest(symbol, seed=42)
+    return n - 2**64 if n >= 2**63 else n
 
 
 def words_and_end(text: str | None) -> list[bytes]:
@@ -69,6 +87,31 @@ def symbol_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("symbol").agg(F.sum("n").alias("n"))
 
 
+class KeyMap:
+    """A bit map of gram hashes: never false for a key it has, seldom true for one it has not."""
+
+    def __init__(self, keys: DataFrame):
+        word, bit = f"key & {MAP_WORDS - 1}", f"cast(shiftrightunsigned(key, {MAP_WORDS.bit_length() - 1}) & 63 as int)"
+        rows = keys.groupBy(F.expr(word).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits")).toArrow()
+        self.bits = np.zeros(MAP_WORDS, np.uint64)
+        self.bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        k = keys.view(np.uint64)
+        shift = np.uint64(MAP_WORDS.bit_length() - 1)
+        return (self.bits[k & np.uint64(MAP_WORDS - 1)] >> ((k >> shift) & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+@dataclass
+class GramWeights:
+    """What the tasks know of the weights: which keys may have one, and the most frequent of them in order."""
+
+    known: KeyMap
+    keys: np.ndarray
+    values: np.ndarray
+    lengths: int
+
+
 @dataclass
 class Level:
     """The frequent grams of one length: sorted codes, counts, and what they mean as symbol and state."""
@@ -94,6 +137,13 @@ class SuffixTree:
         none = np.full(frequent, -1)
         self.levels = [Level(np.arange(frequent), n[:frequent], none, none, self.log_root[:frequent])]
         self.stride = len(symbols) + 1
+        self.hashes = np.array([_symbol_hash(s) for s in symbols], np.int64)
+        self.weights: GramWeights | None = None
+        self.table: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        """Tasks get the tree without the table, which stays with Spark."""
+        return self.__dict__ | {"table": None}
 
     def log_of_count(self, n: int = 0) -> float:
         return float(np.log10((n + 1) / (self.total + self.distinct + 1)))
@@ -184,6 +234,32 @@ def _before(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _turned(hashes: np.ndarray) -> np.ndarray:
+    h = hashes.view(np.uint64)
+    return ((h << np.uint64(TURN)) | (h >> np.uint64(64 - TURN))).view(np.int64)
+
+
+def _turned_column(key: Column) -> Column:
+    return F.shiftleft(key, TURN).bitwiseOR(F.shiftrightunsigned(key, 64 - TURN))
+
+
+def _gram_hashes(tree: SuffixTree, symbols: np.ndarray, starts: np.ndarray, words, longest: int):
+    """Per length up to ``longest``: hashes of the grams that end at each place, and whether the text has them."""
+    one = tree.hashes[symbols] if len(tree.hashes) else np.zeros(len(symbols), np.int64)
+    missing = np.flatnonzero(symbols < 0)
+    if len(missing):
+        flat = [w for own in words for w in own]
+        one[missing] = [_symbol_hash(flat[i]) for i in missing.tolist()]
+    sizes = np.diff([*starts, len(symbols)])
+    place = np.arange(len(symbols)) - np.repeat(starts, sizes)
+    out = [(one, np.ones(len(one), bool))]
+    for length in range(2, longest + 1):
+        before = np.zeros_like(one)
+        before[1:] = out[-1][0][:-1]
+        out.append((_turned(before) ^ one, place >= length - 1))
+    return out
+
+
 def _batch_symbols(tree: SuffixTree, texts) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
     words = [words_and_end(t.as_py()) for t in texts]
     starts = np.cumsum([0, *map(len, words)])[:-1]
@@ -226,6 +302,92 @@ def _next_level(docs: DataFrame, tree: SuffixTree) -> None:
     tree.add_level(kept["code"].to_numpy(np.int64), kept["n"].to_numpy(np.int64))
 
 
+def _gram_table(docs: DataFrame, tree: SuffixTree, shorter: DataFrame, length: int) -> DataFrame:
+    """(key, prefix, n) of the grams of a length that occur often enough; ``shorter`` has those one word shorter."""
+    shared = docs.sparkSession.sparkContext.broadcast((tree, KeyMap(shorter.select("key"))))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, known = shared.value
+        keys, prefixes, waiting = [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            none = [np.zeros(0, np.int64)]
+            found, at, n = np.unique(np.concatenate(none + keys), return_index=True, return_counts=True)
+            columns = [found, np.concatenate(none + prefixes)[at], n]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "prefix", "n"])
+
+        for batch in in_parts(batches):
+            symbols, starts, words = _batch_symbols(model, batch.column(0))
+            grams = _gram_hashes(model, symbols, starts, words, length)
+            (ends, _), (whole, there) = grams[-2:]
+            # What a frequent gram begins and ends with is as frequent.
+            often = known.has(ends)
+            often[1:] &= often[:-1].copy()
+            places = np.flatnonzero(there & often)
+            keys.append(whole[places])
+            prefixes.append(ends[places - 1])
+            waiting += len(places)
+            if waiting >= 2 * GRAMS_HELD:
+                yield rows()
+                keys, prefixes, waiting = [], [], 0
+        yield rows()
+
+    parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, "key long, prefix long, n long")
+    summed = parts.groupBy("key", "prefix").agg(F.sum("n").alias("n"))
+    return settle(summed.filter(F.col("n") >= tree.least), "grams")
+
+
+def _grown_tables(docs: DataFrame, tree: SuffixTree, counts: DataFrame, max_context: int) -> DataFrame:
+    """(key, n, weight): the whole tree as one weight per gram.
+
+    Where a gram is in the tree, so is all it ends with. Let ``best`` be the log-probability of a gram's last symbol after
+    the longest state inside it. A gram after a state adds what its ``best`` differs from that of its suffix, and takes back
+    the state's ``log_rest``, which the state itself adds wherever it occurs. So the weights of all grams of a text and
+    the roots of its symbols sum to its score.
+    """
+    root = F.log10((F.col("n") + 1) / F.lit(float(tree.total + tree.distinct + 1)))
+    above = counts.filter(F.col("n") >= tree.least).select(
+        F.xxhash64("symbol").alias("key"), F.lit(0).cast("long").alias("suffix"), "n", root.alias("best")
+    )
+    above = settle(above, "level")
+    weights = []
+    for length in range(2, max_context + 2):
+        grams = _gram_table(docs, tree, above, length).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+        contexts = above.select(
+            F.col("key").alias("prefix"), F.col("n").alias("size"), F.col("suffix").alias("rest_of"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"),
+        )
+        symbol = F.col("key").bitwiseXOR(_turned_column(F.col("prefix")))
+        grams = grams.join(contexts, ["prefix", "salt"]).select(
+            "key", "prefix", "n", "size", _turned_column(F.col("rest_of")).bitwiseXOR(symbol).alias("suffix")
+        )
+        without = above.select(F.col("key").alias("suffix"), F.col("best").alias("shorter"))
+        own = (F.col("n") - DISCOUNT) / F.col("size")
+        grams = settle(grams.join(without, "suffix").withColumn("own", own), "met")
+        shorter = F.pow(F.lit(10.0), F.col("shorter"))
+        sums = grams.groupBy("prefix").agg(
+            F.max("size").alias("size"),
+            F.count("*").alias("symbols"),
+            F.greatest(1 - F.sum("own"), F.lit(1e-12)).alias("rest"),
+            F.greatest(1 - F.sum(shorter), F.lit(1e-12)).alias("shorter_rest"),
+            F.sum(F.col("own") * F.log(F.col("own") / shorter)).alias("divergence"),
+        )
+        ratio = F.col("rest") / F.col("shorter_rest")
+        cost = 0.5 * (F.col("symbols") + 1) * F.log("size")
+        kept = sums.filter(F.col("size") * (F.col("divergence") + F.col("rest") * F.log(ratio)) > cost)
+        states = settle(kept.select("prefix", "size", F.log10(ratio).alias("log_rest")), "states")
+        joined = grams.join(states.select("prefix", "log_rest"), "prefix", "left")
+        best = F.when(F.col("log_rest").isNotNull(), F.log10("own")).otherwise(F.col("shorter"))
+        added = F.coalesce(F.log10("own") - F.col("shorter") - F.col("log_rest"), F.lit(0.0))
+        above = settle(joined.select("key", "suffix", "n", best.alias("best"), added.alias("weight")), "level")
+        weights += [above.select("key", "n", "weight"), states.select(F.col("prefix").alias("key"), F.col("size").alias("n"), F.col("log_rest").alias("weight"))]
+    every = weights[0]
+    for part in weights[1:]:
+        every = every.unionAll(part)
+    every = every.groupBy("key").agg(F.max("n").alias("n"), F.sum("weight").alias("weight"))
+    return settle(every.filter(F.col("weight") != 0), "weights")
+
+
 def _least_common(counts: DataFrame, most: int) -> int:
     """A count that at most ``most`` symbols reach: a power of two, then refined in sixteenths."""
 
@@ -244,10 +406,17 @@ def grow(docs: DataFrame, max_context: int = MAX_CONTEXT) -> tuple[SuffixTree, D
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     common = counts.filter(F.col("n") >= _least_common(counts, COMMON_WORDS)).toArrow()
     common = common.sort_by([("n", "descending"), ("symbol", "ascending")])
-    least = max(2, int(np.ceil(sums["total"] * GRAM_SHARE)))
+    share = max(2, int(np.ceil(sums["total"] * GRAM_SHARE)))
+    least = min(share, LEAST)
     tree = SuffixTree(
         common["symbol"].to_pylist(), common["n"].to_pylist(), sums["total"], sums["distinct"], least
     )
+    if share > LEAST:
+        tree.table = _grown_tables(docs, tree, counts, max_context)
+        common = tree.table.filter(F.col("n") >= _least_common(tree.table, COMMON_GRAMS)).toArrow().sort_by("key")
+        known = KeyMap(tree.table.select("key"))
+        tree.weights = GramWeights(known, common["key"].to_numpy(), common["weight"].to_numpy(), max_context + 1)
+        return tree, counts
     for _ in range(max_context):
         if not len(tree.levels[-1].codes):
             break
@@ -255,14 +424,42 @@ def grow(docs: DataFrame, max_context: int = MAX_CONTEXT) -> tuple[SuffixTree, D
     return tree, counts
 
 
+def _weighed(
+    tree: SuffixTree, symbols: np.ndarray, starts: np.ndarray, words: list[list[bytes]]
+) -> tuple[np.ndarray, pa.Array]:
+    """The frequent weights summed per place, and per text the other grams that may have one, with how often."""
+    weights = tree.weights
+    texts = np.repeat(np.arange(len(starts)), np.diff([*starts, len(symbols)]))
+    added, keys, of = np.zeros(len(symbols)), [], []
+    for found, there in _gram_hashes(tree, symbols, starts, words, weights.lengths):
+        places = np.flatnonzero(there & weights.known.has(found))
+        wanted = found[places]
+        if len(weights.keys):
+            at = np.minimum(np.searchsorted(weights.keys, wanted), len(weights.keys) - 1)
+            hit = weights.keys[at] == wanted
+            added[places[hit]] += weights.values[at[hit]]
+            places, wanted = places[~hit], wanted[~hit]
+        keys.append(wanted)
+        of.append(texts[places])
+    key, text = np.concatenate(keys), np.concatenate(of)
+    order = np.lexsort((key, text))
+    key, text = key[order], text[order]
+    opens = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]))) if len(key) else np.zeros(0, int)
+    times = np.diff([*opens, len(key)])
+    offsets = np.searchsorted(text[opens], np.arange(len(starts) + 1)).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(key[opens]), pa.array(times, pa.int64())], ["key", "times"])
+    return added, pa.ListArray.from_arrays(pa.array(offsets), pairs)
+
+
 def scores(docs: DataFrame, tree: SuffixTree, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(tree)
     kind = (
         "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, "
-        "rare array<struct<symbol:binary,times:long>>"
+        "rare array<struct<symbol:binary,times:long>>, grams array<struct<key:long,times:long>>"
     )
     rare_type = pa.list_(pa.struct([("symbol", pa.binary()), ("times", pa.int64())]))
+    gram_type = pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int64())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
@@ -272,16 +469,21 @@ def scores(docs: DataFrame, tree: SuffixTree, counts: DataFrame) -> DataFrame:
             symbols, starts, words = _batch_symbols(model, batch.column(1))
             known = symbols >= 0
             base = np.where(known, model.log_root[symbols], 0.0) if len(model.log_root) else np.zeros(len(symbols))
-            added = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, model.score(symbols, starts))]
+            if model.weights is None:
+                score, grams = model.score(symbols, starts), pa.nulls(n, gram_type)
+            else:
+                own, grams = _weighed(model, symbols, starts, words)
+                score = base + own
+            added = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, score)]
             rare = []
             for start, own in zip(starts.tolist(), words):
                 missing = np.flatnonzero(~known[start : start + len(own)]).tolist()
                 rare.append([{"symbol": s, "times": k} for s, k in Counter([own[i] for i in missing]).items()])
             columns = [pa.array(np.arange(row, row + n)), batch.column(0), pa.array([len(w) for w in words], pa.int64())]
-            columns += [*map(pa.array, added), pa.array(rare, rare_type)]
+            columns += [*map(pa.array, added), pa.array(rare, rare_type), grams]
             row += n
             yield pa.RecordBatch.from_arrays(
-                columns, names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"]
+                columns, names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare", "grams"]
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -293,14 +495,20 @@ def scores(docs: DataFrame, tree: SuffixTree, counts: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("__known"),
         F.sum(F.col("times") * log_p).alias("__log_p"),
     )
-    out = seen.drop("rare").join(found, "row", "left")
+    out = seen.drop("rare", "grams").join(found, "row", "left")
     part = F.coalesce("__log_p", F.lit(0.0))
+    weighed = F.lit(0.0)
+    if tree.table is not None:
+        grams = seen.select("row", F.explode("grams").alias("g")).select("row", "g.key", "g.times")
+        sums = grams.join(tree.table, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("weight")).alias("__weighed"))
+        out = out.join(sums, "row", "left")
+        weighed = F.coalesce("__weighed", F.lit(0.0))
     return out.select(
         "doc_id",
         "n_tokens",
         (F.col("n_known") + F.coalesce("__known", F.lit(0))).alias("n_known"),
         (F.col("base_score") + part).alias("base_score"),
-        (F.col("score") + part).alias("score"),
+        (F.col("score") + weighed + part).alias("score"),
     )
 
 

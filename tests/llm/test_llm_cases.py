@@ -263,6 +263,38 @@ def test_distributions_sum_to_one(spark):
         assert total + rest == pytest.approx(1.0)
 
 
+def test_grown_tables_score_as_the_tree_in_memory(spark, odd, monkeypatch):
+    texts = [prose(i % 9, 40) + " red green blue " * (i % 3) + prose(i, 8) for i in range(80)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").union(odd.select("doc_id", "text"))
+
+    def scored():
+        tree, counts = suffixtree.grow(table)
+        return tree, suffixtree.scores(table, tree, counts).orderBy("doc_id", "n_tokens", "base_score").toPandas()
+
+    tree, plain = scored()
+    assert tree.table is None and sum(level.is_state.sum() for level in tree.levels) > 20
+    monkeypatch.setattr(suffixtree, "GRAM_SHARE", 0.01)
+    monkeypatch.setattr(suffixtree, "LEAST", 2)
+    for most, words in ((10, 2**17), (2**17, 5)):
+        monkeypatch.setattr(suffixtree, "COMMON_GRAMS", most)
+        monkeypatch.setattr(suffixtree, "COMMON_WORDS", words)
+        tree, got = scored()
+        assert tree.table is not None and len(tree.weights.keys) <= most
+        assert got["n_known"].tolist() == plain["n_known"].tolist()
+        assert got["score"].to_numpy() == pytest.approx(plain["score"].to_numpy(), rel=1e-9)
+
+
+def test_contexts_need_the_same_count_in_a_large_corpus(spark, monkeypatch):
+    # The passage occurs 20 times in 40,000 words, which is less than the share.
+    texts = [prose(i, 1000) + (" red green blue" if i % 2 else "") for i in range(40)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(suffixtree, "GRAM_SHARE", 2.0**-10)
+    tree, counts = suffixtree.grow(table)
+    probe = spark.createDataFrame([(1, "red green blue")], "doc_id long, text string")
+    got = suffixtree.scores(probe, tree, counts).first()
+    assert got["score"] > got["base_score"] + 4
+
+
 def test_repeated_passages_go_and_clean_documents_stay(spark):
     passages = [prose(1000 + i, 55) for i in range(20)]
     rows = [(3 * i + k, f"{prose(20_000 + 3 * i + k, 90)} {p} {prose(30_000 + 3 * i + k, 40)}") for i, p in enumerate(passages) for k in range(3)]
