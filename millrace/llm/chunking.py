@@ -5,8 +5,9 @@ before a character of a script without spaces) a chunk ends. The hash sees the l
 so the same passage is cut in the same places whatever precedes it, and an insertion changes the chunks
 around it alone. Chunks are compared by a 64-bit digest. The first occurrence of a chunk, by doc_id and
 place, stays; a run of later occurrences is removed when it has at least ``MIN_WORDS`` words, so that short
-phrases which documents share by chance are left alone. At both ends of a run, chunks that do not continue
-their neighbour's first occurrence are left in place.
+phrases which documents share by chance are left alone. A short chunk may also occur earlier by chance, so a run
+is taken from the first to the last chunk whose first occurrence lies as far from it, in the same document, as that
+of another chunk of the run; chunks beyond these two are left in place.
 
 Skew: every task resolves the repeats among the ``HELD`` records it looks at together and sends on one occurrence
 per chunk, so a passage that a third of all documents share costs one record per so many. Records travel as packed
@@ -21,6 +22,7 @@ input keep their names and values, except for ``text``.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -156,16 +158,14 @@ def removable_spans(raw: bytes, repeats: dict[int, tuple[int, int]], min_words:
     """(start, end, first doc) in bytes of the runs to remove; ``repeats`` maps a chunk to its first place."""
     ends = [0, *cuts(raw).tolist()] if raw else [0]
     out, indices, at = [], sorted(repeats), 0
-    follows = lambda i, j: repeats[j] == (repeats[i][0], repeats[i][1] + j - i)
     while at < len(indices):
         stop = at + 1
         while stop < len(indices) and indices[stop] == indices[stop - 1] + 1:
             stop += 1
-        low, high = at, stop - 1
-        while low < high and not follows(indices[low], indices[low + 1]):
-            low += 1
-        while low < high and not follows(indices[high - 1], indices[high]):
-            high -= 1
+        sources = [(repeats[i][0], i - repeats[i][1]) for i in indices[at:stop]]
+        times = Counter(sources)
+        shared = [k for k, source in enumerate(sources) if times[source] > 1]
+        low, high = (at + shared[0], at + shared[-1]) if shared else (at, at)
         start, end = ends[indices[low]], ends[indices[high] + 1]
         if len(raw[start:end].split()) >= min_words:
             out.append((start, end, repeats[indices[low]][0]))

@@ -310,6 +310,18 @@ def test_repeated_passages_go_and_clean_documents_stay(spark):
             assert got["text"] == text
 
 
+def test_passage_survives_chance_occurrences_of_its_chunks():
+    raw = prose(77, 60).encode()
+    chunks = len(chunking.cuts(raw))
+    # Every second chunk has an earlier chance occurrence, so no two neighbours point to the source.
+    places = {i: (5, 100 + i) if i % 2 else (1, 7 * (chunks - i)) for i in range(chunks)}
+    ends = [0, *chunking.cuts(raw).tolist()]
+    last = max(i for i in range(chunks) if i % 2)
+    assert chunking.removable_spans(raw, places, 25) == [(ends[1], ends[last + 1], 5)]
+    by_chance = {i: (i, 3) for i in range(chunks)}
+    assert chunking.removable_spans(raw, by_chance, 25) == []
+
+
 def test_chunk_cases(spark, odd):
     out = chunking.without_repeats(odd)
     assert out.columns == [*odd.columns, "__removed"]
