@@ -7,7 +7,8 @@ around it alone. Chunks are compared by a 64-bit digest. The first occurrence of
 place, stays; a run of later occurrences is removed when it has at least ``MIN_WORDS`` words, so that short
 phrases which documents share by chance are left alone. A short chunk may also occur earlier by chance, so a run
 is taken from the first to the last chunk whose first occurrence lies as far from it, in the same document, as that
-of another chunk of the run; chunks beyond these two are left in place.
+of another chunk of the run; chunks beyond these two are left in place. In scripts written without spaces (Han, Kana,
+Thai, Lao, Khmer, Burmese), ``SPACELESS_A_WORD`` characters count as a word.
 
 Skew: every task resolves the repeats among the ``HELD`` records it looks at together and sends on one occurrence
 per chunk, so a passage that a third of all documents share costs one record per so many. Records travel as packed
@@ -21,6 +22,7 @@ input keep their names and values, except for ``text``.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -35,6 +37,8 @@ from millrace.llm.common import WORD, give_back, in_parts, table, text_check
 from millrace.llm.registry import query
 
 MIN_WORDS = 25
+SPACELESS_A_WORD = 2
+SPACELESS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 # One word end in four ends a chunk; the hash has as many bits as bytes are seen.
 WINDOW = 16
 WORD_END = 2**WINDOW // 4
@@ -67,6 +71,14 @@ def cuts(raw: bytes) -> np.ndarray:
     return ends if len(ends) and ends[-1] == len(b) else np.append(ends, len(b))
 
 
+def words_in(raw: bytes) -> int:
+    """The words of a passage; characters of scripts without spaces count by number."""
+    if raw.isascii():
+        return len(raw.split())
+    rest, spaceless = SPACELESS.subn(" ", raw.decode())
+    return len(rest.encode().split()) + spaceless // SPACELESS_A_WORD
+
+
 def digests(raw: bytes) -> np.ndarray:
     """One digest per chunk of a text."""
     if not raw:
@@ -167,7 +179,7 @@ def removable_spans(raw: bytes, repeats: dict[int, tuple[int, int]], min_words:
         shared = [k for k, source in enumerate(sources) if times[source] > 1]
         low, high = (at + shared[0], at + shared[-1]) if shared else (at, at)
         start, end = ends[indices[low]], ends[indices[high] + 1]
-        if len(raw[start:end].split()) >= min_words:
+        if words_in(raw[start:end]) >= min_words:
             out.append((start, end, repeats[indices[low]][0]))
         at = stop
     return out

@@ -322,6 +322,27 @@ def test_passage_survives_chance_occurrences_of_its_chunks():
     assert chunking.removable_spans(raw, by_chance, 25) == []
 
 
+def test_passages_without_spaces_go(spark):
+    def script(seed, n, low, high):
+        rnd = random.Random(seed)
+        return "".join(chr(rnd.randint(low, high)) for _ in range(n))
+
+    rows, passages = [], []
+    for low, high in ((0x4E00, 0x9FA5), (0x3041, 0x3096), (0x0E01, 0x0E2E)):
+        passage = script(low, 400, low, high)
+        for k in range(2):
+            passages.append(passage)
+            rows.append((len(rows), script(low + 1 + k, 300, low, high) + passage + script(low + 3 + k, 300, low, high)))
+    rows += [(10, rows[0][1]), (11, script(5, 600, 0x4E00, 0x9FA5))]
+    out = {r["doc_id"]: r for r in chunking.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in (1, 3, 5):
+        assert sum(s["length"] for s in out[i]["__removed"]) >= 200
+        assert passages[i] not in out[i]["text"]
+    assert out[10]["text"] == ""
+    for i in (0, 2, 4, 11):
+        assert out[i]["text"] == dict(rows)[i]
+
+
 def test_chunk_cases(spark, odd):
     out = chunking.without_repeats(odd)
     assert out.columns == [*odd.columns, "__removed"]
