@@ -6,7 +6,7 @@ from importlib import import_module
 
 from millrace.llm.registry import ORACLES, QUERIES
 
-for _part in ("chat", "chunking", "hardnegatives", "minhash", "mixing", "packing", "quality", "spelling", "suffixtree", "urlrules", "vafile", "winnowing"):
+for _part in ("chat", "chunking", "decontamination", "hardnegatives", "minhash", "mixing", "packing", "quality", "spelling", "suffixtree", "urlrules", "vafile", "winnowing"):
     import_module(f"millrace.llm.{_part}")
 
 __all__ = ["ORACLES", "QUERIES"]
