@@ -59,9 +59,13 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def suffix_keys(numbers: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
-    """The ``width`` word numbers from each place on as byte strings in the same order; ``numbers`` end in ``width`` zeros."""
+    """The ``width`` word numbers from each place on, up to a zero, as byte strings in the same order.
+
+    ``numbers`` end in ``width`` zeros.
+    """
     wide = numbers.astype(">u4")
     rows = wide[places[:, None] + np.arange(width)]
+    rows[np.logical_or.accumulate(rows == 0, axis=1)] = 0
     return np.ascontiguousarray(rows).view(f"S{4 * width}").ravel()
 
 
@@ -251,7 +255,9 @@ _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 def scan(docs: DataFrame, part: Part, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` with a struct ``__hits``: n_words, the spans of words hit (start, stop) and the items that hit them, in order."""
     shared = docs.sparkSession.sparkContext.broadcast(part)
-    named = docs.withColumn("__text", F.col("text").cast("string"))
+    # Read by its place, so a column of any name may be there already.
+    extra = "_" * (1 + max(map(len, docs.columns)))
+    named = docs.withColumn(extra, F.col("text").cast("string"))
     at = len(docs.columns)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

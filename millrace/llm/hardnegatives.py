@@ -136,8 +136,8 @@ def positives(anchors: DataFrame, rows: DataFrame, blocks: tuple[int, int], k: i
 
 def limits(chosen: DataFrame, low: int = LOW, high: int = HIGH) -> DataFrame:
     """``chosen`` positives with the lowest and highest score their negatives may have, in exact integers."""
-    least = -F.floor((-F.col("score") * low).cast("decimal(38,0)") / F.lit(100).cast("decimal(3,0)"))
-    most = F.floor((F.col("score") * high).cast("decimal(38,0)") / F.lit(100).cast("decimal(3,0)"))
+    share = lambda part: F.col("score").cast("decimal(20,0)") * F.lit(part).cast("decimal(6,0)") / F.lit(100).cast("decimal(3,0)")
+    least, most = F.ceil(share(low)), F.floor(share(high))
     return chosen.withColumns({"least": least.cast("long"), "most": most.cast("long")})
 
 
