@@ -329,8 +329,8 @@ SELECT event_id, user_id AS customer_id, event_type, CAST(props->>'k' AS INTEGER
 FROM events"""
 
 
-def customer_event_messages(events: DataFrame) -> DataFrame:
-    """``events`` rows (batch or stream) as messages: key, value bytes and broker time."""
+def customer_event_messages(events: DataFrame, received: Column | None = None) -> DataFrame:
+    """``events`` rows (batch or stream) as messages: value bytes and broker time, the event's own unless ``received`` is given."""
     k = F.get_json_object("props", "$.k").cast("int") - 10
     earlier = F.date_format(F.col("ts") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss")
     body = F.to_json(
@@ -343,4 +343,5 @@ def customer_event_messages(events: DataFrame) -> DataFrame:
         )
     )
     value = F.when(F.col("event_type") == "error", F.concat(F.lit("<bad "), F.col("event_id"), F.lit(">"))).otherwise(body)
-    return events.select(value.cast("binary").alias("value"), F.col("ts").cast("timestamp").alias("received_at"))
+    at = F.col("ts") if received is None else received
+    return events.select(value.cast("binary").alias("value"), at.cast("timestamp").alias("received_at"))

@@ -13,6 +13,7 @@ from millrace.operators.rows import split_rows
 from millrace.plans.sales import cached
 from millrace.sinks.files import replace_partitions
 from millrace.streaming.sinks import EVERY, to_function
+from millrace.streaming.state import first_deliveries
 
 CUSTOMER_EVENT = "event_id string, customer_id int, event_type string, product_id int, event_timestamp string"
 USER_EVENT = "userId string, action string, value double"
@@ -138,7 +139,19 @@ class EventArchive:
         """The valid and the malformed side as two queries with a checkpoint each. The source is
         then read twice, but one side can be restarted without the other."""
         valid, malformed = split_events(decode(messages, codec))
+        return self._start_sides(valid, malformed, checkpoint, every)
 
+    def start_unique(
+        self, messages: DataFrame, codec, checkpoint: str, within: str, every: str | None = EVERY
+    ) -> tuple[StreamingQuery, StreamingQuery]:
+        """As ``start_separately``, but an event that is delivered again up to ``within`` later is archived once, across
+        batches and restarts. Dead letters have no id and are all kept, without state."""
+        valid, malformed = split_events(decode(messages, codec))
+        return self._start_sides(first_deliveries(valid, ["event_id"], "received_at", within), malformed, checkpoint, every)
+
+    def _start_sides(
+        self, valid: DataFrame, malformed: DataFrame, checkpoint: str, every: str | None
+    ) -> tuple[StreamingQuery, StreamingQuery]:
         def keep(batch: DataFrame, batch_id: int) -> None:
             rows = normalise(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             replace_partitions(rows, self.events_path, ["event_date", "batch_id"])
