@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import settle
+
 # Rows whose order columns are looked at for each range of a running total.
 SAMPLED = 50
 
@@ -81,19 +83,44 @@ def word_counts(df: DataFrame, text: str, pattern: str = r"[ \t\n\x0B\f\r]+") ->
     return count_by(words.filter(F.col("word") != ""), ["word"])
 
 
+def _groups(values: str, width: int) -> Column:
+    """An array cut into arrays of ``width`` values, in order; no value gives no group."""
+    last = F.floor((F.size(values) - 1) / width).cast("int")
+    starts = F.when(F.size(values) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda g: F.slice(values, g * width + 1, F.lit(width)))
+
+
 def with_range(df: DataFrame, order: Sequence[str], out: str, ranges: int) -> DataFrame:
     """``df`` with the number of the range each row falls into, ranges following ``order``.
 
     The bounds are quantiles of the ``SAMPLED`` rows per range whose order columns have the smallest
-    hashes: the same for every evaluation, and a sub-query, so they never pass through the driver.
+    hashes, the same for every evaluation. They are written once and lie in three levels, each the firsts
+    of the groups of the next: a row looks through the top one, and two joins with tables of at most ``ranges``
+    bounds bring it the one group of each level below. So it meets about three times the cube root of their number.
     """
     key = F.struct(*order)
     sample = df.select(key.alias("key")).orderBy(F.xxhash64(*order)).limit(SAMPLED * ranges)
     listed = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
     step = F.greatest(F.floor(F.size("keys") / ranges), F.lit(1))
-    cuts = listed.select(F.filter("keys", lambda k, i: (i > 0) & (i % step == 0)).alias("cuts"))
-    below = F.size(F.filter("__cuts", lambda c: c <= key))
-    return df.withColumn("__cuts", cuts.scalar()).withColumn(out, F.coalesce(below, F.lit(0))).drop("__cuts")
+    width = max(2, round(ranges ** (1 / 3)))
+    bounds = listed.select(F.filter("keys", lambda k, i: (i > 0) & (i % step == 0)).alias("cuts"))
+    bounds = bounds.withColumn("low", _groups("cuts", width)).withColumn("heads", F.transform("low", lambda g: g[0]))
+    bounds = bounds.withColumn("high", _groups("heads", width)).withColumn("top", F.transform("high", lambda g: g[0]))
+    bounds = settle(bounds.select("top", "high", "low"), "bounds")
+
+    def reached(within: str) -> Column:
+        """How many of the bounds lie at or below the row; -1 in a group that is not there."""
+        return F.size(F.filter(within, lambda c: c <= key))
+
+    def below(rows: DataFrame, level: str) -> DataFrame:
+        groups = bounds.select(F.posexplode(level).alias("__group", "__bounds"))
+        # A row below all bounds has no group and stays at 0.
+        met = rows.withColumn("__group", F.col(out) - 1).join(F.broadcast(groups), "__group", "left")
+        place = F.when(F.col(out) > 0, F.col("__group") * width + reached("__bounds")).otherwise(0)
+        return met.withColumn(out, place).select(*df.columns, out)
+
+    placed = df.withColumn("__bounds", bounds.select("top").scalar()).withColumn(out, reached("__bounds")).select(*df.columns, out)
+    return below(below(placed, "high"), "low")
 
 
 def running_total(
@@ -130,6 +157,26 @@ def running_total(
     )
 
 
+def running_max(
+    df: DataFrame, order: Sequence[str], columns: dict[str, str | Column], earlier: bool = False, partitions: int | None = None
+) -> DataFrame:
+    """Per row the largest value so far over the whole table in ``order`` (which must be unique): new name to column.
+
+    With ``earlier`` only the rows before count, so the column of the order itself gives the row's predecessor. Nulls are
+    passed over; structs give the last row's values of several columns. Moves rows and reads ``df`` as ``running_total`` does.
+    """
+    ranges = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = with_range(df, order, "__range", ranges)
+    within = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if earlier else 0)
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    tops = ranged.groupBy("__range").agg(*(F.max(c).alias(f"__top_{n}") for n, c in columns.items()))
+    # As many rows as there are ranges.
+    tops = tops.select("__range", *(F.max(f"__top_{n}").over(before).alias(f"__before_{n}") for n in columns))
+    out = ranged.withColumns({n: F.max(c).over(within) for n, c in columns.items()}).join(F.broadcast(tops), "__range")
+    out = out.withColumns({n: F.greatest(F.col(n), F.col(f"__before_{n}")) for n in columns})
+    return out.select(*(c for c in df.columns if c not in columns), *columns)
+
+
 def position(df: DataFrame, order: Sequence[str], out: str = "position") -> DataFrame:
     """The 1-based place of each row in the whole table, without a single-partition window."""
     return running_total(df.withColumn("__one", F.lit(1)), order, "__one", out).drop("__one")

@@ -20,13 +20,12 @@ def clean_transactions(transactions: DataFrame) -> DataFrame:
     return keep_first(valid_transactions(transactions), ["txn_id"], ["txn_timestamp"])
 
 
-def customer_profiles(transactions: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Spend, orders, first and last purchase and favourite category of known customers,
-    over transactions of known products.
+def category_totals(transactions: DataFrame, products: DataFrame) -> DataFrame:
+    """Spend, number, first and last time per (customer, category) of known products.
 
-    Transactions shrink to one row per (customer, product) before any lookup and to one per
-    customer before the customer table is joined, so a heavy customer or product costs no more
-    than a light one after the first shuffle.
+    The totals of two sets of transactions merge into those of both (``merged_totals``). Transactions shrink to one row per
+    (customer, product) before any lookup, so a heavy customer or product costs no more than a light one after the
+    first shuffle. The rows come out laid out by customer.
     """
     per_product = transactions.groupBy("customer_id", "product_id").agg(
         F.sum("amount").alias("spend"),
@@ -35,9 +34,13 @@ def customer_profiles(transactions: DataFrame, customers: DataFrame, products: D
         F.max("txn_timestamp").alias("last_at"),
     )
     # Rows of one customer: at most one per product here, one per category after the sum.
-    per_category = (
-        join_on(per_product, one_per_product(products), ["product_id"])
-        .repartition("customer_id")
+    return merged_totals(join_on(per_product, one_per_product(products), ["product_id"]))
+
+
+def merged_totals(totals: DataFrame) -> DataFrame:
+    """One row per (customer, category) of any number of partial totals."""
+    return (
+        totals.repartition("customer_id")
         .groupBy("customer_id", "category")
         .agg(
             F.sum("spend").alias("spend"),
@@ -46,6 +49,16 @@ def customer_profiles(transactions: DataFrame, customers: DataFrame, products: D
             F.max("last_at").alias("last_at"),
         )
     )
+
+
+def customer_profiles(transactions: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Spend, orders, first and last purchase and favourite category of known customers,
+    over transactions of known products."""
+    return profiles_of(category_totals(transactions, products), customers)
+
+
+def profiles_of(per_category: DataFrame, customers: DataFrame) -> DataFrame:
+    """Profiles from one row per (customer, category), which shrink to one per customer before the customer table is joined."""
     whole = Window.partitionBy("customer_id")
     leading = whole.orderBy(F.col("n").desc(), F.col("category").asc_nulls_last())
     totals = per_category.select(

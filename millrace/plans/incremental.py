@@ -10,21 +10,25 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.sinks.files import path_exists
+from millrace.sinks.files import data_files, delete_path, path_exists
 from millrace.sources.external import probe
 
 log = logging.getLogger(__name__)
 
 OFFSETS = "source string, last_id bigint"
+# Commits that may lie beside each other before they are put together.
+LOOSE_COMMITS = 50
 
 
 class OffsetTable:
     """The last processed id per source. Each commit appends a row and the largest one counts, so
-    an offset never moves back and two writers cannot undo each other."""
+    an offset never moves back and two writers cannot undo each other. Every so often the commits are
+    put together in one file, before those it was made from go, so readers always find the largest."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, loose: int = LOOSE_COMMITS):
         self.spark = spark
         self.path = path
+        self.loose = loose
 
     def all(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
@@ -39,6 +43,17 @@ class OffsetTable:
     def commit(self, offsets: DataFrame) -> None:
         """``offsets``: one row per source."""
         offsets.select("source", "last_id").coalesce(1).write.mode("append").parquet(self.path)
+        self.compact()
+
+    def compact(self) -> None:
+        """Put the commits together if there are more than ``loose`` files of them."""
+        files = data_files(self.spark, self.path)
+        if len(files) <= self.loose:
+            return
+        found = self.spark.read.schema(OFFSETS).parquet(*files).groupBy("source").agg(F.max("last_id").alias("last_id"))
+        found.coalesce(1).write.mode("append").parquet(self.path)
+        for file in files:
+            delete_path(self.spark, file)
 
     def advance(self, source: str, last_id: int) -> None:
         self.commit(self.spark.createDataFrame([(source, last_id)], OFFSETS))
@@ -61,7 +76,7 @@ class IncrementalJob:
     """At-least-once batches over an id-ordered table; with a repeatable ``process`` each id
     counts once. ``process`` gets the new rows and must have stored its result when it returns.
 
-    A row whose id appears only after a larger id was committed is not seen again.
+    A row whose id appears only after a larger id was committed is not seen again; ``processed.CompleteJob`` takes it up.
     """
 
     source: str

@@ -77,6 +77,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The part files directly under ``path``, for folders that are kept small."""
+    fs, folder = _file_system(spark, path)
+    return [s.getPath().toString() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders directly under ``path`` whose write has been completed."""
+    if not path_exists(spark, path):
+        return []
+    fs, folder = _file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    return sorted(n for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a target if it is there; returns whether it was."""
     fs, target = _file_system(spark, path)
