@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,3 +31,25 @@ def fewer_files(df: DataFrame, present: int, factor: int = 4) -> DataFrame:
 
 def schema_text(df: DataFrame) -> str:
     return df.schema.simpleString()
+
+
+@contextmanager
+def runtime_filters(spark: SparkSession, fact_bytes: str = "10GB", keys_bytes: str = "10MB") -> Iterator[None]:
+    """Joins planned inside filter the scan of a side of at least ``fact_bytes`` by a bloom filter of the other side's keys.
+
+    The other side must be filtered itself and at most ``keys_bytes`` large. Rows that cannot match then go before they are
+    shuffled. The plan is made when a result is asked for, so store it inside.
+    """
+    settings = {
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": fact_bytes,
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": keys_bytes,
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
