@@ -59,7 +59,21 @@ def archive_once(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000)
 @query(ARCHIVE)
 def event_archive_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that come again in other batches, and after restarts, are archived once."""
-    return shown_archive(spark, archive_once(spark, sf_dir))
+    return shown_archive(spark.read.parquet(archive_once(spark, sf_dir).events_path))
+
+
+@query(ARCHIVE)
+def event_archive_put_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive after its closed days were put together, twice, and a late batch came in between."""
+    root = scratch_path(spark, "closed")
+    archive = ev.EventArchive(f"{root}/events", f"{root}/metrics", f"{root}/letters")
+    messages = frames.customer_event_messages(table(spark, sf_dir, "events"))
+    codec = JsonCodec(ev.CUSTOMER_EVENT)
+    for batch_id in range(4):
+        archive.handle(ev.decode(messages.filter(F.pmod(F.hash("value"), F.lit(4)) == batch_id), codec), batch_id)
+        if batch_id in (1, 3):
+            archive.compact(spark, "2024-01-20", batch_id - 1)
+    return shown_archive(archive.events(spark))
 
 
 # How long after it happened an event is received: most a day, sign-ups at once, the dear ones five days.

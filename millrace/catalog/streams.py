@@ -45,8 +45,7 @@ SELECT {sql_day('event_at')} AS event_date, upper(event_type) AS event_type, cou
 FROM ({frames.MESSAGES_SQL}) WHERE NOT broken GROUP BY ALL"""
 
 
-def shown_archive(spark: SparkSession, archive: ev.EventArchive) -> DataFrame:
-    stored = spark.read.parquet(archive.events_path)
+def shown_archive(stored: DataFrame) -> DataFrame:
     return stored.groupBy(day("event_date").alias("event_date"), "event_type").agg(
         F.count("*").alias("n"), F.count("product_id").alias("n_products"), F.countDistinct("event_id").alias("n_ids")
     )
@@ -54,12 +53,12 @@ def shown_archive(spark: SparkSession, archive: ev.EventArchive) -> DataFrame:
 
 @query(ARCHIVE)
 def event_archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown_archive(spark, run_archive(spark, sf_dir))
+    return shown_archive(run_archive(spark, sf_dir).events(spark))
 
 
 @query(ARCHIVE)
 def event_archive_as_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown_archive(spark, run_archive(spark, sf_dir, separately=True))
+    return shown_archive(run_archive(spark, sf_dir, separately=True).events(spark))
 
 
 @query(f"""

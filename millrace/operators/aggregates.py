@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.skew import heavy_keys, key_hash, piece_of
 from millrace.session import settle
 
 # Rows whose order columns are looked at for each range of a running total.
@@ -31,8 +32,22 @@ def count_above(df: DataFrame, value: str | Column, threshold: float, name: str
     return df.agg(F.count_if(value > threshold).alias(name))
 
 
-def _first_in(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each key. The rows move once and are sorted once, after the move."""
+def _first_in(df: DataFrame, keys: Sequence[str], order: Sequence[Column], even: bool = False) -> DataFrame:
+    """The first row of each key. The rows move once and are sorted once, after the move.
+
+    With ``even`` the keys with more than a partition's share of the rows are found first; their rows go in pieces to many
+    tasks, and only the first of each piece meet. All other rows still move once.
+    """
+    if even:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        kinds = {c: df.schema[c].dataType for c in keys}
+        heavy = heavy_keys(df, key_hash(df, keys, kinds), partitions)
+        if heavy:
+            marked = df.withColumn("__hash", key_hash(df, keys, kinds))
+            light = marked.filter(~F.col("__hash").isin(list(heavy))).drop("__hash")
+            dealt = marked.filter(F.col("__hash").isin(list(heavy))).withColumn("__piece", piece_of("__hash", heavy, partitions))
+            best = _first_in(dealt.drop("__hash"), [*keys, "__piece"], order).drop("__piece")
+            return _first_in(light, keys, order).unionByName(_first_in(best, keys, order))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.repartition(*keys).withColumn("__place", place).filter("__place = 1").drop("__place")
 
@@ -46,24 +61,30 @@ def top_one(df: DataFrame, group: Sequence[str], weight: str, label: str, out: s
     return best.select(*group, F.col(label).alias(out))
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], many_copies: bool = False) -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], many_copies: bool = False, even: bool = False
+) -> DataFrame:
     """One row per key, the first by ``order`` and then by all other columns.
 
     Most keys are expected to have one row or few. With ``many_copies`` the rows of a key collapse
-    before the shuffle, however many there are, at the price of sorting the input first.
+    before the shuffle, however many there are, at the price of sorting the input first; with ``even`` the
+    keys are read once more, and only those that hold very many rows are treated apart.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     ordered = [c for c in order if c not in keys] + rest
     if not many_copies:
-        return _first_in(df, keys, [F.col(c) for c in ordered])
+        return _first_in(df, keys, [F.col(c) for c in ordered], even)
     winner = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("row"))
     return winner.select(*keys, "row.*").select(*df.columns)
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], latest: str | None = None) -> DataFrame:
-    """One row per key: the one with the largest ``latest`` (null last), then the first by all other columns."""
+def keep_latest(df: DataFrame, keys: Sequence[str], latest: str | None = None, even: bool = False) -> DataFrame:
+    """One row per key: the one with the largest ``latest`` (null last), then the first by all other columns.
+
+    ``even`` as in ``keep_first``.
+    """
     newest = [F.col(latest).desc_nulls_last()] if latest else []
-    return _first_in(df, keys, newest + [F.col(c) for c in df.columns if c not in keys and c != latest])
+    return _first_in(df, keys, newest + [F.col(c) for c in df.columns if c not in keys and c != latest], even)
 
 
 def collect_children(

@@ -60,7 +60,7 @@ PIECES = 16
 HEAVY_KEYS = 2_000
 
 
-def _key_hash(df: DataFrame, on: Sequence[str], kinds: dict) -> Column:
+def key_hash(df: DataFrame, on: Sequence[str], kinds: dict) -> Column:
     """One number per key, equal for keys that a join finds equal."""
     columns = [F.col(c).cast(kinds[c]) for c in on]
     # Minus zero and zero are one key.
@@ -78,6 +78,17 @@ def heavy_keys(df: DataFrame, key: Column, partitions: int, most: int = HEAVY_KE
     return {r["item"]: r["count"] / found["n"] for r in found["top"] or [] if r["count"] * partitions > found["n"]}
 
 
+def _pieces(key: str, heavy: dict[int, float], partitions: int) -> Column:
+    """How many pieces a key is cut into: one, unless it is heavy."""
+    cut = F.create_map(*(F.lit(x) for h, share in heavy.items() for x in (h, max(2, int(PIECES * share * partitions)))))
+    return F.coalesce(F.try_element_at(cut, F.col(key)), F.lit(1))
+
+
+def piece_of(key: str, heavy: dict[int, float], partitions: int) -> Column:
+    """The piece of its key that a row falls into, by its place in the input, so that equal rows are spread too."""
+    return F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), _pieces(key, heavy, partitions)).cast("int")
+
+
 def balanced_join(facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner", partitions: int | None = None) -> DataFrame:
     """Equi-join that finds the heavy keys of ``facts`` itself and spreads each by its share.
 
@@ -95,14 +106,11 @@ def balanced_join(facts: DataFrame, other: DataFrame, on: Sequence[str], how: st
             raise ValueError(f"cast {name} to one type: a text and a {two.typeName()} are compared by value")
         kinds[name] = facts.select(name).limit(0).union(other.select(name).limit(0)).schema[0].dataType
     partitions = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(facts, _key_hash(facts, on, kinds), partitions)
+    heavy = heavy_keys(facts, key_hash(facts, on, kinds), partitions)
     if not heavy:
         return join_on(facts, other, on, how)
-    pieces = F.create_map(*(F.lit(x) for h, share in heavy.items() for x in (h, max(2, int(PIECES * share * partitions)))))
-    own = F.coalesce(F.try_element_at(pieces, F.col("__hash")), F.lit(1))
-    left = facts.withColumn("__hash", _key_hash(facts, on, kinds))
-    # By the place in the input, so that equal rows are spread too.
-    left = left.withColumn("__piece", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), own).cast("int")).drop("__hash")
-    right = other.withColumn("__hash", _key_hash(other, on, kinds))
-    right = right.withColumn("__piece", F.explode(F.sequence(F.lit(0), own - 1))).drop("__hash")
+    left = facts.withColumn("__hash", key_hash(facts, on, kinds))
+    left = left.withColumn("__piece", piece_of("__hash", heavy, partitions)).drop("__hash")
+    right = other.withColumn("__hash", key_hash(other, on, kinds))
+    right = right.withColumn("__piece", F.explode(F.sequence(F.lit(0), _pieces("__hash", heavy, partitions) - 1))).drop("__hash")
     return left.join(right, [*on, "__piece"], how).drop("__piece")

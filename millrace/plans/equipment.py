@@ -202,13 +202,14 @@ def apply_changes(
     as_of: Column,
     touched: str = "updated_at",
     latest: str | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Partial update: a null in ``changes`` keeps the old value, a changed row gets the audit time.
 
     Of several changes of one key the one with the largest ``latest`` counts, then the first by its
-    other columns. This holds for all updates of this module.
+    other columns; ``even`` spreads the changes of a key that has very many. This holds for all updates of this module.
     """
-    changes = keep_latest(changes, [key], latest)
+    changes = keep_latest(changes, [key], latest, even)
     fields = [c for c in changes.columns if c not in (key, latest)]
     incoming = changes.select(key, F.lit(True).alias("__hit"), *(F.col(c).alias(f"__{c}") for c in fields))
     joined = current.join(incoming, key, "left")
@@ -219,10 +220,10 @@ def apply_changes(
 
 
 def _set_on_live_rows(
-    rows: DataFrame, changes: DataFrame, key: str, fields: list[str], as_of: Column, latest: str | None
+    rows: DataFrame, changes: DataFrame, key: str, fields: list[str], as_of: Column, latest: str | None, even: bool
 ) -> DataFrame:
     """Take the fields over as given, nulls too, on rows that are not deleted, with the audit time."""
-    one = keep_latest(changes, [key], latest)
+    one = keep_latest(changes, [key], latest, even)
     out = rows.join(one.select(key, F.struct(*fields).alias("__new")), key, "left")
     hit = F.col("__new").isNotNull() & ~F.col("is_deleted")
     for name in fields:
@@ -231,22 +232,26 @@ def _set_on_live_rows(
 
 
 def update_ticket_status(
-    tickets: DataFrame, changes: DataFrame, as_of: Column, latest: str | None = None
+    tickets: DataFrame, changes: DataFrame, as_of: Column, latest: str | None = None, even: bool = False
 ) -> DataFrame:
     """``changes``: ticket_id, status, is_resolved, resolved_at, each taken over as given. Deleted
     tickets stay as they are."""
-    return _set_on_live_rows(tickets, changes, "ticket_id", ["status", "is_resolved", "resolved_at"], as_of, latest)
+    return _set_on_live_rows(tickets, changes, "ticket_id", ["status", "is_resolved", "resolved_at"], as_of, latest, even)
 
 
-def reassign_tickets(tickets: DataFrame, changes: DataFrame, as_of: Column, latest: str | None = None) -> DataFrame:
+def reassign_tickets(
+    tickets: DataFrame, changes: DataFrame, as_of: Column, latest: str | None = None, even: bool = False
+) -> DataFrame:
     """``changes``: ticket_id, assigned_to_employee_id; a null takes the ticket from its assignee."""
-    return _set_on_live_rows(tickets, changes, "ticket_id", ["assigned_to_employee_id"], as_of, latest)
+    return _set_on_live_rows(tickets, changes, "ticket_id", ["assigned_to_employee_id"], as_of, latest, even)
 
 
-def mark_returned(allocations: DataFrame, changes: DataFrame, as_of: Column, latest: str | None = None) -> DataFrame:
+def mark_returned(
+    allocations: DataFrame, changes: DataFrame, as_of: Column, latest: str | None = None, even: bool = False
+) -> DataFrame:
     """``changes``: allocation_id, returned_at. The listed live allocations become RETURNED at that time."""
     done = changes.withColumn("status", F.lit("RETURNED"))
-    return _set_on_live_rows(allocations, done, "allocation_id", ["status", "returned_at"], as_of, latest)
+    return _set_on_live_rows(allocations, done, "allocation_id", ["status", "returned_at"], as_of, latest, even)
 
 
 def set_deleted(df: DataFrame, ids: DataFrame, key: str, as_of: Column, to_deleted: bool = True) -> DataFrame:
@@ -270,11 +275,11 @@ def replace_children(current: DataFrame, given: DataFrame, parents: DataFrame, k
 
 
 def settle_outbox(
-    events: DataFrame, outcomes: DataFrame, as_of: Column, latest: str | None = None
+    events: DataFrame, outcomes: DataFrame, as_of: Column, latest: str | None = None, even: bool = False
 ) -> DataFrame:
     """``outcomes``: event_id, error. Without an error an event becomes PUBLISHED, with one FAILED;
     events without an outcome stay as they are."""
-    outcomes = keep_latest(outcomes, ["event_id"], latest)
+    outcomes = keep_latest(outcomes, ["event_id"], latest, even)
     joined = events.join(outcomes.select("event_id", F.lit(True).alias("hit"), "error"), "event_id", "left")
     sent = F.col("hit") & F.col("error").isNull()
     lost = F.col("hit") & F.col("error").isNotNull()

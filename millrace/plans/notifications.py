@@ -114,12 +114,14 @@ def record_delivery(
     as_of: Column,
     max_attempts: int = MAX_DELIVERY_ATTEMPTS,
     latest: str | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """``outcomes`` (notification_id, delivered): sent with its time, or one more failed attempt.
 
     Of several outcomes of a notification the one with the largest ``latest`` counts, then a failure.
+    ``even`` spreads the outcomes of a notification that has very many.
     """
-    one = keep_latest(outcomes, ["notification_id"], latest).select("notification_id", "delivered")
+    one = keep_latest(outcomes, ["notification_id"], latest, even).select("notification_id", "delivered")
     joined = notifications.join(one, "notification_id", "left")
     sent, lost = F.col("delivered"), ~F.col("delivered")
     attempts = F.col("attempts") + F.when(lost, 1).otherwise(0)
@@ -191,12 +193,14 @@ def expand_recipients(
     message_keys: Sequence[str],
     with_admins: bool = True,
     carried: Sequence[str] = (),
+    salts: int = 32,
 ) -> DataFrame:
     """The people each message goes to, in role order: the users in the role columns, then admins.
 
     ``roles`` lists (role, user column); ``carried`` names columns of the messages to keep. A message
     asks for targets, each a user or all admins, and meets them in one join. Every message meets every
-    admin, so that one target is dealt over salts.
+    admin, so that one target is dealt over ``salts``:
+    as many as there are tasks, for very many messages.
     """
     targets = [recipient_target(i, role, user_target(F.col(column))) for i, (role, column) in enumerate(roles)]
     people = users.select(user_target(F.col("user_id")).alias("target"), F.col("user_id").cast("bigint"), "email")
@@ -206,7 +210,7 @@ def expand_recipients(
         people = people.unionByName(admins)
     kept = [*message_keys, *carried]
     asked = messages.select(*kept, F.explode(F.array(*targets)).alias("t")).select(*kept, "t.*")
-    named = salted_join(asked.filter(F.col("target").isNotNull()), people, ["target"], hot=[ADMINS])
+    named = salted_join(asked.filter(F.col("target").isNotNull()), people, ["target"], hot=[ADMINS], salts=salts)
     return first_per_address(named, message_keys, carried)
 
 

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.text import payload_sample
 from millrace.operators.rows import split_rows
 from millrace.plans.sales import cached
-from millrace.sinks.files import replace_partitions
+from millrace.session import settle
+from millrace.sinks.files import delete_path, replace_partitions
 from millrace.streaming.sinks import EVERY, to_function
 from millrace.streaming.state import first_deliveries
 
@@ -130,6 +131,40 @@ class EventArchive:
             replace_partitions(event_counts(events).withColumn("batch_id", batch), self.metrics_path, ["batch_id"])
             replace_partitions(dead_letters(malformed).withColumn("batch_id", batch), self.letters_path, ["batch_id"])
 
+    def events(self, spark: SparkSession) -> DataFrame:
+        """The archived events. Where days have been put together, the batches that went into them do not count again."""
+        stored = spark.read.parquet(self.events_path)
+        # A day that holds the batches up to number n has the number -1 - n; only these numbers are read here.
+        folded = stored.filter("batch_id < 0").groupBy("event_date").agg(F.min("batch_id").alias("__folded"))
+        folded = folded.withColumnRenamed("event_date", "__day")
+        met = stored.join(F.broadcast(folded), F.col("event_date").eqNullSafe(F.col("__day")), "left")
+        counts = F.col("__folded").isNull() | (F.col("batch_id") == F.col("__folded")) | (F.col("batch_id") > -1 - F.col("__folded"))
+        return met.filter(counts).drop("__day", "__folded")
+
+    def compact(self, spark: SparkSession, before: str, upto: int) -> int:
+        """Put the batches up to number ``upto`` of each day before ``before`` together, and drop their folders.
+
+        A restart repeats only the last batch, so ``upto`` must lie below that. The day's new folder is written by dynamic overwrite
+        and counts from then on; what breaks off between that and the end can be repeated. Late events of such a day come
+        in folders of their own again, which the next call takes up. Returns the number of days.
+        """
+        stored = spark.read.parquet(self.events_path)
+        old = (F.col("event_date") < F.lit(before).cast("date")) & (F.col("batch_id") <= upto)
+        # One row per folder of the days that are due; folders' names alone are read.
+        folders = stored.filter(old).select("event_date", "batch_id").distinct().collect()
+        number, days = -1 - upto, {}
+        for row in folders:
+            days.setdefault(row["event_date"], set()).add(row["batch_id"])
+        due = [d for d, batches in days.items() if batches - {number}]
+        if not due:
+            return 0
+        rows = self.events(spark).filter(old & F.col("event_date").isin(due)).withColumn("batch_id", F.lit(number).cast("bigint"))
+        replace_partitions(settle(rows, "days"), self.events_path, ["event_date", "batch_id"])
+        for day in due:
+            for batch in days[day] - {number}:
+                delete_path(spark, f"{self.events_path}/event_date={day}/batch_id={batch}")
+        return len(due)
+
     def start(self, messages: DataFrame, codec, checkpoint: str, every: str | None = EVERY) -> StreamingQuery:
         return to_function(decode(messages, codec), self.handle, checkpoint, every)
 

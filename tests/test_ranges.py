@@ -10,7 +10,8 @@ from millrace.catalog import ranges as queries
 from millrace.operators import intervals
 from millrace.operators.control import runtime_filters
 from millrace.operators.layout import join_laid_out, lay_out
-from millrace.operators.skew import balanced_join, heavy_keys, join_on
+from millrace.operators.aggregates import keep_first, keep_latest
+from millrace.operators.skew import balanced_join, heavy_keys, join_on, key_hash, piece_of
 from millrace.plans import equipment
 from millrace.plans.eventlog import ITEM_EVENTS, ITEM_STATES, fold_log, states_after
 from millrace.session import settle
@@ -209,3 +210,17 @@ def test_the_fold_equals_the_steps_one_after_the_other(spark, rows):
     folded = states_after(start, events, "equipment_id", ["at", "seq"], part_events=2, ranges=3)
     assert rows(folded, "equipment_id", "status") == rows(table, "equipment_id", "status")
     assert {r["status"] for r in table.collect()} == {"AVAILABLE", "ALLOCATED", "UNDER_MAINTENANCE"}
+
+
+def test_copies_of_a_heavy_key_are_dealt_out(spark, fixed_tasks, plan, rows):
+    key = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 20_000)
+    df = settle(spark.range(60_000).select(key.alias("k"), (F.xxhash64("id") % 100).alias("o"), F.col("id").alias("v")), "copies")
+    for first in (lambda even: keep_first(df, ["k"], ["o"], even=even), lambda even: keep_latest(df, ["k"], "o", even=even)):
+        assert rows(first(True)) == rows(first(False))
+    text = plan(keep_first(df, ["k"], ["o"], even=True))
+    assert text.count("hashpartitioning(k") == 3 and "__piece" in text
+    heavy = heavy_keys(df, key_hash(df, ["k"], {"k": df.schema["k"].dataType}), 16)
+    assert len(heavy) == 1
+    dealt = df.withColumn("h", F.xxhash64("k")).withColumn("__piece", piece_of("h", heavy, 16))
+    spread = rows_per_task(dealt.repartition("k", "__piece"))
+    assert max(spread) < 2 * sum(spread) / 16

@@ -177,3 +177,26 @@ def test_upsert_rewrites_only_touched_buckets(spark, rows):
     assert len(got) == 2005 and got[None] == ("new", 1) and got[3] == ("new", 2) and got[7] == ("old", 0) and got[5003] == ("new", 1)
     assert spark.read.parquet(path).count() == 2005
     assert upsert_touched(changes.limit(0), ["k"], path, "bucket") == 0
+
+
+def test_closed_days_are_put_together_and_repeats_are_harmless(spark, rows):
+    root = scratch_path(spark, "closed")
+    archive = ev.EventArchive(f"{root}/events", f"{root}/metrics", f"{root}/letters")
+
+    def batch(number, data):
+        archive.handle(ev.decode(messages(spark, data), JsonCodec(ev.CUSTOMER_EVENT)), number)
+
+    folders = lambda day: sorted(os.listdir(f"{root}/events/event_date=2024-01-0{day}"))
+    ids = lambda: rows(archive.events(spark), "event_id")
+    for number in range(4):
+        batch(number, [(f"a{number}", at(1)), (f"b{number}", at(5))])
+    want = ids()
+    assert archive.compact(spark, "2024-01-03", 2) == 1 and ids() == want
+    assert folders(1) == ["batch_id=-3", "batch_id=3"] and len(folders(5)) == 4
+    # The last batch comes again, and a late event of the closed day; a folder that should have gone is still there.
+    batch(3, [("a3", at(1)), ("b3", at(5))])
+    batch(4, [("late", at(1))])
+    spark.read.parquet(f"{root}/events/event_date=2024-01-01/batch_id=-3").write.parquet(f"{root}/events/event_date=2024-01-01/batch_id=1")
+    assert ids() == sorted([*want, ("late",)])
+    assert archive.compact(spark, "2024-01-03", 4) == 1 and archive.compact(spark, "2024-01-03", 4) == 0
+    assert folders(1) == ["batch_id=-5"] and ids() == sorted([*want, ("late",)])
