@@ -2,20 +2,17 @@
 
 Symbols are the words of a text (A-Z lower-cased) and one end. The root of the tree is the smoothed
 distribution of single symbols. A context of up to ``MAX_CONTEXT`` words is looked at if it occurs ``LEAST``
-times, however large the corpus (in a corpus of fewer than LEAST / GRAM_SHARE symbols it need only make up a
-share of ``GRAM_SHARE``, but occur twice), and it becomes a state only if what follows it differs from what
+times, however large the corpus, and it becomes a state only if what follows it differs from what
 follows its longest shorter state: its count times the Kullback-Leibler divergence must exceed the cost of
-describing its symbols. Each state names the symbols that follow it often enough, less a discount; what that
+describing its symbols. Each state names the symbols that follow it ``LEAST`` times, less a discount; what that
 leaves goes to the shorter state, scaled so that each distribution sums to one. A symbol is scored by the
 longest state that ends just before it.
 
-Size: in a small corpus each level has at most 1 / share grams, and the tree is held in memory. In any other
-the levels are tables that grow with the corpus, and a score is a sum of one weight per gram of the text
-(see ``_grown_tables``): the ``COMMON_GRAMS`` most frequent weights are sent to the tasks, all others are met by a
-join of one row per document and gram. A bit map of fixed size keeps most grams without a weight out of the
-join; where the tables outgrow it, it lets more through, but the result stays the same. Grams go by 64-bit hashes.
-Single words are counted in a table of any size; at most ``COMMON_WORDS``, the most frequent, are sent to the
-tasks, and all others are looked up by a join of one row per document and word.
+The levels of the tree are tables that grow with the corpus, and a score is a sum of one weight per gram of the text
+(see ``_tree_weights``). Texts are read in blocks of some megabytes. Words and grams go by 64-bit hashes, and a block asks for
+each of its words and grams once: the ``COMMON`` most frequent are sent to the tasks, all others are met by a join of one row
+per block and key, and the block gets what it asked for in one row. A bit map of at most ``MAP_WORDS`` words keeps
+most grams that have no weight from being asked for; where the tables outgrow it, it lets more through, but the result stays the same.
 
 Defined cases: a null text counts as empty and has the end alone; a null doc_id belongs to no fold, so it is
 scored but not learnt from; repeated rows are learnt from and scored as often as they come. Without training
@@ -24,214 +21,163 @@ rows every symbol has probability one.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_fold, in_parts, table
+from millrace.llm.common import give_back, id_fold, in_parts, table
 from millrace.llm.registry import query
 from millrace.session import settle
 
-COMMON_WORDS = 2**17
-COMMON_GRAMS = 2**17
-GRAM_SHARE = 2.0**-16
+# Words and grams, the most frequent, that are sent to the tasks: 24 bytes each.
+COMMON = 2**20
 LEAST = 16
 MAX_CONTEXT = 3
 DISCOUNT = 0.5
 END = b""
 FOLDS, HELD_OUT = 7, 2
-# Distinct words (as Python objects) and grams (as numbers) a task holds before it sends on what it has.
-WORDS_HELD, GRAMS_HELD = 2**17, 2**19
-# The bit map of keys has so many words of 64 bits; the hash of a gram turns so far for each word.
-MAP_WORDS, TURN = 2**21, 21
+# Bytes of text in a block, unless one text has more, and documents.
+BLOCK_BYTES, BLOCK_DOCS = 2**22, 4096
+# Grams a task holds before it sends on what it has counted.
+GRAMS_HELD = 2**20
+# The bit map of keys has at most so many words of 64 bits (64 MB), and sixteen bits a key up to there.
+MAP_WORDS = 2**23
+# The hash of a gram turns so far for each word.
+TURN = 21
 # Rows of one context are dealt to so many groups where they meet it.
 SALTS = 16
 
 
-def _symbol_hash(symbol: bytes) -> int:
+def symbol_hashes(symbols: list[bytes]) -> np.ndarray:
     """What Spark's ``xxhash64`` gives for binary values."""
-    n = xxhash.xxh64_intdigest(symbol, seed=42)
-    return n - 2**64 if n >= 2**63 else n
+    return np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=42), symbols), np.uint64, len(symbols)).view(np.int64)
+
+
+_END_HASH = symbol_hashes([END])[0]
 
 
 def words_and_end(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
+class Block:
+    """The symbols of some texts, one after the other, each text with its end.
+
+    ``words`` are the distinct words, ``symbols`` their numbers place by place (the end is the last number), ``hashes`` those
+    of the words and the end, and ``starts`` the place where each text begins.
+    """
+
+    def __init__(self, texts: pa.Array):
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        flat, ends = parts.flatten(), parts.offsets.to_numpy()
+        real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+        # White space at either end of a text leaves an empty word there.
+        before = np.concatenate([[0], np.cumsum(real)])
+        sizes = np.diff(before[ends - ends[0]])
+        coded = flat.filter(pa.array(real)).dictionary_encode()
+        self.words = coded.dictionary.cast(pa.binary())
+        self.hashes = np.append(symbol_hashes(self.words.to_pylist()), _END_HASH)
+        self.sizes = sizes + 1
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
+        self.symbols = np.full(int(self.sizes.sum()), len(self.words), np.int64)
+        inside = np.ones(len(self.symbols), bool)
+        inside[self.starts + sizes] = False
+        self.symbols[inside] = coded.indices.to_numpy()
+
+    def grams(self, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per length up to ``longest``: hashes of the grams that end at each place, and whether the text has them."""
+        one = self.hashes[self.symbols]
+        place = np.arange(len(one)) - np.repeat(self.starts, self.sizes)
+        out = [(one, np.ones(len(one), bool))]
+        for length in range(2, longest + 1):
+            before = np.zeros_like(one)
+            before[1:] = out[-1][0][:-1]
+            out.append((_turned(before) ^ one, place >= length - 1))
+        return out
+
+
+def blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, Block]]:
+    """The rows in parts of at most ``BLOCK_BYTES`` of text (or one row), each with its symbols."""
+    for batch in in_parts(batches, BLOCK_DOCS):
+        length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        ends = np.cumsum(length, dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + BLOCK_BYTES, "right")))
+            part = batch.slice(at, stop - at)
+            yield part, Block(part.column(column))
+            at = stop
+
+
 def symbol_counts(docs: DataFrame) -> DataFrame:
     """(symbol, n): how often each word and the end occur."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def rows() -> pa.RecordBatch:
-            made = [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())]
-            return pa.RecordBatch.from_arrays(made, names=["symbol", "n"])
-
-        for batch in in_parts(batches):
-            for text in batch.column(0):
-                seen.update(words_and_end(text.as_py()))
-            if len(seen) > WORDS_HELD:
-                yield rows()
-                seen.clear()
-        yield rows()
+        ends = 0
+        for part, block in blocks(batches, 0):
+            n = np.bincount(block.symbols, minlength=len(block.words) + 1)
+            ends += int(n[-1])
+            yield pa.RecordBatch.from_arrays([block.words, pa.array(n[:-1])], names=["symbol", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], names=["symbol", "n"])
 
     parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, "symbol binary, n long")
-    return parts.groupBy("symbol").agg(F.sum("n").alias("n"))
+    return parts.groupBy("symbol").agg(F.sum("n").alias("n")).filter("n > 0")
 
 
 class KeyMap:
-    """A bit map of gram hashes: never false for a key it has, seldom true for one it has not."""
+    """A bit map of key hashes: never false for a key it has, seldom true for one it has not."""
 
     def __init__(self, keys: DataFrame):
-        word, bit = f"key & {MAP_WORDS - 1}", f"cast(shiftrightunsigned(key, {MAP_WORDS.bit_length() - 1}) & 63 as int)"
+        many = keys.count()
+        self.words = min(MAP_WORDS, 1 << max(6, (many // 4).bit_length()))
+        self.shift = self.words.bit_length() - 1
+        word, bit = f"key & {self.words - 1}", f"cast(shiftrightunsigned(key, {self.shift}) & 63 as int)"
         rows = keys.groupBy(F.expr(word).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits")).toArrow()
-        self.bits = np.zeros(MAP_WORDS, np.uint64)
+        self.bits = np.zeros(self.words, np.uint64)
         self.bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         k = keys.view(np.uint64)
-        shift = np.uint64(MAP_WORDS.bit_length() - 1)
-        return (self.bits[k & np.uint64(MAP_WORDS - 1)] >> ((k >> shift) & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return (self.bits[k & np.uint64(self.words - 1)] >> ((k >> np.uint64(self.shift)) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 @dataclass
-class GramWeights:
-    """What the tasks know of the weights: which keys may have one, and the most frequent of them in order."""
+class Model:
+    """A learnt tree: ``entries`` (key, n, weight) has every word's count and every weight, and stays with Spark.
+
+    The tasks get the most frequent entries in order of their keys, and which keys of grams may have a weight.
+    """
 
+    total: int
+    distinct: int
+    lengths: int
     known: KeyMap
     keys: np.ndarray
-    values: np.ndarray
-    lengths: int
-
-
-@dataclass
-class Level:
-    """The frequent grams of one length: sorted codes, counts, and what they mean as symbol and state."""
-
-    codes: np.ndarray
-    counts: np.ndarray
-    prefix: np.ndarray
-    suffix: np.ndarray
-    log_p: np.ndarray
-    is_state: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
-    log_rest: np.ndarray = field(default_factory=lambda: np.zeros(0))
-
-
-class SuffixTree:
-    """Common symbols in order of frequency, and the levels of grams; level 0 holds single symbols."""
-
-    def __init__(self, symbols: list[bytes], counts: list[int], total: int, distinct: int, least: int):
-        self.index = {s: i for i, s in enumerate(symbols)}
-        self.total, self.distinct, self.least = total, distinct, least
-        n = np.array(counts, np.int64)
-        self.log_root = np.log10((n + 1) / (total + distinct + 1))
-        frequent = int((n >= least).sum())
-        none = np.full(frequent, -1)
-        self.levels = [Level(np.arange(frequent), n[:frequent], none, none, self.log_root[:frequent])]
-        self.stride = len(symbols) + 1
-        self.hashes = np.array([_symbol_hash(s) for s in symbols], np.int64)
-        self.weights: GramWeights | None = None
-        self.table: DataFrame | None = None
+    n: np.ndarray
+    weight: np.ndarray
+    entries: DataFrame | None
 
     def __getstate__(self) -> dict:
-        """Tasks get the tree without the table, which stays with Spark."""
-        return self.__dict__ | {"table": None}
-
-    def log_of_count(self, n: int = 0) -> float:
-        return float(np.log10((n + 1) / (self.total + self.distinct + 1)))
-
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        get = self.index.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-
-    def _find(self, level: int, before: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """Ids of the grams ``before`` + symbol at a level, -1 where there is none."""
-        codes = self.levels[level].codes
-        wanted = np.where((before >= 0) & (symbols >= 0), before * self.stride + symbols, -1)
-        if not len(codes):
-            return np.full(len(wanted), -1)
-        place = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
-        return np.where(codes[place] == wanted, place, -1)
-
-    def grams(self, symbols: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """Per level the id of the gram that ends at each place; texts begin at ``starts``."""
-        out = [np.where(symbols < len(self.levels[0].codes), symbols, -1)]
-        for level in range(1, len(self.levels)):
-            out.append(self._find(level, _before(out[-1], starts), symbols))
-        return out
+        return self.__dict__ | {"entries": None}
 
-    def next_codes(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Codes of grams one symbol longer than the last level whose parts are frequent."""
-        last = self.grams(symbols, starts)[-1]
-        before = _before(last, starts)
-        return (before * self.stride + symbols)[(before >= 0) & (last >= 0)]
-
-    def add_level(self, codes: np.ndarray, counts: np.ndarray) -> None:
-        """Take the frequent grams of the next length; decide which of their contexts are states."""
-        order = np.argsort(codes)
-        codes, counts = codes[order], counts[order]
-        prefix, symbol = codes // self.stride, codes % self.stride
-        depth, above = len(self.levels), self.levels[-1]
-        suffix = symbol if depth == 1 else self._find(depth - 1, above.suffix[prefix], symbol)
-        # Without their own state, the symbols would have these probabilities.
-        shorter = 10 ** self._log_p(depth - 1, suffix)
-        size, contexts = above.counts[prefix], len(above.codes)
-        own = (counts - DISCOUNT) / size
-        rest = np.maximum(1 - np.bincount(prefix, own, contexts), 1e-12)
-        shorter_rest = np.maximum(1 - np.bincount(prefix, shorter, contexts), 1e-12)
-        divergence = np.bincount(prefix, own * np.log(own / shorter), contexts) + rest * np.log(rest / shorter_rest)
-        symbols = np.bincount(prefix, minlength=contexts)
-        cost = 0.5 * (symbols + 1) * np.log(np.maximum(above.counts, 2))
-        above.is_state = (symbols > 0) & (above.counts * divergence > cost)
-        above.log_rest = np.log10(rest / shorter_rest)
-        self.levels.append(Level(codes, counts, prefix, suffix, np.log10(own)))
-
-    def _log_p(self, level: int, gram: np.ndarray) -> np.ndarray:
-        """Log-probability of the last symbol of grams after the longest state inside them."""
-        out, gram = np.zeros(len(gram)), gram.copy()
-        open_ = np.ones(len(gram), bool)
-        for at in range(level, 0, -1):
-            here = self.levels[at]
-            hit = open_ & self.levels[at - 1].is_state[here.prefix[gram]] if len(here.codes) else np.zeros(len(gram), bool)
-            out[hit] = here.log_p[gram[hit]]
-            open_ &= ~hit
-            gram = np.where(open_, here.suffix[gram], 0) if len(here.codes) else gram
-        out[open_] = self.levels[0].log_p[gram[open_]]
-        return out
+    def log_root(self, n: np.ndarray | int) -> np.ndarray:
+        return np.log10((n + 1) / (self.total + self.distinct + 1))
 
-    def score(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Log-probability of every symbol; that of symbols not in the index lacks the root's part."""
-        out = np.where(symbols >= 0, self.log_root[symbols], 0.0) if len(self.log_root) else np.zeros(len(symbols))
-        added, open_ = np.zeros(len(symbols)), np.ones(len(symbols), bool)
-        grams = self.grams(symbols, starts)
-        for level in range(len(self.levels) - 1, 0, -1):
-            context, above = _before(grams[level - 1], starts), self.levels[level - 1]
-            if not len(above.is_state):
-                continue
-            state = open_ & (context >= 0)
-            state[state] = above.is_state[context[state]]
-            hit = state & (grams[level] >= 0)
-            out[hit] = self.levels[level].log_p[grams[level][hit]]
-            open_ &= ~hit
-            missed = state & ~hit
-            added[missed] += above.log_rest[context[missed]]
-        return out + added
-
-
-def _before(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Each place gets the id of the place before it, -1 at the start of a text."""
-    out = np.empty_like(ids)
-    out[1:] = ids[:-1]
-    out[starts] = -1
-    return out
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the common entries, and whether the keys are there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
 
 
 def _turned(hashes: np.ndarray) -> np.ndarray:
@@ -243,101 +189,44 @@ def _turned_column(key: Column) -> Column:
     return F.shiftleft(key, TURN).bitwiseOR(F.shiftrightunsigned(key, 64 - TURN))
 
 
-def _gram_hashes(tree: SuffixTree, symbols: np.ndarray, starts: np.ndarray, words, longest: int):
-    """Per length up to ``longest``: hashes of the grams that end at each place, and whether the text has them."""
-    one = tree.hashes[symbols] if len(tree.hashes) else np.zeros(len(symbols), np.int64)
-    missing = np.flatnonzero(symbols < 0)
-    if len(missing):
-        flat = [w for own in words for w in own]
-        one[missing] = [_symbol_hash(flat[i]) for i in missing.tolist()]
-    sizes = np.diff([*starts, len(symbols)])
-    place = np.arange(len(symbols)) - np.repeat(starts, sizes)
-    out = [(one, np.ones(len(one), bool))]
-    for length in range(2, longest + 1):
-        before = np.zeros_like(one)
-        before[1:] = out[-1][0][:-1]
-        out.append((_turned(before) ^ one, place >= length - 1))
-    return out
-
-
-def _batch_symbols(tree: SuffixTree, texts) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    words = [words_and_end(t.as_py()) for t in texts]
-    starts = np.cumsum([0, *map(len, words)])[:-1]
-    return np.concatenate([tree.encode(w) for w in words]), starts, words
-
-
-def _next_level(docs: DataFrame, tree: SuffixTree) -> None:
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        new, waiting = [], 0
-
-        def add_new() -> None:
-            nonlocal codes, counts, new, waiting
-            found, n = np.unique(np.concatenate([np.zeros(0, np.int64), *new]), return_counts=True)
-            both, place = np.unique(np.concatenate([codes, found]), return_inverse=True)
-            codes, counts = both, np.bincount(place, np.concatenate([counts, n]), len(both)).astype(np.int64)
-            new, waiting = [], 0
-
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
-
-        for batch in in_parts(batches):
-            symbols, starts, _ = _batch_symbols(shared.value, batch.column(0))
-            new.append(shared.value.next_codes(symbols, starts))
-            waiting += len(new[-1])
-            if waiting < GRAMS_HELD:
-                continue
-            add_new()
-            if len(codes) > GRAMS_HELD:
-                yield rows()
-                codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        add_new()
-        yield rows()
-
-    parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, "code long, n long")
-    # At most 1 / GRAM_SHARE grams of a length occur that often.
-    kept = parts.groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= tree.least).toPandas()
-    tree.add_level(kept["code"].to_numpy(np.int64), kept["n"].to_numpy(np.int64))
-
-
-def _gram_table(docs: DataFrame, tree: SuffixTree, shorter: DataFrame, length: int) -> DataFrame:
+def _gram_table(docs: DataFrame, shorter: DataFrame, length: int) -> DataFrame:
     """(key, prefix, n) of the grams of a length that occur often enough; ``shorter`` has those one word shorter."""
-    shared = docs.sparkSession.sparkContext.broadcast((tree, KeyMap(shorter.select("key"))))
+    shared = docs.sparkSession.sparkContext.broadcast(KeyMap(shorter.select("key")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value
+        known = shared.value
         keys, prefixes, waiting = [], [], 0
 
         def rows() -> pa.RecordBatch:
             none = [np.zeros(0, np.int64)]
             found, at, n = np.unique(np.concatenate(none + keys), return_index=True, return_counts=True)
-            columns = [found, np.concatenate(none + prefixes)[at], n]
+            prefix = np.concatenate(none + prefixes)[at]
+            # Rows of one prefix together, which the shuffle's compression makes use of.
+            order = np.argsort(prefix, kind="stable")
+            columns = [found[order], prefix[order], n[order]]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "prefix", "n"])
 
-        for batch in in_parts(batches):
-            symbols, starts, words = _batch_symbols(model, batch.column(0))
-            grams = _gram_hashes(model, symbols, starts, words, length)
-            (ends, _), (whole, there) = grams[-2:]
+        for _, block in blocks(batches, 0):
+            (ends, _), (whole, there) = block.grams(length)[-2:]
             # What a frequent gram begins and ends with is as frequent.
-            often = known.has(ends)
+            often = known.has(block.hashes)[block.symbols] if length == 2 else known.has(ends)
             often[1:] &= often[:-1].copy()
             places = np.flatnonzero(there & often)
             keys.append(whole[places])
             prefixes.append(ends[places - 1])
             waiting += len(places)
-            if waiting >= 2 * GRAMS_HELD:
+            if waiting >= GRAMS_HELD:
                 yield rows()
                 keys, prefixes, waiting = [], [], 0
         yield rows()
+        give_back()
 
     parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, "key long, prefix long, n long")
     summed = parts.groupBy("key", "prefix").agg(F.sum("n").alias("n"))
-    return settle(summed.filter(F.col("n") >= tree.least), "grams")
+    return settle(summed.filter(F.col("n") >= LEAST), "grams")
 
 
-def _grown_tables(docs: DataFrame, tree: SuffixTree, counts: DataFrame, max_context: int) -> DataFrame:
+def _tree_weights(docs: DataFrame, counts: DataFrame, total: int, distinct: int, max_context: int) -> DataFrame:
     """(key, n, weight): the whole tree as one weight per gram.
 
     Where a gram is in the tree, so is all it ends with. Let ``best`` be the log-probability of a gram's last symbol after
@@ -345,14 +234,14 @@ def _grown_tables(docs: DataFrame, tree: SuffixTree, counts: DataFrame, max_cont
     the state's ``log_rest``, which the state itself adds wherever it occurs. So the weights of all grams of a text and
     the roots of its symbols sum to its score.
     """
-    root = F.log10((F.col("n") + 1) / F.lit(float(tree.total + tree.distinct + 1)))
-    above = counts.filter(F.col("n") >= tree.least).select(
+    root = F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))
+    above = counts.filter(F.col("n") >= LEAST).select(
         F.xxhash64("symbol").alias("key"), F.lit(0).cast("long").alias("suffix"), "n", root.alias("best")
     )
     above = settle(above, "level")
     weights = []
     for length in range(2, max_context + 2):
-        grams = _gram_table(docs, tree, above, length).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+        grams = _gram_table(docs, above, length).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
         contexts = above.select(
             F.col("key").alias("prefix"), F.col("n").alias("size"), F.col("suffix").alias("rest_of"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"),
@@ -389,7 +278,7 @@ def _grown_tables(docs: DataFrame, tree: SuffixTree, counts: DataFrame, max_cont
 
 
 def _least_common(counts: DataFrame, most: int) -> int:
-    """A count that at most ``most`` symbols reach: a power of two, then refined in sixteenths."""
+    """A count that at most ``most`` rows reach: a power of two, then refined in sixteenths."""
 
     def reached(bounds: list[int]) -> list[int]:
         return list(counts.agg(*[F.count_if(F.col("n") >= b).alias(f"b{i}") for i, b in enumerate(bounds)]).first())
@@ -400,116 +289,124 @@ def _least_common(counts: DataFrame, most: int) -> int:
     return next(b for b, n in zip(steps, reached(steps)) if n <= most)
 
 
-def grow(docs: DataFrame, max_context: int = MAX_CONTEXT) -> tuple[SuffixTree, DataFrame]:
-    """The tree learnt from ``docs``, and the written table of all symbol counts."""
+def grow(docs: DataFrame, max_context: int = MAX_CONTEXT) -> Model:
+    """The tree learnt from ``docs``."""
     counts = settle(symbol_counts(docs), "symbols")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
-    common = counts.filter(F.col("n") >= _least_common(counts, COMMON_WORDS)).toArrow()
-    common = common.sort_by([("n", "descending"), ("symbol", "ascending")])
-    share = max(2, int(np.ceil(sums["total"] * GRAM_SHARE)))
-    least = min(share, LEAST)
-    tree = SuffixTree(
-        common["symbol"].to_pylist(), common["n"].to_pylist(), sums["total"], sums["distinct"], least
-    )
-    if share > LEAST:
-        tree.table = _grown_tables(docs, tree, counts, max_context)
-        common = tree.table.filter(F.col("n") >= _least_common(tree.table, COMMON_GRAMS)).toArrow().sort_by("key")
-        known = KeyMap(tree.table.select("key"))
-        tree.weights = GramWeights(known, common["key"].to_numpy(), common["weight"].to_numpy(), max_context + 1)
-        return tree, counts
-    for _ in range(max_context):
-        if not len(tree.levels[-1].codes):
-            break
-        _next_level(docs, tree)
-    return tree, counts
-
-
-def _weighed(
-    tree: SuffixTree, symbols: np.ndarray, starts: np.ndarray, words: list[list[bytes]]
-) -> tuple[np.ndarray, pa.Array]:
-    """The frequent weights summed per place, and per text the other grams that may have one, with how often."""
-    weights = tree.weights
-    texts = np.repeat(np.arange(len(starts)), np.diff([*starts, len(symbols)]))
-    added, keys, of = np.zeros(len(symbols)), [], []
-    for found, there in _gram_hashes(tree, symbols, starts, words, weights.lengths):
-        places = np.flatnonzero(there & weights.known.has(found))
-        wanted = found[places]
-        if len(weights.keys):
-            at = np.minimum(np.searchsorted(weights.keys, wanted), len(weights.keys) - 1)
-            hit = weights.keys[at] == wanted
-            added[places[hit]] += weights.values[at[hit]]
-            places, wanted = places[~hit], wanted[~hit]
-        keys.append(wanted)
-        of.append(texts[places])
-    key, text = np.concatenate(keys), np.concatenate(of)
-    order = np.lexsort((key, text))
-    key, text = key[order], text[order]
-    opens = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]))) if len(key) else np.zeros(0, int)
-    times = np.diff([*opens, len(key)])
-    offsets = np.searchsorted(text[opens], np.arange(len(starts) + 1)).astype(np.int32)
-    pairs = pa.StructArray.from_arrays([pa.array(key[opens]), pa.array(times, pa.int64())], ["key", "times"])
-    return added, pa.ListArray.from_arrays(pa.array(offsets), pairs)
-
-
-def scores(docs: DataFrame, tree: SuffixTree, counts: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score of every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-    kind = (
-        "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, "
-        "rare array<struct<symbol:binary,times:long>>, grams array<struct<key:long,times:long>>"
-    )
-    rare_type = pa.list_(pa.struct([("symbol", pa.binary()), ("times", pa.int64())]))
-    gram_type = pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int64())]))
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
-        model = shared.value
-        for batch in in_parts(batches):
-            n = batch.num_rows
-            symbols, starts, words = _batch_symbols(model, batch.column(1))
-            known = symbols >= 0
-            base = np.where(known, model.log_root[symbols], 0.0) if len(model.log_root) else np.zeros(len(symbols))
-            if model.weights is None:
-                score, grams = model.score(symbols, starts), pa.nulls(n, gram_type)
-            else:
-                own, grams = _weighed(model, symbols, starts, words)
-                score = base + own
-            added = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, score)]
-            rare = []
-            for start, own in zip(starts.tolist(), words):
-                missing = np.flatnonzero(~known[start : start + len(own)]).tolist()
-                rare.append([{"symbol": s, "times": k} for s, k in Counter([own[i] for i in missing]).items()])
-            columns = [pa.array(np.arange(row, row + n)), batch.column(0), pa.array([len(w) for w in words], pa.int64())]
-            columns += [*map(pa.array, added), pa.array(rare, rare_type), grams]
-            row += n
-            yield pa.RecordBatch.from_arrays(
-                columns, names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare", "grams"]
-            )
+    total, distinct = sums["total"], sums["distinct"]
+    weights = _tree_weights(docs, counts, total, distinct, max_context)
+    # A word may have a weight too, as a state. ``seen`` is how often an entry occurs, ``n`` a word's count, 0 for longer grams.
+    words = counts.select(F.xxhash64("symbol").alias("key"), F.col("n").alias("seen"), "n", F.lit(0.0).alias("weight"))
+    grams = weights.select("key", F.col("n").alias("seen"), F.lit(0).cast("long").alias("n"), "weight")
+    entries = words.unionAll(grams).groupBy("key").agg(F.max("seen").alias("seen"), F.max("n").alias("n"), F.sum("weight").alias("weight"))
+    entries = settle(entries, "entries")
+    bound = _least_common(entries.select(F.col("seen").alias("n")), COMMON)
+    common = entries.filter(F.col("seen") >= bound).select("key", "n", "weight").toArrow().sort_by("key")
+    columns = [common[c].to_numpy() for c in ("key", "n", "weight")]
+    return Model(total, distinct, max_context + 1, KeyMap(weights.select("key")), *columns, entries)
+
+
+_ASKED = "block long, doc_id array<long>, n_tokens array<long>, n_known array<long>, base array<double>, score array<double>, " \
+    "keys array<long>, doc array<int>, place array<int>, times array<int>, is_word array<boolean>"
 
+
+def _asked(model: Model, block: Block) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Per text the known words, base and score by the common entries; and what is left to ask for.
+
+    That is: the distinct keys, and per text and key the text's number, the key's place, how often, and whether it is a word.
+    """
+    many = len(block.starts)
+    texts = np.repeat(np.arange(many), block.sizes)
+    at, common = model.find(block.hashes)
+    is_word = common & (model.n[at] > 0) if len(model.n) else common
+    root = np.where(is_word, model.log_root(model.n[at]) if len(model.n) else 0.0, 0.0)[block.symbols]
+    known = is_word[block.symbols]
+    base = np.bincount(texts, root, many)
+    score = base.copy()
+    keys, of, kind = [], [], []
+    rare = np.flatnonzero(~known)
+    keys.append(block.hashes[block.symbols[rare]])
+    of.append(texts[rare])
+    kind.append(np.ones(len(rare), bool))
+    for length, (found, there) in enumerate(block.grams(model.lengths), 1):
+        if length == 1:
+            # A word that is looked up anyhow brings its weight along.
+            weight = np.where(is_word, model.weight[at], 0.0)[block.symbols] if len(model.n) else root
+            score += np.bincount(texts, weight, many)
+            continue
+        places = np.flatnonzero(there & model.known.has(found))
+        wanted, back = np.unique(found[places], return_inverse=True)
+        spot, hit = model.find(wanted)
+        if len(model.weight):
+            score += np.bincount(texts[places], np.where(hit, model.weight[spot], 0.0)[back], many)
+        left = places[~hit[back]]
+        keys.append(found[left])
+        of.append(texts[left])
+        kind.append(np.zeros(len(left), bool))
+    key, doc, word = np.concatenate(keys), np.concatenate(of), np.concatenate(kind)
+    distinct, place = np.unique(key, return_inverse=True)
+    code = (doc * len(distinct) + place) * 2 + word if len(distinct) else np.zeros(0, np.int64)
+    code, times = np.unique(code, return_counts=True)
+    pair, word = code // 2, code % 2 == 1
+    width = max(1, len(distinct))
+    sums = [np.bincount(texts, known, many).astype(np.int64), base, score]
+    return sums, [distinct, (pair // width).astype(np.int32), (pair % width).astype(np.int32), times.astype(np.int32), word]
+
+
+def scores(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score of every row of ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [part.split(" ")[0] for part in _ASKED.split(", ")]
+
+    def one_row(values) -> pa.Array:
+        made = values if isinstance(values, pa.Array) else pa.array(values)
+        return pa.ListArray.from_arrays(pa.array([0, len(made)], pa.int32()), made)
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for part, block in blocks(batches, 1):
+            sums, rest = _asked(shared.value, block)
+            columns = [part.column(0), block.sizes.astype(np.int64), *sums, *rest]
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *map(one_row, columns)], names=names)
+            number += 1
+        give_back()
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = model_total
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {n: batch.column(n)[at].values for n in batch.schema.names if n != "block"}
+                keys, met = row["keys"].to_numpy(), row["met"]
+                n, weight = np.zeros(len(keys), np.int64), np.zeros(len(keys))
+                if met is not None and len(met):
+                    place = np.searchsorted(keys, met.field("key").to_numpy())
+                    n[place], weight[place] = met.field("n").to_numpy(), met.field("weight").to_numpy()
+                doc, spot, times = (row[c].to_numpy() for c in ("doc", "place", "times"))
+                word = row["is_word"].to_numpy(zero_copy_only=False)
+                many = len(row["doc_id"])
+                root = np.where(word, np.log10((n[spot] + 1) / total), 0.0) * times
+                base = np.bincount(doc, root, many)
+                own = np.bincount(doc, weight[spot] * times, many)
+                known = np.bincount(doc, times * (word & (n[spot] > 0)), many).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        row["doc_id"],
+                        row["n_tokens"],
+                        pa.array(row["n_known"].to_numpy() + known),
+                        pa.array(row["base"].to_numpy() + base),
+                        pa.array(row["score"].to_numpy() + base + own),
+                    ],
+                    names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
+                )
+
+    model_total = model.total + model.distinct + 1
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    seen = settle(rows.mapInArrow(scored, kind), "scored")
-    rare = seen.select("row", F.explode("rare").alias("r")).select("row", "r.symbol", "r.times")
-    looked_up = rare.join(counts, "symbol", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    log_p = F.log10((F.col("n") + 1) / F.lit(float(tree.total + tree.distinct + 1)))
-    found = looked_up.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("__known"),
-        F.sum(F.col("times") * log_p).alias("__log_p"),
-    )
-    out = seen.drop("rare", "grams").join(found, "row", "left")
-    part = F.coalesce("__log_p", F.lit(0.0))
-    weighed = F.lit(0.0)
-    if tree.table is not None:
-        grams = seen.select("row", F.explode("grams").alias("g")).select("row", "g.key", "g.times")
-        sums = grams.join(tree.table, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("weight")).alias("__weighed"))
-        out = out.join(sums, "row", "left")
-        weighed = F.coalesce("__weighed", F.lit(0.0))
-    return out.select(
-        "doc_id",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("__known", F.lit(0))).alias("n_known"),
-        (F.col("base_score") + part).alias("base_score"),
-        (F.col("score") + weighed + part).alias("score"),
-    )
+    seen = settle(rows.mapInArrow(asked, _ASKED), "asked")
+    # A block asks once for a key, whatever its texts hold of it.
+    wanted = seen.select("block", F.explode("keys").alias("key")).join(model.entries.select("key", "n", "weight"), "key")
+    met = wanted.groupBy("block").agg(F.collect_list(F.struct("key", "n", "weight")).alias("met"))
+    out = seen.join(met, "block", "left")
+    return out.mapInArrow(answered, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
 @query()
@@ -517,7 +414,7 @@ def op6_suffix_tree(spark, sf_dir: str) -> DataFrame:
     """The probability of every text, learnt from six sevenths of them."""
     docs = table(spark, sf_dir, "documents")
     fold = id_fold("doc_id", FOLDS)
-    tree, counts = grow(docs.filter(fold != HELD_OUT))
-    return scores(docs, tree, counts).withColumns(
-        {"held_out": F.coalesce(fold == HELD_OUT, F.lit(False)), "train_tokens": F.lit(tree.total).cast("long")}
+    model = grow(docs.filter(fold != HELD_OUT))
+    return scores(docs, model).withColumns(
+        {"held_out": F.coalesce(fold == HELD_OUT, F.lit(False)), "train_tokens": F.lit(model.total).cast("long")}
     )

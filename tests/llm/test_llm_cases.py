@@ -1,6 +1,8 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, extra columns and planted cases."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -231,68 +233,112 @@ def test_windows_are_full_and_groups_even():
 
 
 def test_language_model_cases(spark, odd):
-    tree, counts = suffixtree.grow(odd.filter("doc_id IS NOT NULL"))
-    got = suffixtree.scores(odd, tree, counts).toPandas()
+    model = suffixtree.grow(odd.filter("doc_id IS NOT NULL"))
+    got = suffixtree.scores(odd, model).toPandas()
     assert len(got) == odd.count()
     empty = got[got["doc_id"].isin([2, 3, 4])]
     assert set(empty["n_tokens"]) == {1} and empty["score"].nunique() == 1
     assert (got["score"] <= 0).all()
-    bare, none = suffixtree.grow(odd.limit(0))
-    assert suffixtree.scores(odd, bare, none).toPandas()["base_score"].eq(0).all()
-    assert suffixtree.scores(odd.limit(0), tree, counts).count() == 0
-
-
-def test_distributions_sum_to_one(spark):
+    bare = suffixtree.grow(odd.limit(0))
+    assert suffixtree.scores(odd, bare).toPandas()["base_score"].eq(0).all()
+    assert suffixtree.scores(odd.limit(0), model).count() == 0
+
+
+class BruteTree:
+    """The tree by dictionaries: counts of all grams, states by the divergence test, scores symbol by symbol."""
+
+    def __init__(self, texts, least, longest=suffixtree.MAX_CONTEXT + 1):
+        lines = [suffixtree.words_and_end(t) for t in texts]
+        self.grams = Counter(tuple(w[i : i + k]) for w in lines for k in range(1, longest + 1) for i in range(len(w) - k + 1))
+        self.total, self.words = sum(map(len, lines)), {g[0] for g in self.grams if len(g) == 1}
+        self.longest, self.states, self.follow = longest, {}, {}
+        for gram, n in self.grams.items():
+            if len(gram) > 1 and n >= least:
+                self.follow.setdefault(gram[:-1], {})[gram[-1]] = (n - suffixtree.DISCOUNT) / self.grams[gram[:-1]]
+        for context in sorted(self.follow, key=len):
+            own, size = self.follow[context], self.grams[context]
+            shorter = {s: 10 ** self.log_p(context[1:], s) for s in own}
+            rest, shorter_rest = max(1 - sum(own.values()), 1e-12), max(1 - sum(shorter.values()), 1e-12)
+            divergence = sum(p * math.log(p / shorter[s]) for s, p in own.items()) + rest * math.log(rest / shorter_rest)
+            if size * divergence > 0.5 * (len(own) + 1) * math.log(size):
+                self.states[context] = math.log10(rest / shorter_rest)
+
+    def log_p(self, context, symbol):
+        for k in range(min(len(context), self.longest - 1), 0, -1):
+            if context[-k:] in self.states:
+                own = self.follow[context[-k:]].get(symbol)
+                if own is not None:
+                    return math.log10(own)
+                return self.states[context[-k:]] + self.log_p(context[len(context) - k + 1 :], symbol)
+        return math.log10((self.grams[(symbol,)] + 1) / (self.total + len(self.words) + 1))
+
+    def score(self, text):
+        words = suffixtree.words_and_end(text)
+        return sum(self.log_p(tuple(words[max(0, i - self.longest + 1) : i]), w) for i, w in enumerate(words))
+
+
+@pytest.mark.parametrize("common", [2**20, 40, 0])
+def test_scores_by_brute_force(spark, odd, monkeypatch, common):
+    rnd = random.Random(5)
+
+    def line(n):
+        # What follows depends on one word, on two or on three, whichever came last.
+        out = [0, 0, 0]
+        for _ in range(n):
+            last = out[-1]
+            rule = last if last < 2 else out[-2] * 2 + last if last < 4 else out[-3] * 3 + out[-2] + last
+            out.append(rule * 7 % 6 if rnd.random() < 0.9 else rnd.randrange(6))
+        return " ".join("Red green blue ONE two x".split()[i] for i in out)
+
+    texts = [f"{line(60)} {prose(100 + i, 4)}" for i in range(90)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").union(odd.select("doc_id", "text")).repartition(3)
+    monkeypatch.setattr(suffixtree, "LEAST", 3)
+    # Whether a key is sent to the tasks or met by the join changes nothing.
+    monkeypatch.setattr(suffixtree, "COMMON", common)
+    model = suffixtree.grow(table.filter("doc_id % 4 <> 1 OR doc_id > 90"))
+    assert len(model.keys) <= common
+    rows = [(r["doc_id"], r["text"]) for r in table.collect()]
+    brute = BruteTree([t for i, t in rows if i is not None and (i % 4 != 1 or i > 90)], 3)
+    assert {len(c) for c in brute.states} == {1, 2, 3}
+    got = sorted((r["doc_id"] or -1, r["n_tokens"], r["score"]) for r in suffixtree.scores(table, model).collect())
+    want = sorted((i or -1, len(suffixtree.words_and_end(t)), brute.score(t)) for i, t in rows)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-9)
+
+
+def test_distributions_sum_to_one(spark, monkeypatch):
     texts = [prose(i, 5) + " red green blue " * (i % 3) + prose(i % 4, 30) for i in range(60)]
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    tree, _ = suffixtree.grow(table)
-    assert any(level.is_state.any() for level in tree.levels)
-    symbols = np.arange(len(tree.index))
-    state = next(d for d, level in enumerate(tree.levels) if level.is_state.any())
-    gram, context = int(np.flatnonzero(tree.levels[state].is_state)[0]), []
-    for depth in range(state, -1, -1):
-        level = tree.levels[depth]
-        context.insert(0, int(level.codes[gram] if depth == 0 else level.codes[gram] % tree.stride))
-        gram = int(level.prefix[gram]) if depth else gram
-    for before in ([], context):
-        total = 0.0
-        for s in symbols:
-            line = np.array([*before, s])
-            total += 10 ** tree.score(line, np.array([0]))[-1]
-        rest = 10 ** (tree.score(np.array([*before, -1]), np.array([0]))[-1] + tree.log_of_count())
-        assert total + rest == pytest.approx(1.0)
-
-
-def test_grown_tables_score_as_the_tree_in_memory(spark, odd, monkeypatch):
-    texts = [prose(i % 9, 40) + " red green blue " * (i % 3) + prose(i, 8) for i in range(80)]
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").union(odd.select("doc_id", "text"))
-
-    def scored():
-        tree, counts = suffixtree.grow(table)
-        return tree, suffixtree.scores(table, tree, counts).orderBy("doc_id", "n_tokens", "base_score").toPandas()
-
-    tree, plain = scored()
-    assert tree.table is None and sum(level.is_state.sum() for level in tree.levels) > 20
-    monkeypatch.setattr(suffixtree, "GRAM_SHARE", 0.01)
-    monkeypatch.setattr(suffixtree, "LEAST", 2)
-    for most, words in ((10, 2**17), (2**17, 5)):
-        monkeypatch.setattr(suffixtree, "COMMON_GRAMS", most)
-        monkeypatch.setattr(suffixtree, "COMMON_WORDS", words)
-        tree, got = scored()
-        assert tree.table is not None and len(tree.weights.keys) <= most
-        assert got["n_known"].tolist() == plain["n_known"].tolist()
-        assert got["score"].to_numpy() == pytest.approx(plain["score"].to_numpy(), rel=1e-9)
-
-
-def test_contexts_need_the_same_count_in_a_large_corpus(spark, monkeypatch):
-    # The passage occurs 20 times in 40,000 words, which is less than the share.
-    texts = [prose(i, 1000) + (" red green blue" if i % 2 else "") for i in range(40)]
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    monkeypatch.setattr(suffixtree, "GRAM_SHARE", 2.0**-10)
-    tree, counts = suffixtree.grow(table)
-    probe = spark.createDataFrame([(1, "red green blue")], "doc_id long, text string")
-    got = suffixtree.scores(probe, tree, counts).first()
-    assert got["score"] > got["base_score"] + 4
+    tree = BruteTree(texts, 2)
+    context = max(tree.states, key=len)
+    unknown = b"not a word of any text"
+    for before in ((), context, context[1:]):
+        assert sum(10 ** tree.log_p(before, w) for w in [*tree.words, unknown]) == pytest.approx(1.0)
+
+
+def test_contexts_need_the_same_count_in_any_corpus(spark):
+    # The passage occurs 20 times in 40,000 words.
+    texts = [prose(i, 1000) + (" red green blue" if i % 2 else " red") for i in range(40)]
+    texts += [prose(500 + i, 3) + (" one two three" if i < 15 else " one") for i in range(30)]
+    model = suffixtree.grow(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    probe = spark.createDataFrame([(1, "red green blue"), (2, "one two three")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] - r["base_score"] for r in suffixtree.scores(probe, model).collect()}
+    assert got[1] > 4 and got[2] < 1
+
+
+def test_blocks_split_words_as_python_does():
+    import pyarrow as pa
+
+    texts = [" Ab  c\x0bd\x1cE ", "", None, "naïve ΣΑΣ\u00a0x\u2003y \u0085z", "\t\n", "one two one", "x" * 70_000]
+    rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    for size in (1, 30, 2**22):
+        suffixtree.BLOCK_BYTES, before = size, suffixtree.BLOCK_BYTES
+        got = []
+        for part, block in suffixtree.blocks(iter([rows]), 0):
+            names = [*block.words.to_pylist(), b""]
+            for start, n in zip(block.starts, block.sizes):
+                got.append([names[i] for i in block.symbols[start : start + n]])
+        suffixtree.BLOCK_BYTES = before
+        assert got == [suffixtree.words_and_end(t) for t in texts]
 
 
 def test_repeated_passages_go_and_clean_documents_stay(spark):
