@@ -10,9 +10,11 @@ longest state that ends just before it.
 
 The levels of the tree are tables that grow with the corpus, and a score is a sum of one weight per gram of the text
 (see ``_tree_weights``). Texts are read in blocks of some megabytes. Words and grams go by 64-bit hashes, and a block asks for
-each of its words and grams once: the ``COMMON`` most frequent are sent to the tasks, all others are met by a join of one row
+each of its words and grams once: the most frequent are sent to the tasks, all others are met by a join of one row
 per block and key, and the block gets what it asked for in one row. A bit map of at most ``MAP_WORDS`` words keeps
-most grams that have no weight from being asked for; where the tables outgrow it, it lets more through, but the result stays the same.
+most grams that have no weight from being asked for. Pairs of words are nearly all rare, so they are first counted by a
+part of their hash alone: where even a whole part stays below ``LEAST``, none of its pairs is a row of the exact count. Where
+a corpus outgrows one of these maps, it lets more through, but the result stays the same.
 
 Defined cases: a null text counts as empty and has the end alone; a null doc_id belongs to no fold, so it is
 scored but not learnt from; repeated rows are learnt from and scored as often as they come. Without training
@@ -37,8 +39,8 @@ from millrace.llm.common import give_back, id_fold, in_parts, table
 from millrace.llm.registry import query
 from millrace.session import settle
 
-# Words and grams, the most frequent, that are sent to the tasks: 24 bytes each.
-COMMON = 2**20
+# The most frequent words and weights of grams are sent to the tasks, at most so many: 24 and 16 bytes each.
+COMMON_WORDS, COMMON_GRAMS = 2**17, 2**20
 LEAST = 16
 MAX_CONTEXT = 3
 DISCOUNT = 0.5
@@ -46,8 +48,10 @@ END = b""
 FOLDS, HELD_OUT = 7, 2
 # Bytes of text in a block, unless one text has more, and documents.
 BLOCK_BYTES, BLOCK_DOCS = 2**22, 4096
-# Grams a task holds before it sends on what it has counted.
-GRAMS_HELD = 2**20
+# Grams, parts of hashes, and words a task holds before it sends on what it has counted.
+GRAMS_HELD, PARTS_HELD, WORDS_HELD = 2**20, 2**22, 2**18
+# Hash parts of pairs lie in so many slices, and there are about as many parts as words, up to MAP_WORDS * 64.
+SLICES = 128
 # The bit map of keys has at most so many words of 64 bits (64 MB), and sixteen bits a key up to there.
 MAP_WORDS = 2**23
 # The hash of a gram turns so far for each word.
@@ -122,12 +126,24 @@ def symbol_counts(docs: DataFrame) -> DataFrame:
     """(symbol, n): how often each word and the end occur."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends = 0
-        for part, block in blocks(batches, 0):
+        ends, held, waiting = 0, [], 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            if held:
+                found = pa.concat_tables(held).group_by("symbol").aggregate([("n", "sum")])
+                yield from found.rename_columns({"n_sum": "n"}).select(["symbol", "n"]).to_batches()
+
+        for _, block in blocks(batches, 0):
             n = np.bincount(block.symbols, minlength=len(block.words) + 1)
             ends += int(n[-1])
-            yield pa.RecordBatch.from_arrays([block.words, pa.array(n[:-1])], names=["symbol", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], names=["symbol", "n"])
+            held.append(pa.table({"symbol": block.words, "n": n[:-1]}))
+            waiting += len(block.words)
+            if waiting > WORDS_HELD:
+                yield from rows()
+                held, waiting = [], 0
+        held.append(pa.table({"symbol": pa.array([END], pa.binary()), "n": np.array([ends])}))
+        yield from rows()
+        give_back()
 
     parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, "symbol binary, n long")
     return parts.groupBy("symbol").agg(F.sum("n").alias("n")).filter("n > 0")
@@ -150,20 +166,28 @@ class KeyMap:
         return (self.bits[k & np.uint64(self.words - 1)] >> ((k >> np.uint64(self.shift)) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def _find(ordered: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``keys`` in an array in order, and whether they are there."""
+    if not len(ordered):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(ordered, keys), len(ordered) - 1)
+    return at, ordered[at] == keys
+
+
 @dataclass
 class Model:
     """A learnt tree: ``entries`` (key, n, weight) has every word's count and every weight, and stays with Spark.
 
-    The tasks get the most frequent entries in order of their keys, and which keys of grams may have a weight.
+    The tasks get the most frequent words (key, n, weight) and grams (key, weight) in order of their keys, and which keys of
+    grams may have a weight.
     """
 
     total: int
     distinct: int
     lengths: int
     known: KeyMap
-    keys: np.ndarray
-    n: np.ndarray
-    weight: np.ndarray
+    words: tuple[np.ndarray, np.ndarray, np.ndarray]
+    grams: tuple[np.ndarray, np.ndarray]
     entries: DataFrame | None
 
     def __getstate__(self) -> dict:
@@ -172,13 +196,6 @@ class Model:
     def log_root(self, n: np.ndarray | int) -> np.ndarray:
         return np.log10((n + 1) / (self.total + self.distinct + 1))
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places among the common entries, and whether the keys are there."""
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
-
 
 def _turned(hashes: np.ndarray) -> np.ndarray:
     h = hashes.view(np.uint64)
@@ -189,12 +206,88 @@ def _turned_column(key: Column) -> Column:
     return F.shiftleft(key, TURN).bitwiseOR(F.shiftrightunsigned(key, 64 - TURN))
 
 
-def _gram_table(docs: DataFrame, shorter: DataFrame, length: int) -> DataFrame:
+def _candidates(block: Block, length: int, known: KeyMap) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and prefixes of the grams of a length that begin and end with frequent ones, as a frequent gram does."""
+    (ends, _), (whole, there) = block.grams(length)[-2:]
+    often = known.has(block.hashes)[block.symbols] if length == 2 else known.has(ends)
+    often[1:] &= often[:-1].copy()
+    places = np.flatnonzero(there & often)
+    return whole[places], ends[places - 1]
+
+
+class HashParts:
+    """The parts of hashes (upper bits) that occur ``LEAST`` times in a corpus: each gram that does has such a part."""
+
+    def __init__(self, docs: DataFrame, length: int, known: KeyMap, total: int):
+        self.bits = min((MAP_WORDS * 64).bit_length() - 1, max(14, total.bit_length()))
+        width = (1 << self.bits) // SLICES
+        shared, shift = docs.sparkSession.sparkContext.broadcast(known), np.uint64(64 - self.bits)
+
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, waiting = [], 0
+
+            def rows() -> pa.RecordBatch:
+                found, n = np.unique(np.concatenate(held), return_counts=True)
+                cut = np.searchsorted(found, np.arange(SLICES + 1) * width)
+                steps, often = [], np.minimum(n, LEAST).astype(np.uint8)
+                for k in range(SLICES):
+                    own = found[cut[k] : cut[k + 1]].astype(np.int64) - k * width
+                    # Steps from one part to the next, lowest bytes first: most bytes are zero, which the shuffle compresses.
+                    steps.append(np.diff(own, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+                counts = [often[cut[k] : cut[k + 1]].tobytes() for k in range(SLICES)]
+                made = [pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(steps, pa.binary()), pa.array(counts, pa.binary())]
+                return pa.RecordBatch.from_arrays(made, names=["slice", "steps", "counts"])
+
+            for _, block in blocks(batches, 0):
+                keys, _ = _candidates(block, length, shared.value)
+                held.append((keys.view(np.uint64) >> shift).astype(np.uint32))
+                waiting += len(keys)
+                if waiting >= PARTS_HELD:
+                    yield rows()
+                    held, waiting = [], 0
+            if held:
+                yield rows()
+            give_back()
+
+        def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, sums = None, np.zeros(width, np.uint32)
+
+            def row() -> pa.RecordBatch:
+                bits = np.packbits(sums >= LEAST, bitorder="little").tobytes()
+                return pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([bits], pa.binary())], names=["slice", "bits"])
+
+            for batch in batches:
+                for number, steps, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                    if own is not None and number != own:
+                        yield row()
+                        sums[:] = 0
+                    own = number
+                    at = np.frombuffer(steps, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+                    sums[np.cumsum(at)] += np.frombuffer(counts, np.uint8)
+            if own is not None:
+                yield row()
+            give_back()
+
+        rows = docs.select(F.col("text").cast("string")).mapInArrow(counted, "slice int, steps binary, counts binary")
+        dealt = rows.repartition(SLICES, "slice").sortWithinPartitions("slice")
+        found = dealt.mapInArrow(met, "slice int, bits binary").toArrow()
+        self.map = np.zeros((1 << self.bits) // 8, np.uint8)
+        for number, bits in zip(found["slice"].to_pylist(), found["bits"].to_pylist()):
+            self.map[number * width // 8 : (number + 1) * width // 8] = np.frombuffer(bits, np.uint8)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        part = keys.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (self.map[part >> np.uint64(3)] >> (part & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _gram_table(docs: DataFrame, shorter: DataFrame, length: int, total: int) -> DataFrame:
     """(key, prefix, n) of the grams of a length that occur often enough; ``shorter`` has those one word shorter."""
-    shared = docs.sparkSession.sparkContext.broadcast(KeyMap(shorter.select("key")))
+    often = KeyMap(shorter.select("key"))
+    parts = HashParts(docs, length, often, total) if length == 2 else None
+    shared = docs.sparkSession.sparkContext.broadcast((often, parts))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known, parts = shared.value
         keys, prefixes, waiting = [], [], 0
 
         def rows() -> pa.RecordBatch:
@@ -207,14 +300,13 @@ def _gram_table(docs: DataFrame, shorter: DataFrame, length: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "prefix", "n"])
 
         for _, block in blocks(batches, 0):
-            (ends, _), (whole, there) = block.grams(length)[-2:]
-            # What a frequent gram begins and ends with is as frequent.
-            often = known.has(block.hashes)[block.symbols] if length == 2 else known.has(ends)
-            often[1:] &= often[:-1].copy()
-            places = np.flatnonzero(there & often)
-            keys.append(whole[places])
-            prefixes.append(ends[places - 1])
-            waiting += len(places)
+            whole, before = _candidates(block, length, known)
+            if parts is not None:
+                there = parts.has(whole)
+                whole, before = whole[there], before[there]
+            keys.append(whole)
+            prefixes.append(before)
+            waiting += len(whole)
             if waiting >= GRAMS_HELD:
                 yield rows()
                 keys, prefixes, waiting = [], [], 0
@@ -241,7 +333,7 @@ def _tree_weights(docs: DataFrame, counts: DataFrame, total: int, distinct: int,
     above = settle(above, "level")
     weights = []
     for length in range(2, max_context + 2):
-        grams = _gram_table(docs, above, length).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+        grams = _gram_table(docs, above, length, total).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
         contexts = above.select(
             F.col("key").alias("prefix"), F.col("n").alias("size"), F.col("suffix").alias("rest_of"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"),
@@ -300,10 +392,13 @@ def grow(docs: DataFrame, max_context: int = MAX_CONTEXT) -> Model:
     grams = weights.select("key", F.col("n").alias("seen"), F.lit(0).cast("long").alias("n"), "weight")
     entries = words.unionAll(grams).groupBy("key").agg(F.max("seen").alias("seen"), F.max("n").alias("n"), F.sum("weight").alias("weight"))
     entries = settle(entries, "entries")
-    bound = _least_common(entries.select(F.col("seen").alias("n")), COMMON)
-    common = entries.filter(F.col("seen") >= bound).select("key", "n", "weight").toArrow().sort_by("key")
-    columns = [common[c].to_numpy() for c in ("key", "n", "weight")]
-    return Model(total, distinct, max_context + 1, KeyMap(weights.select("key")), *columns, entries)
+    common = []
+    for chosen, most, columns in (("n > 0", COMMON_WORDS, ("key", "n", "weight")), ("n = 0", COMMON_GRAMS, ("key", "weight"))):
+        own = entries.filter(chosen)
+        bound = _least_common(own.select(F.col("seen").alias("n")), most)
+        rows = own.filter(F.col("seen") >= bound).select(*columns).toArrow().sort_by("key")
+        common.append(tuple(rows[c].to_numpy() for c in columns))
+    return Model(total, distinct, max_context + 1, KeyMap(weights.select("key")), *common, entries)
 
 
 _ASKED = "block long, doc_id array<long>, n_tokens array<long>, n_known array<long>, base array<double>, score array<double>, " \
@@ -317,29 +412,22 @@ def _asked(model: Model, block: Block) -> tuple[list[np.ndarray], list[np.ndarra
     """
     many = len(block.starts)
     texts = np.repeat(np.arange(many), block.sizes)
-    at, common = model.find(block.hashes)
-    is_word = common & (model.n[at] > 0) if len(model.n) else common
-    root = np.where(is_word, model.log_root(model.n[at]) if len(model.n) else 0.0, 0.0)[block.symbols]
+    word_keys, word_n, word_weight = model.words
+    gram_keys, gram_weight = model.grams
+    at, is_word = _find(word_keys, block.hashes)
+    root, own = np.zeros(len(at)), np.zeros(len(at))
+    root[is_word], own[is_word] = model.log_root(word_n[at[is_word]]), word_weight[at[is_word]]
     known = is_word[block.symbols]
-    base = np.bincount(texts, root, many)
-    score = base.copy()
-    keys, of, kind = [], [], []
+    base = np.bincount(texts, root[block.symbols], many)
+    score = base + np.bincount(texts, own[block.symbols], many)
+    # A word that is looked up brings its weight along.
     rare = np.flatnonzero(~known)
-    keys.append(block.hashes[block.symbols[rare]])
-    of.append(texts[rare])
-    kind.append(np.ones(len(rare), bool))
-    for length, (found, there) in enumerate(block.grams(model.lengths), 1):
-        if length == 1:
-            # A word that is looked up anyhow brings its weight along.
-            weight = np.where(is_word, model.weight[at], 0.0)[block.symbols] if len(model.n) else root
-            score += np.bincount(texts, weight, many)
-            continue
+    keys, of, kind = [block.hashes[block.symbols[rare]]], [texts[rare]], [np.ones(len(rare), bool)]
+    for found, there in block.grams(model.lengths)[1:]:
         places = np.flatnonzero(there & model.known.has(found))
-        wanted, back = np.unique(found[places], return_inverse=True)
-        spot, hit = model.find(wanted)
-        if len(model.weight):
-            score += np.bincount(texts[places], np.where(hit, model.weight[spot], 0.0)[back], many)
-        left = places[~hit[back]]
+        spot, hit = _find(gram_keys, found[places])
+        score += np.bincount(texts[places[hit]], gram_weight[spot[hit]], many)
+        left = places[~hit]
         keys.append(found[left])
         of.append(texts[left])
         kind.append(np.zeros(len(left), bool))

@@ -294,9 +294,10 @@ def test_scores_by_brute_force(spark, odd, monkeypatch, common):
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").union(odd.select("doc_id", "text")).repartition(3)
     monkeypatch.setattr(suffixtree, "LEAST", 3)
     # Whether a key is sent to the tasks or met by the join changes nothing.
-    monkeypatch.setattr(suffixtree, "COMMON", common)
+    monkeypatch.setattr(suffixtree, "COMMON_WORDS", common // 2)
+    monkeypatch.setattr(suffixtree, "COMMON_GRAMS", common)
     model = suffixtree.grow(table.filter("doc_id % 4 <> 1 OR doc_id > 90"))
-    assert len(model.keys) <= common
+    assert len(model.words[0]) <= common and len(model.grams[0]) <= common
     rows = [(r["doc_id"], r["text"]) for r in table.collect()]
     brute = BruteTree([t for i, t in rows if i is not None and (i % 4 != 1 or i > 90)], 3)
     assert {len(c) for c in brute.states} == {1, 2, 3}
@@ -306,6 +307,25 @@ def test_scores_by_brute_force(spark, odd, monkeypatch, common):
     assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-9)
 
 
+def test_hash_parts_keep_every_frequent_pair(spark):
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice("a b c d e f g h".split()) + str(rnd.randint(0, 30) ** 2 // 40) for _ in range(400)) for _ in range(40)]
+    table = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    counts = suffixtree.symbol_counts(table)
+    known = suffixtree.KeyMap(counts.filter(F.col("n") >= suffixtree.LEAST).select(F.xxhash64("symbol").alias("key")))
+    parts = suffixtree.HashParts(table, 2, known, 16_000)
+    pairs = Counter()
+    for t in texts:
+        words = suffixtree.words_and_end(t)
+        pairs.update(zip(words, words[1:]))
+    hashes = {w: suffixtree.symbol_hashes([w])[0] for w in {w for p in pairs for w in p}}
+    keys = {p: int(suffixtree._turned(np.array([hashes[p[0]]]))[0] ^ hashes[p[1]]) for p in pairs}
+    has = dict(zip(pairs, parts.has(np.array([keys[p] for p in pairs], np.int64))))
+    assert all(has[p] for p, n in pairs.items() if n >= suffixtree.LEAST)
+    rare = [p for p, n in pairs.items() if n < suffixtree.LEAST]
+    assert len(rare) > 1000 and sum(has[p] for p in rare) < 0.2 * len(rare)
+
+
 def test_distributions_sum_to_one(spark, monkeypatch):
     texts = [prose(i, 5) + " red green blue " * (i % 3) + prose(i % 4, 30) for i in range(60)]
     tree = BruteTree(texts, 2)
