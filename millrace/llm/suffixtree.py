@@ -9,7 +9,7 @@ leaves goes to the shorter state, scaled so that each distribution sums to one.
 longest state that ends just before it.
 
 The levels of the tree are tables that grow with the corpus, and a score is a sum of one weight per gram of the text
-(see ``_tree_weights``). Texts are read in blocks of some megabytes. Words and grams go by 64-bit hashes, and a block asks for
+(see ``_tree_weights``). Texts are split once and written as numbers, in blocks of some megabytes of text. Words and grams go by 64-bit hashes, and a block asks for
 each of its words and grams once: the most frequent are sent to the tasks, all others are met by a join of one row
 per block and key, and the block gets what it asked for in one row. A bit map of at most ``MAP_WORDS`` words keeps
 most grams that have no weight from being asked for. Pairs of words are nearly all rare, so they are first counted by a
@@ -37,19 +37,19 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import give_back, id_fold, in_parts, table
 from millrace.llm.registry import query
-from millrace.session import settle
+from millrace.session import discard, release, settle
 
 # The most frequent words and weights of grams are sent to the tasks, at most so many: 24 and 16 bytes each.
-COMMON_WORDS, COMMON_GRAMS = 2**17, 2**20
+COMMON_WORDS, COMMON_GRAMS = 2**19, 2**19
 LEAST = 16
 MAX_CONTEXT = 3
 DISCOUNT = 0.5
 END = b""
 FOLDS, HELD_OUT = 7, 2
 # Bytes of text in a block, unless one text has more, and documents.
-BLOCK_BYTES, BLOCK_DOCS = 2**22, 4096
+BLOCK_BYTES, BLOCK_DOCS = 2**20, 4096
 # Grams, parts of hashes, and words a task holds before it sends on what it has counted.
-GRAMS_HELD, PARTS_HELD, WORDS_HELD = 2**20, 2**22, 2**18
+GRAMS_HELD, PARTS_HELD, WORDS_HELD = 2**19, 2**21, 2**17
 # Hash parts of pairs lie in so many slices, and there are about as many parts as words, up to MAP_WORDS * 64.
 SLICES = 128
 # The bit map of keys has at most so many words of 64 bits (64 MB), and sixteen bits a key up to there.
@@ -75,41 +75,52 @@ def words_and_end(text: str | None) -> list[bytes]:
 class Block:
     """The symbols of some texts, one after the other, each text with its end.
 
-    ``words`` are the distinct words, ``symbols`` their numbers place by place (the end is the last number), ``hashes`` those
-    of the words and the end, and ``starts`` the place where each text begins.
+    ``symbols`` are the numbers of the block's distinct words place by place (the end is the last number), ``hashes`` those
+    of the words and the end, ``sizes`` the texts' lengths and ``starts`` the place where each begins.
     """
 
-    def __init__(self, texts: pa.Array):
-        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-        flat, ends = parts.flatten(), parts.offsets.to_numpy()
-        real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-        # White space at either end of a text leaves an empty word there.
-        before = np.concatenate([[0], np.cumsum(real)])
-        sizes = np.diff(before[ends - ends[0]])
-        coded = flat.filter(pa.array(real)).dictionary_encode()
-        self.words = coded.dictionary.cast(pa.binary())
-        self.hashes = np.append(symbol_hashes(self.words.to_pylist()), _END_HASH)
-        self.sizes = sizes + 1
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
-        self.symbols = np.full(int(self.sizes.sum()), len(self.words), np.int64)
-        inside = np.ones(len(self.symbols), bool)
-        inside[self.starts + sizes] = False
-        self.symbols[inside] = coded.indices.to_numpy()
-
-    def grams(self, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per length up to ``longest``: hashes of the grams that end at each place, and whether the text has them."""
+    def __init__(self, hashes: np.ndarray, symbols: np.ndarray, sizes: np.ndarray):
+        self.hashes, self.symbols, self.sizes = hashes, symbols, sizes
+        self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+
+    def only(self, chosen: np.ndarray) -> Block:
+        """The block without the texts that are not chosen."""
+        if chosen.all():
+            return self
+        return Block(self.hashes, self.symbols[np.repeat(chosen, self.sizes)], self.sizes[chosen])
+
+    def grams(self, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per length from 2 to ``longest``: hashes of the grams that end at each place, those of the grams one shorter,
+        and whether the text has the longer ones."""
         one = self.hashes[self.symbols]
         place = np.arange(len(one)) - np.repeat(self.starts, self.sizes)
-        out = [(one, np.ones(len(one), bool))]
+        last = one
         for length in range(2, longest + 1):
-            before = np.zeros_like(one)
-            before[1:] = out[-1][0][:-1]
-            out.append((_turned(before) ^ one, place >= length - 1))
-        return out
-
-
-def blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, Block]]:
-    """The rows in parts of at most ``BLOCK_BYTES`` of text (or one row), each with its symbols."""
+            whole = one.copy()
+            whole[1:] ^= _turned(last[:-1])
+            yield whole, last, place >= length - 1
+            last = whole
+
+
+def split_texts(texts: pa.Array) -> tuple[list[bytes], Block]:
+    """The distinct words of some texts, and the texts as a block."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, ends = parts.flatten(), parts.offsets.to_numpy()
+    real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    # White space at either end of a text leaves an empty word there.
+    before = np.concatenate([[0], np.cumsum(real)])
+    sizes = np.diff(before[ends - ends[0]])
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    symbols = np.full(int(sizes.sum()) + len(sizes), len(words), np.int64)
+    inside = np.ones(len(symbols), bool)
+    inside[np.cumsum(sizes + 1) - 1] = False
+    symbols[inside] = coded.indices.to_numpy()
+    return words, Block(np.append(symbol_hashes(words), _END_HASH), symbols, sizes + 1)
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of at most ``BLOCK_BYTES`` of text (or one row)."""
     for batch in in_parts(batches, BLOCK_DOCS):
         length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
         ends = np.cumsum(length, dtype=np.int64)
@@ -117,13 +128,57 @@ def blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
             stop = max(at + 1, int(np.searchsorted(ends, done + BLOCK_BYTES, "right")))
-            part = batch.slice(at, stop - at)
-            yield part, Block(part.column(column))
+            yield batch.slice(at, stop - at)
             at = stop
 
 
-def symbol_counts(docs: DataFrame) -> DataFrame:
-    """(symbol, n): how often each word and the end occur."""
+def _one_row(values) -> pa.Array:
+    made = values if isinstance(values, pa.Array) else pa.array(values)
+    return pa.ListArray.from_arrays(pa.array([0, len(made)], pa.int32()), made)
+
+
+def tokens(docs: DataFrame, learn: Column | None = None) -> DataFrame:
+    """The texts of ``docs`` in blocks, a row each: their ids, which of them to learn from, and their symbols, as numbers.
+
+    Written once: all levels and the scores are made from it, so no text is split again.
+    """
+    names = ["doc_id", "learn", "sizes", "words", "hashes", "symbols"]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_blocks(batches, 2):
+            words, block = split_texts(part.column(2))
+            # No word holds a space.
+            packed = [block.sizes.astype(np.int64), b" ".join(words), block.hashes, block.symbols.astype(_kind(len(words) + 1))]
+            cells = [pa.array([c if isinstance(c, bytes) else c.tobytes()], pa.binary()) for c in packed]
+            yield pa.RecordBatch.from_arrays([_one_row(part.column(0)), _one_row(part.column(1)), *cells], names=names)
+        give_back()
+
+    learn = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
+    rows = docs.select(F.col("doc_id").cast("long"), learn.alias("learn"), F.col("text").cast("string"))
+    kind = "doc_id array<long>, learn array<boolean>, sizes binary, words binary, hashes binary, symbols binary"
+    return settle(rows.mapInArrow(split, kind), "tokens", "zstd")
+
+
+def _kind(numbers: int) -> type:
+    return np.uint16 if numbers <= 1 << 16 else np.uint32
+
+
+def _stored(batches: Iterator[pa.RecordBatch], learnt: bool) -> Iterator[tuple[dict, Block]]:
+    """The rows of a table of ``tokens``, each with its block, with ``learnt`` of the texts to learn from only."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            row = {name: batch.column(name)[at] for name in batch.schema.names}
+            hashes = np.frombuffer(row["hashes"].as_buffer(), np.int64)
+            symbols = np.frombuffer(row["symbols"].as_buffer(), _kind(len(hashes)))
+            block = Block(hashes, symbols, np.frombuffer(row["sizes"].as_buffer(), np.int64))
+            if learnt:
+                block = block.only(row["learn"].values.to_numpy(zero_copy_only=False))
+            if len(block.sizes):
+                yield row, block
+
+
+def symbol_counts(coded: DataFrame) -> DataFrame:
+    """(symbol, n): how often each word and the end occur in the texts to learn from."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends, held, waiting = 0, [], 0
@@ -133,11 +188,12 @@ def symbol_counts(docs: DataFrame) -> DataFrame:
                 found = pa.concat_tables(held).group_by("symbol").aggregate([("n", "sum")])
                 yield from found.rename_columns({"n_sum": "n"}).select(["symbol", "n"]).to_batches()
 
-        for _, block in blocks(batches, 0):
-            n = np.bincount(block.symbols, minlength=len(block.words) + 1)
+        for row, block in _stored(batches, True):
+            n = np.bincount(block.symbols, minlength=len(block.hashes))
             ends += int(n[-1])
-            held.append(pa.table({"symbol": block.words, "n": n[:-1]}))
-            waiting += len(block.words)
+            words = pa.array(row["words"].as_py().split(b" ") if len(n) > 1 else [], pa.binary())
+            held.append(pa.table({"symbol": words, "n": n[:-1]}))
+            waiting += len(words)
             if waiting > WORDS_HELD:
                 yield from rows()
                 held, waiting = [], 0
@@ -145,7 +201,7 @@ def symbol_counts(docs: DataFrame) -> DataFrame:
         yield from rows()
         give_back()
 
-    parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, "symbol binary, n long")
+    parts = coded.select("learn", "sizes", "words", "hashes", "symbols").mapInArrow(counted, "symbol binary, n long")
     return parts.groupBy("symbol").agg(F.sum("n").alias("n")).filter("n > 0")
 
 
@@ -208,7 +264,7 @@ def _turned_column(key: Column) -> Column:
 
 def _candidates(block: Block, length: int, known: KeyMap) -> tuple[np.ndarray, np.ndarray]:
     """Keys and prefixes of the grams of a length that begin and end with frequent ones, as a frequent gram does."""
-    (ends, _), (whole, there) = block.grams(length)[-2:]
+    *_, (whole, ends, there) = block.grams(length)
     often = known.has(block.hashes)[block.symbols] if length == 2 else known.has(ends)
     often[1:] &= often[:-1].copy()
     places = np.flatnonzero(there & often)
@@ -218,10 +274,10 @@ def _candidates(block: Block, length: int, known: KeyMap) -> tuple[np.ndarray, n
 class HashParts:
     """The parts of hashes (upper bits) that occur ``LEAST`` times in a corpus: each gram that does has such a part."""
 
-    def __init__(self, docs: DataFrame, length: int, known: KeyMap, total: int):
+    def __init__(self, coded: DataFrame, length: int, known: KeyMap, total: int):
         self.bits = min((MAP_WORDS * 64).bit_length() - 1, max(14, total.bit_length()))
         width = (1 << self.bits) // SLICES
-        shared, shift = docs.sparkSession.sparkContext.broadcast(known), np.uint64(64 - self.bits)
+        shared, shift = coded.sparkSession.sparkContext.broadcast(known), np.uint64(64 - self.bits)
 
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, waiting = [], 0
@@ -238,7 +294,7 @@ class HashParts:
                 made = [pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(steps, pa.binary()), pa.array(counts, pa.binary())]
                 return pa.RecordBatch.from_arrays(made, names=["slice", "steps", "counts"])
 
-            for _, block in blocks(batches, 0):
+            for _, block in _stored(batches, True):
                 keys, _ = _candidates(block, length, shared.value)
                 held.append((keys.view(np.uint64) >> shift).astype(np.uint32))
                 waiting += len(keys)
@@ -268,7 +324,7 @@ class HashParts:
                 yield row()
             give_back()
 
-        rows = docs.select(F.col("text").cast("string")).mapInArrow(counted, "slice int, steps binary, counts binary")
+        rows = coded.select("learn", "sizes", "hashes", "symbols").mapInArrow(counted, "slice int, steps binary, counts binary")
         dealt = rows.repartition(SLICES, "slice").sortWithinPartitions("slice")
         found = dealt.mapInArrow(met, "slice int, bits binary").toArrow()
         self.map = np.zeros((1 << self.bits) // 8, np.uint8)
@@ -280,11 +336,11 @@ class HashParts:
         return (self.map[part >> np.uint64(3)] >> (part & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _gram_table(docs: DataFrame, shorter: DataFrame, length: int, total: int) -> DataFrame:
+def _gram_table(coded: DataFrame, shorter: DataFrame, length: int, total: int) -> DataFrame:
     """(key, prefix, n) of the grams of a length that occur often enough; ``shorter`` has those one word shorter."""
     often = KeyMap(shorter.select("key"))
-    parts = HashParts(docs, length, often, total) if length == 2 else None
-    shared = docs.sparkSession.sparkContext.broadcast((often, parts))
+    parts = HashParts(coded, length, often, total) if length < 4 else None
+    shared = coded.sparkSession.sparkContext.broadcast((often, parts))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, parts = shared.value
@@ -299,7 +355,7 @@ def _gram_table(docs: DataFrame, shorter: DataFrame, length: int, total: int) ->
             columns = [found[order], prefix[order], n[order]]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "prefix", "n"])
 
-        for _, block in blocks(batches, 0):
+        for _, block in _stored(batches, True):
             whole, before = _candidates(block, length, known)
             if parts is not None:
                 there = parts.has(whole)
@@ -313,12 +369,12 @@ def _gram_table(docs: DataFrame, shorter: DataFrame, length: int, total: int) ->
         yield rows()
         give_back()
 
-    parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, "key long, prefix long, n long")
-    summed = parts.groupBy("key", "prefix").agg(F.sum("n").alias("n"))
+    rows = coded.select("learn", "sizes", "hashes", "symbols").mapInArrow(counted, "key long, prefix long, n long")
+    summed = rows.groupBy("key", "prefix").agg(F.sum("n").alias("n"))
     return settle(summed.filter(F.col("n") >= LEAST), "grams")
 
 
-def _tree_weights(docs: DataFrame, counts: DataFrame, total: int, distinct: int, max_context: int) -> DataFrame:
+def _tree_weights(coded: DataFrame, counts: DataFrame, total: int, distinct: int, max_context: int) -> DataFrame:
     """(key, n, weight): the whole tree as one weight per gram.
 
     Where a gram is in the tree, so is all it ends with. Let ``best`` be the log-probability of a gram's last symbol after
@@ -333,7 +389,7 @@ def _tree_weights(docs: DataFrame, counts: DataFrame, total: int, distinct: int,
     above = settle(above, "level")
     weights = []
     for length in range(2, max_context + 2):
-        grams = _gram_table(docs, above, length, total).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+        grams = _gram_table(coded, above, length, total).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
         contexts = above.select(
             F.col("key").alias("prefix"), F.col("n").alias("size"), F.col("suffix").alias("rest_of"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"),
@@ -361,6 +417,7 @@ def _tree_weights(docs: DataFrame, counts: DataFrame, total: int, distinct: int,
         best = F.when(F.col("log_rest").isNotNull(), F.log10("own")).otherwise(F.col("shorter"))
         added = F.coalesce(F.log10("own") - F.col("shorter") - F.col("log_rest"), F.lit(0.0))
         above = settle(joined.select("key", "suffix", "n", best.alias("best"), added.alias("weight")), "level")
+        release(coded.sparkSession)
         weights += [above.select("key", "n", "weight"), states.select(F.col("prefix").alias("key"), F.col("size").alias("n"), F.col("log_rest").alias("weight"))]
     every = weights[0]
     for part in weights[1:]:
@@ -381,12 +438,12 @@ def _least_common(counts: DataFrame, most: int) -> int:
     return next(b for b, n in zip(steps, reached(steps)) if n <= most)
 
 
-def grow(docs: DataFrame, max_context: int = MAX_CONTEXT) -> Model:
-    """The tree learnt from ``docs``."""
-    counts = settle(symbol_counts(docs), "symbols")
+def grow(coded: DataFrame, max_context: int = MAX_CONTEXT) -> Model:
+    """The tree learnt from a table of ``tokens``."""
+    counts = settle(symbol_counts(coded), "symbols")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     total, distinct = sums["total"], sums["distinct"]
-    weights = _tree_weights(docs, counts, total, distinct, max_context)
+    weights = _tree_weights(coded, counts, total, distinct, max_context)
     # A word may have a weight too, as a state. ``seen`` is how often an entry occurs, ``n`` a word's count, 0 for longer grams.
     words = counts.select(F.xxhash64("symbol").alias("key"), F.col("n").alias("seen"), "n", F.lit(0.0).alias("weight"))
     grams = weights.select("key", F.col("n").alias("seen"), F.lit(0).cast("long").alias("n"), "weight")
@@ -398,17 +455,21 @@ def grow(docs: DataFrame, max_context: int = MAX_CONTEXT) -> Model:
         bound = _least_common(own.select(F.col("seen").alias("n")), most)
         rows = own.filter(F.col("seen") >= bound).select(*columns).toArrow().sort_by("key")
         common.append(tuple(rows[c].to_numpy() for c in columns))
-    return Model(total, distinct, max_context + 1, KeyMap(weights.select("key")), *common, entries)
+    model = Model(total, distinct, max_context + 1, KeyMap(weights.select("key")), *common, entries)
+    discard(counts, weights)
+    release(coded.sparkSession)
+    return model
 
 
 _ASKED = "block long, doc_id array<long>, n_tokens array<long>, n_known array<long>, base array<double>, score array<double>, " \
-    "keys array<long>, doc array<int>, place array<int>, times array<int>, is_word array<boolean>"
+    "keys array<long>, words int, per_doc binary, place binary, times binary"
 
 
-def _asked(model: Model, block: Block) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _asked(model: Model, block: Block) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, int]:
     """Per text the known words, base and score by the common entries; and what is left to ask for.
 
-    That is: the distinct keys, and per text and key the text's number, the key's place, how often, and whether it is a word.
+    That is: for each text the number of keys, and for each of those, text by text, the key's place and how often it occurs;
+    then the distinct keys, and how many of them are words, which come first.
     """
     many = len(block.starts)
     texts = np.repeat(np.arange(many), block.sizes)
@@ -422,78 +483,75 @@ def _asked(model: Model, block: Block) -> tuple[list[np.ndarray], list[np.ndarra
     score = base + np.bincount(texts, own[block.symbols], many)
     # A word that is looked up brings its weight along.
     rare = np.flatnonzero(~known)
-    keys, of, kind = [block.hashes[block.symbols[rare]]], [texts[rare]], [np.ones(len(rare), bool)]
-    for found, there in block.grams(model.lengths)[1:]:
+    asked, of = [block.hashes[block.symbols[rare]]], [texts[rare]]
+    for found, _, there in block.grams(model.lengths):
         places = np.flatnonzero(there & model.known.has(found))
         spot, hit = _find(gram_keys, found[places])
         score += np.bincount(texts[places[hit]], gram_weight[spot[hit]], many)
         left = places[~hit]
-        keys.append(found[left])
+        asked.append(found[left])
         of.append(texts[left])
-        kind.append(np.zeros(len(left), bool))
-    key, doc, word = np.concatenate(keys), np.concatenate(of), np.concatenate(kind)
-    distinct, place = np.unique(key, return_inverse=True)
-    code = (doc * len(distinct) + place) * 2 + word if len(distinct) else np.zeros(0, np.int64)
-    code, times = np.unique(code, return_counts=True)
-    pair, word = code // 2, code % 2 == 1
-    width = max(1, len(distinct))
+    word, at_word = np.unique(asked[0], return_inverse=True)
+    gram, at_gram = np.unique(np.concatenate([np.zeros(0, np.int64), *asked[1:]]), return_inverse=True)
+    width = max(1, len(word) + len(gram))
+    pair, times = np.unique(np.concatenate(of) * width + np.concatenate([at_word, at_gram + len(word)]), return_counts=True)
     sums = [np.bincount(texts, known, many).astype(np.int64), base, score]
-    return sums, [distinct, (pair // width).astype(np.int32), (pair % width).astype(np.int32), times.astype(np.int32), word]
+    parts = [np.bincount(pair // width, minlength=many), pair % width, times]
+    return sums, [p.astype(np.uint32) for p in parts], np.concatenate([word, gram]), len(word)
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score of every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scores(coded: DataFrame, model: Model, last: bool = False) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score of every text of a table of ``tokens``, which goes if this is its ``last`` use."""
+    shared = coded.sparkSession.sparkContext.broadcast(model)
     names = [part.split(" ")[0] for part in _ASKED.split(", ")]
 
-    def one_row(values) -> pa.Array:
-        made = values if isinstance(values, pa.Array) else pa.array(values)
-        return pa.ListArray.from_arrays(pa.array([0, len(made)], pa.int32()), made)
-
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        for part, block in blocks(batches, 1):
-            sums, rest = _asked(shared.value, block)
-            columns = [part.column(0), block.sizes.astype(np.int64), *sums, *rest]
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *map(one_row, columns)], names=names)
+        for row, block in _stored(batches, False):
+            sums, parts, keys, words = _asked(shared.value, block)
+            lists = [_one_row(c) for c in (row["doc_id"].values, block.sizes, *sums, keys)]
+            packed = [pa.array([p.tobytes()], pa.binary()) for p in parts]
+            first, count = pa.array([number], pa.int64()), pa.array([words], pa.int32())
+            yield pa.RecordBatch.from_arrays([first, *lists, count, *packed], names=names)
             number += 1
         give_back()
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = model_total
         for batch in batches:
             for at in range(batch.num_rows):
-                row = {n: batch.column(n)[at].values for n in batch.schema.names if n != "block"}
-                keys, met = row["keys"].to_numpy(), row["met"]
-                n, weight = np.zeros(len(keys), np.int64), np.zeros(len(keys))
+                row = {n: batch.column(n)[at] for n in batch.schema.names}
+                lists = {n: row[n].values for n in ("doc_id", "n_tokens", "n_known", "base", "score", "met")}
+                per_doc, place, times = (np.frombuffer(row[n].as_buffer(), np.uint32) for n in ("per_doc", "place", "times"))
+                n, weight = np.zeros(row["many"].as_py(), np.int64), np.zeros(row["many"].as_py())
+                met = lists["met"]
                 if met is not None and len(met):
-                    place = np.searchsorted(keys, met.field("key").to_numpy())
-                    n[place], weight[place] = met.field("n").to_numpy(), met.field("weight").to_numpy()
-                doc, spot, times = (row[c].to_numpy() for c in ("doc", "place", "times"))
-                word = row["is_word"].to_numpy(zero_copy_only=False)
-                many = len(row["doc_id"])
-                root = np.where(word, np.log10((n[spot] + 1) / total), 0.0) * times
-                base = np.bincount(doc, root, many)
-                own = np.bincount(doc, weight[spot] * times, many)
-                known = np.bincount(doc, times * (word & (n[spot] > 0)), many).astype(np.int64)
+                    spot = met.field("place").to_numpy()
+                    n[spot], weight[spot] = met.field("n").to_numpy(), met.field("weight").to_numpy()
+                many, words = len(per_doc), row["words"].as_py()
+                root, known = np.zeros(len(n)), np.zeros(len(n))
+                root[:words], known[:words] = np.log10((n[:words] + 1) / model_total), n[:words] > 0
+                doc = np.repeat(np.arange(many), per_doc)
+                more = [np.bincount(doc, times * x[place], many) for x in (known, root, root + weight)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        row["doc_id"],
-                        row["n_tokens"],
-                        pa.array(row["n_known"].to_numpy() + known),
-                        pa.array(row["base"].to_numpy() + base),
-                        pa.array(row["score"].to_numpy() + base + own),
+                        lists["doc_id"],
+                        lists["n_tokens"],
+                        pa.array(lists["n_known"].to_numpy() + more[0].astype(np.int64)),
+                        pa.array(lists["base"].to_numpy() + more[1]),
+                        pa.array(lists["score"].to_numpy() + more[2]),
                     ],
                     names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
                 )
 
     model_total = model.total + model.distinct + 1
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    seen = settle(rows.mapInArrow(asked, _ASKED), "asked")
-    # A block asks once for a key, whatever its texts hold of it.
-    wanted = seen.select("block", F.explode("keys").alias("key")).join(model.entries.select("key", "n", "weight"), "key")
-    met = wanted.groupBy("block").agg(F.collect_list(F.struct("key", "n", "weight")).alias("met"))
-    out = seen.join(met, "block", "left")
+    seen = settle(coded.select("doc_id", "sizes", "hashes", "symbols").mapInArrow(asked, _ASKED), "asked", "zstd")
+    if last:
+        discard(coded)
+    release(coded.sparkSession)
+    # A block asks once for a key, whatever its texts hold of it, and is answered by the key's place.
+    wanted = seen.select("block", F.posexplode("keys").alias("place", "key")).join(model.entries.select("key", "n", "weight"), "key")
+    met = wanted.groupBy("block").agg(F.collect_list(F.struct("place", "n", "weight")).alias("met"))
+    out = seen.withColumn("many", F.size("keys")).drop("keys").join(met, "block", "left")
     return out.mapInArrow(answered, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
@@ -502,7 +560,8 @@ def op6_suffix_tree(spark, sf_dir: str) -> DataFrame:
     """The probability of every text, learnt from six sevenths of them."""
     docs = table(spark, sf_dir, "documents")
     fold = id_fold("doc_id", FOLDS)
-    model = grow(docs.filter(fold != HELD_OUT))
-    return scores(docs, model).withColumns(
+    coded = tokens(docs, fold != HELD_OUT)
+    model = grow(coded)
+    return scores(coded, model, last=True).withColumns(
         {"held_out": F.coalesce(fold == HELD_OUT, F.lit(False)), "train_tokens": F.lit(model.total).cast("long")}
     )

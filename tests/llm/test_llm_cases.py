@@ -233,15 +233,15 @@ def test_windows_are_full_and_groups_even():
 
 
 def test_language_model_cases(spark, odd):
-    model = suffixtree.grow(odd.filter("doc_id IS NOT NULL"))
-    got = suffixtree.scores(odd, model).toPandas()
+    model = suffixtree.grow(suffixtree.tokens(odd, F.col("doc_id").isNotNull()))
+    got = suffixtree.scores(suffixtree.tokens(odd), model).toPandas()
     assert len(got) == odd.count()
     empty = got[got["doc_id"].isin([2, 3, 4])]
     assert set(empty["n_tokens"]) == {1} and empty["score"].nunique() == 1
     assert (got["score"] <= 0).all()
-    bare = suffixtree.grow(odd.limit(0))
-    assert suffixtree.scores(odd, bare).toPandas()["base_score"].eq(0).all()
-    assert suffixtree.scores(odd.limit(0), model).count() == 0
+    bare = suffixtree.grow(suffixtree.tokens(odd.limit(0)))
+    assert suffixtree.scores(suffixtree.tokens(odd), bare).toPandas()["base_score"].eq(0).all()
+    assert suffixtree.scores(suffixtree.tokens(odd.limit(0)), model).count() == 0
 
 
 class BruteTree:
@@ -296,12 +296,13 @@ def test_scores_by_brute_force(spark, odd, monkeypatch, common):
     # Whether a key is sent to the tasks or met by the join changes nothing.
     monkeypatch.setattr(suffixtree, "COMMON_WORDS", common // 2)
     monkeypatch.setattr(suffixtree, "COMMON_GRAMS", common)
-    model = suffixtree.grow(table.filter("doc_id % 4 <> 1 OR doc_id > 90"))
+    coded = suffixtree.tokens(table, F.expr("doc_id % 4 <> 1 OR doc_id > 90"))
+    model = suffixtree.grow(coded)
     assert len(model.words[0]) <= common and len(model.grams[0]) <= common
     rows = [(r["doc_id"], r["text"]) for r in table.collect()]
     brute = BruteTree([t for i, t in rows if i is not None and (i % 4 != 1 or i > 90)], 3)
     assert {len(c) for c in brute.states} == {1, 2, 3}
-    got = sorted((r["doc_id"] or -1, r["n_tokens"], r["score"]) for r in suffixtree.scores(table, model).collect())
+    got = sorted((r["doc_id"] or -1, r["n_tokens"], r["score"]) for r in suffixtree.scores(coded, model).collect())
     want = sorted((i or -1, len(suffixtree.words_and_end(t)), brute.score(t)) for i, t in rows)
     assert [g[:2] for g in got] == [w[:2] for w in want]
     assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-9)
@@ -310,7 +311,7 @@ def test_scores_by_brute_force(spark, odd, monkeypatch, common):
 def test_hash_parts_keep_every_frequent_pair(spark):
     rnd = random.Random(2)
     texts = [" ".join(rnd.choice("a b c d e f g h".split()) + str(rnd.randint(0, 30) ** 2 // 40) for _ in range(400)) for _ in range(40)]
-    table = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    table = suffixtree.tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5))
     counts = suffixtree.symbol_counts(table)
     known = suffixtree.KeyMap(counts.filter(F.col("n") >= suffixtree.LEAST).select(F.xxhash64("symbol").alias("key")))
     parts = suffixtree.HashParts(table, 2, known, 16_000)
@@ -339,9 +340,9 @@ def test_contexts_need_the_same_count_in_any_corpus(spark):
     # The passage occurs 20 times in 40,000 words.
     texts = [prose(i, 1000) + (" red green blue" if i % 2 else " red") for i in range(40)]
     texts += [prose(500 + i, 3) + (" one two three" if i < 15 else " one") for i in range(30)]
-    model = suffixtree.grow(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    model = suffixtree.grow(suffixtree.tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
     probe = spark.createDataFrame([(1, "red green blue"), (2, "one two three")], "doc_id long, text string")
-    got = {r["doc_id"]: r["score"] - r["base_score"] for r in suffixtree.scores(probe, model).collect()}
+    got = {r["doc_id"]: r["score"] - r["base_score"] for r in suffixtree.scores(suffixtree.tokens(probe), model).collect()}
     assert got[1] > 4 and got[2] < 1
 
 
@@ -353,8 +354,9 @@ def test_blocks_split_words_as_python_does():
     for size in (1, 30, 2**22):
         suffixtree.BLOCK_BYTES, before = size, suffixtree.BLOCK_BYTES
         got = []
-        for part, block in suffixtree.blocks(iter([rows]), 0):
-            names = [*block.words.to_pylist(), b""]
+        for part in suffixtree.text_blocks(iter([rows]), 0):
+            words, block = suffixtree.split_texts(part.column(0))
+            names = [*words, b""]
             for start, n in zip(block.starts, block.sizes):
                 got.append([names[i] for i in block.symbols[start : start + n]])
         suffixtree.BLOCK_BYTES = before
