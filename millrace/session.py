@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Bytes of a row group of a table in the scratch folder.
+ROW_GROUP = 16 * 2**20
 # Scratch folders of local sessions that name none.
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -75,7 +78,33 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(scratch_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files and broadcasts of steps that nothing refers to any longer.
+
+    Spark finds these when the driver's garbage is collected, which by itself may be half an hour away; a job of many written
+    steps would hold the files of all of them until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def write_scratch(df: DataFrame, path: str, codec: str = "snappy") -> None:
+    """Write a table that is read again soon. A writer holds a row group in memory, so these are small."""
+    df.write.option("parquet.block.size", ROW_GROUP).option("compression", codec).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove settled tables that nothing reads any longer, as all that was made from them is settled itself."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            if scratch_folder(spark).split("://")[-1].split(":")[-1] not in folder:
+                raise ValueError(f"{folder} is not a scratch folder of this application")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settle(df: DataFrame, label: str = "settled", codec: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Used where later steps must all see one and the same evaluation, and where recomputing after
@@ -83,5 +112,5 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    write_scratch(df, path, codec)
     return spark.read.schema(df.schema).parquet(path)
