@@ -40,16 +40,16 @@ from millrace.llm.registry import query
 from millrace.session import discard, release, settle
 
 # The most frequent words and weights of grams are sent to the tasks, at most so many: 24 and 16 bytes each.
-COMMON_WORDS, COMMON_GRAMS = 2**19, 2**19
+COMMON_WORDS, COMMON_GRAMS = 2**17, 2**19
 LEAST = 16
 MAX_CONTEXT = 3
 DISCOUNT = 0.5
 END = b""
 FOLDS, HELD_OUT = 7, 2
 # Bytes of text in a block, unless one text has more, and documents.
-BLOCK_BYTES, BLOCK_DOCS = 2**20, 4096
+BLOCK_BYTES, BLOCK_DOCS = 2**22, 4096
 # Grams, parts of hashes, and words a task holds before it sends on what it has counted.
-GRAMS_HELD, PARTS_HELD, WORDS_HELD = 2**19, 2**21, 2**17
+GRAMS_HELD, PARTS_HELD, WORDS_HELD = 2**21, 2**21, 2**17
 # Hash parts of pairs lie in so many slices, and there are about as many parts as words, up to MAP_WORDS * 64.
 SLICES = 128
 # The bit map of keys has at most so many words of 64 bits (64 MB), and sixteen bits a key up to there.
