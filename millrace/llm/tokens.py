@@ -16,7 +16,7 @@ PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 SHOWN = (*range(33, 127), *range(161, 173), *range(174, 256))
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 2**17
 END_ID = 1
 
 
