@@ -42,6 +42,8 @@ SHINGLE_WORDS = 5
 ROWS = 3
 MISS = 2e-4
 BLOCK = 512
+# Buckets are joined in rounds, of so many sixteenths of them each.
+ROUNDS = (1, 2, 4, 9)
 PERCENT = 80
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -141,13 +143,15 @@ def table_entries(sets: DataFrame, m: int) -> DataFrame:
 
 
 def distinct_buckets(entries: DataFrame) -> DataFrame:
-    """(bucket, members) of buckets with two members or more; of buckets with equal members one."""
+    """(bucket, members) of buckets whose members are not all in one ``part`` yet; of buckets with equal members one."""
     sized = entries.groupBy("bucket").agg(
         F.count("*").alias("members"),
         F.bit_xor(F.xxhash64("node")).alias("all_nodes"),
         F.min("node").alias("least"),
+        F.min("part").alias("first_part"),
+        F.max("part").alias("last_part"),
     )
-    alike = sized.filter("members > 1").groupBy("members", "all_nodes", "least")
+    alike = sized.filter("first_part <> last_part").groupBy("members", "all_nodes", "least")
     return alike.agg(F.min("bucket").alias("bucket")).select("bucket", "members")
 
 
@@ -191,10 +195,13 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list]
 
 
 class Forest:
-    """Union-find over the members of one group; remembers the links that joined two trees."""
+    """Union-find over the members of one group; remembers the links that joined two trees.
 
-    def __init__(self, n: int):
-        self.root = np.arange(n)
+    Members of one of the ``parts``, if given, are joined from the start.
+    """
+
+    def __init__(self, n: int, parts: list[int] | None = None):
+        self.root = np.arange(n) if parts is None else np.unique(parts, return_inverse=True)[1]
         self.links: list[tuple[int, int]] = []
 
     def join(self, i: int, others: np.ndarray) -> None:
@@ -218,13 +225,13 @@ def _opposite(own: np.ndarray, i: int, one: int, two: int) -> np.ndarray:
 
 
 def alike_edges(members: DataFrame, many: int, agreement: float) -> DataFrame:
-    """Spanning forests (a, b) of the members of each bucket whose minhashes agree."""
+    """Spanning forests (a, b) of the members of each bucket whose minhashes agree, between their parts."""
 
     def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
-        for _, one, two, own, nodes, signatures in grouped(batches, 3):
+        for _, one, two, own, nodes, parts, signatures in grouped(batches, 3):
             s = np.frombuffer(b"".join(signatures), "<u4").reshape(len(nodes), many)
-            own, forest = np.array(own), Forest(len(nodes))
+            own, forest = np.array(own), Forest(len(nodes), parts)
             for i in range(len(nodes) - 1):
                 others = _opposite(own, i, one[0], two[0])
                 others = others[forest.root[others] != forest.root[i]]
@@ -237,7 +244,7 @@ def alike_edges(members: DataFrame, many: int, agreement: float) -> DataFrame:
         give_back()
 
     sorted_rows = (
-        members.select("bucket", "one", "two", "own_block", "node", "signature")
+        members.select("bucket", "one", "two", "own_block", "node", "part", "signature")
         .repartition("bucket", "one", "two")
         .sortWithinPartitions("bucket", "one", "two")
     )
@@ -294,6 +301,30 @@ def _sets_of(rows: DataFrame) -> DataFrame:
     return rows.select("cluster", "members", "node", "text").mapInArrow(packed, kind)
 
 
+def candidate_clusters(entries: DataFrame, sets: DataFrame, many: int, agreement: float) -> DataFrame:
+    """(node, root) of the components of agreeing members of all buckets.
+
+    Copies of one text meet in nearly every table. So some of the buckets, chosen by their keys, are joined first, and in each
+    round after only those count whose members are not yet together; within these, only what joins two components is looked for.
+    """
+    joined, found, begin = None, None, 0
+    for sixteenths in ROUNDS:
+        turn = F.pmod(F.col("bucket"), F.lit(sum(ROUNDS)))
+        rows = entries.filter((turn >= begin) & (turn < begin + sixteenths))
+        begin += sixteenths
+        if joined is None:
+            rows = rows.withColumn("part", F.col("node"))
+        else:
+            rows = rows.join(joined, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
+            # Both what counts a bucket and what deals it out read the same rows.
+            rows = settle(rows, "parts")
+        members = rows.join(distinct_buckets(rows), "bucket").join(sets.select("node", "signature"), "node")
+        edges = settle(alike_edges(in_block_pairs(members, "bucket", "members"), many, agreement), "edges")
+        found = edges if found is None else found.unionByName(edges)
+        joined = settle(components(found), "joined")
+    return joined
+
+
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, check, n_shingles, node, component_id, group and kept, one row per row of ``docs``.
 
@@ -307,9 +338,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = known.groupBy("node").agg(F.min("doc_id").alias("least_doc"), F.first("signature").alias("signature"))
     sets = settle(sets, "sets")
     entries = settle(table_entries(sets, m), "entries")
-    members = entries.join(distinct_buckets(entries), "bucket").join(sets.select("node", "signature"), "node")
-    members = in_block_pairs(members, "bucket", "members")
-    clusters = settle(components(alike_edges(members, many, least_agreement(percent))), "clusters")
+    clusters = candidate_clusters(entries, sets, many, least_agreement(percent))
     sizes = clusters.groupBy("root").agg(F.count("*").alias("members"))
     wanted = clusters.join(sizes, "root").join(sets.select("node", "least_doc"), "node")
     wanted = wanted.select(F.col("least_doc").alias("doc_id"), "node", F.col("root").alias("cluster"), "members")
