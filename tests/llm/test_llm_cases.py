@@ -174,27 +174,65 @@ def test_search_cases(spark):
     ]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")
     vectors = vafile.integer_vectors(table)
-    got = vafile.nearest(vectors.filter("vec_id % 50 = 0"), vectors, vector_block=2, query_block=1).collect()
+    found = lambda *a: vafile.nearest(*a, vector_block=2, query_block=1).collect()
+    got = found(vectors.filter("vec_id % 50 = 0"), vectors)
     of = lambda q: sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
-    high, low = 2 * 128 * 128, 128 * -1
-    assert of(50) == [(1, 0, high), (2, 0, high), (3, 1, high), (4, 8, low)]
-    # Both rows of vec_id 0 are queries; neither is a candidate of the other.
-    assert of(0) == sorted([(1, 1, high), (2, 50, high), (3, 8, low)] * 2)
-    assert vafile.nearest(vectors.limit(0), vectors).count() == 0
-    assert vafile.nearest(vectors, vectors.limit(0)).count() == 0
+    high, far = 2 * 128 * 128, 0
+    # A row without an id is a candidate; of equal scores it comes last.
+    assert of(50) == [(1, 0, high), (2, 0, high), (3, 1, high), (4, None, far), (5, 8, -128)]
+    # Both rows of vec_id 0 are queries, and each is a candidate of the other.
+    assert of(0) == sorted([(1, 0, high), (2, 1, high), (3, 50, high), (4, None, far), (5, 8, -128)] * 2)
+    assert found(vectors.limit(0), vectors) == []
+    assert found(vectors, vectors.limit(0)) == []
+    assert found(vectors.filter("vec_id = 7"), vectors) == []
+
+
+def test_search_equals_brute_force_on_copies_and_wide_values(spark):
+    """Repeated and null ids, a third of the rows near copies, components from a few units to very large ones."""
+    rnd = np.random.default_rng(5)
+    vectors = np.floor(rnd.normal(0, 60, (240, 12))).astype(np.int64)
+    vectors[:80] = vectors[0]
+    vectors[40:80, 3] += np.arange(40) % 5
+    vectors[80:100] *= 10**7
+    ids = [None if n % 13 == 5 else n % 150 for n in range(240)]
+    table = spark.createDataFrame(
+        [(i, (v / 256).tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>"
+    )
+    numbered = vafile.integer_vectors(table)
+    got = vafile.nearest(numbered.filter("vec_id % 10 = 0"), numbered, k=7, vector_block=32, query_block=8).collect()
+    want = []
+    for q in (n for n in range(240) if ids[n] is not None and ids[n] % 10 == 0):
+        scores = [(int(vectors[j] @ vectors[q]), ids[j]) for j in range(240) if j != q]
+        scores.sort(key=lambda s: (-s[0], s[1] is None, s[1] or 0))
+        want += [(ids[q], n + 1, i, s) for n, (s, i) in enumerate(scores[:7])]
+    assert Counter(map(tuple, got)) == Counter(want)
 
 
-def test_search_reads_few_exact_vectors():
+def test_search_reads_few_exact_vectors(spark):
     rnd = np.random.default_rng(1)
     vectors = np.floor(rnd.normal(0, 0.125, (3000, 64)) * 256).astype(np.int64)
-    ids = np.arange(3000)
-    rows, reads = vafile.block_best(ids[:20], vectors[:20], ids, vectors, 5)
+    rows = np.arange(3000)
+    best, reads = vafile.block_best(rows[:20], vectors[:20], rows, vectors, 5)
     scores = vectors[:20] @ vectors.T
     np.fill_diagonal(scores, np.iinfo(np.int64).min)
-    assert [r[3] for r in rows] == np.sort(scores, axis=1)[:, ::-1][:, :5].ravel().tolist()
-    assert reads < 0.25 * 20 * 3000
+    assert [r[2] for r in best] == np.sort(scores, axis=1)[:, ::-1][:, :5].ravel().tolist()
+    assert reads < 0.1 * 20 * 3000
     big = np.array([[2**30, 1], [2**31, -3]])
-    assert vafile.block_best(np.array([0]), big[:1], np.array([0, 1]), big, 5)[0] == [(0, 0, 1, 2**61 - 3)]
+    assert vafile.block_best(np.array([0]), big[:1], np.array([0, 1]), big, 5)[0] == [(0, 1, 2**61 - 3)]
+    # What is scanned is a byte a component.
+    table = spark.createDataFrame([(n, (v / 256).tolist()) for n, v in enumerate(vectors[:200])], "vec_id long, embedding array<double>")
+    cells = vafile.cell_file(vafile.integer_vectors(table))
+    assert cells.columns == ["row", "dims", "shift", "cells"]
+    assert {r["n"] for r in cells.select(F.length("cells").alias("n")).collect()} == {64}
+
+
+def test_cells_bound_every_score():
+    rnd = np.random.default_rng(2)
+    for size in (3, 300, 10**6, 2**29):
+        vectors, queries = (rnd.integers(-size, size, (50, 16)) for _ in range(2))
+        low, high = vafile.bounds(queries, *vafile.cells_of(vectors))
+        exact = queries @ vectors.T
+        assert (low <= exact).all() and (exact <= high).all()
 
 
 def test_packing_cases(spark, odd):
