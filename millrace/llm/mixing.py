@@ -2,23 +2,27 @@
 
 The words of each source are summed, a target is set for each source, and each document is emitted
 floor(rate) times plus once more with a probability of the fraction, where the rate is the target
-divided by the source's size. The chance comes from a hash of the seed and the doc_id, so a rerun
-or a recomputed task draws the same copies.
+divided by the source's size. The chance comes from a hash of the seed, the doc_id, the source, the text and a
+number among rows equal in these, so a rerun or a recomputed task draws the same copies.
 
 Targets: weights are dealt to the sources in order of their names (by code point, a null name last)
 and share out all words. A source whose share is above ``ceiling`` times its size stops there, and
 what it leaves is shared by weight among the others, until none is above.
 
-Defined cases: a null text has no words; a source without words has target 0 and is not taken; rows
-that share a doc_id draw alike; an empty table gives an empty table. Columns of the input are kept
-whatever their names.
+Rows equal in doc_id, source and text are numbered where they lie: each part of the input counts its own and starts
+after the parts before it, so a group that holds a third of all rows is numbered in many tasks.
+
+Defined cases: a null text has no words; a source without words has target 0 and is not taken; a null counts as an empty
+text in the hash; each of several rows with one doc_id, or with a null one, draws for itself, equal rows too, so that
+their source comes near its target; which of the equal rows draws what is open where their other columns differ.
+An empty table gives an empty table. Columns of the input are kept whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WORD, table
@@ -31,6 +35,8 @@ CEILING = 3
 SEED = 17
 # Hex digits of the hash that are drawn from: 52 bits, which a double holds exactly.
 DIGITS = 13
+# The upper bits of monotonically_increasing_id hold the number of the partition.
+PART_BITS = 33
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, ceiling: int = CEILING) -> DataFrame:
@@ -61,18 +67,35 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, ceiling:
     return sources.withColumn("target", F.when(share >= cap, cap.cast("double")).otherwise(share))
 
 
+def numbered(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """``docs`` with ``__key``, a hash of seed, doc_id, source and text, and ``__number`` among rows of one key, from 0."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "source", "text")]
+    keyed = docs.withColumn("__key", F.md5(F.concat_ws(":", F.lit(str(seed)), *parts)))
+    many = settle(keyed.groupBy("__key").count().filter("count > 1").select("__key"), "many")
+    single = keyed.join(many, "__key", "left_anti").withColumn("__number", F.lit(0).cast("long"))
+    equal = keyed.join(many, "__key", "left_semi").withColumn("__row", F.monotonically_increasing_id())
+    equal = settle(equal, "equal").withColumn("__part", F.shiftright("__row", PART_BITS))
+    earlier = Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = equal.groupBy("__key", "__part").count()
+    starts = starts.select("__key", "__part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__key", "__part").orderBy("__row"))
+    placed = equal.withColumn("__place", place).join(starts, ["__key", "__part"])
+    placed = placed.withColumn("__number", F.col("__start") + F.col("__place") - 1)
+    return single.unionByName(placed.select(*single.columns))
+
+
 def with_copies(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, ceiling: int = CEILING, seed: int = SEED
 ) -> DataFrame:
     """``docs`` with a struct ``__mix``: size, source_size, target, copies."""
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = docs.withColumn("__size", size)
-    targets = source_targets(sized.select("source", F.col("__size").alias("size")), weights, ceiling)
+    targets = source_targets(docs.select("source", size.alias("size")), weights, ceiling)
+    sized = numbered(docs, seed).withColumn("__size", size)
     targets = targets.select(F.col("source").alias("__source"), F.struct("source_size", "target").alias("__of"))
     joined = sized.join(targets, sized["source"].eqNullSafe(targets["__source"]))
     rate = F.when(F.col("__of.source_size") > 0, F.col("__of.target") / F.col("__of.source_size")).otherwise(F.lit(0.0))
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    drawn = F.conv(F.substring(F.md5(key), 1, DIGITS), 16, 10).cast("long") / F.lit(float(16**DIGITS))
+    chance = F.md5(F.concat_ws(":", "__key", "__number"))
+    drawn = F.conv(F.substring(chance, 1, DIGITS), 16, 10).cast("long") / F.lit(float(16**DIGITS))
     copies = F.floor("__rate") + F.when(F.col("__drawn") < F.col("__rate") - F.floor("__rate"), 1).otherwise(0)
     mixed = joined.withColumns({"__rate": rate, "__drawn": drawn}).withColumn(
         "__mix",
@@ -95,7 +118,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, ceiling: int = CEILIN
 
 MIX_SQL = f"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(source, '') || ':' || coalesce(text, '')) AS key
   FROM documents
 ),
 sources AS (
@@ -122,7 +146,7 @@ targets AS (
 rates AS (
   SELECT doc_id, size, source_size, target,
          CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-         CAST('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, {DIGITS}) AS BIGINT)
+         CAST('0x' || substr(md5(key || ':' || CAST(row_number() OVER (PARTITION BY key) - 1 AS VARCHAR)), 1, {DIGITS}) AS BIGINT)
            / CAST({16**DIGITS} AS DOUBLE) AS drawn
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )

@@ -5,8 +5,13 @@ combinations of url tokens that go with a verdict, rules below a support or conf
 is a rule when dropping one of its tokens gives a rule at least as sure. The other urls are judged by the surest mined rule
 whose tokens they all have; without one, the verdict is ``DEFAULT``.
 
-Matching uses an inverted index: a mined rule is filed under its rarest token, urls look it up by an equi-join
-on their tokens, and the candidates are checked for the rest. Urls with equal token sets are judged once, so
+Tokens below the support are in no rule and are left out before mining. Tokens that the decided urls have in the
+same places (parts of one template, labels of one host) are one item: a rule with the item stands for the rules with any of its
+tokens, and the combinations among them are never formed. The tokens of an item are those with the same count and
+the same two 64-bit sums of the hashes of their urls.
+
+Matching uses an inverted index: a mined rule is filed under its rarest item, urls look it up by an equi-join
+on their items, and the candidates are checked for the rest. Urls with equal token sets are judged once, so
 neither a hot host nor a hot token multiplies the work.
 
 Defined cases: a null url, and one without ``://``, has an empty host and path, fits no rule and has no tokens;
@@ -20,7 +25,7 @@ from collections.abc import Sequence
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import table
@@ -83,45 +88,70 @@ def url_tokens(url: str, host: str, path: str) -> Column:
     return F.array_sort(F.array_distinct(F.concat(labels, parts, names, fragment)))
 
 
+def items_of(labelled: DataFrame, least_support: float = LEAST_SUPPORT) -> DataFrame:
+    """(token, item) of the tokens at the support; an item is the smallest of the tokens that occur in the same rows.
+
+    A token at the support is in that share of the rows, so there are at most (mean tokens of a row / support) of them.
+    """
+    least = labelled.agg(F.count("*") * F.lit(least_support)).scalar()
+    sets = labelled.groupBy("tokens").agg(F.count("*").alias("n"))
+    places = [F.bit_xor(F.xxhash64(F.lit(k), "tokens")).alias(f"place{k}") for k in (1, 2)]
+    uses = sets.select("tokens", "n", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("n").alias("n"), *places)
+    together = Window.partitionBy("n", "place1", "place2")
+    return settle(uses.filter(F.col("n") >= least).select("token", F.min("token").over(together).alias("item")), "items")
+
+
+def with_items(token_sets: DataFrame, items: DataFrame) -> DataFrame:
+    """(tokens, items) of the distinct token sets that hold an item; sets must not repeat."""
+    met = token_sets.select("tokens", F.explode("tokens").alias("token")).join(items, "token")
+    return met.groupBy("tokens").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+
 def mined_rules(
-    labelled: DataFrame, least_support: float = LEAST_SUPPORT, least_confidence: float = LEAST_CONFIDENCE
+    labelled: DataFrame,
+    items: DataFrame,
+    least_support: float = LEAST_SUPPORT,
+    least_confidence: float = LEAST_CONFIDENCE,
 ) -> DataFrame:
-    """(tokens, verdict, confidence, support) mined from rows (tokens, verdict), written once."""
-    items = labelled.select(F.array_append("tokens", F.concat(F.lit(VERDICT), "verdict")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(items)
+    """(items, verdict, confidence, support) mined from rows (tokens, verdict), written once."""
+    held = with_items(labelled.select("tokens").distinct(), items)
+    rows = labelled.join(held, "tokens", "left")
+    none = F.array().cast("array<string>")
+    baskets = rows.select(F.array_append(F.coalesce("items", none), F.concat(F.lit(VERDICT), "verdict")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(baskets)
     found = model.associationRules.filter(
         F.element_at("consequent", 1).startswith(VERDICT) & ~F.exists("antecedent", lambda t: t.startswith(VERDICT))
     )
     rules = found.select(
-        F.array_sort("antecedent").alias("tokens"),
+        F.array_sort("antecedent").alias("items"),
         F.substring(F.element_at("consequent", 1), len(VERDICT) + 1, 1000).alias("verdict"),
         "confidence",
         "support",
     )
     rules = settle(rules, "rules")
-    fewer = F.transform("tokens", lambda t: F.array_remove(F.col("tokens"), t))
-    parents = rules.filter(F.size("tokens") > 1).select("*", F.explode(fewer).alias("fewer"))
-    known = rules.select(F.col("tokens").alias("fewer"), "verdict", F.col("confidence").alias("before"))
-    beaten = parents.join(known, ["fewer", "verdict"]).filter("before >= confidence").select("tokens", "verdict")
-    return settle(rules.join(beaten.distinct(), ["tokens", "verdict"], "left_anti"), "rules")
+    fewer = F.transform("items", lambda t: F.array_remove(F.col("items"), t))
+    parents = rules.filter(F.size("items") > 1).select("*", F.explode(fewer).alias("fewer"))
+    known = rules.select(F.col("items").alias("fewer"), "verdict", F.col("confidence").alias("before"))
+    beaten = parents.join(known, ["fewer", "verdict"]).filter("before >= confidence").select("items", "verdict")
+    return settle(rules.join(beaten.distinct(), ["items", "verdict"], "left_anti"), "rules")
 
 
-def judged_tokens(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
+def judged_tokens(token_sets: DataFrame, items: DataFrame, rules: DataFrame) -> DataFrame:
     """(tokens, method_verdict) of the distinct token sets for which a mined rule holds."""
-    uses = token_sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("uses"))
-    numbered = rules.withColumn("rule_tokens", F.col("tokens"))
-    filed = numbered.select("rule_tokens", "verdict", "confidence", "support", F.explode("tokens").alias("token"))
-    rarest = F.min_by("token", F.struct("uses", "token"))
+    held = settle(with_items(token_sets, items), "held")
+    uses = held.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("uses"))
+    filed = rules.select(F.col("items").alias("rule_items"), "verdict", "confidence", "support", F.explode("items").alias("item"))
+    rarest = F.min_by("item", F.struct("uses", "item"))
     index = (
-        filed.join(uses, "token")
-        .groupBy("rule_tokens", "verdict", "confidence", "support")
-        .agg(rarest.alias("token"), F.count("*").alias("met"))
-        # A token no url has keeps the rule from fitting any.
-        .filter(F.col("met") == F.size("rule_tokens"))
+        filed.join(uses, "item")
+        .groupBy("rule_items", "verdict", "confidence", "support")
+        .agg(rarest.alias("item"), F.count("*").alias("met"))
+        # An item no url has keeps the rule from fitting any.
+        .filter(F.col("met") == F.size("rule_items"))
     )
-    asked = token_sets.select("tokens", F.explode("tokens").alias("token"))
-    fits = asked.join(index.drop("met"), "token").filter(F.size(F.array_except("rule_tokens", "tokens")) == 0)
-    surest = F.max_by("verdict", F.struct("confidence", "support", "rule_tokens", "verdict"))
+    asked = held.select("tokens", "items", F.explode("items").alias("item"))
+    fits = asked.join(index.drop("met"), "item").filter(F.size(F.array_except("rule_items", "items")) == 0)
+    surest = F.max_by("verdict", F.struct("confidence", "support", "rule_items", "verdict"))
     return fits.groupBy("tokens").agg(surest.alias("method_verdict"))
 
 
@@ -137,13 +167,11 @@ def judge(
     parsed = parsed.withColumn("__rule", fitting_rule("__host", "__path", rules))
     parsed = parsed.withColumn("__tokens", url_tokens(url, "__host", "__path"))
     decided = parsed.filter("__rule IS NOT NULL")
-    mined = mined_rules(
-        decided.select(F.col("__tokens").alias("tokens"), F.col("__rule.verdict").alias("verdict")),
-        least_support,
-        least_confidence,
-    )
+    labelled = decided.select(F.col("__tokens").alias("tokens"), F.col("__rule.verdict").alias("verdict"))
+    items = items_of(labelled, least_support)
+    mined = mined_rules(labelled, items, least_support, least_confidence)
     open_sets = parsed.filter("__rule IS NULL").select(F.col("__tokens").alias("tokens")).distinct()
-    found = judged_tokens(open_sets, mined).select(F.col("tokens").alias("__tokens"), "method_verdict")
+    found = judged_tokens(open_sets, items, mined).select(F.col("tokens").alias("__tokens"), "method_verdict")
     joined = parsed.join(found.withColumnRenamed("method_verdict", "__found"), "__tokens", "left")
     verdict = F.coalesce("__rule.verdict", "__found", F.lit(DEFAULT))
     return joined.select(

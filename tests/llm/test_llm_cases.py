@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, extra columns and planted cases."""
 
+import itertools
 import math
 import random
 from collections import Counter
@@ -149,11 +150,60 @@ def test_url_cases(spark):
 
 def test_mined_rules_are_pruned_and_applied(spark):
     rows = [(["host:spam", "path:x"], "block")] * 20 + [(["host:good", "path:x"], "allow")] * 20
-    rules = urlrules.mined_rules(spark.createDataFrame(rows, "tokens array<string>, verdict string"))
-    found = {(tuple(r["tokens"]), r["verdict"]): r["confidence"] for r in rules.collect()}
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    items = urlrules.items_of(labelled)
+    rules = urlrules.mined_rules(labelled, items)
+    found = {(tuple(r["items"]), r["verdict"]): r["confidence"] for r in rules.collect()}
     assert found == {(("host:spam",), "block"): 1.0, (("host:good",), "allow"): 1.0}
     sets = spark.createDataFrame([(["host:spam", "path:y"],), (["path:y"],)], "tokens array<string>")
-    assert [r["method_verdict"] for r in urlrules.judged_tokens(sets, rules).collect()] == ["block"]
+    assert [r["method_verdict"] for r in urlrules.judged_tokens(sets, items, rules).collect()] == ["block"]
+
+
+def test_mined_verdicts_equal_brute_force(spark):
+    """All token combinations counted one by one; tokens t0 and t1 always come together, as do t5 and t6."""
+    rnd = random.Random(3)
+    rows = []
+    for _ in range(300):
+        held = {t for t in ("t2", "t3", "t4", "t7") if rnd.random() < 0.5}
+        held |= {"t0", "t1"} if rnd.random() < 0.6 else set()
+        held |= {"t5", "t6"} if rnd.random() < 0.4 else set()
+        odds = 0.4 + 0.45 * ("t0" in held) + 0.35 * ("t2" in held and "t5" in held) - 0.5 * ("t4" in held)
+        rows.append((sorted(held), "block" if rnd.random() < odds else "allow"))
+    support, confidence = 0.05, 0.7
+    names = [f"t{k}" for k in range(8)]
+    rules = {}
+    for size in range(1, 9):
+        for chosen in map(frozenset, itertools.combinations(names, size)):
+            fits = [v for held, v in rows if chosen <= set(held)]
+            for verdict in ("allow", "block"):
+                n = fits.count(verdict)
+                if n >= support * len(rows) and n / len(fits) >= confidence:
+                    rules[chosen, verdict] = n / len(fits)
+    sure = {k: c for k, c in rules.items() if not any(rules.get((k[0] - {t}, k[1]), 0) >= c for t in k[0])}
+    asked = [sorted(n for k, n in enumerate(names) if mask >> k & 1) for mask in range(1, 256)]
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    items = urlrules.items_of(labelled, support)
+    assert dict(map(tuple, items.collect())) == {n: {"t1": "t0", "t6": "t5"}.get(n, n) for n in names}
+    mined = urlrules.mined_rules(labelled, items, support, confidence)
+    sets = spark.createDataFrame([(a,) for a in asked], "tokens array<string>")
+    got = {tuple(r["tokens"]): r["method_verdict"] for r in urlrules.judged_tokens(sets, items, mined).collect()}
+    for held in asked:
+        fits = {k: c for k, c in sure.items() if k[0] <= set(held)}
+        best = {k[1] for k, c in fits.items() if c == max(fits.values())}
+        assert got.get(tuple(held)) in (best or {None}), held
+    assert {"allow", "block"} <= set(got.values()) and len(got) < len(asked)
+
+
+def test_constant_tokens_are_one_item(spark):
+    """Forty tokens that all urls of a template share would make 2^40 combinations."""
+    rows = [([f"path:c{k:02}" for k in range(40)] + [f"path:x{n % 7}"], "block" if n % 7 < 3 else "allow") for n in range(200)]
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    items = urlrules.items_of(labelled)
+    assert items.select("item").distinct().count() == 8
+    rules = urlrules.mined_rules(labelled, items)
+    assert {(r["items"][0], r["verdict"]) for r in rules.collect()} == {
+        (f"path:x{k}", "block" if k < 3 else "allow") for k in range(7)
+    }
 
 
 def test_search_cases(spark):
@@ -528,3 +578,18 @@ def test_long_dialogue_is_rendered_in_segments(spark):
     got = sorted((r["participant"], r["segment"], r["n_turns"], r["rendered"]) for r in chat.perspectives(turns).collect())
     assert [g[:3] for g in got] == [(p, s, n) for p in "ab" for s, n in ((0, 64), (1, 64), (2, 22))]
     assert "\nt64<|im_end|>" in got[1][3] and "\nt63<|im_end|>" in got[0][3]
+
+
+def test_mix_comes_near_targets_whatever_the_ids(spark):
+    """Rows without an id, rows of one id, and equal rows each draw for themselves."""
+    rows = [(None, f"w{n} b c d", "none") for n in range(400)] + [(7, f"v{n} b c d", "one") for n in range(400)]
+    rows += [(9, "a b c d", "same")] * 400 + [(n, f"u{n} b", "apart") for n in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    planned = mixing.with_copies(docs).select("source", "__mix.*").toPandas()
+    assert len(planned) == len(rows)
+    planned["taken"] = planned["size"] * planned["copies"]
+    for _, part in planned.groupby("source"):
+        assert part["taken"].sum() == pytest.approx(part["target"].iloc[0], rel=0.12)
+        assert part["copies"].max() <= mixing.CEILING
+    copies = lambda d: sorted(map(tuple, mixing.with_copies(d).select("doc_id", "text", "__mix.copies").collect()), key=str)
+    assert copies(docs) == copies(docs.repartition(2))
