@@ -593,3 +593,35 @@ def test_mix_comes_near_targets_whatever_the_ids(spark):
         assert part["copies"].max() <= mixing.CEILING
     copies = lambda d: sorted(map(tuple, mixing.with_copies(d).select("doc_id", "text", "__mix.copies").collect()), key=str)
     assert copies(docs) == copies(docs.repartition(2))
+
+
+def test_token_ids_of_every_vocabulary():
+    """The given vocabulary goes by words; a changed rule, or another vocabulary, goes through the whole tokenizer."""
+    import json
+    from pathlib import Path
+
+    from tokenizers import Tokenizer
+
+    from millrace.llm.tokens import by_words, default_vocabulary, word_ids
+
+    texts = ["Don't  STOP\n12 naïve ΣΑΣ", " lead and trail ", "", "漢字かな <|endoftext|>x é e\u0301", "a\u00a0b\u2003c\x1cd"]
+    given = Path(default_vocabulary())
+    assert by_words(given.read_text())
+    kept_case = json.loads(given.read_text())
+    kept_case["normalizer"]["normalizers"].pop()
+    files = {"changed": json.dumps(kept_case)}
+    files |= {f.name: f.read_text() for f in sorted(given.parent.glob("*.json"))}
+    read = 0
+    for name, vocabulary in files.items():
+        try:
+            tokenizer = Tokenizer.from_str(vocabulary)
+        except Exception:  # not a tokenizer file
+            continue
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        read += 1
+        assert name == given.name or not by_words(vocabulary)
+        for text in texts:
+            want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            assert word_ids(vocabulary).of(text) == want, (name, text)
+    assert read >= 2
