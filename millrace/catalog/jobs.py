@@ -113,7 +113,8 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(PROFILE)
 def profiles_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles rebuilt for the customers of two deltas and merged, the last one twice."""
-    rows, products = frames.transactions(spark, sf_dir), frames.products(spark, sf_dir)
+    # Joined once; each run reads them for its customers and for their history.
+    rows, products = settle(frames.transactions(spark, sf_dir), "transactions", "zstd"), frames.products(spark, sf_dir)
     people = frames.customers(spark, sf_dir)
     versions = [scratch_path(spark, "profiles") for _ in range(3)]
     middle = at("1999-06-01 00:00:00")

@@ -10,6 +10,7 @@ from millrace.operators.joins import restrict_adaptive
 from millrace.operators.rows import valid_transactions
 from millrace.operators.skew import join_on
 from millrace.plans.sales import one_per_product
+from millrace.session import settle
 from millrace.sinks.keyed import upsert
 
 MONEY = "decimal(18,2)"
@@ -23,18 +24,17 @@ def clean_transactions(transactions: DataFrame) -> DataFrame:
 def category_totals(transactions: DataFrame, products: DataFrame) -> DataFrame:
     """Spend, number, first and last time per (customer, category) of known products.
 
-    The totals of two sets of transactions merge into those of both (``merged_totals``). Transactions shrink to one row per
-    (customer, product) before any lookup, so a heavy customer or product costs no more than a light one after the
-    first shuffle. The rows come out laid out by customer.
+    The totals of two sets of transactions merge into those of both (``merged_totals``). Most customers buy a product once, so
+    a sum per (customer, product) would move nearly all rows once more; the category is looked up first, where adaptive
+    execution splits heavy products, and the sums combine before the shuffle, so a heavy customer costs no more than a light one.
     """
-    per_product = transactions.groupBy("customer_id", "product_id").agg(
+    known = join_on(transactions.drop("category"), one_per_product(products), ["product_id"])
+    return known.groupBy("customer_id", "category").agg(
         F.sum("amount").alias("spend"),
         F.count("*").alias("n"),
         F.min("txn_timestamp").alias("first_at"),
         F.max("txn_timestamp").alias("last_at"),
     )
-    # Rows of one customer: at most one per product here, one per category after the sum.
-    return merged_totals(join_on(per_product, one_per_product(products), ["product_id"]))
 
 
 def merged_totals(totals: DataFrame) -> DataFrame:
@@ -105,9 +105,11 @@ def refresh_profiles(
     The profiles under ``current`` (None before the first run) with these in their place go to
     ``target``, by as many tasks as the number of affected customers asks for.
     """
-    history = restrict_adaptive(transactions, delta, "customer_id")
-    profiles = customer_profiles(clean_transactions(history), customers, products)
-    affected = delta.select(F.count_distinct("customer_id")).first()[0]
+    # Written once: the customers are listed, counted and met, the profiles replace keys and add rows.
+    changed = settle(delta.select("customer_id").filter("customer_id IS NOT NULL").distinct(), "changed")
+    history = restrict_adaptive(transactions, changed, "customer_id")
+    profiles = settle(customer_profiles(clean_transactions(history), customers, products), "profiles")
+    affected = changed.count()
     upsert(profiles, ["customer_id"], current, target, tasks=write_tasks(affected, cap))
 
 

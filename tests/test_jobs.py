@@ -248,3 +248,28 @@ def test_iso_dates(spark):
     assert [r[0] for r in df.select(is_iso_date(F.col("t"))).collect()] == [True, False, False, False]
     shown = spark.range(1).select(shown_in_zone(F.lit("2024-01-01 00:00:00").cast("timestamp")), shown_in_zone(F.lit(None).cast("timestamp")))
     assert tuple(shown.first()) == ("2024-01-01 05:30:00 IST", "N/A")
+
+
+def test_profile_refresh_reads_its_delta_once(spark, products, people):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(n):
+        seen.add(1)
+        return n
+
+    df = spark.createDataFrame(ROWS, TXN)
+    counted = F.udf(count, "bigint").asNondeterministic()
+    delta = df.withColumn("customer_id", counted("customer_id"))
+    customer_profile.refresh_profiles(delta, df, people, products, None, scratch_path(spark, "profiles"))
+    assert seen.value == len(ROWS)
+
+
+def test_category_totals_move_rows_once(spark, plan, products):
+    text = plan(customer_profile.category_totals(spark.createDataFrame(ROWS, TXN), products))
+    moved = [line for line in text.splitlines() if "Arguments: hashpartitioning(customer_id" in line]
+    assert len(moved) == 1 and "category" in moved[0] and "partial_sum" in text
+
+
+def test_ranked_groups_of_a_day_are_spread_over_all_tasks(spark, plan, products):
+    text = plan(summary.daily_summary(spark.createDataFrame(ROWS, TXN), products))
+    assert any("hashpartitioning(date" in line and "REPARTITION_BY_NUM" in line for line in text.splitlines())
