@@ -13,7 +13,7 @@ from millrace.plans.daily_summary import refresh_days
 from millrace.plans.distincts import bitmaps, distinct_counts
 from millrace.plans.processed import CompleteJob, ProcessedIds
 from millrace.plans.profile_states import ProfileStates
-from millrace.session import scratch_path
+from millrace.session import scratch_path, settle
 from millrace.sinks.files import write_lake
 from millrace.sinks.keyed import bucket_of, upsert_touched
 
@@ -42,7 +42,8 @@ def daily_summary_with_late_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(PROFILE)
 def profiles_from_merged_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles after three batches, one of them repeated, folded together in between; no batch reads an earlier one's rows."""
-    rows, products = frames.transactions(spark, sf_dir), frames.products(spark, sf_dir)
+    # Joined once; each batch reads its own span of them.
+    rows, products = settle(frames.transactions(spark, sf_dir), "transactions", "zstd"), frames.products(spark, sf_dir)
     people, moment = frames.customers(spark, sf_dir), F.col("txn_timestamp")
     states = ProfileStates(spark, scratch_path(spark, "totals"), scratch_path(spark, "profiles"), buckets=8)
     first, second = at("1997-06-01 00:00:00"), at("1999-06-01 00:00:00")

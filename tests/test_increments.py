@@ -194,3 +194,19 @@ def test_many_ranges_cost_little_more_than_few(spark):
 
     seconds(100)
     assert min(seconds(1600) for _ in range(2)) < 1.5 * max(seconds(100) for _ in range(2)) + 0.5
+
+
+def test_a_batch_moves_its_rows_to_customers_once(spark, rows, plan):
+    products = spark.createDataFrame([(10, "toys"), (10, "zz"), (11, "toys"), (12, None)], "product_id bigint, category string")
+    states = ProfileStates(spark, scratch_path(spark, "totals"), scratch_path(spark, "profiles"), buckets=4)
+    delta = spark.createDataFrame(transactions(7, 60, 1), TXN)
+    made = states.of_batch(delta, products, 3)
+    moved = [line for line in plan(made).splitlines() if "Arguments: hashpartitioning(customer_id" in line]
+    assert len(moved) == 1
+    known = [r for r in transactions(7, 60, 1) if r[2] in (10, 11, 12) and r[4] > 0]
+    want = {}
+    for _, customer, product, _, amount, _ in known:
+        key = (customer, None if product == 12 else "toys")
+        spend, n = want.get(key, (0, 0))
+        want[key] = (spend + amount, n + 1)
+    assert rows(made, "customer_id", "category", "spend", "n") == sorted(((*k, *v) for k, v in want.items()), key=repr)
