@@ -32,8 +32,8 @@ def count_above(df: DataFrame, value: str | Column, threshold: float, name: str
     return df.agg(F.count_if(value > threshold).alias(name))
 
 
-def _first_in(df: DataFrame, keys: Sequence[str], order: Sequence[Column], even: bool = False) -> DataFrame:
-    """The first row of each key. The rows move once and are sorted once, after the move.
+def _first_in(df: DataFrame, keys: Sequence[str], order: Sequence[Column], even: bool = False, met: bool = False) -> DataFrame:
+    """The first row of each key. The rows move once and are sorted once, after the move; rows that have ``met`` stay.
 
     With ``even`` the keys with more than a partition's share of the rows are found first; their rows go in pieces to many
     tasks, and only the first of each piece meet. All other rows still move once.
@@ -49,7 +49,8 @@ def _first_in(df: DataFrame, keys: Sequence[str], order: Sequence[Column], even:
             best = _first_in(dealt.drop("__hash"), [*keys, "__piece"], order).drop("__piece")
             return _first_in(light, keys, order).unionByName(_first_in(best, keys, order))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.repartition(*keys).withColumn("__place", place).filter("__place = 1").drop("__place")
+    moved = df if met else df.repartition(*keys)
+    return moved.withColumn("__place", place).filter("__place = 1").drop("__place")
 
 
 def top_one(df: DataFrame, group: Sequence[str], weight: str, label: str, out: str) -> DataFrame:
@@ -62,18 +63,19 @@ def top_one(df: DataFrame, group: Sequence[str], weight: str, label: str, out: s
 
 
 def keep_first(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], many_copies: bool = False, even: bool = False
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], many_copies: bool = False, even: bool = False, met: bool = False
 ) -> DataFrame:
     """One row per key, the first by ``order`` and then by all other columns.
 
     Most keys are expected to have one row or few. With ``many_copies`` the rows of a key collapse
     before the shuffle, however many there are, at the price of sorting the input first; with ``even`` the
-    keys are read once more, and only those that hold very many rows are treated apart.
+    keys are read once more, and only those that hold very many rows are treated apart; with ``met`` the rows have been
+    dealt out by some of the keys and are not moved again.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     ordered = [c for c in order if c not in keys] + rest
     if not many_copies:
-        return _first_in(df, keys, [F.col(c) for c in ordered], even)
+        return _first_in(df, keys, [F.col(c) for c in ordered], even, met)
     winner = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("row"))
     return winner.select(*keys, "row.*").select(*df.columns)
 

@@ -168,16 +168,17 @@ def retry_failed(
 
 
 def first_per_address(
-    recipients: DataFrame, message_keys: Sequence[str], carried: Sequence[str] = ()
+    recipients: DataFrame, message_keys: Sequence[str], carried: Sequence[str] = (), met: bool = False
 ) -> DataFrame:
     """One recipient per message and address: the first by priority, then by user id.
 
     ``recipients`` holds the message keys, priority, role, user_id, email and what is ``carried`` along
-    with a message. Rows meet per message and address, so no message's recipients are ranked as one group.
+    with a message. Rows are ranked per message and address, so no message's recipients are ranked as one group. They are
+    moved for it unless those of a message have ``met``.
     """
     named = recipients.withColumn("email", F.trim("email")).filter(F.col("email") != "")
     rows = named.select(*message_keys, "email", "priority", "user_id", "role", *carried)
-    best = keep_first(rows, [*message_keys, "email"], ["priority", "user_id", "role"])
+    best = keep_first(rows, [*message_keys, "email"], ["priority", "user_id", "role"], met=met)
     return best.select(*message_keys, "email", "role", "user_id", *carried)
 
 
@@ -198,20 +199,38 @@ def expand_recipients(
     """The people each message goes to, in role order: the users in the role columns, then admins.
 
     ``roles`` lists (role, user column); ``carried`` names columns of the messages to keep. A message
-    asks for targets, each a user or all admins, and meets them in one join. Every message meets every
-    admin, so that one target is dealt over ``salts``:
-    as many as there are tasks, for very many messages.
+    asks for targets, each a user or all admins, and meets the users in one join. All messages ask for the
+    admins, so that one target is dealt over ``salts``: as many as there are tasks, for very many messages.
+    The admins, one per address, are sent to the tasks only after the rows of a message have met: what moves
+    is a row per role and one for all admins, however many they are.
     """
     targets = [recipient_target(i, role, user_target(F.col(column))) for i, (role, column) in enumerate(roles)]
     people = users.select(user_target(F.col("user_id")).alias("target"), F.col("user_id").cast("bigint"), "email")
     if with_admins:
         targets.append(recipient_target(len(roles), "Admin", F.lit(ADMINS)))
-        admins = admins_of(users).select(F.lit(ADMINS).alias("target"), F.col("user_id").cast("bigint"), "email")
-        people = people.unionByName(admins)
     kept = [*message_keys, *carried]
     asked = messages.select(*kept, F.explode(F.array(*targets)).alias("t")).select(*kept, "t.*")
-    named = salted_join(asked.filter(F.col("target").isNotNull()), people, ["target"], hot=[ADMINS], salts=salts)
-    return first_per_address(named, message_keys, carried)
+    named = salted_join(asked.filter(F.col("target").isNotNull()), people, ["target"], hot=[ADMINS], how="left", salts=salts)
+    named = named.filter(F.col("email").isNotNull() | (F.col("target") == ADMINS))
+    # A message's rows grow by the admins where they lie, so their tasks are not put together by what was moved.
+    partitions = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = named.repartition(partitions, *message_keys)
+    if with_admins:
+        admins = admins_of(users).select(
+            # Not a constant, so that this stays a join by key.
+            F.when(F.size("roles") > 0, ADMINS).alias("target"),
+            F.trim("email").alias("admin_email"),
+            F.col("user_id").cast("bigint").alias("admin_id"),
+        )
+        admins = keep_first(admins.filter(F.col("admin_email") != ""), ["target", "admin_email"], ["admin_id"])
+        to_all = F.col("target") == ADMINS
+        named = join_on(named, F.broadcast(admins), ["target"], "left").withColumns(
+            {
+                "email": F.when(to_all, F.col("admin_email")).otherwise(F.col("email")),
+                "user_id": F.when(to_all, F.col("admin_id")).otherwise(F.col("user_id")),
+            }
+        )
+    return first_per_address(named, message_keys, carried, met=True)
 
 
 def user_target(user_id: Column) -> Column:

@@ -168,3 +168,19 @@ def test_soft_delete_only_from_the_other_state(spark, rows):
     ids = spark.createDataFrame([(1,), (2,)], "id bigint")
     assert rows(equipment.set_deleted(df, ids, "id", now())) == [(1, True, NOW, NOW), (2, True, old, old), (3, False, None, old)]
     assert rows(equipment.set_deleted(df, ids, "id", now(), to_deleted=False)) == [(1, False, None, old), (2, False, None, NOW), (3, False, None, old)]
+
+
+def test_admins_are_added_where_the_rows_of_a_message_have_met(spark, rows, plan):
+    staff = [(i, f"admin{i // 2}@x.co", ["Admin"]) for i in range(10, 40)] + [(1, "a@x.co", ["staff"]), (2, " admin5@x.co", None), (3, None, ["admin"])]
+    users = spark.createDataFrame(staff, "user_id bigint, email string, roles array<string>")
+    asked = spark.createDataFrame(
+        [(100, 1, "t"), (100, 1, "s"), (101, 2, "t"), (None, None, "t"), (102, 99, "t")], "event_id bigint, x bigint, text string"
+    )
+    got = notifications.expand_recipients(asked, [("Assignee", "x")], users, ["event_id"], carried=["text"])
+    want = [(event, f"admin{k}@x.co", "Admin", 2 * k, text) for event, text in ((100, "s"), (101, "t"), (None, "t"), (102, "t")) for k in range(5, 20)]
+    want.remove((101, "admin5@x.co", "Admin", 10, "t"))
+    want += [(100, "a@x.co", "Assignee", 1, "s"), (101, "admin5@x.co", "Assignee", 2, "t")]
+    assert rows(got, "event_id", "email", "role", "user_id", "text") == sorted(want, key=repr)
+    # What moves by message are the rows of the roles and one for the admins, not one per admin.
+    moved = [line for line in plan(got).splitlines() if "Arguments: hashpartitioning(event_id" in line]
+    assert moved and not any("email" in line for line in moved)
