@@ -185,7 +185,7 @@ def storage_format_round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         day(F.min("l_shipdate")).alias("first_day"),
         day(F.max("l_shipdate")).alias("last_day"),
     ]
-    return round_trips(table(spark, sf_dir, "lineitem"), scratch_path(spark, "formats"), measures)
+    return round_trips(table(spark, sf_dir, "lineitem"), scratch_path(spark, "formats"), measures, codec="snappy")
 
 
 @query("""

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from millrace.sinks.files import output_metrics, write_csv, write_json, write_parquet, write_text
 
-WRITERS: dict[str, Callable[[DataFrame, str], None]] = {
+WRITERS: dict[str, Callable[..., None]] = {
     "csv": write_csv,
     "json": write_json,
     "parquet": write_parquet,
@@ -21,6 +21,11 @@ WRITERS: dict[str, Callable[[DataFrame, str], None]] = {
 }
 
 
+def write_as(kind: str, df: DataFrame, path: str, codec: str | None = None) -> None:
+    """Write in a format, under its own default codec unless one is named for all formats."""
+    WRITERS[kind](df, path, **({"codec": codec} if codec else {}))
+
+
 def timed(action: Callable[[], None]) -> int:
     """Milliseconds ``action`` takes; it must run a job, not just build a plan."""
     start = time.perf_counter()
@@ -51,26 +56,30 @@ def read_columns(spark: SparkSession, kind: str, path: str, schema: StructType)
 
 
 def round_trips(
-    df: DataFrame, path: str, measures: Sequence[Column], kinds: Sequence[str] = tuple(WRITERS)
+    df: DataFrame, path: str, measures: Sequence[Column], kinds: Sequence[str] = tuple(WRITERS), codec: str | None = None
 ) -> DataFrame:
     """One row per format: the ``measures`` of the table as it is read back from that format."""
     spark, parts = df.sparkSession, []
     for kind in kinds:
-        WRITERS[kind](df, f"{path}/{kind}")
+        write_as(kind, df, f"{path}/{kind}", codec)
         back = read_columns(spark, kind, f"{path}/{kind}", df.schema)
         parts.append(back.agg(*measures).select(F.lit(kind).alias("format"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
 def compare_formats(
-    spark: SparkSession, df: DataFrame, path: str, kinds: Sequence[str] = ("csv", "json", "parquet", "text")
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    kinds: Sequence[str] = ("csv", "json", "parquet", "text"),
+    codec: str | None = None,
 ) -> DataFrame:
     """One row per format: write time, bytes, files, read time and rows read back."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     results = []
     for kind in kinds:
         target = f"{path}/{kind}"
-        write_millis = timed(lambda: WRITERS[kind](df, target))
+        write_millis = timed(lambda: write_as(kind, df, target, codec))
         size = output_metrics(spark, target).first()
         back = read_back(spark, kind, target, schema)
         results.append((kind, write_millis, size["bytes"], size["files"], compute_millis(back), back.count()))

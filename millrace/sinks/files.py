@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_folder
 
 REPORT_ROWS = 100_000
+# A compressed text file is read by one task, so it holds at most so many rows.
+COMPRESSED_ROWS = 1_000_000
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = "snappy") -> None:
@@ -24,17 +26,23 @@ def write_observed(df: DataFrame, path: str, **counts: Column) -> dict[str, int]
     return seen.get
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.mode("overwrite").option("header", header).csv(path)
+def _text_writer(df: DataFrame, codec: str | None) -> DataFrameWriter:
+    """An overwriting writer of text files, plain ones unless a codec is named."""
+    writer = df.write.mode("overwrite")
+    return writer.option("compression", codec).option("maxRecordsPerFile", COMPRESSED_ROWS) if codec else writer
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, codec: str | None = None) -> None:
+    _text_writer(df, codec).option("header", header).csv(path)
 
 
-def write_text(df: DataFrame, path: str, separator: str = ",") -> None:
+def write_json(df: DataFrame, path: str, codec: str | None = None) -> None:
+    _text_writer(df, codec).option("ignoreNullFields", False).json(path)
+
+
+def write_text(df: DataFrame, path: str, separator: str = ",", codec: str | None = None) -> None:
     line = F.concat_ws(separator, *(F.col(c).cast("string") for c in df.columns))
-    df.select(line.alias("value")).write.mode("overwrite").text(path)
+    _text_writer(df.select(line.alias("value")), codec).text(path)
 
 
 def laid_out(df: DataFrame, partition: Sequence[str], tasks: int | None = None) -> DataFrame:

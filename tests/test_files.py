@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.plans.formats import compare_formats
+from millrace.plans.formats import compare_formats, round_trips
 from millrace.sinks import files
 from millrace.sinks.keyed import upsert
 from millrace.sources import files as scans
@@ -122,3 +122,25 @@ def test_upserts_replace_rows_of_equal_key(spark, rows):
     assert spark.read.parquet(paths[3]).count() == 21
     # The earlier version is untouched.
     assert spark.read.parquet(paths[0]).filter("v = 'new'").count() == 0
+
+
+def test_formats_under_one_codec_keep_all_rows(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "COMPRESSED_ROWS", 100)
+    df = spark.range(1000).repartition(2).withColumn("s", F.when(F.col("id") > 0, F.concat(F.lit("some longer text "), "id")))
+    measures = [F.count("*").alias("n"), F.sum("id").alias("ids"), F.count_distinct(F.nullif("s", F.lit(""))).alias("texts")]
+    out = round_trips(df, str(tmp_path / "f"), measures, codec="snappy")
+    assert rows(out) == [(kind, 1000, 499500, 999) for kind in ("csv", "json", "parquet", "text")]
+    for kind in ("csv", "json", "text"):
+        parts = [p.name for p in (tmp_path / "f" / kind).iterdir() if p.name.startswith("part-")]
+        # One task reads a compressed file, so a task of 500 rows writes several.
+        assert len(parts) == 10 and all(name.endswith(".snappy") for name in parts)
+
+
+def test_format_costs_under_one_codec(spark, tmp_path):
+    df = spark.range(20000).select("id", F.lit("a text that repeats").alias("s"))
+    plain, packed = (
+        {r["format"]: r for r in compare_formats(spark, df, str(tmp_path / name), codec=codec).collect()}
+        for name, codec in (("plain", None), ("packed", "snappy"))
+    )
+    assert all(packed[kind]["n_rows"] == 20000 for kind in packed)
+    assert all(packed[kind]["bytes"] < plain[kind]["bytes"] / 2 for kind in ("csv", "json", "text"))
