@@ -192,8 +192,9 @@ def storage_format_round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT format, CAST(place AS BIGINT) AS place, (SELECT count(*) FROM lineitem) AS n
 FROM (VALUES ('parquet', 1), ('csv', 2), ('json', 3)) AS t(format, place)""")
 def storage_format_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formats by the bytes they take, smallest first; the times of the comparison differ by run."""
-    costs = compare_formats(spark, table(spark, sf_dir, "lineitem"), scratch_path(spark, "formats"), ("csv", "json", "parquet"))
+    """Formats by the bytes they take under one codec, smallest first; the times of the comparison differ by run."""
+    rows, path = table(spark, sf_dir, "lineitem"), scratch_path(spark, "formats")
+    costs = compare_formats(spark, rows, path, ("csv", "json", "parquet"), codec="snappy")
     place = F.row_number().over(Window.orderBy("bytes")).cast("bigint")
     return costs.select("format", place.alias("place"), F.col("n_rows").alias("n"))
 
