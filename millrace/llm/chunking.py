@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, give_back, in_parts, table, text_check
+from millrace.llm.common import WORD, give_back, giving_back, in_parts, table, text_check
 from millrace.llm.registry import query
 
 MIN_WORDS = 25
@@ -125,11 +125,23 @@ def _split_repeats(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, repeats
 
 
+def _recurring(records: np.ndarray) -> np.ndarray:
+    """The records whose digest another record has too: a small part of them, as a rule."""
+    ordered = np.sort(records["digest"])
+    again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    del ordered
+    if not len(again):
+        return records[:0]
+    at = np.minimum(np.searchsorted(again, records["digest"]), len(again) - 1)
+    return records[again[at] == records["digest"]]
+
+
 def repeated_chunks(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """One row per chunk that occurs earlier in the table (doc and first_doc are ``NO_ID`` for null ids)."""
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = pa.schema([("bucket", pa.int32()), ("records", pa.binary()), ("repeats", pa.binary())])
 
+    @giving_back
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = np.array([(k << 64) // buckets for k in range(buckets)], np.uint64)
         for records in _chunk_records(batches):
@@ -145,12 +157,16 @@ def repeated_chunks(docs: DataFrame, buckets: int | None = None) -> DataFrame:
                     rows.append((k, own.tobytes(), done.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
 
+    @giving_back
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records, repeats = [np.empty(0, RECORD)], []
         for batch in batches:
             records += [np.frombuffer(x.as_py(), RECORD) for x in batch.column(1)]
             repeats += [np.frombuffer(x.as_py(), REPEAT) for x in batch.column(2)]
-        repeats.append(_split_repeats(np.concatenate(records))[1])
+        records = np.concatenate(records)
+        batch = None
+        repeats.append(_split_repeats(_recurring(records))[1])
+        del records
         for part in repeats:
             if len(part):
                 columns = [part["doc"], part["check"].astype("i8"), part["index"].astype("i4")]
@@ -159,7 +175,6 @@ def repeated_chunks(docs: DataFrame, buckets: int | None = None) -> DataFrame:
                     [pa.array(np.ascontiguousarray(c)) for c in columns],
                     names=["doc", "check", "index", "first_doc", "first_index"],
                 )
-        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sent = rows.mapInArrow(dealt, "bucket int, records binary, repeats binary")
@@ -217,8 +232,12 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, repeats in batches:
             yield _cut_out(texts, repeats, min_words)
+        texts = repeats = None
         give_back()
 
+    # Else a filter on the result is pushed below, and all texts are cut twice, by twice as many workers.
+    cut = cut.asNondeterministic()
+
     repeats = repeated_chunks(docs)
     by_doc = repeats.groupBy("doc", "check").agg(
         F.collect_list(F.struct("index", "first_doc", "first_index")).alias("__repeats")

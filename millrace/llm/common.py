@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,17 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on batches, and after its end, when nothing it held is left, ``give_back``."""
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, give_back, in_parts, table, text_check
+from millrace.llm.common import WORD, giving_back, in_parts, table, text_check
 from millrace.llm.components import components
 from millrace.llm.registry import query
 from millrace.session import settle
@@ -96,6 +96,7 @@ def sketches(docs: DataFrame, many: int) -> DataFrame:
     """doc_id, check (of the text), n_shingles, node (a digest of the set) and the minhashes of every row."""
     names = ["doc_id", "check", "n_shingles", "node", "signature"]
 
+    @giving_back
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
             sizes, nodes, signatures = [], [], []
@@ -114,6 +115,7 @@ def sketches(docs: DataFrame, many: int) -> DataFrame:
 def table_entries(sets: DataFrame, m: int) -> DataFrame:
     """(bucket, node): the tensored table keys of sets (node, signature) that share sub-keys."""
 
+    @giving_back
     def sub_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
@@ -227,6 +229,7 @@ def _opposite(own: np.ndarray, i: int, one: int, two: int) -> np.ndarray:
 def alike_edges(members: DataFrame, many: int, agreement: float) -> DataFrame:
     """Spanning forests (a, b) of the members of each bucket whose minhashes agree, between their parts."""
 
+    @giving_back
     def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
         for _, one, two, own, nodes, parts, signatures in grouped(batches, 3):
@@ -241,7 +244,6 @@ def alike_edges(members: DataFrame, many: int, agreement: float) -> DataFrame:
                 yield _edges(found)
                 found = []
         yield _edges(found)
-        give_back()
 
     sorted_rows = (
         members.select("bucket", "one", "two", "own_block", "node", "part", "signature")
@@ -254,6 +256,7 @@ def alike_edges(members: DataFrame, many: int, agreement: float) -> DataFrame:
 def confirmed_edges(sets: DataFrame, percent: int) -> DataFrame:
     """Spanning forests (a, b) of the links that the full sets of each cluster confirm."""
 
+    @giving_back
     def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
         for _, one, two, own, nodes, packed in grouped(batches, 3):
@@ -275,7 +278,6 @@ def confirmed_edges(sets: DataFrame, percent: int) -> DataFrame:
                 yield _edges(found)
                 found = []
         yield _edges(found)
-        give_back()
 
     sorted_rows = (
         sets.select("cluster", "one", "two", "own_block", "node", "shingles")
@@ -289,6 +291,7 @@ def _sets_of(rows: DataFrame) -> DataFrame:
     """Rows (cluster, members, node, text) with the packed shingle set in place of the text."""
     kind = "cluster long, members long, node long, shingles binary"
 
+    @giving_back
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
             found = [shingles(t.as_py()) for t in batch.column(3)]

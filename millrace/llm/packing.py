@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import in_parts, table
+from millrace.llm.common import giving_back, in_parts, table
 from millrace.llm.registry import query
 from millrace.llm.tokens import END_ID, default_vocabulary, word_ids
 
@@ -155,7 +155,7 @@ def pack(docs: DataFrame, vocabulary_path: str | None = None, tiers: tuple[int,
     with open(vocabulary_path or default_vocabulary(), encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(lambda batches: packed_batches(batches, shared.value, tiers), SCHEMA)
+    return rows.mapInArrow(giving_back(lambda batches: packed_batches(batches, shared.value, tiers)), SCHEMA)
 
 
 @query()

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -509,6 +510,22 @@ def test_chunk_cases(spark, odd):
     assert chunking.dedupe(odd.limit(0)).count() == 0
 
 
+def test_texts_are_cut_once_where_a_filter_follows(spark, plan):
+    """A filter pushed below the function would run it twice, each time in workers of its own."""
+    docs = spark.createDataFrame([(1, "a b c", 5)], "doc_id long, text string, n_chars long")
+    assert len(re.findall(r"(?m)^\(\d+\) ArrowEvalPython", plan(chunking.dedupe(docs)))) == 1
+
+
+def test_records_that_recur_give_the_same_repeats():
+    digests = [5, 7, 5, 9, 2**64 - 1, 7, 7, 2**64 - 1, 3]
+    records = np.zeros(len(digests), chunking.RECORD)
+    records["digest"], records["doc"], records["index"] = digests, range(len(digests)), 1
+    kept = chunking._recurring(records)
+    assert kept["doc"].tolist() == [0, 1, 2, 4, 5, 6, 7]
+    assert (chunking._split_repeats(kept)[1] == chunking._split_repeats(records)[1]).all()
+    assert len(chunking._recurring(records[:2])) == len(chunking._recurring(records[:0])) == 0
+
+
 def test_cuts_do_not_depend_on_what_comes_before():
     passage = prose(8, 200).encode()
     plain, moved = set(chunking.cuts(passage).tolist()), chunking.cuts(b"something else " + passage)
