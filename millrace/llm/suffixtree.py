@@ -54,10 +54,11 @@ GRAMS_HELD, PARTS_HELD, WORDS_HELD = 2**21, 2**21, 2**17
 SLICES = 128
 # The bit map of keys has at most so many words of 64 bits (64 MB), and sixteen bits a key up to there.
 MAP_WORDS = 2**23
+KEY_BITS = 3
 # The hash of a gram turns so far for each word.
 TURN = 21
-# Rows of one context are dealt to so many groups where they meet it.
-SALTS = 16
+# Rows of a heavy context, one of at most HEAVY that have this part of all places, are dealt to so many groups where they meet it.
+SALTS, HEAVY = 16, 2**12
 
 
 def symbol_hashes(symbols: list[bytes]) -> np.ndarray:
@@ -206,20 +207,28 @@ def symbol_counts(coded: DataFrame) -> DataFrame:
 
 
 class KeyMap:
-    """A bit map of key hashes: never false for a key it has, seldom true for one it has not."""
+    """A bit map of key hashes: never false for a key it has, seldom true for one it has not.
+
+    A key has one word of the map and there up to ``KEY_BITS`` bits, one only where the map has grown tight.
+    """
 
     def __init__(self, keys: DataFrame):
         many = keys.count()
         self.words = min(MAP_WORDS, 1 << max(6, (many // 4).bit_length()))
         self.shift = self.words.bit_length() - 1
-        word, bit = f"key & {self.words - 1}", f"cast(shiftrightunsigned(key, {self.shift}) & 63 as int)"
-        rows = keys.groupBy(F.expr(word).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits")).toArrow()
+        self.fields = [self.shift + 6 * i for i in range(KEY_BITS if many <= 16 * self.words else 1)]
+        bits = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned(key, {at}) & 63 as int))" for at in self.fields)
+        word = F.expr(f"key & {self.words - 1}").alias("word")
+        rows = keys.groupBy(word).agg(F.expr(f"bit_or({bits})").alias("bits")).toArrow()
         self.bits = np.zeros(self.words, np.uint64)
         self.bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         k = keys.view(np.uint64)
-        return (self.bits[k & np.uint64(self.words - 1)] >> ((k >> np.uint64(self.shift)) & np.uint64(63)) & np.uint64(1)).astype(bool)
+        word, every = self.bits[k & np.uint64(self.words - 1)], np.uint64(1)
+        for at in self.fields:
+            every = every & (word >> ((k >> np.uint64(at)) & np.uint64(63)))
+        return np.broadcast_to(every, k.shape).astype(bool)
 
 
 def _find(ordered: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -389,10 +398,13 @@ def _tree_weights(coded: DataFrame, counts: DataFrame, total: int, distinct: int
     above = settle(above, "level")
     weights = []
     for length in range(2, max_context + 2):
-        grams = _gram_table(coded, above, length, total).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+        heavy = F.col("n") * HEAVY >= total
+        heavies = F.broadcast(above.filter(heavy).select(F.col("key").alias("prefix"), F.lit(SALTS).alias("salts")))
+        grams = _gram_table(coded, above, length, total).join(heavies, "prefix", "left")
+        grams = grams.withColumn("salt", F.pmod(F.xxhash64("key"), F.coalesce("salts", F.lit(1))).cast("int"))
         contexts = above.select(
             F.col("key").alias("prefix"), F.col("n").alias("size"), F.col("suffix").alias("rest_of"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"),
+            F.explode(F.sequence(F.lit(0), F.when(heavy, SALTS - 1).otherwise(0))).alias("salt"),
         )
         symbol = F.col("key").bitwiseXOR(_turned_column(F.col("prefix")))
         grams = grams.join(contexts, ["prefix", "salt"]).select(
@@ -504,6 +516,7 @@ def scores(coded: DataFrame, model: Model, last: bool = False) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every text of a table of ``tokens``, which goes if this is its ``last`` use."""
     shared = coded.sparkSession.sparkContext.broadcast(model)
     names = [part.split(" ")[0] for part in _ASKED.split(", ")]
+    answer = ("met", "met_n", "met_weight")
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
@@ -520,13 +533,12 @@ def scores(coded: DataFrame, model: Model, last: bool = False) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 row = {n: batch.column(n)[at] for n in batch.schema.names}
-                lists = {n: row[n].values for n in ("doc_id", "n_tokens", "n_known", "base", "score", "met")}
+                lists = {n: row[n].values for n in ("doc_id", "n_tokens", "n_known", "base", "score", *answer)}
                 per_doc, place, times = (np.frombuffer(row[n].as_buffer(), np.uint32) for n in ("per_doc", "place", "times"))
                 n, weight = np.zeros(row["many"].as_py(), np.int64), np.zeros(row["many"].as_py())
-                met = lists["met"]
-                if met is not None and len(met):
-                    spot = met.field("place").to_numpy()
-                    n[spot], weight[spot] = met.field("n").to_numpy(), met.field("weight").to_numpy()
+                if lists["met"] is not None:
+                    spot = lists["met"].to_numpy()
+                    n[spot], weight[spot] = lists["met_n"].to_numpy(), lists["met_weight"].to_numpy()
                 many, words = len(per_doc), row["words"].as_py()
                 root, known = np.zeros(len(n)), np.zeros(len(n))
                 root[:words], known[:words] = np.log10((n[:words] + 1) / model_total), n[:words] > 0
@@ -550,7 +562,8 @@ def scores(coded: DataFrame, model: Model, last: bool = False) -> DataFrame:
     release(coded.sparkSession)
     # A block asks once for a key, whatever its texts hold of it, and is answered by the key's place.
     wanted = seen.select("block", F.posexplode("keys").alias("place", "key")).join(model.entries.select("key", "n", "weight"), "key")
-    met = wanted.groupBy("block").agg(F.collect_list(F.struct("place", "n", "weight")).alias("met"))
+    # Lists of one aggregate have the same order, as no value is null; a struct a row would take twice the bytes.
+    met = wanted.groupBy("block").agg(*[F.collect_list(c).alias(name) for c, name in zip(("place", "n", "weight"), answer)])
     out = seen.withColumn("many", F.size("keys")).drop("keys").join(met, "block", "left")
     return out.mapInArrow(answered, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 

@@ -510,6 +510,19 @@ def test_chunk_cases(spark, odd):
     assert chunking.dedupe(odd.limit(0)).count() == 0
 
 
+def test_a_map_of_keys_has_them_all_and_few_others(spark, monkeypatch):
+    keys = spark.range(10_000).select(F.xxhash64("id").alias("key"))
+    own = np.array([r["key"] for r in keys.collect()])
+    others = np.array([r["key"] for r in spark.range(10_000, 60_000).select(F.xxhash64("id").alias("key")).collect()])
+    full = suffixtree.KeyMap(keys)
+    assert full.has(own).all() and full.has(others).mean() < 0.01
+    none = suffixtree.KeyMap(keys.limit(0))
+    assert not none.has(others).any() and none.has(others[:0]).shape == (0,)
+    monkeypatch.setattr(suffixtree, "MAP_WORDS", 128)
+    tight = suffixtree.KeyMap(keys)
+    assert len(tight.fields) == 1 and tight.has(own).all()
+
+
 def test_texts_are_cut_once_where_a_filter_follows(spark, plan):
     """A filter pushed below the function would run it twice, each time in workers of its own."""
     docs = spark.createDataFrame([(1, "a b c", 5)], "doc_id long, text string, n_chars long")
