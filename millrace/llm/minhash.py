@@ -8,9 +8,11 @@ where plain banding with keys as long would compute m * m * 2 * ROWS.
 1. Sub-keys that no other set has are dropped first, so that only documents with a possible partner form
    table keys. Tables entries with the same members are one bucket.
 2. In each bucket, sets whose minhashes agree well enough are joined to a spanning forest. A bucket or
-   cluster above ``BLOCK`` members is dealt to pairs of blocks, so no task holds more than two blocks.
-3. The components of these edges are clusters. Each cluster's full shingle sets meet (again in pairs of
-   blocks), every intersection is counted, and a spanning forest of the confirmed links comes out.
+   cluster above ``BLOCK`` members is first cut into blocks, each with its first member, which joins most of
+   it. Then only what is still apart meets: the members outside of its largest part meet each other and that
+   part, in pairs of blocks, so no task holds more than two blocks.
+3. The components of these edges are clusters. Each cluster's full shingle sets meet (in the same two steps),
+   intersections are counted, and a spanning forest of the confirmed links comes out.
 4. The components of the confirmed links are the result.
 
 No step lists the pairs of a group: what leaves a task is at most one edge per member. ``m`` is the smallest
@@ -30,13 +32,13 @@ from math import ceil, log, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WORD, giving_back, in_parts, table, text_check
 from millrace.llm.components import components
 from millrace.llm.registry import query
-from millrace.session import settle
+from millrace.session import discard, release, settle
 
 SHINGLE_WORDS = 5
 ROWS = 3
@@ -145,7 +147,7 @@ def table_entries(sets: DataFrame, m: int) -> DataFrame:
 
 
 def distinct_buckets(entries: DataFrame) -> DataFrame:
-    """(bucket, members) of buckets whose members are not all in one ``part`` yet; of buckets with equal members one."""
+    """(bucket, members, least) of buckets whose members are not all in one ``part`` yet; of buckets with equal members one."""
     sized = entries.groupBy("bucket").agg(
         F.count("*").alias("members"),
         F.bit_xor(F.xxhash64("node")).alias("all_nodes"),
@@ -154,7 +156,50 @@ def distinct_buckets(entries: DataFrame) -> DataFrame:
         F.max("part").alias("last_part"),
     )
     alike = sized.filter("first_part <> last_part").groupBy("members", "all_nodes", "least")
-    return alike.agg(F.min("bucket").alias("bucket")).select("bucket", "members")
+    return alike.agg(F.min("bucket").alias("bucket")).select("bucket", "members", "least")
+
+
+def in_blocks(rows: DataFrame, members: str, first: str) -> DataFrame:
+    """``rows`` with the columns of ``in_block_pairs``: each group is cut into blocks of its nodes, with its ``first`` node in all."""
+    blocks = F.ceil(F.col(members) / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("__blocks")).cast("int")
+    places = F.when(F.col("node") == F.col(first), F.sequence(F.lit(0), F.col("__blocks") - 1)).otherwise(F.array(own))
+    cut = rows.withColumn("__blocks", blocks).withColumn("own_block", F.explode(places))
+    return cut.select(*rows.columns, "own_block", F.col("own_block").alias("one"), F.col("own_block").alias("two"))
+
+
+def largest_parts(rows: DataFrame, group: str) -> DataFrame:
+    """(group, main, mains): the largest part and its number of nodes of each group of ``rows`` (group, node, part) with several parts."""
+    sizes = rows.groupBy(group, "part").agg(F.count("*").alias("n"))
+    most = sizes.groupBy(group).agg(F.max(F.struct("n", "part")).alias("most"), F.count("*").alias("parts")).filter("parts > 1")
+    return settle(most.select(group, F.col("most.part").alias("main"), F.col("most.n").alias("mains")), "mains")
+
+
+def in_parts_apart(rows: DataFrame, group: str, members: str, mains: DataFrame) -> DataFrame:
+    """``in_block_pairs`` where the nodes of a group's largest part (``mains``, of groups above the bound) do not meet each other.
+
+    The others have the first blocks, that part has the last. A node of it meets the blocks of the others alone, so few
+    others make few rows, however large the group.
+    """
+    known = rows.join(mains, group, "left")
+    others = F.col(members) - F.coalesce("mains", F.lit(0))
+    inside = F.coalesce(F.col("part") == F.col("main"), F.lit(False))
+    spread = F.xxhash64("node", F.lit(1))
+    known = known.withColumns({
+        "__others": F.greatest(F.ceil(others / BLOCK), F.lit(1)).cast("int"),
+        "__mains": F.ceil(F.coalesce("mains", F.lit(0)) / BLOCK).cast("int"),
+    })
+    own = F.when(inside, F.col("__others") + F.pmod(spread, F.greatest("__mains", F.lit(1)))).otherwise(F.pmod(spread, F.col("__others")))
+    last = F.col("__others") - 1 + F.when(inside, F.lit(0)).otherwise(F.col("__mains"))
+    return _met(known.withColumn("own_block", own.cast("int")), F.sequence(F.lit(0), last), rows.columns)
+
+
+def _met(rows: DataFrame, blocks: Column, columns: list[str]) -> DataFrame:
+    """A row per pair of ``own_block`` and one of ``blocks``."""
+    pairs = F.transform(
+        blocks, lambda o: F.struct(F.least(F.col("own_block"), o).alias("one"), F.greatest(F.col("own_block"), o).alias("two"))
+    )
+    return rows.withColumn("__pair", F.explode(pairs)).select(*columns, "own_block", "__pair.one", "__pair.two")
 
 
 def in_block_pairs(rows: DataFrame, group: str, members: str, node: str = "node", block: int = BLOCK) -> DataFrame:
@@ -164,12 +209,8 @@ def in_block_pairs(rows: DataFrame, group: str, members: str, node: str = "node"
     """
     blocks = F.ceil(F.col(members) / block).cast("int")
     own = F.pmod(F.xxhash64(node, F.lit(1)), F.col("__blocks")).cast("int")
-    others = F.transform(
-        F.sequence(F.lit(0), F.col("__blocks") - 1),
-        lambda o: F.struct(F.least(F.col("own_block"), o).alias("one"), F.greatest(F.col("own_block"), o).alias("two")),
-    )
-    dealt = rows.withColumn("__blocks", blocks).withColumn("own_block", own).withColumn("__pair", F.explode(others))
-    return dealt.select(*rows.columns, "own_block", "__pair.one", "__pair.two")
+    dealt = rows.withColumn("__blocks", blocks).withColumn("own_block", own)
+    return _met(dealt, F.sequence(F.lit(0), F.col("__blocks") - 1), rows.columns)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list]]:
@@ -220,10 +261,13 @@ def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def _opposite(own: np.ndarray, i: int, one: int, two: int) -> np.ndarray:
-    """The later members that ``i`` has to meet: all of them, or those of the other block."""
-    later = np.arange(i + 1, len(own))
-    return later if one == two else later[own[i + 1 :] != own[i]]
+def _meetings(own: list[int], one: int, two: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Members, each with those it has to meet: all later ones, or where two blocks meet, the smaller one's with all of the other."""
+    if one == two:
+        yield from ((i, np.arange(i + 1, len(own))) for i in range(len(own) - 1))
+    else:
+        few, many = sorted((np.flatnonzero(np.array(own) == b) for b in (one, two)), key=len)
+        yield from ((int(i), many) for i in few)
 
 
 def alike_edges(members: DataFrame, many: int, agreement: float) -> DataFrame:
@@ -234,9 +278,8 @@ def alike_edges(members: DataFrame, many: int, agreement: float) -> DataFrame:
         found: list[tuple[int, int]] = []
         for _, one, two, own, nodes, parts, signatures in grouped(batches, 3):
             s = np.frombuffer(b"".join(signatures), "<u4").reshape(len(nodes), many)
-            own, forest = np.array(own), Forest(len(nodes), parts)
-            for i in range(len(nodes) - 1):
-                others = _opposite(own, i, one[0], two[0])
+            forest = Forest(len(nodes), parts)
+            for i, others in _meetings(own, one[0], two[0]):
                 others = others[forest.root[others] != forest.root[i]]
                 forest.join(i, others[(s[others] == s[i]).sum(axis=1) >= agreement * many])
             found += [(nodes[i], nodes[j]) for i, j in forest.links]
@@ -254,18 +297,17 @@ def alike_edges(members: DataFrame, many: int, agreement: float) -> DataFrame:
 
 
 def confirmed_edges(sets: DataFrame, percent: int) -> DataFrame:
-    """Spanning forests (a, b) of the links that the full sets of each cluster confirm."""
+    """Spanning forests (a, b) of the links that the full sets of each cluster confirm, between their parts."""
 
     @giving_back
     def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
-        for _, one, two, own, nodes, packed in grouped(batches, 3):
+        for _, one, two, own, nodes, parts, packed in grouped(batches, 3):
             sizes = np.array([len(p) // 8 for p in packed])
             _, flat = np.unique(np.frombuffer(b"".join(packed), "<u8"), return_inverse=True)
             starts = np.concatenate([[0], np.cumsum(sizes)])
-            own, forest, inside = np.array(own), Forest(len(nodes)), np.zeros(flat.max() + 1, bool)
-            for i in range(len(nodes) - 1):
-                others = _opposite(own, i, one[0], two[0])
+            forest, inside = Forest(len(nodes), parts), np.zeros(flat.max() + 1, bool)
+            for i, others in _meetings(own, one[0], two[0]):
                 if (forest.root[others] == forest.root[i]).all():
                     continue
                 mine = flat[starts[i] : starts[i + 1]]
@@ -280,7 +322,7 @@ def confirmed_edges(sets: DataFrame, percent: int) -> DataFrame:
         yield _edges(found)
 
     sorted_rows = (
-        sets.select("cluster", "one", "two", "own_block", "node", "shingles")
+        sets.select("cluster", "one", "two", "own_block", "node", "part", "shingles")
         .repartition("cluster", "one", "two")
         .sortWithinPartitions("cluster", "one", "two")
     )
@@ -288,20 +330,20 @@ def confirmed_edges(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets_of(rows: DataFrame) -> DataFrame:
-    """Rows (cluster, members, node, text) with the packed shingle set in place of the text."""
-    kind = "cluster long, members long, node long, shingles binary"
+    """Rows (cluster, members, node, part, text) with the packed shingle set in place of the text."""
+    kind = "cluster long, members long, node long, part long, shingles binary"
 
     @giving_back
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            found = [shingles(t.as_py()) for t in batch.column(3)]
+            found = [shingles(t.as_py()) for t in batch.column(4)]
             # A doc_id may stand for several texts; only the one that gave the node is meant.
             keep = pa.array([_digest(s) == n for s, n in zip(found, batch.column(2).to_pylist())], pa.bool_())
             sets = pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())
-            out = pa.RecordBatch.from_arrays([*batch.columns[:3], sets], names=["cluster", "members", "node", "shingles"])
+            out = pa.RecordBatch.from_arrays([*batch.columns[:4], sets], names=["cluster", "members", "node", "part", "shingles"])
             yield out.filter(keep)
 
-    return rows.select("cluster", "members", "node", "text").mapInArrow(packed, kind)
+    return rows.select("cluster", "members", "node", "part", "text").mapInArrow(packed, kind)
 
 
 def candidate_clusters(entries: DataFrame, sets: DataFrame, many: int, agreement: float) -> DataFrame:
@@ -309,25 +351,62 @@ def candidate_clusters(entries: DataFrame, sets: DataFrame, many: int, agreement
 
     Copies of one text meet in nearly every table. So some of the buckets, chosen by their keys, are joined first, and in each
     round after only those count whose members are not yet together; within these, only what joins two components is looked for.
+    The first round joins no more of a bucket above ``BLOCK`` than meets in its blocks; the second takes such buckets again.
     """
-    joined, found, begin = None, None, 0
+    joined, found, begin, end = None, None, 0, 0
     for sixteenths in ROUNDS:
         turn = F.pmod(F.col("bucket"), F.lit(sum(ROUNDS)))
-        rows = entries.filter((turn >= begin) & (turn < begin + sixteenths))
-        begin += sixteenths
+        end += sixteenths
+        rows = entries.filter((turn >= begin) & (turn < end))
         if joined is None:
             rows = rows.withColumn("part", F.col("node"))
         else:
             rows = rows.join(joined, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
             # Both what counts a bucket and what deals it out read the same rows.
             rows = settle(rows, "parts")
-        members = rows.join(distinct_buckets(rows), "bucket").join(sets.select("node", "signature"), "node")
-        edges = settle(alike_edges(in_block_pairs(members, "bucket", "members"), many, agreement), "edges")
+        chosen = distinct_buckets(rows)
+        if joined is not None and begin == 0:
+            chosen = chosen.filter((F.col("members") > BLOCK) | (turn >= ROUNDS[0]))
+        members = settle(rows.join(chosen, "bucket"), "members")
+        if joined is None:
+            dealt = in_blocks(members, "members", "least")
+        else:
+            dealt = in_parts_apart(members, "bucket", "members", largest_parts(members.filter(F.col("members") > BLOCK), "bucket"))
+            begin = end
+        dealt = dealt.join(sets.select("node", "signature"), "node")
+        edges = settle(alike_edges(dealt, many, agreement), "edges")
+        discard(members)
         found = edges if found is None else found.unionByName(edges)
         joined = settle(components(found), "joined")
+        release(entries.sparkSession)
     return joined
 
 
+def confirmed_groups(docs: DataFrame, sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of the components of the links that the full sets of ``clusters`` (node, root) confirm."""
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("members"))
+    nodes = clusters.join(sizes, "root").select("node", F.col("root").alias("cluster"), "members")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        wanted = wanted.join(sets.select("node", F.col("least_doc").alias("doc_id")), "node")
+        texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id")
+        # Copies of a row would meet themselves; they change no link.
+        return _sets_of(texts)
+
+    # The root of a cluster is one of its nodes.
+    cut = in_blocks(sets_of(nodes.withColumn("part", F.col("node"))), "members", "cluster")
+    edges = settle(confirmed_edges(cut, percent), "links")
+    groups = settle(components(edges), "linked")
+    release(docs.sparkSession)
+    large = nodes.filter(F.col("members") > BLOCK).join(groups, "node", "left")
+    large = settle(large.withColumn("part", F.coalesce("root", "node")).drop("root"), "large")
+    mains = largest_parts(large, "cluster")
+    if mains.isEmpty():
+        return groups
+    more = in_parts_apart(sets_of(large.join(mains.select("cluster"), "cluster")), "cluster", "members", mains)
+    return components(edges.unionByName(confirmed_edges(more, percent)))
+
+
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, check, n_shingles, node, component_id, group and kept, one row per row of ``docs``.
 
@@ -342,13 +421,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = settle(sets, "sets")
     entries = settle(table_entries(sets, m), "entries")
     clusters = candidate_clusters(entries, sets, many, least_agreement(percent))
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("members"))
-    wanted = clusters.join(sizes, "root").join(sets.select("node", "least_doc"), "node")
-    wanted = wanted.select(F.col("least_doc").alias("doc_id"), "node", F.col("root").alias("cluster"), "members")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id")
-    # Copies of a row would meet themselves; they change no link.
-    full = in_block_pairs(_sets_of(texts), "cluster", "members")
-    groups = components(confirmed_edges(full, percent))
+    groups = confirmed_groups(docs, sets, clusters, percent)
     named = groups.join(sets.select("node", "least_doc"), "node")
     roots = named.groupBy("root").agg(F.min("least_doc").alias("component_id"))
     linked = groups.join(roots, "root").select("node", "component_id", F.col("root").alias("group"))

@@ -98,6 +98,42 @@ def test_large_group_of_near_copies_goes_through_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.itertuples()} == want
 
 
+def test_links_between_the_blocks_of_a_group_are_found(spark, monkeypatch):
+    """Texts that slide along a longer one: neighbours are linked, gaps of eight words leave candidates that are no links."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    words, rows, at = prose(12, 400).split(), [], 0
+    for i in range(90):
+        at += 8 if i % 30 == 29 else 2
+        rows.append((1000 - i, " ".join(words[at : at + 100])))
+    from test_llm_queries import brute_components
+
+    got = minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 85).toPandas()
+    want = brute_components(dict(rows), 85)
+    assert len({c for _, c in want.values()}) == 4
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.itertuples()} == want
+
+
+def test_a_large_group_is_not_dealt_to_all_pairs_of_its_blocks(spark, monkeypatch):
+    dealt = []
+
+    def counting(work, group):
+        def count(rows, *more):
+            dealt.append((rows.select(group, "node").distinct().count(), rows.count()))
+            return work(rows, *more)
+
+        return count
+
+    monkeypatch.setattr(minhash, "alike_edges", counting(minhash.alike_edges, "bucket"))
+    monkeypatch.setattr(minhash, "confirmed_edges", counting(minhash.confirmed_edges, "cluster"))
+    base, rows = prose(13, 120).split(), []
+    for i in range(1600):
+        rows.append((i, " ".join([*base[: i % 120], f"edit{i}", *base[i % 120 + 1 :]])))
+    groups = minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["component_id"] for r in groups.select("component_id").distinct().collect()} == {0}
+    assert max(n for n, _ in dealt) > 2 * minhash.BLOCK
+    assert all(made <= 1.5 * n for n, made in dealt)
+
+
 def test_collections_are_large_enough():
     for percent in (70, 80, 85, 95):
         m = minhash.collection_size(percent)
