@@ -387,8 +387,10 @@ def confirmed_groups(docs: DataFrame, sets: DataFrame, clusters: DataFrame, perc
     sizes = clusters.groupBy("root").agg(F.count("*").alias("members"))
     nodes = clusters.join(sizes, "root").select("node", F.col("root").alias("cluster"), "members")
 
-    def sets_of(wanted: DataFrame) -> DataFrame:
+    def sets_of(wanted: DataFrame, written: bool = False) -> DataFrame:
         wanted = wanted.join(sets.select("node", F.col("least_doc").alias("doc_id")), "node")
+        # Few rows, once written, are known to be few, so that no other text moves to meet them.
+        wanted = settle(wanted, "wanted") if written else wanted
         texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id")
         # Copies of a row would meet themselves; they change no link.
         return _sets_of(texts)
@@ -403,7 +405,7 @@ def confirmed_groups(docs: DataFrame, sets: DataFrame, clusters: DataFrame, perc
     mains = largest_parts(large, "cluster")
     if mains.isEmpty():
         return groups
-    more = in_parts_apart(sets_of(large.join(mains.select("cluster"), "cluster")), "cluster", "members", mains)
+    more = in_parts_apart(sets_of(large.join(mains.select("cluster"), "cluster"), written=True), "cluster", "members", mains)
     return components(edges.unionByName(confirmed_edges(more, percent)))
 
 
