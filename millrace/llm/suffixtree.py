@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import give_back, id_fold, in_parts, table
 from millrace.llm.registry import query
-from millrace.session import discard, release, settle
+from millrace.session import batch_bytes, discard, release, settle
 
 # The most frequent words and weights of grams are sent to the tasks, at most so many: 24 and 16 bytes each.
 COMMON_WORDS, COMMON_GRAMS = 2**17, 2**19
@@ -48,8 +48,12 @@ END = b""
 FOLDS, HELD_OUT = 7, 2
 # Bytes of text in a block, unless one text has more, and documents.
 BLOCK_BYTES, BLOCK_DOCS = 2**22, 4096
+# Bytes of blocks, or one block, that a task of Python is given at a time.
+BATCH_BYTES = 2**23
 # Grams, parts of hashes, and words a task holds before it sends on what it has counted.
 GRAMS_HELD, PARTS_HELD, WORDS_HELD = 2**21, 2**21, 2**17
+# A task counts the grams it holds in ranges of their prefixes, one after the other, by so many upper bits.
+RANGE_BITS = 4
 # Hash parts of pairs lie in so many slices, and there are about as many parts as words, up to MAP_WORDS * 64.
 SLICES = 128
 # The bit map of keys has at most so many words of 64 bits (64 MB), and sixteen bits a key up to there.
@@ -157,7 +161,7 @@ def tokens(docs: DataFrame, learn: Column | None = None) -> DataFrame:
     learn = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long"), learn.alias("learn"), F.col("text").cast("string"))
     kind = "doc_id array<long>, learn array<boolean>, sizes binary, words binary, hashes binary, symbols binary"
-    return settle(rows.mapInArrow(split, kind), "tokens", "zstd")
+    return settle(rows.mapInArrow(split, kind), "tokens", "zstd", wide=True)
 
 
 def _kind(numbers: int) -> type:
@@ -345,6 +349,27 @@ class HashParts:
         return (self.map[part >> np.uint64(3)] >> (part & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+def _counted_grams(keys: list[np.ndarray], prefixes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(key, prefix, n) of grams, of which each distinct one makes one row; the lists are emptied.
+
+    One range of prefixes after the other, as sorting all grams at once would take several times what they take themselves.
+    Rows of one prefix are together, which the shuffle's compression makes use of.
+    """
+    key, prefix = (np.concatenate([np.zeros(0, np.int64), *parts]) for parts in (keys, prefixes))
+    keys.clear()
+    prefixes.clear()
+    own = (prefix.view(np.uint64) >> np.uint64(64 - RANGE_BITS)).astype(np.uint8)
+    for number in range(1 << RANGE_BITS):
+        places = np.flatnonzero(own == number)
+        if not len(places):
+            continue
+        found, at, n = np.unique(key[places], return_index=True, return_counts=True)
+        before = prefix[places[at]]
+        order = np.argsort(before, kind="stable")
+        columns = [found[order], before[order], n[order]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "prefix", "n"])
+
+
 def _gram_table(coded: DataFrame, shorter: DataFrame, length: int, total: int) -> DataFrame:
     """(key, prefix, n) of the grams of a length that occur often enough; ``shorter`` has those one word shorter."""
     often = KeyMap(shorter.select("key"))
@@ -354,16 +379,6 @@ def _gram_table(coded: DataFrame, shorter: DataFrame, length: int, total: int) -
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, parts = shared.value
         keys, prefixes, waiting = [], [], 0
-
-        def rows() -> pa.RecordBatch:
-            none = [np.zeros(0, np.int64)]
-            found, at, n = np.unique(np.concatenate(none + keys), return_index=True, return_counts=True)
-            prefix = np.concatenate(none + prefixes)[at]
-            # Rows of one prefix together, which the shuffle's compression makes use of.
-            order = np.argsort(prefix, kind="stable")
-            columns = [found[order], prefix[order], n[order]]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "prefix", "n"])
-
         for _, block in _stored(batches, True):
             whole, before = _candidates(block, length, known)
             if parts is not None:
@@ -373,9 +388,9 @@ def _gram_table(coded: DataFrame, shorter: DataFrame, length: int, total: int) -
             prefixes.append(before)
             waiting += len(whole)
             if waiting >= GRAMS_HELD:
-                yield rows()
-                keys, prefixes, waiting = [], [], 0
-        yield rows()
+                yield from _counted_grams(keys, prefixes)
+                waiting = 0
+        yield from _counted_grams(keys, prefixes)
         give_back()
 
     rows = coded.select("learn", "sizes", "hashes", "symbols").mapInArrow(counted, "key long, prefix long, n long")
@@ -452,6 +467,11 @@ def _least_common(counts: DataFrame, most: int) -> int:
 
 def grow(coded: DataFrame, max_context: int = MAX_CONTEXT) -> Model:
     """The tree learnt from a table of ``tokens``."""
+    with batch_bytes(coded.sparkSession, BATCH_BYTES):
+        return _grown(coded, max_context)
+
+
+def _grown(coded: DataFrame, max_context: int) -> Model:
     counts = settle(symbol_counts(coded), "symbols")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     total, distinct = sums["total"], sums["distinct"]
@@ -514,9 +534,13 @@ def _asked(model: Model, block: Block) -> tuple[list[np.ndarray], list[np.ndarra
 
 def scores(coded: DataFrame, model: Model, last: bool = False) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every text of a table of ``tokens``, which goes if this is its ``last`` use."""
+    with batch_bytes(coded.sparkSession, BATCH_BYTES):
+        return _scored(coded, model, last)
+
+
+def _scored(coded: DataFrame, model: Model, last: bool) -> DataFrame:
     shared = coded.sparkSession.sparkContext.broadcast(model)
     names = [part.split(" ")[0] for part in _ASKED.split(", ")]
-    answer = ("met", "met_n", "met_weight")
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
@@ -529,6 +553,21 @@ def scores(coded: DataFrame, model: Model, last: bool = False) -> DataFrame:
             number += 1
         give_back()
 
+    seen = settle(coded.select("doc_id", "sizes", "hashes", "symbols").mapInArrow(asked, _ASKED), "asked", "zstd", wide=True)
+    if last:
+        discard(coded)
+    release(coded.sparkSession)
+    made = _answers(seen, model)
+    discard(seen)
+    release(coded.sparkSession)
+    return made
+
+
+def _answers(seen: DataFrame, model: Model) -> DataFrame:
+    """The scores, written, of blocks that ask for the rows of ``seen``."""
+    answer = ("met", "met_n", "met_weight")
+    model_total = model.total + model.distinct + 1
+
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
@@ -555,17 +594,14 @@ def scores(coded: DataFrame, model: Model, last: bool = False) -> DataFrame:
                     names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
                 )
 
-    model_total = model.total + model.distinct + 1
-    seen = settle(coded.select("doc_id", "sizes", "hashes", "symbols").mapInArrow(asked, _ASKED), "asked", "zstd")
-    if last:
-        discard(coded)
-    release(coded.sparkSession)
     # A block asks once for a key, whatever its texts hold of it, and is answered by the key's place.
     wanted = seen.select("block", F.posexplode("keys").alias("place", "key")).join(model.entries.select("key", "n", "weight"), "key")
     # Lists of one aggregate have the same order, as no value is null; a struct a row would take twice the bytes.
     met = wanted.groupBy("block").agg(*[F.collect_list(c).alias(name) for c, name in zip(("place", "n", "weight"), answer)])
     out = seen.withColumn("many", F.size("keys")).drop("keys").join(met, "block", "left")
-    return out.mapInArrow(answered, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    made = out.mapInArrow(answered, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    # Written here, as the size of a batch is set only while a step runs.
+    return settle(made, "scores")
 
 
 @query()

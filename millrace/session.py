@@ -6,6 +6,8 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,9 +90,29 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def write_scratch(df: DataFrame, path: str, codec: str = "snappy") -> None:
-    """Write a table that is read again soon. A writer holds a row group in memory, so these are small."""
-    df.write.option("parquet.block.size", ROW_GROUP).option("compression", codec).parquet(path)
+@contextmanager
+def batch_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Steps run inside send Python functions batches of at most ``most`` bytes, or one row.
+
+    Spark's 64 MB a batch lie beside the heap twice, as Arrow's vectors and as the stream to the worker, and once more in the
+    worker, for each task of an executor.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def write_scratch(df: DataFrame, path: str, codec: str = "snappy", wide: bool = False) -> None:
+    """Write a table that is read again soon. A writer holds a row group in memory, so these are small.
+
+    Its size is looked at every hundred rows, or after each if they are ``wide``.
+    """
+    checks = {"parquet.page.size.row.check.min": 1} if wide else {}
+    df.write.options(**checks).option("parquet.block.size", ROW_GROUP).option("compression", codec).parquet(path)
 
 
 def discard(*tables: DataFrame) -> None:
@@ -104,13 +126,13 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def settle(df: DataFrame, label: str = "settled", codec: str = "snappy") -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written table.
+def settle(df: DataFrame, label: str = "settled", codec: str = "snappy", wide: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from the written table; ``wide`` rows have some megabytes each.
 
     Used where later steps must all see one and the same evaluation, and where recomputing after
     a lost executor would cost the whole upstream plan.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    write_scratch(df, path, codec)
+    write_scratch(df, path, codec, wide)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,9 +4,11 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -402,6 +404,59 @@ class BruteTree:
         return sum(self.log_p(tuple(words[max(0, i - self.longest + 1) : i]), w) for i, w in enumerate(words))
 
 
+def test_tasks_are_given_few_blocks_at_a_time(spark, monkeypatch):
+    # Each text makes a block of its own, which takes over 5 MB; a single task reads all ten.
+    texts = [(i, " ".join(f"w{i}{n:06d}" for n in range(260_000))) for i in range(10)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    coded = suffixtree.tokens(docs)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in coded.inputFiles()]
+    assert sum(m.num_rows for m in files) == 10
+    assert max(m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)) < 2**25
+    stored = suffixtree._stored
+
+    def watched(batches, learnt):
+        def seen():
+            for batch in batches:
+                assert batch.nbytes < 2**24, f"{batch.num_rows} blocks at once"
+                yield batch
+
+        return stored(seen(), learnt)
+
+    monkeypatch.setattr(suffixtree, "_stored", watched)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    model = suffixtree.grow(coded.coalesce(1), 1)
+    assert model.total == 10 * 260_001
+    got = suffixtree.scores(coded.coalesce(1), model).collect()
+    assert sorted((r["doc_id"], r["n_tokens"], r["n_known"]) for r in got) == [(i, 260_001, 260_001) for i in range(10)]
+    assert spark.conf.get(name, None) == before
+
+
+def test_grams_are_counted_range_by_range():
+    rnd = np.random.default_rng(3)
+    prefix = rnd.integers(-(2**63), 2**63 - 1, 40_000)[rnd.integers(0, 40_000, 500_000) % rnd.integers(1, 40_001, 500_000)]
+    key = suffixtree._turned(prefix) ^ rnd.integers(0, 4, 500_000)
+    want = Counter(zip(key.tolist(), prefix.tolist()))
+    keys, prefixes = np.array_split(key, 7), np.array_split(prefix, 7)
+    del key, prefix
+    tracemalloc.start()
+    rows = 0
+    for batch in suffixtree._counted_grams(keys, prefixes):
+        before = batch.column("prefix").to_numpy()
+        # Rows of one prefix are together.
+        assert np.count_nonzero(np.diff(before)) + 1 == len(np.unique(before))
+        for k, p, n in zip(*(c.to_pylist() for c in batch.columns)):
+            assert want.pop((k, p)) == n
+        rows += batch.num_rows
+        del batch, before
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not want and rows and not keys and not prefixes
+    # The grams take 8 MB.
+    assert peak < 2 * 8e6
+    assert list(suffixtree._counted_grams([], [])) == []
+
+
 @pytest.mark.parametrize("common", [2**20, 40, 0])
 def test_scores_by_brute_force(spark, odd, monkeypatch, common):
     rnd = random.Random(5)
